@@ -49,13 +49,13 @@ def targets(sized: DataFrame, weights: tuple[int, ...] = WEIGHTS, share: float =
     return table.select("source", "source_size", F.when(F.col("capped"), F.col("cap")).otherwise(share_of).alias("target"))
 
 
-def mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, share: float = SHARE, most: float = MOST, seed: int = SEED) -> DataFrame:
+def mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, share: float = SHARE, most: float = MOST, seed: int = SEED, keep: tuple[str, ...] = ()) -> DataFrame:
     """One row a document: uid, doc_id, source, size, source_size, target, copies (how often the mix takes it).
 
-    ``uid`` numbers the rows of this call; it tells repeated rows apart.
+    ``uid`` numbers the rows of this call; it tells repeated rows apart. ``keep`` names short columns to carry along.
     """
     size = F.coalesce(F.regexp_count("text", F.lit(WORD_PATTERN)), F.lit(0)).cast("long")
-    sized = materialise(docs.select("doc_id", "source", size.alias("size")).withColumn("uid", F.monotonically_increasing_id()), "sizes")
+    sized = materialise(docs.select("doc_id", "source", *keep, size.alias("size")).withColumn("uid", F.monotonically_increasing_id()), "sizes")
     goal = targets(sized, weights, share, most).withColumnRenamed("source", "of")
     rows = sized.join(goal, F.col("source").eqNullSafe(F.col("of")), "left").drop("of")
     ratio = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(F.lit(0.0))
@@ -75,4 +75,4 @@ def mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, share: float = SHAR
     extra = spare.where("off < gap").groupBy("source").agg(F.min(F.struct("off", "q", F.coalesce("doc_id", F.lit((1 << 63) - 1)), "uid")).alias("best")).select(F.col("best.uid").alias("uid"), F.lit(1).alias("more"))
     rows = rows.join(extra, "uid", "left")
     copies = F.col("whole") + F.col("taken").cast("long") + F.coalesce("more", F.lit(0))
-    return rows.select("uid", "doc_id", "source", "size", "source_size", "target", copies.cast("long").alias("copies"))
+    return rows.select("uid", "doc_id", "source", "size", "source_size", "target", copies.cast("long").alias("copies"), *keep)
