@@ -99,12 +99,14 @@ def _emit_segments(window: int, gram: int, crowd: int):
             for doc, text, shared, counts in zip(batch.column(0).to_pylist(), byte_texts(batch.column(1)), batch.column(2), batch.column(3), strict=True):
                 words, th = (text or b"").split(), _text_hash(text or b"")
                 a = anchors(words, window, gram)
+                if not len(a):
+                    continue
                 ours = shared.values.to_numpy()
                 order = np.argsort(ours)
                 ours, many = ours[order], counts.values.to_numpy()[order]
                 at = np.minimum(np.searchsorted(ours, a), len(ours) - 1)
                 hit = ours[at] == a
-                edge = np.flatnonzero(np.append(True, (a[1:] != a[:-1]))) if len(a) else np.zeros(0, dtype=int)
+                edge = np.flatnonzero(np.append(True, a[1:] != a[:-1]))
                 for lo, hi in zip(edge.tolist(), [*edge[1:].tolist(), len(a)], strict=True):
                     if not hit[lo]:
                         continue
