@@ -1,0 +1,56 @@
+"""The pipeline, stage by stage, on a small table."""
+
+from __future__ import annotations
+
+import random
+
+import pytest
+
+corpus_pipeline = pytest.importorskip("corpus_pipeline")
+
+
+def rows(spark, n=300):
+    rng = random.Random(2)
+    make = {"en": ["the", "ing", "th", "er", "on"], "de": ["sch", "ung", "ei", "ich", "keit"]}
+    out = []
+    for i in range(n):
+        lang = rng.choice(list(make))
+        text = " ".join("".join(rng.choice(make[lang]) for _ in range(3)) for _ in range(rng.randrange(20, 60)))
+        out.append((i, text, lang, f"s{i % 4}", len(text)))
+    out += [(n + i, out[i][1], *out[i][2:]) for i in range(20)]
+    out += [(1000, "12345 !!", "en", "s0", 8), (1001, None, None, None, None), (None, out[3][1], "en", None, 5), (1002, out[0][1] + " password=abcdefghijklmnop", "en", "s1", 0)]
+    return spark.createDataFrame(out, "doc_id long, text string, lang string, source string, n_chars long")
+
+
+def test_stages(spark, tmp_path):
+    docs = rows(spark)
+    columns = docs.columns
+    kept = {}
+    for name, stage in corpus_pipeline.STAGES:
+        out = stage(spark, docs, "")
+        path = f"file://{tmp_path}/{name}"
+        out.write.parquet(path)
+        docs = spark.read.parquet(path)
+        kept[name] = docs
+        if name != "packing":
+            assert docs.columns == columns
+    ids = {name: {r["doc_id"] for r in df.collect()} for name, df in kept.items()}
+    assert ids["language_id"] == {*range(320), None, 1002}
+    assert not ids["near_duplicates"] & set(range(300, 320)) and ids["near_duplicates"] >= {0, 1, 2, None}
+    assert ids["secret_scan"] == ids["near_duplicates"]
+    marked = kept["secret_scan"].where("doc_id = 1002").first()
+    if marked is not None:
+        assert "abcdefghijklmnop" not in marked["text"] and marked["n_chars"] == len(marked["text"])
+    assert ids["mixing"] <= ids["secret_scan"]
+    assert kept["packing"].count() > 0
+
+
+def test_empty_table(spark):
+    docs = rows(spark).limit(0)
+    for _, stage in corpus_pipeline.STAGES:
+        assert stage(spark, docs, "").count() == 0
+
+
+def test_run_over_a_folder(spark, tmp_path):
+    rows(spark, 60).write.parquet(f"file://{tmp_path}/documents.parquet")
+    assert corpus_pipeline.run(spark, f"file://{tmp_path}").count() > 0
