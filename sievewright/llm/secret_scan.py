@@ -48,22 +48,28 @@ SWITCH, VOWEL_CORRELATION = 0.12, -0.35
 _SPAN = "array<struct<kind:string,start:int,end:int>>"
 
 
+def _running(sizes: Column) -> Column:
+    """Running sums of an array in log2(n) passes: pass k adds what stands 2^k places before."""
+    n = F.size(sizes)
+    passes = F.when(n > 1, F.sequence(F.lit(0), F.ceil(F.log2(n.cast("double"))).cast("int") - 1)).otherwise(F.array().cast("array<int>"))
+
+    def shifted(acc: Column, k: Column) -> Column:
+        step = F.least(F.pow(F.lit(2.0), k).cast("int"), F.size(acc))
+        return F.concat(F.array_repeat(F.lit(0), step), F.slice(acc, F.lit(1), F.size(acc) - step))
+
+    return F.aggregate(passes, sizes, lambda acc, k: F.zip_with(acc, shifted(acc, k), lambda x, y: x + y))
+
+
 def _finds(text: Column, pattern: str, kind: str, values: Column | None = None, least: int = 0) -> Column:
     """Spans of all leftmost, non-overlapping matches; ``values``: of each match, the part that must be ``least`` long."""
     gaps = F.split(text, pattern, -1)
     hits = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
     size = lambda x: F.coalesce(F.length(x), F.lit(0))
-    parts = F.arrays_zip(gaps.alias("gap"), hits.alias("hit")) if values is None else F.arrays_zip(gaps.alias("gap"), hits.alias("hit"), values.alias("value"))
-    good = (lambda x: x["hit"].isNotNull()) if values is None else (lambda x: x["hit"].isNotNull() & (size(x["value"]) >= least))
-    start = F.struct(F.lit(0).alias("at"), F.array().cast(_SPAN).alias("out"))
-
-    def step(acc: Column, x: Column) -> Column:
-        begin = acc["at"] + size(x["gap"])
-        end = begin + size(x["hit"])
-        span = F.struct(F.lit(kind).alias("kind"), begin.alias("start"), end.alias("end"))
-        return F.struct(end.alias("at"), F.when(good(x), F.concat(acc["out"], F.array(span))).otherwise(acc["out"]).alias("out"))
-
-    return F.aggregate(parts, start, step, lambda acc: acc["out"])
+    parts = F.arrays_zip(gaps.alias("gap"), hits.alias("hit"), (hits if values is None else values).alias("value"))
+    lengths = F.transform(parts, lambda x: F.struct(size(x["gap"]).alias("gap"), size(x["hit"]).alias("hit"), size(x["value"]).alias("value")))
+    ends = _running(F.transform(lengths, lambda x: x["gap"] + x["hit"]))
+    spans = F.zip_with(lengths, ends, lambda x, end: F.struct(F.lit(kind).alias("kind"), (end - x["hit"]).alias("start"), end.alias("end"), ((x["hit"] > 0) & (x["value"] >= least)).alias("good")))
+    return F.transform(F.filter(spans, lambda x: x["good"]), lambda x: F.struct(x["kind"].alias("kind"), x["start"].alias("start"), x["end"].alias("end")))
 
 
 def _none() -> Column:
