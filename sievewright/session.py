@@ -2,6 +2,11 @@
 
 from __future__ import annotations
 
+import os
+import tempfile
+import zipfile
+from pathlib import Path
+
 from pyspark.sql import SparkSession
 
 
@@ -19,3 +24,17 @@ def session(master: str = "local[8]", shuffle_partitions: int = 8, memory: str =
         .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
         .getOrCreate()
     )
+
+
+def ship(spark: SparkSession) -> None:
+    """Send this package to the session's Python workers, once, so that they need no path of their own to it."""
+    context = spark.sparkContext
+    if getattr(context, "_sievewright_shipped", False):
+        return
+    package = Path(__file__).resolve().parent
+    target = Path(os.path.realpath(tempfile.mkdtemp())) / "sievewright.zip"
+    with zipfile.ZipFile(target, "w") as z:
+        for file in sorted(package.rglob("*.py")):
+            z.write(file, Path(package.name) / file.relative_to(package))
+    context.addPyFile(str(target))
+    context._sievewright_shipped = True
