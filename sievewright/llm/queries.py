@@ -169,7 +169,7 @@ WITH v AS (
   SELECT vec_id, CAST(embedding AS DOUBLE[]) AS e FROM embeddings
   WHERE vec_id IS NOT NULL AND embedding IS NOT NULL AND list_bool_and(list_transform(embedding, lambda x: x IS NOT NULL AND isfinite(x)))
     AND list_bool_or(list_transform(embedding, lambda x: x <> 0))),
-d AS (SELECT q.vec_id AS query_id, c.vec_id, list_distance(q.e, c.e) AS score FROM v q JOIN v c ON q.vec_id <> c.vec_id AND len(q.e) = len(c.e) WHERE q.vec_id % 100 = 0)
+d AS (SELECT q.vec_id AS query_id, c.vec_id, sqrt(list_sum(list_transform(list_zip(q.e, c.e), lambda x: (x[1] - x[2]) * (x[1] - x[2])))) AS score FROM v q JOIN v c ON q.vec_id <> c.vec_id AND len(q.e) = len(c.e) WHERE q.vec_id % 100 = 0)
 SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score, vec_id) AS INTEGER) AS rank, vec_id, score
 FROM d QUALIFY row_number() OVER (PARTITION BY query_id ORDER BY score, vec_id) <= 10"""
 
