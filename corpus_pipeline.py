@@ -6,7 +6,7 @@ matter. An empty table, or one that a stage empties, gives an empty result.
 
 1. language_id: documents without letters, and those whose language stays ambiguous, go. lang is not changed.
 2. near_duplicates: of each SimHash component the document with the smallest doc_id stays. Documents with a null doc_id
-   stay, as nothing tells which of them is first; rows that repeat a doc_id and text leave one row.
+   stay, as nothing tells which of them is first; rows that repeat a doc_id leave one row for each of their texts.
 3. secret_scan: secrets are replaced by a mark, n_chars follows the text. No document goes.
 4. mixing: documents are taken as often as the mix of sources says: not at all, once or twice. Copies are rows that
    repeat the document.
@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 from sievewright.llm import langid, mixing, packing, secret_scan, simhash
 from sievewright.llm.common import materialise
 from sievewright.llm.queries import tokenizer_path
+from sievewright.session import ship
 
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 #: Documents whose language is ambiguous at a score below this go.
@@ -35,12 +36,11 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    keep = simhash.near_duplicates(docs).where("doc_id = component_id").select(F.col("doc_id").alias("keep")).distinct()
-    kept = docs.select(*COLUMNS).join(keep, F.col("doc_id") == F.col("keep"), "left_semi")
-    repeated = kept.groupBy("doc_id").count().where("count > 1").select("doc_id")
-    once = kept.join(repeated, "doc_id", "left_anti").select(*COLUMNS)
-    least = kept.join(repeated, "doc_id", "left_semi").groupBy("doc_id").agg(F.min(F.struct("text", "lang", "source", "n_chars")).alias("r")).select("doc_id", "r.*")
-    return once.unionByName(least).unionByName(docs.where("doc_id is null").select(*COLUMNS))
+    keep = simhash.near_duplicates(docs).where("doc_id = component_id").groupBy(F.col("doc_id").alias("keep")).agg(F.count("*").alias("rows"))
+    kept = docs.select(*COLUMNS).join(keep, F.col("doc_id") == F.col("keep"))
+    once = kept.where("rows = 1").select(*COLUMNS)
+    repeated = kept.where("rows > 1").groupBy("doc_id", "text").agg(F.min(F.struct("lang", "source", "n_chars")).alias("r")).select("doc_id", "text", "r.*")
+    return once.unionByName(repeated).unionByName(docs.where("doc_id is null").select(*COLUMNS))
 
 
 def secret_scan_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -78,6 +78,7 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ship(spark)
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for name, stage in STAGES:
         docs = materialise(stage(spark, docs, sf_dir), name)
