@@ -2,8 +2,13 @@
 
 from __future__ import annotations
 
+from functools import lru_cache
+
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import BinaryType
 
 from sievewright.functions.identity import folder_source_id, pixel_hash
 
@@ -40,7 +45,7 @@ def images(spark: SparkSession, root: str, only: str | None = None) -> DataFrame
     """
     path = f"{root.rstrip('/')}/{only}" if only else root
     decoded = spark.read.format("image").option("recursiveFileLookup", str(not only).lower()).option("dropInvalid", "false").load(path).select("image.*")
-    rgb = _swapped(F.col("data"))
+    rgb = _swap()(F.col("data"))
     rows = decoded.where(F.lower("origin").rlike("\\.(?:" + "|".join(SUFFIXES) + ")$"))
     rows = rows.withColumn("path", F.col("origin")).select("path", relative_path(root).alias("image_path"), "width", "height", pixel_hash(F.col("width"), F.col("height"), rgb).alias("pixel_sha256"))
     files = image_files(spark, root, only).select(F.col("relative_path").alias("image_path"), F.sha2("content", 256).alias("file_sha256"))
@@ -48,18 +53,13 @@ def images(spark: SparkSession, root: str, only: str | None = None) -> DataFrame
     return rows.join(files, "image_path").select(folder_source_id(F.col("image_path")).alias("source_id"), "image_path", "file_sha256", "pixel_sha256", "width", "height", order.alias("ord"))
 
 
-def _swapped(data: Column) -> Column:
-    import pandas as pd
-
-    from pyspark.sql.types import BinaryType
-
+@lru_cache(1)
+def _swap():
     @F.pandas_udf(BinaryType())
-    def swap(frames: pd.Series) -> pd.Series:
-        import numpy as np
-
+    def run(frames: pd.Series) -> pd.Series:
         return frames.map(lambda b: np.frombuffer(b, dtype=np.uint8).reshape(-1, 3)[:, ::-1].tobytes(), na_action="ignore")
 
-    return swap(data)
+    return run
 
 
 def manifest(spark: SparkSession, path: str) -> DataFrame:
