@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from sievewright.llm.common import materialise
+from sievewright.llm.common import bounded_sample, materialise
 from sievewright.llm.embeddup import sound
 
 BOOKS, WORDS, BEAM, SAMPLE, RERANK, BLOCK, QUERY_BLOCK = 8, 128, 4, 4096, 400, 8192, 512
@@ -95,7 +95,7 @@ def search(vectors: DataFrame, queries: Column, k: int = 10, rerank: int = RERAN
         return spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
     d, n = usual
     rows = rows.where(F.size("v") == d)
-    sample = np.array([r["v"] for r in rows.orderBy(F.xxhash64("vec_id"), "vec_id").limit(SAMPLE).select("v").collect()])
+    sample = np.array([r["v"] for r in bounded_sample(rows, F.col("vec_id"), n, SAMPLE).select("v").collect()])
     scale = float(np.abs(sample).max())
     shared = spark.sparkContext.broadcast((fit_codebooks(sample / scale, books, words), scale))
     blocks = max(1, -(-n // block))

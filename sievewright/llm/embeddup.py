@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from sievewright.llm.common import materialise
+from sievewright.llm.common import bounded_sample, materialise
 from sievewright.llm.components import connected_components
 
 THRESHOLD, TILE, SAMPLE = 0.98, 1024, 4096
@@ -44,7 +44,8 @@ def sound(column: str = "embedding"):
 
 def axes(vectors: DataFrame, dims: int, sample: int = SAMPLE) -> np.ndarray:
     """Principal axes (columns) of a bounded sample of unit vectors of one length."""
-    rows = vectors.where(F.size("v") == dims).orderBy(F.xxhash64("v")).limit(sample).select("v").collect()
+    usual = vectors.where(F.size("v") == dims)
+    rows = bounded_sample(usual, F.col("v"), usual.count(), sample).select("v").collect()
     x = np.array([r["v"] for r in rows], dtype=np.float64)
     x /= np.linalg.norm(x, axis=1, keepdims=True)
     _, _, axes_ = np.linalg.svd(x - x.mean(axis=0), full_matrices=True)
