@@ -23,6 +23,7 @@ from __future__ import annotations
 import zlib
 from collections import deque
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pandas as pd
@@ -33,92 +34,90 @@ from pyspark.sql import functions as F
 from sievewright.llm.common import byte_texts, materialise, short_batches, slices
 
 WIDTH, END_ID, BLOCK_TOKENS, LEAST_PIECE = 2048, 1, 4_000_000, 128
-_CACHE = 400_000
+_CACHE = 1_200_000
 
 
 class WordEncoder:
     """Ids of texts, by chunks between white space, kept for chunks that recur.
 
-    Right for tokenizers that drop white space and never look across it. A chunk made of letters and closing
-    punctuation is the ids of its letters, then those of its punctuation; letters not seen before are encoded together,
-    a word's last id being one whose token ends with ``end_of_word``.
+    Right for tokenizers that lower-case, drop white space and never look across it. New chunks made of letters and
+    closing punctuation are encoded together; each has one or two pieces, whose last ids are tokens that end with
+    ``end_of_word``, and no chunk can have fewer, so if the pieces add up, each chunk has its own. Texts that hold the
+    start of a special token are encoded as they are.
     """
 
-    def __init__(self, path: str, end_of_word: str = "</w>") -> None:
+    def __init__(self, path: str, end_of_word: str = "</w>", special: bytes = b"<|") -> None:
         from tokenizers import Tokenizer
 
-        self.tokenizer = Tokenizer.from_file(path)
+        self.tokenizer, self.special = Tokenizer.from_file(path), special
         vocab = self.tokenizer.get_vocab(with_added_tokens=True)
         self.kind = np.dtype("<u2") if max(vocab.values()) < 1 << 16 else np.dtype("<u4")
         self.ends = np.zeros(max(vocab.values()) + 1, dtype=bool)
         self.ends[[i for token, i in vocab.items() if token.endswith(end_of_word)]] = True
         self.chunks: dict[bytes, bytes] = {}
-        self.words: dict[bytes, bytes] = {}
-
-    def _pack(self, ids: list[int]) -> bytes:
-        return np.array(ids, dtype=self.kind).tobytes()
-
-    def _learn(self, chunks: set[bytes]) -> None:
-        parts, odd, new = {}, [], set()
-        for chunk in chunks:
-            body = chunk.rstrip(b".,;:!?")
-            if body.isalpha() or body.decode().isalpha():
-                word = body.lower()
-                parts[chunk] = word, chunk[len(body) :]
-                new.add(word)
-                new.add(chunk[len(body) :])
+
+    def _each(self, texts: list[str]) -> list[bytes]:
+        return [np.array(x.ids, dtype=self.kind).tobytes() for x in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+
+    def _learn(self, new: list[bytes]) -> None:
+        plain, pieces, odd = [], [], []
+        for chunk, text in zip(new, b"\n".join(new).decode().split("\n"), strict=True):
+            body = text.rstrip(".,;:!?")
+            if body.isalpha():
+                plain.append((chunk, text))
+                pieces.append(1 if len(body) == len(text) else 2)
             else:
-                odd.append(chunk)
-        new -= self.words.keys()
-        tails = [w for w in new if not w or not w.decode().isalpha()]
-        letters = list(new.difference(tails))
-        for w in tails:
-            self.words[w] = self._pack(self.tokenizer.encode(w.decode(), add_special_tokens=False).ids)
-        for at in range(0, len(letters), 2000):
-            some = letters[at : at + 2000]
-            ids = np.array(self.tokenizer.encode(b"\n".join(some).decode(), add_special_tokens=False).ids, dtype=self.kind)
+                odd.append((chunk, text))
+        for at in range(0, len(plain), 4000):
+            some = plain[at : at + 4000]
+            last = np.cumsum(pieces[at : at + 4000])
+            ids = np.array(self.tokenizer.encode_batch_fast(["\n".join([t for _, t in some])], add_special_tokens=False)[0].ids, dtype=self.kind)
             stops = np.flatnonzero(self.ends[ids]) + 1
-            if len(stops) == len(some):
-                start = 0
-                for w, stop in zip(some, stops.tolist(), strict=True):
-                    self.words[w] = ids[start:stop].tobytes()
+            if len(stops) == last[-1]:
+                raw, start, wide = ids.tobytes(), 0, self.kind.itemsize
+                for (chunk, _), stop in zip(some, (stops[last - 1] * wide).tolist(), strict=True):
+                    self.chunks[chunk] = raw[start:stop]
                     start = stop
             else:
-                for w in some:
-                    self.words[w] = self._pack(self.tokenizer.encode(w.decode(), add_special_tokens=False).ids)
-        for chunk, (word, tail) in parts.items():
-            self.chunks[chunk] = self.words[word] + self.words[tail]
+                odd += some
         for at in range(0, len(odd), 1000):
-            for chunk, got in zip(odd[at : at + 1000], self.tokenizer.encode_batch([c.decode() for c in odd[at : at + 1000]], add_special_tokens=False), strict=True):
-                self.chunks[chunk] = self._pack(got.ids)
+            some = odd[at : at + 1000]
+            self.chunks.update(zip([c for c, _ in some], self._each([t for _, t in some]), strict=True))
 
     def __call__(self, texts: list[bytes]) -> list[bytes]:
         if len(self.chunks) > _CACHE:
             self.chunks = {}
-        if len(self.words) > _CACHE:
-            self.words = {}
-        split = [text.split() for text in texts]
-        self._learn(set().union(*split) - self.chunks.keys())
-        return [b"".join(map(self.chunks.__getitem__, words)) for words in split]
+        split = [None if self.special in text else text.lower().split() for text in texts]
+        new = set().union(*filter(None, split)) - self.chunks.keys()
+        if new:
+            self._learn(list(new))
+        get = self.chunks.__getitem__
+        return [self._each([text.decode()])[0] if words is None else b"".join(map(get, words)) for text, words in zip(texts, split, strict=True)]
+
+
+@lru_cache(2)
+def encoder(path: str) -> WordEncoder:
+    """One encoder a Python worker, so that what it has learned serves the worker's next tasks too."""
+    return WordEncoder(path)
 
 
 def tokenize(docs: DataFrame, tokenizer_path: str, end_id: int = END_ID) -> DataFrame:
-    """doc_id, source, h (a hash of the row), n (tokens), ids (little-endian, two bytes each if the vocabulary allows)."""
+    """doc_id, source, h (a hash that spreads rows, repeated ones too), n (tokens), ids (little-endian, two bytes each if the vocabulary allows)."""
     short_batches(docs.sparkSession)
     schema = pa.schema([("doc_id", pa.int64()), ("source", pa.string()), ("h", pa.int64()), ("n", pa.int64()), ("ids", pa.binary())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = WordEncoder(tokenizer_path)
-        end = np.array([end_id], dtype=encoder.kind).tobytes()
+        encode = encoder(tokenizer_path)
+        end = np.array([end_id], dtype=encode.kind).tobytes()
         for batch in batches:
             texts = [t or b"" for t in byte_texts(batch.column(3))]
             for a, b in slices(texts):
-                ids = [x + end for x in encoder(texts[a:b])]
-                n = pa.array([len(x) // encoder.kind.itemsize for x in ids], pa.int64())
+                ids = [x + end for x in encode(texts[a:b])]
+                n = pa.array([len(x) // encode.kind.itemsize for x in ids], pa.int64())
                 part = batch.slice(a, b - a)
                 yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), part.column(2), n, pa.array(ids, pa.binary())], schema=schema)
 
-    rows = docs.select("doc_id", "source", F.xxhash64("doc_id", "text").alias("h"), "text")
+    rows = docs.select("doc_id", "source", F.xxhash64("doc_id", F.monotonically_increasing_id()).alias("h"), "text")
     return rows.mapInArrow(run, "doc_id long, source string, h long, n long, ids binary")
 
 
@@ -190,15 +189,16 @@ def pack(docs: DataFrame, tokenizer_path: str, width: int = WIDTH, end_id: int =
     share = share.select(F.col("source").alias("share_of"), "share")
     start = own.join(past, F.col("block") == F.col("past_block")).join(share, F.col("of").eqNullSafe(F.col("share_of")))
     start = start.select(F.col("block").alias("to"), "of", "share", (F.col("share") * F.col("past") - F.col("own")).alias("credit"))
-    item = "<u2" if tokens.select("n", F.octet_length("ids").alias("b")).where("b <> 2 * n").isEmpty() else "<u4"
+    item = encoder(tokenizer_path).kind.str
 
     def run(key: tuple, left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
         name = lambda s: s if isinstance(s, str) else None
-        docs = [(None if pd.isna(d) else int(d), name(s), int(n), ids) for d, s, n, ids in zip(left["doc_id"], left["source"], left["n"], left["ids"], strict=True)]
+        docs = [(int(d) if isinstance(d, str) else None, name(s), int(n), ids) for d, s, n, ids in zip(left["doc_id"], left["source"], left["n"], left["ids"], strict=True)]
         of = [name(s) for s in right["of"]]
         pieces = list(pack_block(docs, dict(zip(of, right["share"], strict=True)), dict(zip(of, right["credit"], strict=True)), width, np.dtype(item), least))
         out = pd.DataFrame(pieces, columns=["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"])
         out["sequence_id"] += int(key[0]) << 32
         return out.astype({"doc_id": "Int64"})
 
-    return rows.select("block", "doc_id", "source", "n", "ids").groupBy("block").cogroup(start.groupBy("to")).applyInPandas(run, _PIECES)
+    by_block = rows.select("block", F.col("doc_id").cast("string").alias("doc_id"), "source", "n", "ids").groupBy("block")  # ids as text: exact beside nulls
+    return by_block.cogroup(start.groupBy("to")).applyInPandas(run, _PIECES)
