@@ -118,8 +118,11 @@ def _fit_bits(x: np.ndarray, y: np.ndarray, steps: int = 250, rate: float = 4.0,
 def fit(rows: DataFrame, per_lang: int = PER_LANG, max_langs: int = MAX_LANGS, bits: int = BITS) -> EcocModel | None:
     """Fit on rows with doc_id, text and lang; which rows may be used is the caller's to filter."""
     names = rows.where("lang is not null").groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(max_langs).select("lang")
-    rank = F.row_number().over(Window.partitionBy("lang").orderBy("h", "doc_id"))
-    chosen = rows.where("lang is not null and text is not null").join(names, "lang", "left_semi").select("doc_id", "lang", "text", F.xxhash64("doc_id").alias("h")).withColumn("rank", rank).where(F.col("rank") <= per_lang)
+    first = F.row_number().over(Window.partitionBy("lang").orderBy("h", "doc_id")) <= per_lang
+    usable = rows.where("lang is not null and text is not null").join(names, "lang", "left_semi").select("doc_id", "lang", "text", F.xxhash64("doc_id").alias("h"))
+    # Ids are ranked without their texts; the chosen ones, at most per_lang x max_langs rows, then fetch the texts.
+    ids = usable.select("lang", "doc_id", "h").withColumn("first", first).where("first").select(F.col("lang").alias("l"), F.col("doc_id").alias("d")).distinct()
+    chosen = usable.join(F.broadcast(ids), (F.col("lang") == F.col("l")) & F.col("doc_id").eqNullSafe(F.col("d"))).withColumn("first", first).where("first")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
