@@ -9,9 +9,10 @@ sample of fixed size: documents are ranked by q = (u / (1 - u)) / (p / (1 - p)),
 doc_id and seed and p the source's inclusion probability, and taken in this order while the source's remaining words
 last. One more document, whose size comes nearest to the words left, may fill the remainder.
 
-Scale: texts are read once. q is mapped to one of ``BUCKETS`` buckets of the source; sums by (source, bucket) are
-pre-aggregated, one bucket a source holds the cut, and running sums run within (source, bucket), so a source with a
-third of all rows is spread over thousands of groups. Tables with a row a source are joined as Spark sees fit.
+Scale: texts are read once; the short tables in between are written, which keeps plans small. q is mapped to one of
+``BUCKETS`` buckets of the source; sums by (source, bucket) are pre-aggregated, one bucket a source holds the cut, and
+only the rows of that bucket, a few thousandths of the source, are put in order. Tables with a row a source are joined
+as Spark sees fit.
 
 Null text: size 0. Null source: a source of its own, last. Null doc_id: hashed as a fixed string, ordered last.
 Repeated rows are documents of their own. Other columns are ignored. An empty table gives an empty result.
@@ -56,7 +57,7 @@ def mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, share: float = SHAR
     """
     size = F.coalesce(F.regexp_count("text", F.lit(WORD_PATTERN)), F.lit(0)).cast("long")
     sized = materialise(docs.select("doc_id", "source", *keep, size.alias("size")).withColumn("uid", F.monotonically_increasing_id()), "sizes")
-    goal = targets(sized, weights, share, most).withColumnRenamed("source", "of")
+    goal = materialise(targets(sized, weights, share, most).withColumnRenamed("source", "of"), "targets")
     rows = sized.join(goal, F.col("source").eqNullSafe(F.col("of")), "left").drop("of")
     ratio = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(F.lit(0.0))
     rows = rows.withColumn("whole", F.floor(ratio)).withColumn("p", ratio - F.floor(ratio)).withColumn("rest", F.col("target") - F.floor(ratio) * F.col("source_size"))
@@ -66,10 +67,15 @@ def mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, share: float = SHAR
     up_to = Window.partitionBy("source").orderBy("b")
     cut = rows.where("q is not null").groupBy("source", "b", "rest").agg(F.sum("size").alias("words")).withColumn("past", F.sum("words").over(up_to)).withColumn("before", F.col("past") - F.col("words"))
     cut = cut.where("past > rest").groupBy("source").agg(F.min(F.struct("b", "before")).alias("cut")).select(F.col("source").alias("of"), "cut.*").withColumnRenamed("b", "cut_b")
+    cut = materialise(cut, "cuts")
     rows = rows.join(cut, F.col("source").eqNullSafe(F.col("of")), "left").drop("of")
-    inside = Window.partitionBy("source", "b").orderBy("q", F.col("doc_id").asc_nulls_last(), "size", "uid").rowsBetween(Window.unboundedPreceding, 0)
-    taken = F.col("q").isNotNull() & (F.col("cut_b").isNull() | (F.col("b") < F.col("cut_b")) | ((F.col("b") == F.col("cut_b")) & (F.col("before") + F.sum("size").over(inside) <= F.col("rest"))))
-    rows = rows.withColumn("taken", F.coalesce(taken, F.lit(False)))
+    # Only the bucket that holds the cut needs an order; all other rows are decided by their bucket.
+    at_cut = F.coalesce(F.col("b") == F.col("cut_b"), F.lit(False))
+    inside = Window.partitionBy("source").orderBy("q", F.col("doc_id").asc_nulls_last(), "size", "uid").rowsBetween(Window.unboundedPreceding, 0)
+    below = F.col("q").isNotNull() & (F.col("cut_b").isNull() | (F.col("b") < F.col("cut_b")))
+    decided = rows.where(~at_cut).withColumn("taken", below)
+    rows = decided.unionByName(rows.where(at_cut).withColumn("taken", F.col("before") + F.sum("size").over(inside) <= F.col("rest")))
+    rows = materialise(rows.select("uid", "doc_id", "source", "size", "source_size", "target", "whole", "rest", "q", "taken", *keep), "taken")
     left = rows.where("q is not null").groupBy("source", "rest").agg(F.coalesce(F.sum(F.when(F.col("taken"), F.col("size"))), F.lit(0)).alias("got")).select(F.col("source").alias("of"), (F.col("rest") - F.col("got")).alias("gap"))
     spare = rows.where("q is not null and not taken").join(left, F.col("source").eqNullSafe(F.col("of"))).withColumn("off", F.abs(F.col("size") - F.col("gap")))
     extra = spare.where("off < gap").groupBy("source").agg(F.min(F.struct("off", "q", F.coalesce("doc_id", F.lit((1 << 63) - 1)), "uid")).alias("best")).select(F.col("best.uid").alias("uid"), F.lit(1).alias("more"))
