@@ -174,7 +174,8 @@ def pack(docs: DataFrame, tokenizer_path: str, width: int = WIDTH, end_id: int =
     ``shares`` maps sources to target proportions; without it those of the corpus hold.
     """
     tokens = materialise(tokenize(docs, tokenizer_path, end_id), "tokens")
-    total = tokens.agg(F.sum("n")).first()[0] or 0
+    total, held = tokens.agg(F.sum("n"), F.sum(F.octet_length("ids"))).first()
+    total, item = total or 0, f"<u{(held or 0) // (total or 1) or 2}"
     blocks = max(1, round(total / block_tokens))
     rows = tokens.withColumn("block", F.pmod(F.xxhash64("h"), F.lit(blocks)))
     by = rows.groupBy("block", "source").agg(F.sum("n").alias("n"))
@@ -189,7 +190,6 @@ def pack(docs: DataFrame, tokenizer_path: str, width: int = WIDTH, end_id: int =
     share = share.select(F.col("source").alias("share_of"), "share")
     start = own.join(past, F.col("block") == F.col("past_block")).join(share, F.col("of").eqNullSafe(F.col("share_of")))
     start = start.select(F.col("block").alias("to"), "of", "share", (F.col("share") * F.col("past") - F.col("own")).alias("credit"))
-    item = encoder(tokenizer_path).kind.str
 
     def run(key: tuple, left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
         name = lambda s: s if isinstance(s, str) else None
