@@ -9,7 +9,8 @@ that the cosine cannot reach t. What is left is decided by the cosine of the ori
 Scale: equal vectors of a label are one row with its number of copies from the start (pre-aggregated), so a vector that
 makes up a third of the table is compared once. A tile's number comes from ranges of the sorted rows, so a label with a
 third of all rows is cut like any other; each pair of tiles is its own group of bounded size. A tile is shipped, as one
-packed row, to the pairs it takes part in. Tasks emit links between distinct vectors only.
+packed row, to the pairs it takes part in. A pair of tiles emits, for each vector with a link, the number of its links
+and one vector that links lead to, never the pairs themselves.
 
 The axes are fitted on a bounded sample (``SAMPLE`` vectors, the first by hash); they only order the work, the result
 doesn't depend on them. Null, zero and non-finite vectors and vectors with null components or a null label link with
@@ -78,8 +79,27 @@ def compare(a: np.ndarray, b: np.ndarray, pa_: np.ndarray, pb: np.ndarray, t: fl
     return i[exact], j[exact]
 
 
+def _roots(n: int, i: np.ndarray, j: np.ndarray) -> np.ndarray:
+    """The smallest index that each of n nodes reaches by the links (i, j)."""
+    label = np.arange(n)
+    while len(i):
+        low = np.minimum(label[i], label[j])
+        new = label.copy()
+        np.minimum.at(new, i, low)
+        np.minimum.at(new, j, low)
+        new = new[new]
+        if (new == label).all():
+            break
+        label = new
+    return label
+
+
 def links(vectors: DataFrame, t: float = THRESHOLD, tile: int = TILE) -> DataFrame:
-    """(a, b): all links between distinct vectors; vectors has key (long), label, v (array of double)."""
+    """(a, b, n): for pairs of tiles, how many vectors link to a, copies counted, and one vector b that its links lead to.
+
+    Sums of n by a are numbers of links, and the pairs (a, b) have the components of all links. vectors has key (long),
+    label, v (array of double) and copies (long).
+    """
     spark = vectors.sparkSession
     sizes = [r[0] for r in vectors.select(F.size("v")).distinct().collect()]
     turn = spark.sparkContext.broadcast({d: axes(vectors, d) for d in sizes})  # bounded: dims x dims
@@ -89,10 +109,10 @@ def links(vectors: DataFrame, t: float = THRESHOLD, tile: int = TILE) -> DataFra
             lists = batch.column(1).to_pylist()
             x = [float((_unit(np.array([v])) @ turn.value[len(v)][:, :1])[0, 0]) for v in lists]
             raw = [np.asarray(v, dtype="<f8").tobytes() for v in lists]
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), pa.array([len(v) for v in lists], pa.int32()), pa.array(x), pa.array(raw, pa.binary())], names=["key", "label", "d", "x", "v"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), pa.array([len(v) for v in lists], pa.int32()), pa.array(x), pa.array(raw, pa.binary()), batch.column(3)], names=["key", "label", "d", "x", "v", "copies"])
 
     kind = vectors.schema["label"].dataType.simpleString()
-    rows = materialise(vectors.select("key", "v", "label").mapInArrow(lead, f"key long, label {kind}, d int, x double, v binary"), "leading")
+    rows = materialise(vectors.select("key", "v", "label", "copies").mapInArrow(lead, f"key long, label {kind}, d int, x double, v binary, copies long"), "leading")
     # Tiles: the rank within a label is the rank within a slice of it and the rows in the slices before.
     slot = F.floor((F.col("x") + 1) * 512)
     sliced = rows.withColumn("slot", slot)
@@ -100,7 +120,7 @@ def links(vectors: DataFrame, t: float = THRESHOLD, tile: int = TILE) -> DataFra
     before = counts.withColumn("before", F.sum("n").over(Window.partitionBy("label", "d").orderBy("slot")) - F.col("n")).drop("n")
     rank = F.col("before") + F.row_number().over(Window.partitionBy("label", "d", "slot").orderBy("x", "key")) - 1
     tiled = sliced.join(before, ["label", "d", "slot"]).withColumn("tile", F.floor(rank / tile))
-    packed = tiled.groupBy("label", "d", "tile").agg(F.min("x").alias("lo"), F.max("x").alias("hi"), F.collect_list(F.struct("key", "v")).alias("rows"))
+    packed = tiled.groupBy("label", "d", "tile").agg(F.min("x").alias("lo"), F.max("x").alias("hi"), F.collect_list(F.struct("key", "copies", "v")).alias("rows"))
     packed = materialise(packed, "tiles")
     # Pairs of tiles: each tile is listed in the cells, as wide as the reach, that it touches; the right one also in the next cell.
     reach = float(np.sqrt(max(0.0, 2 - 2 * t))) + 1e-9
@@ -116,17 +136,24 @@ def links(vectors: DataFrame, t: float = THRESHOLD, tile: int = TILE) -> DataFra
         for batch in batches:
             for at in range(batch.num_rows):
                 d, same = batch.column(0)[at].as_py(), batch.column(1)[at].as_py()
-                keys, units = [], []
+                keys, copies, units = [], [], []
                 for c in (2, 3):
                     inner = batch.column(c)[at].values
                     keys.append(inner.field(0).to_numpy(zero_copy_only=False))
-                    units.append(_unit(np.frombuffer(b"".join(inner.field(1).to_pylist()), dtype="<f8").reshape(-1, d)))
+                    copies.append(inner.field(1).to_numpy(zero_copy_only=False))
+                    units.append(_unit(np.frombuffer(b"".join(inner.field(2).to_pylist()), dtype="<f8").reshape(-1, d)))
                 a, b = units
                 r = turn.value[d]
                 i, j = compare(a, b, a @ r, b @ r, t, same)
-                yield pa.RecordBatch.from_arrays([pa.array(keys[0][i]), pa.array(keys[1][j])], names=["a", "b"])
+                if not same:
+                    j = j + len(a)
+                key, weight = (keys[0], copies[0]) if same else (np.concatenate(keys), np.concatenate(copies))
+                n = np.bincount(i, weight[j], len(key)) + np.bincount(j, weight[i], len(key))
+                root = _roots(len(key), i, j)
+                linked = n > 0
+                yield pa.RecordBatch.from_arrays([pa.array(key[linked]), pa.array(key[root[linked]]), pa.array(n[linked].astype(np.int64))], names=["a", "b", "n"])
 
-    return both.select("d", (F.col("tile") == F.col("tile2")).alias("same"), "one", "two").mapInArrow(run, "a long, b long")
+    return both.select("d", (F.col("tile") == F.col("tile2")).alias("same"), "one", "two").mapInArrow(run, "a long, b long, n long")
 
 
 def near_duplicates(embeddings: DataFrame, t: float = THRESHOLD) -> DataFrame:
@@ -137,9 +164,7 @@ def near_duplicates(embeddings: DataFrame, t: float = THRESHOLD) -> DataFrame:
     if groups.isEmpty():
         return rows.select("vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id"), F.lit(True).alias("kept"))
     pairs = materialise(links(groups, t), "links")
-    copies = groups.select(F.col("key").alias("b"), "copies")
-    both = pairs.union(pairs.select(F.col("b").alias("a"), F.col("a").alias("b")))
-    others = both.join(copies, "b").groupBy("a").agg(F.sum("copies").alias("others"))
+    others = pairs.groupBy("a").agg(F.sum("n").alias("others"))
     label = connected_components(pairs)
     named = groups.join(label, F.col("key") == F.col("node"), "left").withColumn("component", F.coalesce("component", "key"))
     least = named.groupBy("component").agg(F.min("least").alias("component_id"))
