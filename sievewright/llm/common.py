@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import gc
+import time
 import uuid
 from collections.abc import Iterator
 
@@ -43,6 +45,18 @@ def materialise(df: DataFrame, label: str, codec: str = "zstd") -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def release(spark: SparkSession) -> None:
+    """Let Spark remove the shuffle files of jobs that are done with.
+
+    It does so when the driver's handles to them are collected, and a driver with room in its heap may not collect for
+    half an hour. Between two large jobs of one operator this halves the disk that they hold.
+    """
+    for _ in range(2):  # what the first round frees holds on to what the second one does
+        gc.collect()
+        spark._jvm.System.gc()
+        time.sleep(1)
+
+
 def short_batches(spark: SparkSession) -> None:
     """Bound the memory of Python workers: at most BATCH_ROWS rows an Arrow batch, unless already set lower."""
     key = "spark.sql.execution.arrow.maxRecordsPerBatch"

@@ -7,20 +7,18 @@ document with a smaller doc_id. The work is exact and goes in four steps:
    anchors. Each document emits its distinct anchors (about one for five words); anchors of one document only are
    dropped, with all their windows.
 2. Segments. Documents with recurring anchors emit, for each run of windows with the same recurring anchor, the words
-   of the run. Equal segments of an anchor become one row with the smallest and largest doc_id.
-3. Automata. A shard of anchors confirms the windows that recur among its segments, compiles them into an Aho-Corasick
-   automaton over word numbers (pyahocorasick, integer sequences; words are numbered exactly, so hashes decide
-   nothing), and streams all its segments through it. Every occurrence comes with the smallest doc_id in which its
-   window starts.
-4. Removal. Occurrences go back to the documents that emitted the segment; those with a larger doc_id drop the covered
-   words.
-
-Scale: equal segments are pre-aggregated before the shuffle, so a passage in a third of all documents or a group of
-copies is one row a task and segment; the join that brings occurrences back is one that Spark can split when skewed. Shards
-hold about ``SHARD`` distinct segments. An anchor of more than ``CROWD`` documents could by itself have too many distinct
-segments for one task (a common phrase in ever new surroundings); each of its windows is a segment of its own, sharded
-by the window, of which equal ones are one row again. Texts are shuffled twice: to meet their recurring anchors, and to
-drop words.
+   of the run, keyed by a shard of the anchor.
+3. Automata. A shard confirms the windows that recur among its segments, compiles them into an Aho-Corasick automaton
+   over word numbers (pyahocorasick, integer sequences; words are numbered exactly, so hashes decide nothing), and
+   streams all its segments through it. Every occurrence comes with the smallest doc_id in which its window starts.
+4. Removal. Runs of removed windows go back to their documents, which drop the covered words.
+
+Scale: shards hold about ``SHARD`` segments, of which equal ones are numbered and streamed once, and whole anchors, so
+an anchor that occurs in many documents enlarges its shard. ``CROWD`` bounds that: an anchor of more documents (a
+boilerplate passage, a large group of copies) takes another way: each of its windows is a segment of its own, sharded
+by the window; the smallest doc_id of a window comes from a pre-aggregated minimum, which leaves one row for each
+recurring window, and the documents' windows are dealt over as many salts as their number asks for, each with its own
+copy of the shard's automaton. Thus no task holds or reads a hot passage whole. Texts are shuffled twice: to meet their recurring anchors, and to drop words.
 
 Null text: no words. Fewer than ``WINDOW`` words: nothing is removed. A document with a null doc_id takes no part: its
 words stay and remove nothing. Rows that repeat a doc_id are no duplicates of each other (no smaller doc_id), and are
@@ -38,7 +36,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from sievewright.llm.common import byte_texts, materialise, short_batches
+from sievewright.llm.common import byte_texts, materialise, release, short_batches
 
 WINDOW, GRAM, SHARD, CROWD = 13, 5, 20_000, 50_000
 _MULTIPLIERS = (np.random.default_rng(11).integers(0, 1 << 62, WINDOW, dtype=np.uint64) << np.uint64(1)) | np.uint64(1)
@@ -88,13 +86,13 @@ def _emit_anchors(window: int, gram: int):
     return run
 
 
-_SEGMENT = pa.schema([("key", pa.int64()), ("doc_id", pa.int64()), ("th", pa.int64()), ("at", pa.int32()), ("words", pa.binary())])
+_SEGMENT = pa.schema([("crowd", pa.bool_()), ("key", pa.int64()), ("doc_id", pa.int64()), ("th", pa.int64()), ("at", pa.int32()), ("words", pa.binary())])
 
 
 def _emit_segments(window: int, gram: int, crowd: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            out: list[list] = [[], [], [], [], []]
+            out: list[list] = [[], [], [], [], [], []]
             held = 0
             for doc, text, shared, counts in zip(batch.column(0).to_pylist(), byte_texts(batch.column(1)), batch.column(2), batch.column(3), strict=True):
                 words, th = (text or b"").split(), _text_hash(text or b"")
@@ -113,15 +111,15 @@ def _emit_segments(window: int, gram: int, crowd: int):
                     if many[at[lo]] > crowd:
                         for i in range(lo, hi):
                             seg = b" ".join(words[i : i + window])
-                            _put(out, xxhash.xxh3_64_intdigest(seg) >> 1, doc, th, i, seg)
+                            _put(out, True, xxhash.xxh3_64_intdigest(seg) >> 1, doc, th, i, seg)
                             held += len(seg)
                     else:
                         seg = b" ".join(words[lo : hi + window - 1])
-                        _put(out, int(a[lo]), doc, th, lo, seg)
+                        _put(out, False, int(a[lo]), doc, th, lo, seg)
                         held += len(seg)
                     if held > 1 << 23:
                         yield _batch(out)
-                        out, held = [[], [], [], [], []], 0
+                        out, held = [[], [], [], [], [], []], 0
             if out[0]:
                 yield _batch(out)
 
@@ -164,77 +162,128 @@ class PhraseAutomaton:
         return [(end - back, first[i]) for end, i in self.automaton.iter(sequence)] if first else []
 
 
-_LOCATED = "key long, sid long, hits array<struct<at:int,first:long>>"
+def _runs(starts: list[int]) -> Iterator[tuple[int, int]]:
+    """Ascending starts as runs [a, b)."""
+    a = b = None
+    for s in starts:
+        if s != b:
+            if a is not None:
+                yield a, b
+            a = s
+        b = s + 1
+    if a is not None:
+        yield a, b
+
+
+_RUN = "doc_id long, th long, a int, b int"
+
+
+def _removed(rows: list[tuple[int, int, int]], hits: list[tuple[int, int]], out: list[tuple]) -> None:
+    for doc, th, at in rows:
+        out += [(doc, th, at + a, at + b) for a, b in _runs([s for s, first in hits if first < doc])]
+
+
+def _frame(out: list[tuple]) -> pd.DataFrame:
+    return pd.DataFrame(out, columns=["doc_id", "th", "a", "b"]).astype({"doc_id": "int64", "th": "int64", "a": "int32", "b": "int32"})
 
 
 def _shard(window: int):
-    """Confirm, compile and stream one shard: rows are distinct segments with the extremes of their doc_ids."""
+    """Confirm, compile and stream one shard."""
 
     def run(rows: pd.DataFrame) -> pd.DataFrame:
         machine = PhraseAutomaton(window)
-        numbered = [machine.number(words.split(b" ")) for words in rows["words"]]
+        where: dict[bytes, list[tuple[int, int, int]]] = {}
+        for doc, th, at, words in zip(rows["doc_id"].tolist(), rows["th"].tolist(), rows["at"].tolist(), rows["words"], strict=True):
+            where.setdefault(words, []).append((doc, th, at))
+        numbered = {words: machine.number(words.split(b" ")) for words in where}
         lowest: dict[tuple[int, ...], int] = {}
         again: set[tuple[int, ...]] = set()
-        for sequence, low, high in zip(numbered, rows["lo"].tolist(), rows["hi"].tolist(), strict=True):
+        for words, sequence in numbered.items():
+            docs = [r[0] for r in where[words]]
+            low, several = min(docs), max(docs) > min(docs)
             for i in range(len(sequence) - window + 1):
                 phrase = sequence[i : i + window]
                 known = lowest.setdefault(phrase, low)
-                if known != low or low < high:
+                if several or known != low:
                     again.add(phrase)
                     if low < known:
                         lowest[phrase] = low
         for phrase in again:
             machine.add(phrase, lowest[phrase])
         machine.compile()
-        found = [machine.occurrences(sequence) for sequence in numbered]
-        keep = [i for i, hits in enumerate(found) if hits]
-        hits = [[{"at": at, "first": first} for at, first in found[i]] for i in keep]
-        return pd.DataFrame({"key": rows["key"].to_numpy()[keep], "sid": rows["sid"].to_numpy()[keep], "hits": pd.Series(hits, dtype=object)})
+        out: list[tuple] = []
+        for words, sequence in numbered.items():
+            if hits := machine.occurrences(sequence):
+                _removed(where[words], hits, out)
+        return _frame(out)
+
+    return run
+
+
+def _salted(window: int):
+    """Stream a part of a crowded shard through the automaton of the shard's confirmed windows."""
+
+    def run(rows: pd.DataFrame, phrases: pd.DataFrame) -> pd.DataFrame:
+        machine = PhraseAutomaton(window)
+        for words, first in zip(phrases["words"], phrases["first"].tolist(), strict=True):
+            machine.add(machine.number(words.split(b" ")), first)
+        machine.compile()
+        out: list[tuple] = []
+        for doc, th, at, words in zip(rows["doc_id"].tolist(), rows["th"].tolist(), rows["at"].tolist(), rows["words"], strict=True):
+            _removed([(doc, th, at)], machine.occurrences(machine.number(words.split(b" "))), out)
+        return _frame(out)
 
     return run
 
 
-def removed_windows(docs: DataFrame, window: int = WINDOW, gram: int = GRAM, shard: int = SHARD, crowd: int = CROWD) -> DataFrame:
-    """(doc_id, th, starts): windows of a document (th: hash of its text) that start in a smaller doc_id too."""
+def removed_runs(docs: DataFrame, window: int = WINDOW, gram: int = GRAM, shard: int = SHARD, crowd: int = CROWD) -> DataFrame:
+    """(doc_id, th, a, b): the windows a <= start < b of a document (th: hash of its text) start in a smaller doc_id too."""
     texts = docs.select("doc_id", "text")
     found = texts.mapInArrow(_emit_anchors(window, gram), "anchor long, doc_id long")
     of = Window.partitionBy("anchor")
     shared = found.withColumn("lo", F.min("doc_id").over(of)).withColumn("hi", F.max("doc_id").over(of)).withColumn("n", F.count("*").over(of)).where("lo < hi")
-    by_doc = shared.groupBy("doc_id").agg(F.collect_list(F.struct("anchor", "n")).alias("s")).select("doc_id", F.col("s.anchor").alias("anchors"), F.col("s.n").alias("counts"))
+    by_doc = shared.groupBy("doc_id").agg(F.collect_list(F.struct("anchor", F.col("n").alias("n"))).alias("s")).select("doc_id", F.col("s.anchor").alias("anchors"), F.col("s.n").alias("counts"))
     met = texts.join(by_doc, "doc_id").select("doc_id", "text", "anchors", "counts")
-    segments = materialise(met.mapInArrow(_emit_segments(window, gram, crowd), "key long, doc_id long, th long, at int, words binary"), "segments")
-    shards = max(1, -(-segments.count() // shard))
-    distinct = segments.groupBy("key", "words").agg(F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi"))
-    sharded = distinct.select(F.pmod(F.xxhash64("key"), F.lit(shards)).alias("shard"), "key", F.xxhash64("words").alias("sid"), "words", "lo", "hi")
-    located = sharded.groupBy("shard").applyInPandas(_shard(window), _LOCATED)
-    occurrences = segments.select("key", F.xxhash64("words").alias("sid"), "doc_id", "th", "at").join(located, ["key", "sid"])
-    starts = F.transform(F.filter("hits", lambda h: h["first"] < F.col("doc_id")), lambda h: F.col("at") + h["at"])
-    return occurrences.select("doc_id", "th", starts.alias("starts")).where(F.size("starts") > 0)
+    segments = materialise(met.mapInArrow(_emit_segments(window, gram, crowd), "crowd boolean, key long, doc_id long, th long, at int, words binary"), "segments")
+    release(docs.sparkSession)
+    sizes = {r["crowd"]: r["count"] for r in segments.groupBy("crowd").count().collect()}
+    plain, hot = segments.where("not crowd"), segments.where("crowd")
+    shards = max(1, -(-sizes.get(False, 0) // shard))
+    sharded = plain.select(F.pmod(F.xxhash64("key"), F.lit(shards)).alias("shard"), "doc_id", "th", "at", "words")
+    runs = sharded.groupBy("shard").applyInPandas(_shard(window), _RUN)
+    if sizes.get(True):
+        first = hot.groupBy("key", "words").agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last"), F.count("*").alias("n")).where("first < last")
+        groups = max(1, -(-sizes[True] // shard))
+        first = materialise(first.withColumn("shard", F.pmod(F.xxhash64("key"), F.lit(groups))), "phrases")
+        salts = first.groupBy("shard").agg(F.ceil(F.sum("n") / F.lit(shard)).cast("int").alias("salts"))
+        phrases = first.join(salts, "shard").withColumn("salt", F.explode(F.sequence(F.lit(0), F.col("salts") - 1)))
+        parts = hot.withColumn("shard", F.pmod(F.xxhash64("key"), F.lit(groups))).join(salts, "shard").withColumn("salt", F.pmod(F.xxhash64("doc_id", "at"), F.col("salts")).cast("int"))
+        streamed = parts.select("shard", "salt", "doc_id", "th", "at", "words").groupBy("shard", "salt").cogroup(phrases.select("shard", "salt", "words", "first").groupBy("shard", "salt")).applyInPandas(_salted(window), _RUN)
+        runs = runs.unionByName(streamed)
+    return runs
 
 
 def drop_repeats(docs: DataFrame, window: int = WINDOW, **limits: int) -> DataFrame:
     """One row a document: doc_id, n_words, n_removed, kept (the words that stay, joined by single spaces)."""
     short_batches(docs.sparkSession)
-    removed = removed_windows(docs, window, **limits)
-    by_doc = removed.groupBy("doc_id").agg(F.collect_list("th").alias("th"), F.collect_list("starts").alias("starts"))
-    joined = docs.select("doc_id", "text").join(by_doc, "doc_id", "left").select("doc_id", "text", "th", "starts")
+    runs = removed_runs(docs, window, **limits)
+    by_doc = runs.groupBy("doc_id").agg(F.collect_list(F.struct("th", "a", "b")).alias("r")).select("doc_id", F.col("r.th").alias("th"), F.col("r.a").alias("a"), F.col("r.b").alias("b"))
+    joined = docs.select("doc_id", "text").join(by_doc, "doc_id", "left").select("doc_id", "text", "th", "a", "b")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             n_words, n_removed, kept = [], [], []
-            for text, th, starts in zip(byte_texts(batch.column(1)), batch.column(2), batch.column(3), strict=True):
+            for text, th, a, b in zip(byte_texts(batch.column(1)), batch.column(2), batch.column(3), batch.column(4), strict=True):
                 words = (text or b"").split()
                 n_words.append(len(words))
                 if not th.is_valid:
                     n_removed.append(0)
                     kept.append(b" ".join(words))
                     continue
-                own, lists = th.values.to_numpy() == _text_hash(text or b""), starts.values
-                of = np.repeat(own, np.diff(lists.offsets.to_numpy()))
-                at = lists.flatten().to_numpy()[of]
+                own = th.values.to_numpy() == _text_hash(text or b"")
                 change = np.zeros(len(words) + 1, dtype=np.int64)
-                np.add.at(change, at, 1)
-                np.add.at(change, at + window, -1)
+                np.add.at(change, a.values.to_numpy()[own], 1)
+                np.add.at(change, b.values.to_numpy()[own] + window - 1, -1)
                 stays = np.cumsum(change)[:-1] == 0
                 kept.append(b" ".join([words[i] for i in np.flatnonzero(stays).tolist()]))
                 n_removed.append(int(len(words) - stays.sum()))
