@@ -5,8 +5,9 @@ stage's docs. All but the last return the columns of ``documents``; row order an
 matter. An empty table, or one that a stage empties, gives an empty result.
 
 1. language_id: documents without letters, and those whose language stays ambiguous, go. lang is not changed.
-2. near_duplicates: of each SimHash component the document with the smallest doc_id stays. Documents with a null doc_id
-   stay, as nothing tells which of them is first; rows that repeat a doc_id leave one row for each of their texts.
+2. near_duplicates: texts whose sets of 5-word shingles have a Jaccard similarity of 0.8 or more are linked; of each
+   component the document with the smallest doc_id stays. Documents with a null doc_id stay, as nothing tells which of
+   them is first; rows that repeat a doc_id leave one row for each of their texts.
 3. secret_scan: secrets are replaced by a mark, n_chars follows the text. No document goes.
 4. mixing: documents are taken as often as the mix of sources says: not at all, once or twice. Copies are rows that
    repeat the document.
@@ -18,7 +19,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from sievewright.llm import langid, mixing, packing, secret_scan, simhash
+from sievewright.llm import jaccard, langid, mixing, packing, secret_scan
 from sievewright.llm.common import materialise
 from sievewright.llm.queries import tokenizer_path
 from sievewright.session import ship
@@ -36,7 +37,7 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    keep = simhash.near_duplicates(docs).where("doc_id = component_id").groupBy(F.col("doc_id").alias("keep")).agg(F.count("*").alias("rows"))
+    keep = jaccard.near_duplicates(docs).where("doc_id = component_id").groupBy(F.col("doc_id").alias("keep")).agg(F.count("*").alias("rows"))
     kept = docs.select(*COLUMNS).join(keep, F.col("doc_id") == F.col("keep"))
     once = kept.where("rows = 1").select(*COLUMNS)
     repeated = kept.where("rows > 1").groupBy("doc_id", "text").agg(F.min(F.struct("lang", "source", "n_chars")).alias("r")).select("doc_id", "text", "r.*")
