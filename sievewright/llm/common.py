@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import gc
-import time
 import uuid
 from collections.abc import Iterator
 
@@ -17,6 +15,9 @@ WORD_PATTERN = r"[^\x20\x09-\x0D]+"
 #: Rows of an Arrow batch; texts can be long, so batches are kept shorter than Spark's default.
 BATCH_ROWS = 2000
 
+#: A key with more than one row in so many is frequent.
+FREQUENT = 4096
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One of the input tables, read by Spark only (the path may name any store that Spark reads)."""
@@ -45,18 +46,6 @@ def materialise(df: DataFrame, label: str, codec: str = "zstd") -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def release(spark: SparkSession) -> None:
-    """Let Spark remove the shuffle files of jobs that are done with.
-
-    It does so when the driver's handles to them are collected, and a driver with room in its heap may not collect for
-    half an hour. Between two large jobs of one operator this halves the disk that they hold.
-    """
-    for _ in range(2):  # what the first round frees holds on to what the second one does
-        gc.collect()
-        spark._jvm.System.gc()
-        time.sleep(1)
-
-
 def short_batches(spark: SparkSession) -> None:
     """Bound the memory of Python workers: at most BATCH_ROWS rows an Arrow batch, unless already set lower."""
     key = "spark.sql.execution.arrow.maxRecordsPerBatch"
@@ -90,3 +79,19 @@ def bounded_sample(rows: DataFrame, key: Column, n: int, size: int) -> DataFrame
     h = F.pmod(F.xxhash64(key, F.lit(3)), F.lit(1 << 40))
     share = min(1.0, (2 * size + 100) / max(n, 1))
     return rows.withColumn("_h", h).where(F.col("_h") < F.lit(int(share * (1 << 40)))).orderBy("_h", key).limit(size).drop("_h")
+
+
+def joined_by_count(rows: DataFrame, table: DataFrame, key: str, n: str, total: int, how: str = "inner") -> DataFrame:
+    """``rows`` joined with ``table``, which has one row a key and, in column ``n``, how many of ``total`` rows have it.
+
+    Keys with more than a ``FREQUENT``-th of the rows, fewer than ``FREQUENT`` whatever the data, are broadcast, so their
+    rows stay where they are; only the others are shuffled. ``n`` is dropped. Keys that are null match nothing.
+    """
+    often = F.col(n) * FREQUENT > F.lit(total)
+    few, many = F.broadcast(table.where(often).drop(n)), table.where(~often).drop(n)
+    if how == "inner":
+        return rows.join(few, key).unionByName(rows.join(F.broadcast(table.where(often).select(key)), key, "left_anti").where(F.col(key).isNotNull()).join(many, key))
+    rest = rows.join(F.broadcast(table.where(often).select(key)), key, "left_anti")
+    missing = [F.lit(None).cast(f.dataType).alias(f.name) for f in many.schema if f.name != key]
+    out = rows.join(few, key).unionByName(rest.where(F.col(key).isNotNull()).join(many, key, "left"))
+    return out.unionByName(rest.where(F.col(key).isNull()).select(*out.columns[: len(rows.columns)], *missing))

@@ -1,28 +1,34 @@
 """Substring deduplication with repeated-phrase automata.
 
 A window is ``WINDOW`` consecutive words of one document. A word is removed if a window over it also starts in a
-document with a smaller doc_id. The work is exact and goes in four steps:
-
-1. Anchors. The anchor of a window is the smallest hash among its ``GRAM``-word grams, so equal windows have equal
-   anchors. Each document emits its distinct anchors (about one for five words); anchors of one document only are
-   dropped, with all their windows.
-2. Segments. Documents with recurring anchors emit, for each run of windows with the same recurring anchor, the words
-   of the run, keyed by a shard of the anchor.
-3. Automata. A shard confirms the windows that recur among its segments, compiles them into an Aho-Corasick automaton
-   over word numbers (pyahocorasick, integer sequences; words are numbered exactly, so hashes decide nothing), and
-   streams all its segments through it. Every occurrence comes with the smallest doc_id in which its window starts.
-4. Removal. Runs of removed windows go back to their documents, which drop the covered words.
-
-Scale: shards hold about ``SHARD`` segments, of which equal ones are numbered and streamed once, and whole anchors, so
-an anchor that occurs in many documents enlarges its shard. ``CROWD`` bounds that: an anchor of more documents (a
-boilerplate passage, a large group of copies) takes another way: each of its windows is a segment of its own, sharded
-by the window; the smallest doc_id of a window comes from a pre-aggregated minimum, which leaves one row for each
-recurring window, and the documents' windows are dealt over as many salts as their number asks for, each with its own
-copy of the shard's automaton. Thus no task holds or reads a hot passage whole. Texts are shuffled twice: to meet their recurring anchors, and to drop words.
-
-Null text: no words. Fewer than ``WINDOW`` words: nothing is removed. A document with a null doc_id takes no part: its
-words stay and remove nothing. Rows that repeat a doc_id are no duplicates of each other (no smaller doc_id), and are
-told apart by a hash of their text. Extra columns are ignored. An empty table gives an empty result.
+document with a smaller doc_id. The work goes in five steps:
+
+1. Copies. Of documents with equal texts (equal SHA-256) only the first goes on; a later copy loses every word that a
+   window covers, which needs no search.
+2. Anchors. The anchor of a window is the smallest hash among its ``GRAM``-word grams, so equal windows have equal
+   anchors. Each document emits its distinct anchors (about one for five words); anchors of one text only are dropped.
+3. Confirming. Documents with recurring anchors emit, for each run of windows with the same recurring anchor, the words
+   of the run (a segment). Window hashes of all segments are counted in the JVM, pre-aggregated, with the smallest
+   doc_id that each starts in; those of several documents are confirmed.
+4. Automata. Confirmed windows are dealt to shards by anchor and compiled, as words, into one Aho-Corasick automaton a
+   shard (pyahocorasick, integer sequences; words are numbered exactly). All segments of the shard stream through it:
+   the automaton, which compares words, locates every occurrence and gives the smallest doc_id of its window.
+5. Removal. Runs of located windows go back to their documents, which drop the covered words.
+
+Scale: shards hold about ``SHARD`` segments. Anchors that are frequent in a sample of the texts (a boilerplate line, a
+large group of near copies; at most ``HOT`` of them by arithmetic) are dealt over as many shards as their segments fill,
+each with a copy of the anchor's confirmed windows; they are counted by pre-aggregation and joined as a broadcast table.
+The sample only says which anchors take that way; the result is the same whatever it holds. No task holds a hot passage
+whole. Texts are shuffled twice, compressed: to meet their recurring anchors, and to drop words.
+
+Hashes of 64 bits name windows and texts while they are counted. Two different windows of the corpus with one hash, which
+happens with a chance of 2^-64 a pair, would count as one; what is located is compared by words.
+
+Null text: no words. Fewer than ``WINDOW`` words: nothing is removed. A very long text is processed whole; its segments
+hold at most ``LONGEST`` windows each. A document with a null doc_id takes no part: its words stay and remove nothing.
+Rows that repeat a doc_id are no duplicates of each other (no smaller doc_id), and are told apart by a hash of their text.
+Ties: an occurrence in the smallest doc_id stays wherever in that document it stands. Extra columns are ignored. An
+empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -33,27 +39,43 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, Window
+import zstandard
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from sievewright.llm.common import byte_texts, materialise, release, short_batches
+from sievewright.llm.common import WORD_PATTERN, byte_texts, joined_by_count, materialise, short_batches
 
-WINDOW, GRAM, SHARD, CROWD = 13, 5, 20_000, 50_000
-_MULTIPLIERS = (np.random.default_rng(11).integers(0, 1 << 62, WINDOW, dtype=np.uint64) << np.uint64(1)) | np.uint64(1)
+WINDOW, GRAM, SHARD = 13, 5, 20_000
+#: Most windows of a segment; most anchors that count as hot; one text in so many is looked at to find them.
+LONGEST, HOT, SAMPLE = 4096, 20_000, 64
+_MULTIPLIERS = (np.random.default_rng(11).integers(0, 1 << 62, 64, dtype=np.uint64) << np.uint64(1)) | np.uint64(1)
+
+
+def _mixed(g: np.ndarray) -> np.ndarray:
+    g ^= g >> np.uint64(29)
+    g *= np.uint64(0x9E3779B97F4A7C15)
+    g ^= g >> np.uint64(32)
+    return g
+
+
+def _grams(h: np.ndarray, gram: int) -> np.ndarray:
+    """A hash of each ``gram`` neighbouring word hashes."""
+    n = max(0, len(h) - gram + 1)
+    g = np.zeros(n, dtype=np.uint64)
+    for j in range(gram):
+        g += h[j : j + n] * _MULTIPLIERS[j]
+    return _mixed(g)
+
+
+def word_hashes(words: list[bytes]) -> np.ndarray:
+    return np.fromiter(map(xxhash.xxh3_64_intdigest, words), dtype=np.uint64, count=len(words))
 
 
 def anchors(words: list[bytes], window: int = WINDOW, gram: int = GRAM) -> np.ndarray:
     """The anchor of each window (signed 64 bits)."""
     if len(words) < window:
         return np.zeros(0, dtype=np.int64)
-    h = np.fromiter(map(xxhash.xxh3_64_intdigest, words), dtype=np.uint64, count=len(words))
-    n = len(h) - gram + 1
-    g = np.zeros(n, dtype=np.uint64)
-    for j in range(gram):
-        g += h[j : j + n] * _MULTIPLIERS[j]
-    g ^= g >> np.uint64(29)
-    g *= np.uint64(0x9E3779B97F4A7C15)
-    g ^= g >> np.uint64(32)
+    g = _grams(word_hashes(words), gram)
     width, have = window - gram + 1, 1
     while have < width:  # smallest of `have` neighbours, doubled while it fits
         step = min(have, width - have)
@@ -62,225 +84,228 @@ def anchors(words: list[bytes], window: int = WINDOW, gram: int = GRAM) -> np.nd
     return g.view(np.int64)
 
 
-def _text_hash(text: bytes) -> int:
-    return int(np.array([xxhash.xxh3_64_intdigest(text)], dtype=np.uint64).view(np.int64)[0])
+def _edges(a: np.ndarray) -> np.ndarray:
+    """Where runs of equal values begin."""
+    return np.flatnonzero(np.append(True, a[1:] != a[:-1])) if len(a) else np.zeros(0, dtype=np.int64)
 
 
 def _emit_anchors(window: int, gram: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            docs, found, held = [], [], 0
-            for doc, text in zip(batch.column(0).to_pylist(), byte_texts(batch.column(1)), strict=True):
+            hashes, found, held = [], [], 0
+            for th, text in zip(batch.column(0).to_pylist(), byte_texts(batch.column(1)), strict=True):
                 a = anchors((text or b"").split(), window, gram)
-                if doc is not None and len(a):
-                    a = np.unique(a[np.flatnonzero(np.append(True, a[1:] != a[:-1]))])
-                    docs.append(np.full(len(a), doc, dtype=np.int64))
+                if len(a):
+                    a = np.unique(a[_edges(a)])
+                    hashes.append(np.full(len(a), th, dtype=np.int64))
                     found.append(a)
                     held += len(a)
                 if held > 100_000:
-                    yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(found)), pa.array(np.concatenate(docs))], names=["anchor", "doc_id"])
-                    docs, found, held = [], [], 0
+                    yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(found)), pa.array(np.concatenate(hashes))], names=["anchor", "th"])
+                    hashes, found, held = [], [], 0
             if held:
-                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(found)), pa.array(np.concatenate(docs))], names=["anchor", "doc_id"])
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(found)), pa.array(np.concatenate(hashes))], names=["anchor", "th"])
 
     return run
 
 
-_SEGMENT = pa.schema([("crowd", pa.bool_()), ("key", pa.int64()), ("doc_id", pa.int64()), ("th", pa.int64()), ("at", pa.int32()), ("words", pa.binary())])
+_SEGMENT = pa.schema([("anchor", pa.int64()), ("doc_id", pa.int64()), ("th", pa.int64()), ("at", pa.int32()), ("words", pa.binary())])
 
 
-def _emit_segments(window: int, gram: int, crowd: int):
+def _emit_segments(window: int, gram: int, longest: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        unpack = zstandard.ZstdDecompressor().decompress
         for batch in batches:
-            out: list[list] = [[], [], [], [], [], []]
+            out: list[list] = [[], [], [], [], []]
             held = 0
-            for doc, text, shared, counts in zip(batch.column(0).to_pylist(), byte_texts(batch.column(1)), batch.column(2), batch.column(3), strict=True):
-                words, th = (text or b"").split(), _text_hash(text or b"")
+            for doc, th, packed, shared in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2).to_pylist(), batch.column(3), strict=True):
+                words = unpack(packed).split()
                 a = anchors(words, window, gram)
-                if not len(a):
-                    continue
-                ours = shared.values.to_numpy()
-                order = np.argsort(ours)
-                ours, many = ours[order], counts.values.to_numpy()[order]
-                at = np.minimum(np.searchsorted(ours, a), len(ours) - 1)
-                hit = ours[at] == a
-                edge = np.flatnonzero(np.append(True, a[1:] != a[:-1]))
-                for lo, hi in zip(edge.tolist(), [*edge[1:].tolist(), len(a)], strict=True):
-                    if not hit[lo]:
-                        continue
-                    if many[at[lo]] > crowd:
-                        for i in range(lo, hi):
-                            seg = b" ".join(words[i : i + window])
-                            _put(out, True, xxhash.xxh3_64_intdigest(seg) >> 1, doc, th, i, seg)
-                            held += len(seg)
-                    else:
-                        seg = b" ".join(words[lo : hi + window - 1])
-                        _put(out, False, int(a[lo]), doc, th, lo, seg)
-                        held += len(seg)
+                edge = _edges(a)
+                hit = np.isin(a[edge], shared.values.to_numpy())
+                for lo, hi in zip(edge[hit].tolist(), np.append(edge[1:], len(a))[hit].tolist(), strict=True):
+                    for at in range(lo, hi, longest):
+                        segment = b" ".join(words[at : min(at + longest, hi) + window - 1])
+                        for column, value in zip(out, (int(a[lo]), doc, th, at, segment), strict=True):
+                            column.append(value)
+                        held += len(segment)
                     if held > 1 << 23:
                         yield _batch(out)
-                        out, held = [[], [], [], [], [], []], 0
+                        out, held = [[], [], [], [], []], 0
             if out[0]:
                 yield _batch(out)
 
     return run
 
 
-def _put(out: list[list], *values) -> None:
-    for column, value in zip(out, values, strict=True):
-        column.append(value)
-
-
 def _batch(out: list[list]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(out, _SEGMENT, strict=True)], schema=_SEGMENT)
 
 
+def _layout(segments: list[bytes], window: int) -> tuple[list[list[bytes]], np.ndarray, np.ndarray]:
+    """(words of each segment, segment of each window, place of each window's first word among all words)."""
+    split = [s.split(b" ") for s in segments]
+    sizes = np.array([len(w) for w in split], dtype=np.int64)
+    windows = np.maximum(sizes - window + 1, 0)
+    of = np.repeat(np.arange(len(split)), windows)
+    place = np.arange(len(of)) - np.repeat(np.cumsum(windows) - windows, windows) + (np.cumsum(sizes) - sizes)[of]
+    return split, of, place
+
+
+def _emit_windows(window: int):
+    """(hash, doc_id, dealt) of every window of segments (words, doc_id, dealt)."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for at in range(0, batch.num_rows, 10_000):
+                part = batch.slice(at, 10_000)
+                split, of, place = _layout(part.column(0).to_pylist(), window)
+                found = _grams(word_hashes([w for words in split for w in words]), window)[place]
+                docs, dealt = (part.column(i).to_numpy(zero_copy_only=False)[of] for i in (1, 2))
+                yield pa.RecordBatch.from_arrays([pa.array(found.view(np.int64)), pa.array(docs), pa.array(dealt)], names=["hash", "doc_id", "dealt"])
+
+    return run
+
+
 class PhraseAutomaton:
-    """Windows with the smallest doc_id that each starts in, over numbered words."""
+    """Aho-Corasick automaton of windows over numbered words; each has the smallest doc_id that it starts in."""
 
     def __init__(self, window: int) -> None:
         import ahocorasick
 
-        self.window, self.numbers, self.first = window, {}, []
+        self.window, self.first = window, []
         self.automaton = ahocorasick.Automaton(ahocorasick.STORE_INTS, ahocorasick.KEY_SEQUENCE)
 
-    def number(self, words: list[bytes]) -> tuple[int, ...]:
-        numbers = self.numbers
-        return tuple([numbers.setdefault(w, len(numbers)) for w in words])
-
     def add(self, phrase: tuple[int, ...], first: int) -> None:
         self.automaton.add_word(phrase, len(self.first))
         self.first.append(first)
 
-    def compile(self) -> None:
-        if self.first:
-            self.automaton.make_automaton()
-
-    def occurrences(self, sequence: tuple[int, ...]) -> list[tuple[int, int]]:
+    def occurrences(self, sequence: tuple[int, ...]) -> tuple[np.ndarray, np.ndarray]:
         """(start, smallest doc_id) of every phrase in a sequence."""
-        back, first = self.window - 1, self.first
-        return [(end - back, first[i]) for end, i in self.automaton.iter(sequence)] if first else []
-
-
-def _runs(starts: list[int]) -> Iterator[tuple[int, int]]:
-    """Ascending starts as runs [a, b)."""
-    a = b = None
-    for s in starts:
-        if s != b:
-            if a is not None:
-                yield a, b
-            a = s
-        b = s + 1
-    if a is not None:
-        yield a, b
+        if not self.first:
+            return np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.int64)
+        self.automaton.make_automaton()
+        found = np.array(list(self.automaton.iter(sequence)), dtype=np.int64).reshape(-1, 2)
+        return found[:, 0] - (self.window - 1), np.array(self.first, dtype=np.int64)[found[:, 1]]
 
 
 _RUN = "doc_id long, th long, a int, b int"
 
 
-def _removed(rows: list[tuple[int, int, int]], hits: list[tuple[int, int]], out: list[tuple]) -> None:
-    for doc, th, at in rows:
-        out += [(doc, th, at + a, at + b) for a, b in _runs([s for s, first in hits if first < doc])]
-
+def _shard(window: int):
+    """Compile the confirmed windows of a shard and stream its segments."""
+
+    def run(rows: pd.DataFrame, confirmed: pd.DataFrame) -> pd.DataFrame:
+        split, of, place = _layout(rows["words"].tolist(), window)
+        numbers: dict[bytes, int] = {}
+        sequence = tuple([numbers.setdefault(w, len(numbers)) for words in split for w in words])
+        ids = np.array(sequence, dtype=np.int64)
+        # Confirmed windows are known by hash; their words are read where the hash stands first.
+        hashes = _grams(word_hashes(list(numbers))[ids], window)[place].view(np.int64) if len(place) else np.zeros(0, dtype=np.int64)
+        known, first = confirmed["hash"].to_numpy(dtype=np.int64), confirmed["first"].to_numpy(dtype=np.int64)
+        order = np.argsort(known)
+        known, first = known[order], first[order]
+        present, where = np.unique(hashes, return_index=True)
+        at = np.minimum(np.searchsorted(known, present), max(len(known) - 1, 0))
+        met = known[at] == present if len(known) else np.zeros(len(present), dtype=bool)
+        machine = PhraseAutomaton(window)
+        for i, low in zip(place[where[met]].tolist(), first[at[met]].tolist(), strict=True):
+            machine.add(sequence[i : i + window], low)
+        start, low = machine.occurrences(sequence)
+        # A match that runs over the end of a segment is none.
+        begins = np.cumsum([0, *map(len, split)])
+        segment = np.searchsorted(begins, start, side="right") - 1
+        docs, at = rows["doc_id"].to_numpy(dtype=np.int64), rows["at"].to_numpy(dtype=np.int64)
+        good = (start + window <= begins[np.minimum(segment + 1, len(split))]) & (low < docs[np.minimum(segment, max(len(docs) - 1, 0))] if len(docs) else False)
+        start, segment = start[good], segment[good]
+        fresh = np.flatnonzero(np.append(True, (start[1:] != start[:-1] + 1) | (segment[1:] != segment[:-1]))) if len(start) else np.zeros(0, dtype=np.int64)
+        last = np.append(fresh[1:], len(start)) - 1 if len(start) else fresh
+        s = segment[fresh]
+        a, b = start[fresh] - begins[s] + at[s], start[last] - begins[s] + at[s] + 1
+        return pd.DataFrame({"doc_id": docs[s], "th": rows["th"].to_numpy(dtype=np.int64)[s], "a": a.astype(np.int32), "b": b.astype(np.int32)})
 
-def _frame(out: list[tuple]) -> pd.DataFrame:
-    return pd.DataFrame(out, columns=["doc_id", "th", "a", "b"]).astype({"doc_id": "int64", "th": "int64", "a": "int32", "b": "int32"})
+    return run
 
 
-def _shard(window: int):
-    """Confirm, compile and stream one shard."""
+def _packed(texts: DataFrame) -> DataFrame:
+    """(doc_id, th, z): texts compressed, for shuffles."""
 
-    def run(rows: pd.DataFrame) -> pd.DataFrame:
-        machine = PhraseAutomaton(window)
-        where: dict[bytes, list[tuple[int, int, int]]] = {}
-        for doc, th, at, words in zip(rows["doc_id"].tolist(), rows["th"].tolist(), rows["at"].tolist(), rows["words"], strict=True):
-            where.setdefault(words, []).append((doc, th, at))
-        numbered = {words: machine.number(words.split(b" ")) for words in where}
-        lowest: dict[tuple[int, ...], int] = {}
-        again: set[tuple[int, ...]] = set()
-        for words, sequence in numbered.items():
-            docs = [r[0] for r in where[words]]
-            low, several = min(docs), max(docs) > min(docs)
-            for i in range(len(sequence) - window + 1):
-                phrase = sequence[i : i + window]
-                known = lowest.setdefault(phrase, low)
-                if several or known != low:
-                    again.add(phrase)
-                    if low < known:
-                        lowest[phrase] = low
-        for phrase in again:
-            machine.add(phrase, lowest[phrase])
-        machine.compile()
-        out: list[tuple] = []
-        for words, sequence in numbered.items():
-            if hits := machine.occurrences(sequence):
-                _removed(where[words], hits, out)
-        return _frame(out)
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        pack = zstandard.ZstdCompressor(level=1).compress
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array([pack(t) for t in byte_texts(batch.column(2))], pa.binary())], names=["doc_id", "th", "z"])
 
-    return run
+    return texts.select("doc_id", "th", "text").mapInArrow(run, "doc_id long, th long, z binary")
 
 
-def _salted(window: int):
-    """Stream a part of a crowded shard through the automaton of the shard's confirmed windows."""
+def _texts(docs: DataFrame) -> DataFrame:
+    return docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).withColumn("th", F.xxhash64("text"))
 
-    def run(rows: pd.DataFrame, phrases: pd.DataFrame) -> pd.DataFrame:
-        machine = PhraseAutomaton(window)
-        for words, first in zip(phrases["words"], phrases["first"].tolist(), strict=True):
-            machine.add(machine.number(words.split(b" ")), first)
-        machine.compile()
-        out: list[tuple] = []
-        for doc, th, at, words in zip(rows["doc_id"].tolist(), rows["th"].tolist(), rows["at"].tolist(), rows["words"], strict=True):
-            _removed([(doc, th, at)], machine.occurrences(machine.number(words.split(b" "))), out)
-        return _frame(out)
 
-    return run
+def _shard_of(anchor: Column, salt: Column, shards: int) -> Column:
+    return F.pmod(F.xxhash64(anchor, salt), F.lit(shards)).cast("int")
 
 
-def removed_runs(docs: DataFrame, window: int = WINDOW, gram: int = GRAM, shard: int = SHARD, crowd: int = CROWD) -> DataFrame:
+def removed_runs(docs: DataFrame, window: int = WINDOW, gram: int = GRAM, shard: int = SHARD, longest: int = LONGEST, sample: int = SAMPLE) -> DataFrame:
     """(doc_id, th, a, b): the windows a <= start < b of a document (th: hash of its text) start in a smaller doc_id too."""
-    texts = docs.select("doc_id", "text")
-    found = texts.mapInArrow(_emit_anchors(window, gram), "anchor long, doc_id long")
+    texts = _texts(docs).where("doc_id is not null")
+    ids = materialise(texts.select("doc_id", "th", F.sha2("text", 256).alias("sha"), F.regexp_count("text", F.lit(WORD_PATTERN)).alias("n")), "texts")
+    copies = materialise(ids.groupBy("th", "sha").agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last"), F.count("*").alias("rows")), "copies")
+    later = joined_by_count(ids, copies.where("first < last").select("sha", "first", "rows"), "sha", "rows", ids.count())
+    later = later.where("first < doc_id").where(F.col("n") >= window).select("doc_id", "th", F.lit(0).alias("a"), (F.col("n") - window + 1).cast("int").alias("b"))
+
+    found = texts.select("th", "text").mapInArrow(_emit_anchors(window, gram), "anchor long, th long")
+    some = texts.where(F.pmod("th", F.lit(sample)) == 0).select("th", "text").mapInArrow(_emit_anchors(window, gram), "anchor long, th long").distinct()
+    some = materialise(some.groupBy("anchor").count(), "sample")
+    held = some.agg(F.sum("count")).first()[0] or 0
+    hot = [r["anchor"] for r in some.where(F.col("count") > max(8, held / HOT)).select("anchor").collect()]  # at most HOT by arithmetic
+    hot = docs.sparkSession.createDataFrame([(a,) for a in sorted(hot)], "anchor long")
     of = Window.partitionBy("anchor")
-    shared = found.withColumn("lo", F.min("doc_id").over(of)).withColumn("hi", F.max("doc_id").over(of)).withColumn("n", F.count("*").over(of)).where("lo < hi")
-    by_doc = shared.groupBy("doc_id").agg(F.collect_list(F.struct("anchor", F.col("n").alias("n"))).alias("s")).select("doc_id", F.col("s.anchor").alias("anchors"), F.col("s.n").alias("counts"))
-    met = texts.join(by_doc, "doc_id").select("doc_id", "text", "anchors", "counts")
-    segments = materialise(met.mapInArrow(_emit_segments(window, gram, crowd), "crowd boolean, key long, doc_id long, th long, at int, words binary"), "segments")
-    release(docs.sparkSession)
-    sizes = {r["crowd"]: r["count"] for r in segments.groupBy("crowd").count().collect()}
-    plain, hot = segments.where("not crowd"), segments.where("crowd")
-    shards = max(1, -(-sizes.get(False, 0) // shard))
-    sharded = plain.select(F.pmod(F.xxhash64("key"), F.lit(shards)).alias("shard"), "doc_id", "th", "at", "words")
-    runs = sharded.groupBy("shard").applyInPandas(_shard(window), _RUN)
-    if sizes.get(True):
-        first = hot.groupBy("key", "words").agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last"), F.count("*").alias("n")).where("first < last")
-        groups = max(1, -(-sizes[True] // shard))
-        first = materialise(first.withColumn("shard", F.pmod(F.xxhash64("key"), F.lit(groups))), "phrases")
-        salts = first.groupBy("shard").agg(F.ceil(F.sum("n") / F.lit(shard)).cast("int").alias("salts"))
-        phrases = first.join(salts, "shard").withColumn("salt", F.explode(F.sequence(F.lit(0), F.col("salts") - 1)))
-        parts = hot.withColumn("shard", F.pmod(F.xxhash64("key"), F.lit(groups))).join(salts, "shard").withColumn("salt", F.pmod(F.xxhash64("doc_id", "at"), F.col("salts")).cast("int"))
-        streamed = parts.select("shard", "salt", "doc_id", "th", "at", "words").groupBy("shard", "salt").cogroup(phrases.select("shard", "salt", "words", "first").groupBy("shard", "salt")).applyInPandas(_salted(window), _RUN)
-        runs = runs.unionByName(streamed)
-    return runs
+    cold = found.join(F.broadcast(hot), "anchor", "left_anti").withColumn("lo", F.min("th").over(of)).withColumn("hi", F.max("th").over(of)).where("lo < hi").select("anchor", "th")
+    shared = cold.unionByName(found.join(F.broadcast(hot), "anchor").select("anchor", "th"))
+    lists = shared.groupBy("th").agg(F.collect_set("anchor").alias("anchors"))
+    lists = lists.join(copies.select("th", F.col("first").alias("doc_id")), "th")
+    met = _packed(texts).join(lists, ["doc_id", "th"]).select("doc_id", "th", "z", "anchors")
+    segments = materialise(met.mapInArrow(_emit_segments(window, gram, longest), "anchor long, doc_id long, th long, at int, words binary"), "segments")
+
+    shards = max(1, -(-segments.count() // shard))
+    salts = segments.join(F.broadcast(hot), "anchor").groupBy("anchor").agg(F.ceil(F.count("*") / F.lit(shard)).cast("int").alias("salts"))
+    salts = docs.sparkSession.createDataFrame([(-1 - i, r["anchor"], r["salts"]) for i, r in enumerate(salts.collect())], "hot int, anchor long, salts int")
+    salted = segments.join(F.broadcast(salts), "anchor", "left")
+    # A window is dealt to its anchor's shard, or, if the anchor is hot, to that anchor's shards.
+    dealt = F.coalesce("hot", _shard_of(F.col("anchor"), F.lit(0), shards))
+    windows = salted.select("words", "doc_id", dealt.alias("dealt")).mapInArrow(_emit_windows(window), "hash long, doc_id long, dealt int")
+    confirmed = windows.groupBy("hash", "dealt").agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last")).where("first < last")
+    everywhere = F.transform(F.sequence(F.lit(0), F.col("salts") - 1), lambda i: _shard_of(F.col("anchor"), i, shards))
+    confirmed = confirmed.join(F.broadcast(salts), F.col("dealt") == F.col("hot"), "left").withColumn("shard", F.explode(F.when(F.col("salts").isNull(), F.array("dealt")).otherwise(F.array_distinct(everywhere))))
+    salt = F.coalesce(F.pmod(F.xxhash64("doc_id", "at"), F.col("salts")).cast("int"), F.lit(0))
+    streamed = salted.select(_shard_of(F.col("anchor"), salt, shards).alias("shard"), "doc_id", "th", "at", "words")
+    runs = streamed.groupBy("shard").cogroup(confirmed.select("shard", "hash", "first").groupBy("shard")).applyInPandas(_shard(window), _RUN)
+    return runs.unionByName(later)
 
 
 def drop_repeats(docs: DataFrame, window: int = WINDOW, **limits: int) -> DataFrame:
     """One row a document: doc_id, n_words, n_removed, kept (the words that stay, joined by single spaces)."""
     short_batches(docs.sparkSession)
     runs = removed_runs(docs, window, **limits)
-    by_doc = runs.groupBy("doc_id").agg(F.collect_list(F.struct("th", "a", "b")).alias("r")).select("doc_id", F.col("r.th").alias("th"), F.col("r.a").alias("a"), F.col("r.b").alias("b"))
-    joined = docs.select("doc_id", "text").join(by_doc, "doc_id", "left").select("doc_id", "text", "th", "a", "b")
+    by_doc = runs.groupBy("doc_id").agg(F.collect_list(F.struct("th", "a", "b")).alias("r")).select("doc_id", F.col("r.th").alias("of"), F.col("r.a").alias("a"), F.col("r.b").alias("b"))
+    packed = _packed(_texts(docs))
+    joined = packed.where("doc_id is not null").join(by_doc, "doc_id", "left").select("doc_id", "th", "z", "of", "a", "b")
+    none = [F.lit(None).cast(t).alias(n) for n, t in (("of", "array<long>"), ("a", "array<int>"), ("b", "array<int>"))]
+    joined = joined.unionByName(packed.where("doc_id is null").select("doc_id", "th", "z", *none))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        unpack = zstandard.ZstdDecompressor().decompress
         for batch in batches:
             n_words, n_removed, kept = [], [], []
-            for text, th, a, b in zip(byte_texts(batch.column(1)), batch.column(2), batch.column(3), batch.column(4), strict=True):
-                words = (text or b"").split()
+            for th, packed, of, a, b in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist(), batch.column(3), batch.column(4), batch.column(5), strict=True):
+                words = unpack(packed).split()
                 n_words.append(len(words))
-                if not th.is_valid:
+                if not of.is_valid:
                     n_removed.append(0)
                     kept.append(b" ".join(words))
                     continue
-                own = th.values.to_numpy() == _text_hash(text or b"")
+                own = of.values.to_numpy() == th
                 change = np.zeros(len(words) + 1, dtype=np.int64)
                 np.add.at(change, a.values.to_numpy()[own], 1)
                 np.add.at(change, b.values.to_numpy()[own] + window - 1, -1)
@@ -290,4 +315,3 @@ def drop_repeats(docs: DataFrame, window: int = WINDOW, **limits: int) -> DataFr
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(n_words, pa.int64()), pa.array(n_removed, pa.int64()), pa.array(kept, pa.binary())], names=["doc_id", "n_words", "n_removed", "kept"])
 
     return joined.mapInArrow(run, "doc_id long, n_words long, n_removed long, kept binary")
-

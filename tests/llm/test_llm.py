@@ -344,7 +344,7 @@ def brute_kept(rows, w=phrases.WINDOW):
     return sorted(out)
 
 
-@pytest.mark.parametrize("limits", [{}, {"crowd": 3, "shard": 50}])
+@pytest.mark.parametrize("limits", [{}, {"sample": 1, "shard": 7, "longest": 9}])
 def test_phrases(spark, limits):
     rng = random.Random(8)
     passages = [words(rng, 40) for _ in range(4)]
