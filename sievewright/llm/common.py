@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import uuid
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -59,16 +59,16 @@ def byte_texts(column: pa.Array | pa.ChunkedArray) -> list[bytes | None]:
     return column.cast(kind).to_pylist()
 
 
-def slices(texts: list[bytes | None], most: int = 1 << 21) -> Iterator[tuple[int, int]]:
-    """Cut a batch into runs of rows holding about ``most`` bytes, so that word lists stay small."""
-    start = held = 0
-    for i, text in enumerate(texts):
-        held += len(text or b"")
+def slices(sizes: Iterable[int], most: int = 1 << 21) -> Iterator[tuple[int, int]]:
+    """Cut a batch of texts of these sizes into runs of rows holding about ``most`` bytes, so that what is made of them stays small."""
+    start = held = end = 0
+    for end, n in enumerate(sizes, 1):
+        held += n
         if held >= most:
-            yield start, i + 1
-            start, held = i + 1, 0
-    if start < len(texts):
-        yield start, len(texts)
+            yield start, end
+            start, held = end, 0
+    if start < end:
+        yield start, end
 
 
 def bounded_sample(rows: DataFrame, key: Column, n: int, size: int) -> DataFrame:
@@ -85,13 +85,15 @@ def joined_by_count(rows: DataFrame, table: DataFrame, key: str, n: str, total:
     """``rows`` joined with ``table``, which has one row a key and, in column ``n``, how many of ``total`` rows have it.
 
     Keys with more than a ``FREQUENT``-th of the rows, fewer than ``FREQUENT`` whatever the data, are broadcast, so their
-    rows stay where they are; only the others are shuffled. ``n`` is dropped. Keys that are null match nothing.
+    rows stay where they are; only the others are shuffled. ``n`` is dropped. Keys that are null match nothing; the
+    table's first other column must not be null.
     """
     often = F.col(n) * FREQUENT > F.lit(total)
-    few, many = F.broadcast(table.where(often).drop(n)), table.where(~often).drop(n)
+    few, many = table.where(often).drop(n), table.where(~often).drop(n)
+    marked = rows.join(F.broadcast(few.withColumn("_few", F.lit(True))), key, "left")
+    near = marked.where("_few").drop("_few")
+    far = marked.where("_few is null").select(*rows.columns)
     if how == "inner":
-        return rows.join(few, key).unionByName(rows.join(F.broadcast(table.where(often).select(key)), key, "left_anti").where(F.col(key).isNotNull()).join(many, key))
-    rest = rows.join(F.broadcast(table.where(often).select(key)), key, "left_anti")
-    missing = [F.lit(None).cast(f.dataType).alias(f.name) for f in many.schema if f.name != key]
-    out = rows.join(few, key).unionByName(rest.where(F.col(key).isNotNull()).join(many, key, "left"))
-    return out.unionByName(rest.where(F.col(key).isNull()).select(*out.columns[: len(rows.columns)], *missing))
+        return near.unionByName(far.where(F.col(key).isNotNull()).join(many, key, "left").where(F.coalesce(*(F.col(c) for c in many.columns if c != key)).isNotNull()))
+    nothing = [F.lit(None).cast(f.dataType).alias(f.name) for f in many.schema if f.name != key]
+    return near.unionByName(far.where(F.col(key).isNotNull()).join(many, key, "left")).unionByName(far.where(F.col(key).isNull()).select(*rows.columns, *nothing))

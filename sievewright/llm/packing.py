@@ -28,25 +28,29 @@ from functools import lru_cache
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from sievewright.llm.common import byte_texts, materialise, short_batches, slices
+from sievewright.llm.common import materialise, short_batches, slices
 
 WIDTH, END_ID, BLOCK_TOKENS, LEAST_PIECE = 2048, 1, 4_000_000, 128
+#: Entries of each of an encoder's tables; a full one starts anew.
 _CACHE = 1_200_000
 
 
 class WordEncoder:
     """Ids of texts, by chunks between white space, kept for chunks that recur.
 
-    Right for tokenizers that lower-case, drop white space and never look across it. New chunks made of letters and
-    closing punctuation are encoded together; each has one or two pieces, whose last ids are tokens that end with
-    ``end_of_word``, and no chunk can have fewer, so if the pieces add up, each chunk has its own. Texts that hold the
-    start of a special token are encoded as they are.
+    Right for tokenizers that lower-case, drop white space, never look across it and part letters from punctuation. A
+    batch is split and its chunks are numbered by Arrow; only chunks that differ are looked up, and ids are gathered by
+    number. A chunk of letters and closing punctuation has the ids of the letters and those of the punctuation. New
+    letters are encoded together: each has one piece, whose last id is a token that ends with ``end_of_word``, and none
+    can have fewer, so if the pieces add up, each has its own. Texts that hold the start of a special token are encoded
+    as they are.
     """
 
-    def __init__(self, path: str, end_of_word: str = "</w>", special: bytes = b"<|") -> None:
+    def __init__(self, path: str, end_of_word: str = "</w>", special: str = "<|") -> None:
         from tokenizers import Tokenizer
 
         self.tokenizer, self.special = Tokenizer.from_file(path), special
@@ -54,45 +58,74 @@ class WordEncoder:
         self.kind = np.dtype("<u2") if max(vocab.values()) < 1 << 16 else np.dtype("<u4")
         self.ends = np.zeros(max(vocab.values()) + 1, dtype=bool)
         self.ends[[i for token, i in vocab.items() if token.endswith(end_of_word)]] = True
+        #: Ids of runs of letters (None for chunks that are none) and of everything else.
+        self.letters: dict[bytes, bytes | None] = {}
+        self.others: dict[bytes, bytes] = {}
         self.chunks: dict[bytes, bytes] = {}
 
     def _each(self, texts: list[str]) -> list[bytes]:
         return [np.array(x.ids, dtype=self.kind).tobytes() for x in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
     def _learn(self, new: list[bytes]) -> None:
-        plain, pieces, odd = [], [], []
-        for chunk, text in zip(new, b"\n".join(new).decode().split("\n"), strict=True):
-            body = text.rstrip(".,;:!?")
-            if body.isalpha():
-                plain.append((chunk, text))
-                pieces.append(1 if len(body) == len(text) else 2)
+        """Runs of letters; chunks that are none are marked."""
+        texts = b"\n".join(new).decode().split("\n")
+        some = []
+        for chunk, text in zip(new, texts, strict=True):
+            if text.isalpha():
+                some.append((chunk, text))
             else:
-                odd.append((chunk, text))
-        for at in range(0, len(plain), 4000):
-            some = plain[at : at + 4000]
-            last = np.cumsum(pieces[at : at + 4000])
-            ids = np.array(self.tokenizer.encode_batch_fast(["\n".join([t for _, t in some])], add_special_tokens=False)[0].ids, dtype=self.kind)
+                self.letters[chunk] = None
+        for at in range(0, len(some), 4000):
+            part = some[at : at + 4000]
+            ids = np.array(self.tokenizer.encode_batch_fast(["\n".join([t for _, t in part])], add_special_tokens=False)[0].ids, dtype=self.kind)
             stops = np.flatnonzero(self.ends[ids]) + 1
-            if len(stops) == last[-1]:
-                raw, start, wide = ids.tobytes(), 0, self.kind.itemsize
-                for (chunk, _), stop in zip(some, (stops[last - 1] * wide).tolist(), strict=True):
-                    self.chunks[chunk] = raw[start:stop]
+            if len(stops) == len(part):
+                raw, start = ids.tobytes(), 0
+                for (chunk, _), stop in zip(part, (stops * self.kind.itemsize).tolist(), strict=True):
+                    self.letters[chunk] = raw[start:stop]
                     start = stop
             else:
-                odd += some
-        for at in range(0, len(odd), 1000):
-            some = odd[at : at + 1000]
-            self.chunks.update(zip([c for c, _ in some], self._each([t for _, t in some]), strict=True))
-
-    def __call__(self, texts: list[bytes]) -> list[bytes]:
-        if len(self.chunks) > _CACHE:
-            self.chunks = {}
-        split = [None if self.special in text else text.lower().split() for text in texts]
-        new = set().union(*filter(None, split)) - self.chunks.keys()
-        if new:
-            self._learn(list(new))
-        get = self.chunks.__getitem__
-        return [self._each([text.decode()])[0] if words is None else b"".join(map(get, words)) for text, words in zip(texts, split, strict=True)]
+                self.letters.update(zip([c for c, _ in part], self._each([t for _, t in part]), strict=True))
+
+    def _pieces(self, chunks: list[bytes]) -> list[bytes]:
+        """The ids of each chunk."""
+        for kept in (self.chunks, self.letters, self.others):
+            if len(kept) > _CACHE:
+                kept.clear()
+        out = list(map(self.chunks.get, chunks))
+        missing = [i for i, x in enumerate(out) if x is None]
+        some = [chunks[i] for i in missing]
+        bodies = [c.rstrip(b".,;:!?") for c in some]
+        if new := [b for b in set(bodies) - self.letters.keys() if b]:
+            self._learn(new)
+        letters, others = self.letters, self.others
+        letters[b""] = b""
+        ids = [letters[b] for b in bodies]
+        rest = [c if x is None else c[len(b) :] for c, b, x in zip(some, bodies, ids, strict=True)]
+        new = [c for c in set(rest) - others.keys() if c]
+        others.update(zip(new, self._each([c.decode() for c in new]), strict=True))
+        others[b""] = b""
+        for i, x, r in zip(missing, ids, rest, strict=True):
+            out[i] = self.chunks[chunks[i]] = (x or b"") + others[r] if r else x
+        return out
+
+    def __call__(self, texts: pa.Array) -> list[bytes]:
+        """The ids of each text (a string array without nulls), as little-endian bytes."""
+        lists = pc.ascii_split_whitespace(pc.ascii_lower(texts))
+        enc = lists.flatten().dictionary_encode()
+        pieces = self._pieces(enc.dictionary.cast(pa.binary()).to_pylist())
+        wide = self.kind.itemsize
+        sizes = np.fromiter(map(len, pieces), dtype=np.int64, count=len(pieces)) // wide
+        flat, starts = np.frombuffer(b"".join(pieces), dtype=self.kind), np.cumsum(sizes) - sizes
+        chunk = enc.indices.to_numpy()
+        n = sizes[chunk]
+        stops = np.cumsum(n)
+        ids = flat[np.repeat(starts[chunk] - (stops - n), n) + np.arange(stops[-1] if len(stops) else 0)].tobytes()
+        ends = np.append(0, stops)[np.append(0, np.cumsum(pc.list_value_length(lists).to_numpy()))] * wide
+        out = [ids[a:b] for a, b in zip(ends[:-1].tolist(), ends[1:].tolist(), strict=True)]
+        for i in np.flatnonzero(pc.match_substring(texts, self.special).to_numpy(zero_copy_only=False)).tolist():
+            out[i] = self._each([texts[i].as_py()])[0]
+        return out
 
 
 @lru_cache(2)
@@ -110,9 +143,9 @@ def tokenize(docs: DataFrame, tokenizer_path: str, end_id: int = END_ID) -> Data
         encode = encoder(tokenizer_path)
         end = np.array([end_id], dtype=encode.kind).tobytes()
         for batch in batches:
-            texts = [t or b"" for t in byte_texts(batch.column(3))]
-            for a, b in slices(texts):
-                ids = [x + end for x in encode(texts[a:b])]
+            texts = batch.column(3).fill_null("")
+            for a, b in slices(pc.binary_length(texts).to_numpy(), 1 << 23):
+                ids = [x + end for x in encode(texts.slice(a, b - a))]
                 n = pa.array([len(x) // encode.kind.itemsize for x in ids], pa.int64())
                 part = batch.slice(a, b - a)
                 yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), part.column(2), n, pa.array(ids, pa.binary())], schema=schema)
@@ -165,6 +198,22 @@ def pack_block(rows: list[tuple], shares: dict, credit: dict, width: int, item:
         window += 1
 
 
+def _before(rows: DataFrame, *keys: str, width: int = 4096) -> DataFrame:
+    """``rows`` (block, n, keys) with ``before``: the sum of n over earlier blocks.
+
+    Sums of ``width`` blocks each are put in order, then blocks within them, so no task holds the sums of all blocks.
+    """
+    rows = rows.withColumn("wide", F.floor(F.col("block") / width))
+    earlier = lambda by, order: F.coalesce(F.sum("n").over(Window.partitionBy(*by).orderBy(order).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    base = rows.groupBy("wide", *keys).agg(F.sum("n").alias("n")).withColumn("base", earlier(keys, "wide"))
+    base = base.select(F.col("wide").alias("w"), *(F.col(k).alias(f"of_{k}") for k in keys), "base")
+    on = F.col("wide") == F.col("w")
+    for k in keys:
+        on &= F.col(k).eqNullSafe(F.col(f"of_{k}"))
+    inside = rows.withColumn("inside", earlier(("wide", *keys), "block"))
+    return inside.join(base, on).select("block", *keys, (F.col("inside") + F.col("base")).alias("before"))
+
+
 _PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
 
 
@@ -184,14 +233,14 @@ def pack(docs: DataFrame, tokenizer_path: str, width: int = WIDTH, end_id: int =
     else:
         whole = float(sum(shares.values()))
         share = by.select("source").distinct().withColumn("share", F.coalesce(F.create_map(*(F.lit(x) for k, v in shares.items() for x in (k, v / whole)))[F.col("source")], F.lit(0.0)))
-    before = lambda *keys: Window.partitionBy(*keys).orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
-    past = by.groupBy("block").agg(F.sum("n").alias("all")).select(F.col("block").alias("past_block"), F.coalesce(F.sum("all").over(before()), F.lit(0)).alias("past"))
-    own = by.select("block", F.col("source").alias("of"), F.coalesce(F.sum("n").over(before("source")), F.lit(0)).alias("own"))
+    past = _before(by.groupBy("block").agg(F.sum("n").alias("n"))).select(F.col("block").alias("past_block"), F.col("before").alias("past"))
+    own = _before(by, "source").select("block", F.col("source").alias("of"), F.col("before").alias("own"))
     share = share.select(F.col("source").alias("share_of"), "share")
     start = own.join(past, F.col("block") == F.col("past_block")).join(share, F.col("of").eqNullSafe(F.col("share_of")))
     start = start.select(F.col("block").alias("to"), "of", "share", (F.col("share") * F.col("past") - F.col("own")).alias("credit"))
 
     def run(key: tuple, left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
+        left = left.sort_values(["h", "doc_id", "n"], kind="stable")  # whatever order the shuffle gives
         name = lambda s: s if isinstance(s, str) else None
         docs = [(int(d) if isinstance(d, str) else None, name(s), int(n), ids) for d, s, n, ids in zip(left["doc_id"], left["source"], left["n"], left["ids"], strict=True)]
         of = [name(s) for s in right["of"]]
@@ -200,5 +249,5 @@ def pack(docs: DataFrame, tokenizer_path: str, width: int = WIDTH, end_id: int =
         out["sequence_id"] += int(key[0]) << 32
         return out.astype({"doc_id": "Int64"})
 
-    by_block = rows.select("block", F.col("doc_id").cast("string").alias("doc_id"), "source", "n", "ids").groupBy("block")  # ids as text: exact beside nulls
+    by_block = rows.select("block", "h", F.col("doc_id").cast("string").alias("doc_id"), "source", "n", "ids").groupBy("block")  # ids as text: exact beside nulls
     return by_block.cogroup(start.groupBy("to")).applyInPandas(run, _PIECES)

@@ -10,9 +10,10 @@ document with a smaller doc_id. The work goes in five steps:
 3. Confirming. Documents with recurring anchors emit, for each run of windows with the same recurring anchor, the words
    of the run (a segment). Window hashes of all segments are counted in the JVM, pre-aggregated, with the smallest
    doc_id that each starts in; those of several documents are confirmed.
-4. Automata. Confirmed windows are dealt to shards by anchor and compiled, as words, into one Aho-Corasick automaton a
-   shard (pyahocorasick, integer sequences; words are numbered exactly). All segments of the shard stream through it:
-   the automaton, which compares words, locates every occurrence and gives the smallest doc_id of its window.
+4. Automata. Confirmed windows are dealt to shards by anchor. Runs of them that have one first document are passages;
+   the distinct passages of a shard are compiled, as words, into one Aho-Corasick automaton (pyahocorasick, integer
+   sequences; words are numbered exactly). All segments of the shard stream through it, equal ones once: the automaton,
+   which compares words, locates every occurrence and gives the smallest doc_id of its windows.
 5. Removal. Runs of located windows go back to their documents, which drop the covered words.
 
 Scale: shards hold about ``SHARD`` segments. Anchors that are frequent in a sample of the texts (a boilerplate line, a
@@ -38,16 +39,19 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 import zstandard
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from sievewright.llm.common import WORD_PATTERN, byte_texts, joined_by_count, materialise, short_batches
+from sievewright.llm.common import byte_texts, joined_by_count, materialise, short_batches, slices
 
 WINDOW, GRAM, SHARD = 13, 5, 20_000
 #: Most windows of a segment; most anchors that count as hot; one text in so many is looked at to find them.
-LONGEST, HOT, SAMPLE = 4096, 20_000, 64
+LONGEST, HOT, SAMPLE = 64, 20_000, 64
+#: The end of a run that covers a whole document.
+WHOLE = 2_000_000_000
 _MULTIPLIERS = (np.random.default_rng(11).integers(0, 1 << 62, 64, dtype=np.uint64) << np.uint64(1)) | np.uint64(1)
 
 
@@ -157,8 +161,8 @@ def _emit_windows(window: int):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for at in range(0, batch.num_rows, 10_000):
-                part = batch.slice(at, 10_000)
+            for a, b in slices(pc.binary_length(batch.column(0)).to_numpy()):
+                part = batch.slice(a, b - a)
                 split, of, place = _layout(part.column(0).to_pylist(), window)
                 found = _grams(word_hashes([w for words in split for w in words]), window)[place]
                 docs, dealt = (part.column(i).to_numpy(zero_copy_only=False)[of] for i in (1, 2))
@@ -168,61 +172,78 @@ def _emit_windows(window: int):
 
 
 class PhraseAutomaton:
-    """Aho-Corasick automaton of windows over numbered words; each has the smallest doc_id that it starts in."""
+    """Aho-Corasick automaton of passages over numbered words; each has the smallest doc_id that its windows start in."""
 
-    def __init__(self, window: int) -> None:
+    def __init__(self) -> None:
         import ahocorasick
 
-        self.window, self.first = window, []
+        self.passages: dict[tuple[int, ...], int] = {}
         self.automaton = ahocorasick.Automaton(ahocorasick.STORE_INTS, ahocorasick.KEY_SEQUENCE)
 
-    def add(self, phrase: tuple[int, ...], first: int) -> None:
-        self.automaton.add_word(phrase, len(self.first))
-        self.first.append(first)
-
-    def occurrences(self, sequence: tuple[int, ...]) -> tuple[np.ndarray, np.ndarray]:
-        """(start, smallest doc_id) of every phrase in a sequence."""
-        if not self.first:
-            return np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.int64)
+    def occurrences(self, sequence: tuple[int, ...]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(start, end, smallest doc_id) of every passage in a sequence."""
+        if not self.passages:
+            return (np.zeros(0, dtype=np.int64),) * 3
+        for i, passage in enumerate(self.passages):
+            self.automaton.add_word(passage, i)
         self.automaton.make_automaton()
         found = np.array(list(self.automaton.iter(sequence)), dtype=np.int64).reshape(-1, 2)
-        return found[:, 0] - (self.window - 1), np.array(self.first, dtype=np.int64)[found[:, 1]]
+        sizes = np.fromiter(map(len, self.passages), dtype=np.int64, count=len(self.passages))
+        first = np.fromiter(self.passages.values(), dtype=np.int64, count=len(self.passages))
+        end = found[:, 0] + 1
+        return end - sizes[found[:, 1]], end, first[found[:, 1]]
 
 
 _RUN = "doc_id long, th long, a int, b int"
 
 
 def _shard(window: int):
-    """Compile the confirmed windows of a shard and stream its segments."""
+    """Compile the confirmed passages of a shard and stream its segments, equal ones once."""
 
     def run(rows: pd.DataFrame, confirmed: pd.DataFrame) -> pd.DataFrame:
-        split, of, place = _layout(rows["words"].tolist(), window)
+        code, segments = pd.factorize(rows["words"])
+        split, of, place = _layout(segments.tolist(), window)
         numbers: dict[bytes, int] = {}
         sequence = tuple([numbers.setdefault(w, len(numbers)) for words in split for w in words])
-        ids = np.array(sequence, dtype=np.int64)
-        # Confirmed windows are known by hash; their words are read where the hash stands first.
-        hashes = _grams(word_hashes(list(numbers))[ids], window)[place].view(np.int64) if len(place) else np.zeros(0, dtype=np.int64)
-        known, first = confirmed["hash"].to_numpy(dtype=np.int64), confirmed["first"].to_numpy(dtype=np.int64)
-        order = np.argsort(known)
-        known, first = known[order], first[order]
-        present, where = np.unique(hashes, return_index=True)
-        at = np.minimum(np.searchsorted(known, present), max(len(known) - 1, 0))
-        met = known[at] == present if len(known) else np.zeros(len(present), dtype=bool)
-        machine = PhraseAutomaton(window)
-        for i, low in zip(place[where[met]].tolist(), first[at[met]].tolist(), strict=True):
-            machine.add(sequence[i : i + window], low)
-        start, low = machine.occurrences(sequence)
-        # A match that runs over the end of a segment is none.
         begins = np.cumsum([0, *map(len, split)])
+        machine = PhraseAutomaton()
+        known, first = confirmed["hash"].to_numpy(dtype=np.int64), confirmed["first"].to_numpy(dtype=np.int64)
+        if len(known) and len(place):
+            # A passage is a run of confirmed windows with one first document, as words of a segment.
+            order = np.argsort(known)
+            known, first = known[order], first[order]
+            hashes = _grams(word_hashes(list(numbers))[np.array(sequence, dtype=np.int64)], window)[place].view(np.int64)
+            at = np.minimum(np.searchsorted(known, hashes), len(known) - 1)
+            met = np.flatnonzero(known[at] == hashes)
+            low = first[at[met]]
+            fresh = np.flatnonzero(np.append(True, (met[1:] != met[:-1] + 1) | (of[met[1:]] != of[met[:-1]]) | (low[1:] != low[:-1]))) if len(met) else met
+            last = np.append(fresh[1:], len(met)) - 1 if len(met) else met
+            for i, j, doc in zip(place[met[fresh]].tolist(), place[met[last]].tolist(), low[fresh].tolist(), strict=True):
+                machine.passages[sequence[i : j + window]] = doc
+        start, end, low = machine.occurrences(sequence)
         segment = np.searchsorted(begins, start, side="right") - 1
-        docs, at = rows["doc_id"].to_numpy(dtype=np.int64), rows["at"].to_numpy(dtype=np.int64)
-        good = (start + window <= begins[np.minimum(segment + 1, len(split))]) & (low < docs[np.minimum(segment, max(len(docs) - 1, 0))] if len(docs) else False)
-        start, segment = start[good], segment[good]
-        fresh = np.flatnonzero(np.append(True, (start[1:] != start[:-1] + 1) | (segment[1:] != segment[:-1]))) if len(start) else np.zeros(0, dtype=np.int64)
-        last = np.append(fresh[1:], len(start)) - 1 if len(start) else fresh
-        s = segment[fresh]
-        a, b = start[fresh] - begins[s] + at[s], start[last] - begins[s] + at[s] + 1
-        return pd.DataFrame({"doc_id": docs[s], "th": rows["th"].to_numpy(dtype=np.int64)[s], "a": a.astype(np.int32), "b": b.astype(np.int32)})
+        inside = end <= begins[segment + 1]  # a match that runs over the end of a segment is none
+        start, end, low, segment = start[inside], end[inside], low[inside], segment[inside]
+        # Each occurrence in a segment is one in all rows of it.
+        order = np.argsort(code, kind="stable")
+        copies = np.bincount(code, minlength=len(split))
+        n = copies[segment]
+        hit = np.repeat(np.arange(len(start)), n)
+        row = order[np.repeat((np.cumsum(copies) - copies)[segment] - (np.cumsum(n) - n), n) + np.arange(len(hit))]
+        docs = rows["doc_id"].to_numpy(dtype=np.int64)
+        good = low[hit] < docs[row]
+        hit, row = hit[good], row[good]
+        shift = rows["at"].to_numpy(dtype=np.int64)[row] - begins[segment[hit]]
+        a, b = start[hit] + shift, end[hit] - (window - 1) + shift
+        # Occurrences that meet or overlap become one run.
+        order = np.lexsort((a, row))
+        row, a, b = row[order], a[order], b[order]
+        far = int(b.max()) + 2 if len(b) else 1
+        reach = np.maximum.accumulate(row * far + b) if len(b) else b
+        fresh = np.flatnonzero(np.append(True, (row[1:] * far + a[1:]) > reach[:-1])) if len(a) else np.zeros(0, dtype=np.int64)
+        last = np.append(fresh[1:], len(a)) - 1 if len(a) else fresh
+        row = row[fresh]
+        return pd.DataFrame({"doc_id": docs[row], "th": rows["th"].to_numpy(dtype=np.int64)[row], "a": a[fresh].astype(np.int32), "b": (reach[last] - row * far).astype(np.int32)})
 
     return run
 
@@ -249,28 +270,28 @@ def _shard_of(anchor: Column, salt: Column, shards: int) -> Column:
 def removed_runs(docs: DataFrame, window: int = WINDOW, gram: int = GRAM, shard: int = SHARD, longest: int = LONGEST, sample: int = SAMPLE) -> DataFrame:
     """(doc_id, th, a, b): the windows a <= start < b of a document (th: hash of its text) start in a smaller doc_id too."""
     texts = _texts(docs).where("doc_id is not null")
-    ids = materialise(texts.select("doc_id", "th", F.sha2("text", 256).alias("sha"), F.regexp_count("text", F.lit(WORD_PATTERN)).alias("n")), "texts")
+    ids = materialise(texts.select("doc_id", "th", F.sha2("text", 256).alias("sha")), "texts")
     copies = materialise(ids.groupBy("th", "sha").agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last"), F.count("*").alias("rows")), "copies")
-    later = joined_by_count(ids, copies.where("first < last").select("sha", "first", "rows"), "sha", "rows", ids.count())
-    later = later.where("first < doc_id").where(F.col("n") >= window).select("doc_id", "th", F.lit(0).alias("a"), (F.col("n") - window + 1).cast("int").alias("b"))
+    later = joined_by_count(ids, copies.where("first < last").select("sha", "first", "rows"), "sha", "rows", ids.count()).where("first < doc_id")
+    later = later.select("doc_id", "th", F.lit(0).alias("a"), F.lit(WHOLE).alias("b"))
 
-    found = texts.select("th", "text").mapInArrow(_emit_anchors(window, gram), "anchor long, th long")
-    some = texts.where(F.pmod("th", F.lit(sample)) == 0).select("th", "text").mapInArrow(_emit_anchors(window, gram), "anchor long, th long").distinct()
-    some = materialise(some.groupBy("anchor").count(), "sample")
+    emit = lambda rows: rows.select("th", "text").mapInArrow(_emit_anchors(window, gram), "anchor long, th long")
+    some = materialise(emit(texts.where(F.pmod("th", F.lit(sample)) == 0)).distinct().groupBy("anchor").count(), "sample")
     held = some.agg(F.sum("count")).first()[0] or 0
     hot = [r["anchor"] for r in some.where(F.col("count") > max(8, held / HOT)).select("anchor").collect()]  # at most HOT by arithmetic
-    hot = docs.sparkSession.createDataFrame([(a,) for a in sorted(hot)], "anchor long")
-    of = Window.partitionBy("anchor")
-    cold = found.join(F.broadcast(hot), "anchor", "left_anti").withColumn("lo", F.min("th").over(of)).withColumn("hi", F.max("th").over(of)).where("lo < hi").select("anchor", "th")
-    shared = cold.unionByName(found.join(F.broadcast(hot), "anchor").select("anchor", "th"))
+    hot = docs.sparkSession.createDataFrame([(a, -1 - i) for i, a in enumerate(sorted(hot))], "anchor long, hot int")
+    # Rows of a hot anchor go on without being counted, over many tasks; confirming its windows counts them.
+    found = emit(texts).join(F.broadcast(hot), "anchor", "left").withColumn("part", F.when(F.col("hot").isNull(), F.lit(0)).otherwise(F.col("th")))
+    of = Window.partitionBy("anchor", "part")
+    shared = found.withColumn("lo", F.min("th").over(of)).withColumn("hi", F.max("th").over(of)).where("lo < hi or hot is not null").select("anchor", "th")
     lists = shared.groupBy("th").agg(F.collect_set("anchor").alias("anchors"))
     lists = lists.join(copies.select("th", F.col("first").alias("doc_id")), "th")
     met = _packed(texts).join(lists, ["doc_id", "th"]).select("doc_id", "th", "z", "anchors")
     segments = materialise(met.mapInArrow(_emit_segments(window, gram, longest), "anchor long, doc_id long, th long, at int, words binary"), "segments")
 
     shards = max(1, -(-segments.count() // shard))
-    salts = segments.join(F.broadcast(hot), "anchor").groupBy("anchor").agg(F.ceil(F.count("*") / F.lit(shard)).cast("int").alias("salts"))
-    salts = docs.sparkSession.createDataFrame([(-1 - i, r["anchor"], r["salts"]) for i, r in enumerate(salts.collect())], "hot int, anchor long, salts int")
+    sizes = segments.join(F.broadcast(hot), "anchor", "left").groupBy("hot").count().where("hot is not null")  # at most HOT rows
+    salts = materialise(hot.join(sizes, "hot").select("hot", "anchor", F.ceil(F.col("count") / F.lit(shard)).cast("int").alias("salts")), "salts")
     salted = segments.join(F.broadcast(salts), "anchor", "left")
     # A window is dealt to its anchor's shard, or, if the anchor is hot, to that anchor's shards.
     dealt = F.coalesce("hot", _shard_of(F.col("anchor"), F.lit(0), shards))
@@ -305,10 +326,10 @@ def drop_repeats(docs: DataFrame, window: int = WINDOW, **limits: int) -> DataFr
                     n_removed.append(0)
                     kept.append(b" ".join(words))
                     continue
-                own = of.values.to_numpy() == th
+                own = (of.values.to_numpy() == th) & (len(words) >= window)
                 change = np.zeros(len(words) + 1, dtype=np.int64)
                 np.add.at(change, a.values.to_numpy()[own], 1)
-                np.add.at(change, b.values.to_numpy()[own] + window - 1, -1)
+                np.add.at(change, np.minimum(b.values.to_numpy()[own], len(words) - window + 1) + window - 1, -1)
                 stays = np.cumsum(change)[:-1] == 0
                 kept.append(b" ".join([words[i] for i in np.flatnonzero(stays).tolist()]))
                 n_removed.append(int(len(words) - stays.sum()))
