@@ -4,26 +4,34 @@ Targets: sources in code point order (null last) get weights in a repeating cycl
 a target stops at ``most`` times its source, and what it can't take is reshared by weight. The final level of this
 water filling is found in closed form from sums over the sources, ordered by cap over weight.
 
-Sampling: each document gets its certain whole copies (the whole part of target over source size). The rest is a
-sample of fixed size: documents are ranked by q = (u / (1 - u)) / (p / (1 - p)), with u a random number fixed by
-doc_id and seed and p the source's inclusion probability, and taken in this order while the source's remaining words
-last. One more document, whose size comes nearest to the words left, may fill the remainder.
+Sampling: each document gets the whole part of target over source size as certain copies. The rest of the target is a
+sample without replacement with unequal probabilities: a document's inclusion probability p is in proportion to a power
+of two near the square root of its size (:func:`size_class`), at the level at which the expected words are the rest of
+the target; documents whose p reaches 1 get one more certain copy. All others are ranked by random odds over inclusion
+odds, q = (u / (1 - u)) / (p / (1 - p)), with u a random number fixed by doc_id and seed, and taken in this order while
+the source's remaining words last. A document that doesn't fit is passed over, so a source ends short of its target by
+less than the smallest document that was left out.
 
 Scale: texts are read once; the short tables in between are written, which keeps plans small. q is mapped to one of
 ``BUCKETS`` buckets of the source; sums by (source, bucket) are pre-aggregated, one bucket a source holds the cut, and
-only the rows of that bucket, a few thousandths of the source, are put in order. Tables with a row a source are joined
-as Spark sees fit.
+only the rows of that bucket, a few thousandths of the source, are put in order. What is passed over and still fits goes
+through the same step again; there are few such documents and few rounds. Tables with a row a source, or a row a source
+and size class, are joined by :func:`joined_by_count`. Ranking the sources puts one short row a source in one task.
 
-Null text: size 0. Null source: a source of its own, last. Null doc_id: hashed as a fixed string, ordered last.
-Repeated rows are documents of their own. Other columns are ignored. An empty table gives an empty result.
+Null text: size 0. Size 0: certain copies only. Null source: a source of its own, last. Null doc_id: u from the row's
+number. Ties of q go by doc_id, then size. Very long texts are counted whole; one longer than its source's remaining
+words is passed over. Repeated rows are documents of their own. Other columns are ignored; ``keep`` names columns to
+carry, which may not be named like those of the result or begin with an underscore. An empty table gives an empty result.
 """
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from sievewright.llm.common import WORD_PATTERN, materialise
+from sievewright.llm.common import WORD_PATTERN, joined_by_count, materialise
 
 WEIGHTS = (5, 2, 1)
 SHARE, MOST, BUCKETS, SEED = 1.5, 2.0, 4096, 17
@@ -36,7 +44,7 @@ def uniform(key: Column, seed: int = SEED) -> Column:
 
 
 def targets(sized: DataFrame, weights: tuple[int, ...] = WEIGHTS, share: float = SHARE, most: float = MOST) -> DataFrame:
-    """(source, source_size, target) of rows with source and size."""
+    """(source, rank, source_size, target) of rows with source and size."""
     by = sized.groupBy("source").agg(F.sum("size").alias("source_size"))
     rank = F.row_number().over(Window.orderBy(F.col("source").asc_nulls_last()))
     weight = F.element_at(F.array(*(F.lit(float(w)) for w in weights)), ((F.col("rank") - 1) % len(weights) + 1).cast("int"))
@@ -47,38 +55,80 @@ def targets(sized: DataFrame, weights: tuple[int, ...] = WEIGHTS, share: float =
     table = table.withColumn("capped", (F.col("total") - F.col("caps_before")) * F.col("w") >= F.col("cap") * F.col("w_left"))
     table = table.withColumn("caps", F.coalesce(F.sum(F.when(F.col("capped"), F.col("cap"))).over(everything), F.lit(0.0))).withColumn("free_w", F.sum(F.when(~F.col("capped"), F.col("w"))).over(everything))
     share_of = (F.col("total") - F.col("caps")) * F.col("w") / F.col("free_w")
-    return table.select("source", "source_size", F.when(F.col("capped"), F.col("cap")).otherwise(share_of).alias("target"))
+    return table.select("source", "rank", "source_size", F.when(F.col("capped"), F.col("cap")).otherwise(share_of).alias("target"))
+
+
+def size_class(size: Column) -> Column:
+    """Half the number of a size's binary digits, rounded down; size 0 has class -1. 2 to its power is near the root."""
+    return F.when(size > 0, F.floor((F.length(F.bin(size)) - 1) / 2)).otherwise(F.lit(-1)).cast("int")
+
+
+def inclusion(classes: DataFrame) -> DataFrame:
+    """Copies that are certain and the inclusion probability of each (source, size class): adds ``base``, ``p``, ``rest``.
+
+    ``classes`` has rank, class, words, source_size, target. The level c with sum(min(1, c x) words) = rest, x being 2 to
+    the power of the class, is found in closed form, as classes reach 1 in order of x. ``rest``: words left to draw.
+    """
+    rows = classes.withColumn("whole", F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))).otherwise(F.lit(0)).cast("long"))
+    rows = rows.withColumn("x", F.when(F.col("class") >= 0, F.pow(F.lit(2.0), F.col("class"))).otherwise(F.lit(0.0))).withColumn("extra", F.col("target") - F.col("whole") * F.col("source_size"))
+    down = Window.partitionBy("rank").orderBy(F.desc("class"))
+    rows = rows.withColumn("larger", F.coalesce(F.sum("words").over(down.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
+    rows = rows.withColumn("weighed", F.sum(F.col("x") * F.col("words")).over(down.rowsBetween(0, Window.unboundedFollowing)))
+    rows = rows.withColumn("certain", (F.col("x") > 0) & ((F.col("extra") - F.col("larger")) * F.col("x") >= F.col("weighed")))
+    everything = Window.partitionBy("rank")
+    rows = rows.withColumn("rest", F.col("extra") - F.coalesce(F.sum(F.when(F.col("certain"), F.col("words"))).over(everything), F.lit(0)))
+    rows = rows.withColumn("free", F.sum(F.when(~F.col("certain"), F.col("x") * F.col("words"))).over(everything))
+    p = F.when(~F.col("certain") & (F.col("x") > 0) & (F.col("rest") > 0), F.col("rest") * F.col("x") / F.col("free"))
+    return rows.withColumn("p", p).withColumn("base", F.col("whole") + F.col("certain").cast("long")).drop("whole", "x", "extra", "larger", "weighed", "certain", "free")
+
+
+def _round(left: DataFrame, gaps: DataFrame, total: int) -> DataFrame:
+    """``left`` with ``taken``: in order of q, while the words of ``gaps`` (rank, gap, n) last, up to the first that doesn't fit."""
+    sums = left.groupBy("rank", "b").agg(F.sum("size").alias("words")).withColumn("past", F.sum("words").over(Window.partitionBy("rank").orderBy("b")))
+    cut = sums.join(gaps.select(F.col("rank").alias("of"), "gap", "n"), F.col("rank") == F.col("of")).where("past > gap")
+    cut = cut.groupBy("rank").agg(F.min(F.struct("b", (F.col("past") - F.col("words")).alias("before"), "gap", "n")).alias("c"))
+    cut = materialise(cut.select("rank", F.col("c.b").alias("cut_b"), F.col("c.before").alias("before"), F.col("c.gap").alias("gap"), F.col("c.n").alias("n")), "cuts")
+    rows = joined_by_count(left, cut, "rank", "n", total, "left")
+    # Only the bucket that holds the cut needs an order; all other rows are decided by their bucket.
+    at_cut = F.coalesce(F.col("b") == F.col("cut_b"), F.lit(False))
+    inside = Window.partitionBy("rank").orderBy("q", F.col("doc_id").asc_nulls_last(), "size", "uid").rowsBetween(Window.unboundedPreceding, 0)
+    decided = rows.where(~at_cut).withColumn("taken", F.col("cut_b").isNull() | (F.col("b") < F.col("cut_b")))
+    rows = decided.unionByName(rows.where(at_cut).withColumn("taken", F.col("before") + F.sum("size").over(inside) <= F.col("gap")))
+    return materialise(rows.drop("cut_b", "before", "gap"), "round")
 
 
 def mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, share: float = SHARE, most: float = MOST, seed: int = SEED, keep: tuple[str, ...] = ()) -> DataFrame:
-    """One row a document: uid, doc_id, source, size, source_size, target, copies (how often the mix takes it).
+    """One row a document: uid, doc_id, source, size, source_size, target, p (null: not drawn), copies (how often the mix takes it).
 
     ``uid`` numbers the rows of this call; it tells repeated rows apart. ``keep`` names short columns to carry along.
     """
     size = F.coalesce(F.regexp_count("text", F.lit(WORD_PATTERN)), F.lit(0)).cast("long")
-    sized = materialise(docs.select("doc_id", "source", *keep, size.alias("size")).withColumn("uid", F.monotonically_increasing_id()), "sizes")
-    goal = materialise(targets(sized, weights, share, most).withColumnRenamed("source", "of"), "targets")
-    rows = sized.join(goal, F.col("source").eqNullSafe(F.col("of")), "left").drop("of")
-    ratio = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(F.lit(0.0))
-    rows = rows.withColumn("whole", F.floor(ratio)).withColumn("p", ratio - F.floor(ratio)).withColumn("rest", F.col("target") - F.floor(ratio) * F.col("source_size"))
-    u = uniform(F.col("doc_id"), seed)
-    rows = rows.withColumn("q", F.when(F.col("p") > 0, (u / (F.lit(1.0) - u)) / (F.col("p") / (F.lit(1.0) - F.col("p")))))
-    rows = rows.withColumn("b", F.floor(F.lit(float(BUCKETS)) * (F.col("q") / (F.lit(1.0) + F.col("q")))))
-    up_to = Window.partitionBy("source").orderBy("b")
-    cut = rows.where("q is not null").groupBy("source", "b", "rest").agg(F.sum("size").alias("words")).withColumn("past", F.sum("words").over(up_to)).withColumn("before", F.col("past") - F.col("words"))
-    cut = cut.where("past > rest").groupBy("source").agg(F.min(F.struct("b", "before")).alias("cut")).select(F.col("source").alias("of"), "cut.*").withColumnRenamed("b", "cut_b")
-    cut = materialise(cut, "cuts")
-    rows = rows.join(cut, F.col("source").eqNullSafe(F.col("of")), "left").drop("of")
-    # Only the bucket that holds the cut needs an order; all other rows are decided by their bucket.
-    at_cut = F.coalesce(F.col("b") == F.col("cut_b"), F.lit(False))
-    inside = Window.partitionBy("source").orderBy("q", F.col("doc_id").asc_nulls_last(), "size", "uid").rowsBetween(Window.unboundedPreceding, 0)
-    below = F.col("q").isNotNull() & (F.col("cut_b").isNull() | (F.col("b") < F.col("cut_b")))
-    decided = rows.where(~at_cut).withColumn("taken", below)
-    rows = decided.unionByName(rows.where(at_cut).withColumn("taken", F.col("before") + F.sum("size").over(inside) <= F.col("rest")))
-    rows = materialise(rows.select("uid", "doc_id", "source", "size", "source_size", "target", "whole", "rest", "q", "taken", *keep), "taken")
-    left = rows.where("q is not null").groupBy("source", "rest").agg(F.coalesce(F.sum(F.when(F.col("taken"), F.col("size"))), F.lit(0)).alias("got")).select(F.col("source").alias("of"), (F.col("rest") - F.col("got")).alias("gap"))
-    spare = rows.where("q is not null and not taken").join(left, F.col("source").eqNullSafe(F.col("of"))).withColumn("off", F.abs(F.col("size") - F.col("gap")))
-    extra = spare.where("off < gap").groupBy("source").agg(F.min(F.struct("off", "q", F.coalesce("doc_id", F.lit((1 << 63) - 1)), "uid")).alias("best")).select(F.col("best.uid").alias("uid"), F.lit(1).alias("more"))
-    rows = rows.join(extra, "uid", "left")
-    copies = F.col("whole") + F.col("taken").cast("long") + F.coalesce("more", F.lit(0))
-    return rows.select("uid", "doc_id", "source", "size", "source_size", "target", copies.cast("long").alias("copies"), *keep)
+    sized = docs.select("doc_id", "source", *keep, size.alias("size")).withColumn("uid", F.monotonically_increasing_id()).withColumn("class", size_class(F.col("size")))
+    key = F.concat_ws(":", F.col("class"), F.coalesce(F.concat(F.lit("s"), "source"), F.lit("n")))
+    sized = materialise(sized.withColumn("key", key), "sizes")
+    by = materialise(sized.groupBy("source", "class", "key").agg(F.sum("size").alias("words"), F.count("*").alias("n")), "classes")
+    goal = targets(by.withColumnRenamed("words", "size"), weights, share, most).withColumnRenamed("source", "of")
+    table = materialise(inclusion(by.join(goal, F.col("source").eqNullSafe(F.col("of"))).drop("of", "source")), "inclusion")
+    total = by.agg(F.sum("n")).first()[0] or 0
+
+    out = [F.col(c) for c in ("uid", "doc_id", "source", "size", "source_size", "target", "p", "copies", *keep)]
+    rows = joined_by_count(sized, table.drop("class", "words"), "key", "n", total)
+    u = uniform(F.coalesce(F.col("doc_id").cast("string"), F.concat(F.lit("null:"), F.col("uid").cast("string"))), seed)
+    rows = rows.withColumn("q", F.when(F.col("p").isNotNull(), (u / (F.lit(1.0) - u)) / (F.col("p") / (F.lit(1.0) - F.col("p")))))
+    rows = materialise(rows.withColumn("b", F.floor(F.lit(float(BUCKETS)) * (F.col("q") / (F.lit(1.0) + F.col("q"))))).drop("key", "class"), "ranked")
+    done = [rows.where("q is null").withColumn("copies", F.col("base")).select(*out)]
+    left = rows.where("q is not null")
+    while True:
+        gaps = left.groupBy("rank").agg(F.max("rest").alias("gap"), F.count("*").alias("n"))
+        tried = _round(left, gaps, total)
+        done.append(tried.where("taken"))
+        over = tried.groupBy("rank").agg((F.max("rest") - F.coalesce(F.sum(F.when(F.col("taken"), F.col("size"))), F.lit(0))).alias("gap"), F.count("*").alias("n"), F.min(F.when(~F.col("taken"), F.col("size"))).alias("least"))
+        over = materialise(over, "gaps")
+        going = over.where("least <= gap").count() > 0
+        passed = joined_by_count(tried.where("not taken").drop("taken"), over.select("rank", "gap", "n"), "rank", "n", total)
+        done[-1] = done[-1].withColumn("copies", F.col("base") + 1).select(*out)
+        passed = passed.withColumn("rest", F.col("gap")).withColumn("fits", F.col("size") <= F.col("gap")).drop("gap")
+        done.append(passed.where("not fits").withColumn("copies", F.col("base")).select(*out))
+        if not going:
+            return reduce(DataFrame.unionByName, done)
+        left = materialise(passed.where("fits").drop("fits"), "passed")

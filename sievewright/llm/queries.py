@@ -109,7 +109,7 @@ SELECT conv_id, count(*) AS n_turns,
 FROM t GROUP BY conv_id"""
 
 OP3 = r"""
-WITH d AS (
+WITH RECURSIVE d AS (
   SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS size,
     (CAST('0x' || substr(md5('17:' || coalesce(CAST(doc_id AS VARCHAR), 'null')), 1, 13) AS BIGINT)::DOUBLE + 0.5) / 4503599627370496.0 AS u
   FROM documents),
@@ -122,16 +122,23 @@ f AS (SELECT *, sum(w) OVER (ORDER BY cap / w, rk ROWS BETWEEN CURRENT ROW AND U
 g AS (SELECT *, (total - caps_before) * w >= cap * w_left AS capped FROM f),
 h AS (SELECT *, coalesce(sum(CASE WHEN capped THEN cap END) OVER (), 0) AS caps, sum(CASE WHEN NOT capped THEN w END) OVER () AS free_w FROM g),
 t AS (SELECT source, source_size, CASE WHEN capped THEN cap ELSE (total - caps) * w / free_w END AS target FROM h),
-j AS (SELECT d.*, source_size, target, CASE WHEN source_size > 0 THEN target / source_size ELSE 0 END AS ratio
+c AS (SELECT d.*, source_size, target, CASE WHEN size > 0 THEN (length(bin(size)) - 1) // 2 ELSE -1 END AS class
   FROM d JOIN t ON d.source IS NOT DISTINCT FROM t.source),
-k AS (SELECT *, floor(ratio) AS whole, ratio - floor(ratio) AS p, target - floor(ratio) * source_size AS rest FROM j),
-q AS (SELECT *, CASE WHEN p > 0 THEN (u / (1.0::DOUBLE - u)) / (p / (1.0::DOUBLE - p)) END AS q FROM k),
-b AS (SELECT *, sum(size) OVER (PARTITION BY source ORDER BY q, doc_id NULLS LAST, size ROWS UNBOUNDED PRECEDING) AS past FROM q),
-x AS (SELECT *, q IS NOT NULL AND past <= rest AS taken FROM b),
-y AS (SELECT *, rest - coalesce(sum(CASE WHEN taken THEN size END) OVER (PARTITION BY source), 0) AS gap FROM x),
-z AS (SELECT *, row_number() OVER (PARTITION BY source ORDER BY CASE WHEN q IS NOT NULL AND NOT taken AND abs(size - gap) < gap THEN abs(size - gap) END NULLS LAST, q, doc_id NULLS LAST) = 1
-  AND q IS NOT NULL AND NOT taken AND abs(size - gap) < gap AS more FROM y)
-SELECT doc_id, size, source_size, target, CAST((whole + CAST(taken AS INT) + CAST(more AS INT)) * size AS BIGINT) AS taken FROM z"""
+k AS (SELECT source, class, CAST(sum(size) AS BIGINT) AS words, any_value(source_size) AS source_size, any_value(target) AS target FROM c GROUP BY source, class),
+l AS (SELECT *, CASE WHEN source_size > 0 THEN CAST(floor(target / source_size) AS BIGINT) ELSE 0 END AS whole, CASE WHEN class >= 0 THEN pow(2.0::DOUBLE, class) ELSE 0.0::DOUBLE END AS x FROM k),
+m AS (SELECT *, target - whole * source_size AS extra, coalesce(CAST(sum(words) OVER (PARTITION BY source ORDER BY class DESC ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS BIGINT), 0) AS larger,
+  sum(x * words) OVER (PARTITION BY source ORDER BY class DESC ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS weighed FROM l),
+n AS (SELECT *, x > 0 AND (extra - larger) * x >= weighed AS certain FROM m),
+o AS (SELECT *, extra - coalesce(CAST(sum(CASE WHEN certain THEN words END) OVER (PARTITION BY source) AS BIGINT), 0) AS rest, sum(CASE WHEN NOT certain THEN x * words END) OVER (PARTITION BY source) AS free FROM n),
+p AS (SELECT source, class, rest, whole + CAST(certain AS INT) AS base, CASE WHEN NOT certain AND x > 0 AND rest > 0 THEN rest * x / free END AS p FROM o),
+q AS (SELECT c.*, rest, base, (u / (1.0::DOUBLE - u)) / (p / (1.0::DOUBLE - p)) AS q FROM c JOIN p ON c.source IS NOT DISTINCT FROM p.source AND c.class = p.class),
+b AS (SELECT *, row_number() OVER v AS rk, CAST(sum(size) OVER (v ROWS UNBOUNDED PRECEDING) AS BIGINT) AS past FROM q WHERE q IS NOT NULL WINDOW v AS (PARTITION BY source ORDER BY q, doc_id NULLS LAST, size)),
+a AS (SELECT source, max(rest) - coalesce(max(past) FILTER (WHERE past <= rest), 0) AS gap, coalesce(max(rk) FILTER (WHERE past <= rest), 0) AS rk FROM b GROUP BY source),
+e AS (SELECT source, gap, rk, rk AS first FROM a
+  UNION ALL SELECT e.source, e.gap - arg_min(b.size, b.rk), min(b.rk), -1 FROM e JOIN b ON e.source IS NOT DISTINCT FROM b.source AND b.rk > e.rk AND b.size <= e.gap GROUP BY e.source, e.gap, e.rk),
+y AS (SELECT b.doc_id, b.source FROM b JOIN a ON b.source IS NOT DISTINCT FROM a.source WHERE b.rk <= a.rk
+  UNION ALL SELECT b.doc_id, b.source FROM b JOIN e ON b.source IS NOT DISTINCT FROM e.source AND b.rk = e.rk WHERE e.first = -1)
+SELECT q.doc_id, size, source_size, target, CAST((base + CAST(y.doc_id IS NOT NULL AS INT)) * size AS BIGINT) AS taken FROM q LEFT JOIN y ON q.doc_id = y.doc_id"""
 
 OP7 = r"""
 WITH w AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
