@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import base64
 import hashlib
 import random
 import re
@@ -460,6 +461,48 @@ def test_warc_round_trip(spark):
     assert warc.read_archives(spark, plain).count() == len(rows)
 
 
+def archive(tmp_path, data, name="a.warc"):
+    folder = tmp_path / "archives"
+    folder.mkdir(exist_ok=True)
+    (folder / name).write_bytes(data)
+    return f"file://{folder}"
+
+
+def record(payload, version=b"1.0", more=b"", kind=b"response", number=None):
+    head = b"WARC/" + version + b"\r\nWARC-Type: " + kind + b"\r\nWARC-Target-URI: http://x/\r\n" + more
+    head += b"WARC-Record-ID: <urn:page:%d>\r\n" % number if number is not None else b""
+    return head + b"Content-Length: %d\r\n\r\n" % len(payload) + payload + b"\r\n\r\n"
+
+
+def test_foreign_archives_are_read_or_refused(spark, tmp_path):
+    three = [record(b"one"), record(b"", b"1.1"), record(b"WARC/1.0\r\n\r\nContent-Length: 5\r\n\r\n" * 3)]
+    got = warc.read_archives(spark, archive(tmp_path, b"".join(three))).orderBy("at").collect()
+    assert [r["payload_bytes"] for r in got] == [3, 0, 99] and [r["page_id"] for r in got] == [None] * 3 and got[0]["uri"] == "http://x/"
+    assert got[0]["digest"] == hashlib.sha1(b"one").hexdigest()
+    assert warc.read_archives(spark, archive(tmp_path, b"")).count() == 0
+    told = b"WARC-Block-Digest: sha1:" + base64.b32encode(hashlib.sha1(b"abc").digest()) + b"\r\n"
+    assert warc.read_archives(spark, archive(tmp_path, record(b"abc", more=told))).count() == 1
+    for bad in (b"x" + b"".join(three), three[0] + b"xy" + three[1], b"".join(three)[:-2], b"".join(three) + b"tail", three[0] + record(b"abd", more=told)):
+        with pytest.raises(Exception, match="no record at byte|cut short|differs from its digest"):
+            warc.read_archives(spark, archive(tmp_path, bad)).collect()
+
+
+@pytest.mark.parametrize("per_pass", [warc.PER_PASS, 2])
+def test_records_across_splits(spark, tmp_path, per_pass):
+    rng = random.Random(5)
+    lure = b"WARC/1.1\r\nWARC-Type: response\r\nContent-Length: 100000\r\n\r\n"
+    payloads = [rng.choice([b"ab\r\n\r\n", lure, b"WARC/1.", b"0123456789" * 50]) * rng.randrange(1, 60) for _ in range(60)]
+    path = archive(tmp_path, b"".join(record(p, rng.choice([b"1.0", b"1.1"]), number=i) for i, p in enumerate(payloads)))
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "7001")
+    try:
+        rows = warc.read_archives(spark, path, per_pass)
+        got = {r["page_id"]: (r["payload_bytes"], r["digest"]) for r in rows.collect()}
+        assert spark.read.text(path).rdd.getNumPartitions() > 20
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    assert got == {i: (len(p), hashlib.sha1(p).hexdigest()) for i, p in enumerate(payloads)}
+
+
 def test_pointer_jumping():
     rng = random.Random(3)
     at = sorted(rng.sample(range(1, 5000), 300))
