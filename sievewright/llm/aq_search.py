@@ -2,18 +2,24 @@
 
 A vector is coded as a sum of full-dimensional codewords, one from each codebook. Codebooks are fitted on the driver to
 the residuals of a bounded sample (``SAMPLE`` vectors, the first by hash). Encoding is a beam search: the best partial
-sums are kept at every codebook. The squared norm of the reconstruction is stored with the code, so that
-|q - x|^2 = |q|^2 - 2 sum_m <q, c_m> + |x|^2 needs one table lookup for each codebook. The best ``rerank`` candidates
-of each block by this score, and all that tie with the last, are measured exactly in double precision.
-
-Scale: every row is encoded and scored, in blocks of bounded size that one task holds. Queries come as packed blocks
-too; each query block is listed once for each block of rows, which is what a search of a stated query set against all
-rows asks for. A block of rows returns its best k for each query; these are merged by query with a pre-aggregated
-top-k. Codebooks are broadcast (bounded: books x words x dims).
-
-Null, zero and non-finite vectors, vectors with null components and vectors whose length differs from the most usual
-one take no part. Null vec_ids take no part either. Repeated rows are candidates of their own, except that a row with
-the query's vec_id never answers it. Extra columns are ignored. An empty table or query set gives an empty result.
+sums are kept at every codebook. Codes are written once, with the squared norm of the reconstruction, so that
+|q - x|^2 = |q|^2 - 2 sum_m <q, c_m> + |x|^2 needs one table lookup for each codebook and no vector. The scan reads codes
+alone; each block of them gives each query its best by this score, and all that tie with the last. Of these the best
+``rerank`` of a query fetch their original vectors and are measured exactly in double precision.
+
+Lengths: vectors are compared with those of their own length. The ``LENGTHS`` most usual lengths have codebooks; of any
+other length the vector is its own code and its score is exact, so no vector is left out.
+
+Scale: every row is coded and scored, in blocks of codes of bounded size that one task holds. Queries come as blocks too;
+each query block is listed once for each block of codes, which is what a search of a stated query set against all rows
+asks for. A block's quota is its even share of ``rerank`` and six standard deviations, as rows are dealt by hash; merging
+keeps ``rerank`` rows a query, pre-cut in every task. Originals move once for each row that is reranked. Codebooks are
+broadcast (bounded: lengths x books x words x dims). Rows that repeat a vector and an id meet in one block.
+
+Null, zero and non-finite vectors and vectors with null components take no part. Null vec_ids take no part either. Ties
+go to the smaller vec_id. Repeated rows are candidates of their own, except that a row with the query's vec_id never
+answers it; rows that repeat a query's id share its k answers. Extra columns are ignored. An empty table or query set
+gives an empty result.
 """
 
 from __future__ import annotations
@@ -26,11 +32,13 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from sievewright.llm.common import bounded_sample, materialise
+from sievewright.llm.common import bounded_sample, materialise, short_batches
 from sievewright.llm.embeddup import sound
 
-#: On isotropic vectors of 64 components, the hardest case, these find 99 of 100 true neighbours in a block.
-BOOKS, WORDS, BEAM, SAMPLE, RERANK, BLOCK, QUERY_BLOCK = 24, 128, 3, 4096, 400, 8192, 512
+#: On 50,000 isotropic vectors of 64 components, the hardest case, these find 97 of 100 true neighbours.
+BOOKS, WORDS, BEAM, SAMPLE, RERANK, BLOCK, QUERY_BLOCK = 24, 128, 3, 4096, 400, 16384, 128
+#: Lengths that have codebooks.
+LENGTHS = 4
 
 
 def _kmeans(x: np.ndarray, k: int, rng: np.random.Generator, steps: int = 8) -> np.ndarray:
@@ -56,24 +64,23 @@ def fit_codebooks(x: np.ndarray, books: int = BOOKS, words: int = WORDS, seed: i
 def encode(x: np.ndarray, books: np.ndarray, beam: int = BEAM) -> tuple[np.ndarray, np.ndarray]:
     """(codes, squared norms of the reconstructions) by beam search, in steps of 1024 rows."""
     codes, norms = [], []
-    gram = np.einsum("mwd,nvd->mwnv", books, books)
+    words = books.shape[1]
+    single = books.astype(np.float32)
+    lengths = (single**2).sum(axis=2)
     for at in range(0, len(x), 1024):
-        part = x[at : at + 1024]
-        dots = np.einsum("nd,mwd->nmw", part, books)
-        n, words = len(part), books.shape[1]
-        chosen, cost = np.zeros((n, 1, 0), dtype=np.int64), np.zeros((n, 1))
+        left = x[at : at + 1024].astype(np.float32)[:, None, :]  # residuals of the partial sums
+        n = len(left)
+        chosen, cost = np.zeros((n, 1, 0), dtype=np.int64), np.zeros((n, 1), dtype=np.float32)
         for m in range(len(books)):
-            # |x - s - c|^2 less |x - s|^2 is |c|^2 - 2 <x, c> + 2 <s, c>
-            add = np.diag(gram[m, :, m, :])[None, None, :] - 2 * dots[:, m, None, :]
-            for b in range(m):
-                add = add + 2 * gram[b][chosen[:, :, b], m]
-            total = (cost[:, :, None] + add).reshape(n, -1)
+            # |r - c|^2 less |r|^2 is |c|^2 - 2 <r, c>
+            total = (cost[:, :, None] + lengths[m] - 2 * (left @ single[m].T)).reshape(n, -1)
             width = min(beam, total.shape[1])
             best = np.argpartition(total, width - 1, axis=1)[:, :width]
             cost = np.take_along_axis(total, best, axis=1)
-            chosen = np.concatenate([np.take_along_axis(chosen, (best // words)[:, :, None], axis=1), (best % words)[:, :, None]], axis=2)
-        last = cost.argmin(axis=1)
-        code = chosen[np.arange(n), last]
+            old, word = best // words, best % words
+            left = np.take_along_axis(left, old[:, :, None], axis=1) - single[m][word]
+            chosen = np.concatenate([np.take_along_axis(chosen, old[:, :, None], axis=1), word[:, :, None]], axis=2)
+        code = chosen[np.arange(n), cost.argmin(axis=1)]
         made = books[np.arange(len(books)), code].sum(axis=1)
         codes.append(code.astype(np.uint8 if words <= 256 else np.uint16))
         norms.append((made**2).sum(axis=1))
@@ -83,73 +90,140 @@ def encode(x: np.ndarray, books: np.ndarray, beam: int = BEAM) -> tuple[np.ndarr
 def score(queries: np.ndarray, codes: np.ndarray, norms: np.ndarray, books: np.ndarray) -> np.ndarray:
     """Approximate squared distances less |q|^2, by lookup."""
     tables = np.einsum("qd,mwd->mqw", queries, books)
-    return norms[None, :] - 2 * sum(tables[m][:, codes[:, m]] for m in range(len(books)))
+    out = np.zeros((len(queries), len(codes)))
+    for m in range(len(books)):
+        out += tables[m][:, codes[:, m]]
+    return norms[None, :] - 2 * out
 
 
-def search(vectors: DataFrame, queries: Column, k: int = 10, rerank: int = RERANK, block: int = BLOCK, query_block: int = QUERY_BLOCK, books: int = BOOKS, words: int = WORDS) -> DataFrame:
+def quota(rerank: int, blocks: int) -> int:
+    """How many of a query's best ``rerank`` rows a block may hold: its even share and six standard deviations."""
+    share = rerank / blocks
+    return min(rerank, int(share + 6 * share**0.5) + 8)
+
+
+def _cell(cell: pa.Scalar, *kinds: np.dtype | None) -> list:
+    """The fields of a list of structs, as arrays; a field with a kind is packed bytes of one length, made a matrix."""
+    inner = cell.values
+    out = []
+    for i, kind in enumerate(kinds):
+        field = inner.field(i)
+        out.append(field.to_numpy(zero_copy_only=False) if kind is None else np.frombuffer(b"".join(field.to_pylist()), dtype=kind).reshape(len(field), -1))
+    return out
+
+
+def codebooks(rows: DataFrame, sizes: list[tuple[int, int]], kind: np.dtype, books: int, words: int) -> dict[int, tuple[np.ndarray, float]]:
+    """(codebooks, unit) for each of the given (length, number of rows); rows has vec_id, d and v (packed)."""
+    out = {}
+    for d, n in sizes:
+        taken = bounded_sample(rows.where(F.col("d") == d), F.struct("vec_id", "v"), n, SAMPLE).select("v").collect()
+        x = np.frombuffer(b"".join(r["v"] for r in taken), dtype=kind).reshape(-1, d).astype(np.float64)
+        unit = float(np.abs(x).max())
+        out[d] = fit_codebooks(x / unit, books, words), unit
+    return out
+
+
+def search(vectors: DataFrame, queries: Column, k: int = 10, rerank: int = RERANK, block: int = BLOCK, query_block: int = QUERY_BLOCK, books: int = BOOKS, words: int = WORDS, lengths: int = LENGTHS) -> DataFrame:
     """(query_id, rank, vec_id, score): the k nearest found for every row that ``queries`` selects, by Euclidean distance."""
     spark = vectors.sparkSession
-    rows = vectors.where(sound() & F.col("vec_id").isNotNull()).select("vec_id", F.transform("embedding", lambda x: x.cast("double")).alias("v"), queries.alias("is_query"))
-    rows = materialise(rows, "vectors")
-    usual = rows.groupBy(F.size("v").alias("d")).agg(F.count("*").alias("n")).orderBy(F.desc("n"), "d").first()
-    if usual is None:
-        return spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
-    d, n = usual
-    rows = rows.where(F.size("v") == d)
-    sample = np.array([r["v"] for r in bounded_sample(rows, F.col("vec_id"), n, SAMPLE).select("v").collect()])
-    scale = float(np.abs(sample).max())
-    shared = spark.sparkContext.broadcast((fit_codebooks(sample / scale, books, words), scale))
-    blocks = max(1, -(-n // block))
-    asked = rows.where("is_query").count()
-    query_blocks = max(1, -(-asked // query_block))
-
-    def packed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    short_batches(spark)
+    narrow = vectors.schema["embedding"].dataType.elementType.typeName() == "float"
+    kind = np.dtype("<f4" if narrow else "<f8")
+    rows = vectors.where(sound() & F.col("vec_id").isNotNull()).select("vec_id", F.col("embedding").cast("array<float>" if narrow else "array<double>").alias("v"), queries.alias("is_query"))
+
+    def packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in batches:
-            part["v"] = [np.asarray(v, dtype="<f8").tobytes() for v in part["v"]]
-            yield part
-
-    raw = rows.mapInPandas(packed, "vec_id long, v binary, is_query boolean")
-    where = lambda count, seed: F.pmod(F.xxhash64("vec_id", "v", F.lit(seed)), F.lit(count))
-    fields = F.struct("vec_id", "v")
-    left = raw.groupBy(where(blocks, 1).alias("block")).agg(F.collect_list(fields).alias("rows"))
-    right = raw.where("is_query").groupBy(where(query_blocks, 2).alias("query_block")).agg(F.collect_list(fields).alias("asked"))
-    right = right.withColumn("block", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(blocks - 1).cast("long"))))
+            lists = part.column(1)
+            raw, ends = lists.flatten().to_numpy(zero_copy_only=False).astype(kind, copy=False), np.append(0, np.cumsum(np.array([len(x) for x in lists], dtype=np.int64)))
+            data = [raw[a:b].tobytes() for a, b in zip(ends[:-1].tolist(), ends[1:].tolist(), strict=True)]
+            yield pa.RecordBatch.from_arrays([part.column(0), pa.array(np.diff(ends).astype(np.int32)), pa.array(data, pa.binary()), part.column(2)], names=["vec_id", "d", "v", "is_query"])
+
+    rows = materialise(rows.mapInArrow(packed, "vec_id long, d int, v binary, is_query boolean").withColumn("uid", F.monotonically_increasing_id()), "vectors")
+    count = rows.agg(F.count("*").alias("n"), F.count(F.when(F.col("is_query"), 1)).alias("asked")).first()
+    if not count["asked"]:
+        return spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
+    usual = rows.groupBy("d").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "d").limit(lengths).collect()
+    shared = spark.sparkContext.broadcast(codebooks(rows, [(r["d"], r["n"]) for r in usual], kind, books, words))
+    blocks, query_blocks = max(1, -(-count["n"] // block)), max(1, -(-count["asked"] // query_block))
 
-    def unpack(cell: pa.Scalar) -> tuple[np.ndarray, np.ndarray]:
-        inner = cell.values
-        ids = inner.field(0).to_numpy(zero_copy_only=False)
-        v = np.frombuffer(b"".join(inner.field(1).to_pylist()), dtype="<f8").reshape(-1, d)
-        order = np.argsort(ids, kind="stable")
-        return ids[order], v[order]
+    def coded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            d = batch.column(2).to_numpy()
+            for size in np.unique(d).tolist():
+                part = batch.filter(pa.array(d == size))
+                raw = part.column(3).to_pylist()
+                if size in shared.value:
+                    table, unit = shared.value[size]
+                    codes, norms = encode(np.frombuffer(b"".join(raw), dtype=kind).reshape(-1, size).astype(np.float64) / unit, table)
+                    raw = [c.tobytes() for c in codes]
+                else:
+                    norms = np.zeros(len(raw))
+                yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), part.column(2), pa.array(raw, pa.binary()), pa.array(norms)], names=["uid", "vec_id", "d", "code", "norm"])
+
+    codes = materialise(rows.select("uid", "vec_id", "d", "v").mapInArrow(coded, "uid long, vec_id long, d int, code binary, norm double"), "codes")
+    where = lambda n, seed, *of: F.pmod(F.xxhash64(*of, F.lit(seed)), F.lit(n))
+    left = codes.groupBy("d", where(blocks, 1, "uid").alias("block")).agg(F.collect_list(F.struct("uid", "vec_id", "norm", "code")).alias("rows"))
+    asked = rows.where("is_query").withColumn("query_block", where(query_blocks, 2, "vec_id"))
+    right = asked.groupBy("d", "query_block").agg(F.collect_list(F.struct("vec_id", "v")).alias("asked"))
+    right = right.withColumn("block", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(blocks - 1).cast("long"))))
+    most = quota(rerank, blocks)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        codebooks, unit = shared.value
-        last, coded = None, None
+    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for at in range(batch.num_rows):
-                number = batch.column(0)[at].as_py()
-                if number != last:
-                    ids, v = unpack(batch.column(1)[at])
-                    coded, last = encode(v / unit, codebooks), number
-                asked_ids, asked_v = unpack(batch.column(2)[at])
+                d = batch.column(0)[at].as_py()
+                table, unit = shared.value.get(d, (None, 1.0))
+                uids, ids, norms, code = _cell(batch.column(1)[at], None, None, None, np.dtype(np.uint8 if words <= 256 else "<u2") if table is not None else kind)
+                asked_ids, asked_v = _cell(batch.column(2)[at], None, kind)
                 out: list[list] = [[], [], []]
-                for q0 in range(0, len(asked_ids), 64):
-                    rough = score(asked_v[q0 : q0 + 64] / unit, *coded, codebooks)
-                    for q, line in zip(range(q0, q0 + len(rough)), rough, strict=True):
-                        line[ids == asked_ids[q]] = np.inf
-                        if len(line) > rerank:
-                            limit = np.partition(line, rerank - 1)[rerank - 1]
-                            near = np.flatnonzero(line <= limit + 1e-12 * abs(limit))
-                        else:
-                            near = np.arange(len(line))
-                        near = near[ids[near] != asked_ids[q]]
-                        exact = np.sqrt(np.cumsum((v[near] - asked_v[q]) ** 2, axis=1)[:, -1])  # summed in order
-                        best = np.lexsort((ids[near], exact))[:k]
-                        out[0] += [int(asked_ids[q])] * len(best)
-                        out[1] += ids[near][best].tolist()
-                        out[2] += exact[best].tolist()
-                yield pa.RecordBatch.from_arrays([pa.array(out[0], pa.int64()), pa.array(out[1], pa.int64()), pa.array(out[2], pa.float64())], names=["query_id", "vec_id", "score"])
-
-    found = left.join(right, "block").select("block", "rows", "asked").mapInArrow(run, "query_id long, vec_id long, score double")
-    rank = F.row_number().over(Window.partitionBy("query_id").orderBy("score", "vec_id"))
-    return found.withColumn("rank", rank).where(F.col("rank") <= k).select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score")
+
+                def keep(q: int, line: np.ndarray, ids=ids, uids=uids, out=out) -> None:
+                    line[ids == q] = np.inf
+                    near = np.flatnonzero(line <= np.partition(line, most - 1)[most - 1]) if len(line) > most else np.arange(len(line))
+                    near = near[ids[near] != q]
+                    out[0].append(np.full(len(near), q))
+                    out[1].append(uids[near])
+                    out[2].append(line[near])
+
+                order = np.argsort(asked_ids, kind="stable")
+                last, held = None, None  # rows that repeat an id are one query: the least of their scores counts
+                for q0 in range(0, len(order), 64):
+                    some = asked_v[order[q0 : q0 + 64]].astype(np.float64)
+                    if table is not None:
+                        rough = score(some / unit, code, norms, table) + ((some / unit) ** 2).sum(axis=1)[:, None]
+                    else:
+                        rough = np.stack([((code.astype(np.float64) - q) ** 2).sum(axis=1) for q in some])
+                    for q, line in zip(asked_ids[order[q0 : q0 + 64]].tolist(), rough, strict=True):
+                        if q == last:
+                            held = np.minimum(held, line)
+                            continue
+                        if held is not None:
+                            keep(last, held)
+                        last, held = q, line
+                if held is not None:
+                    keep(last, held)
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in out], names=["query_id", "uid", "rough"])
+
+    found = left.join(right, ["d", "block"]).select("d", "rows", "asked").mapInArrow(scan, "query_id long, uid long, rough double")
+    nth = F.row_number().over(Window.partitionBy("query_id").orderBy("rough", "uid"))
+    found = found.withColumn("nth", nth).where(F.col("nth") <= max(rerank, k)).select("query_id", "uid")
+    fetched = found.join(rows.select("uid", "vec_id", "d", "v"), "uid").select(where(query_blocks, 2, "query_id").alias("query_block"), "query_id", "vec_id", "d", "v")
+
+    def measure(near: pd.DataFrame, own: pd.DataFrame) -> pd.DataFrame:
+        vector = {(i, d): [np.frombuffer(v, dtype=kind).astype(np.float64) for v in group["v"]] for (i, d), group in own.groupby(["vec_id", "d"])}
+        out = [(np.zeros(0, dtype=np.int64),) * 3 + (np.zeros(0),)]
+        for q, some in near.groupby("query_id"):
+            ids, scores = [], []
+            for d, part in some.groupby("d"):
+                x = np.frombuffer(b"".join(part["v"]), dtype=kind).reshape(-1, d).astype(np.float64)
+                for y in vector.get((q, d), ()):
+                    ids.append(part["vec_id"].to_numpy())
+                    scores.append(np.sqrt(np.cumsum((x - y) ** 2, axis=1)[:, -1]))  # summed in order
+            ids, scores = np.concatenate(ids), np.concatenate(scores)
+            best = np.lexsort((ids, scores))[:k]
+            out.append((np.full(len(best), q), np.arange(1, len(best) + 1), ids[best], scores[best]))
+        query, rank, ids, scores = (np.concatenate(c) for c in zip(*out, strict=True))
+        return pd.DataFrame({"query_id": query, "rank": rank.astype(np.int32), "vec_id": ids, "score": scores})
+
+    own = asked.select("query_block", "vec_id", "d", "v")
+    return fetched.groupBy("query_block").cogroup(own.groupBy("query_block")).applyInPandas(measure, "query_id long, rank int, vec_id long, score double")

@@ -423,6 +423,14 @@ def test_search_finds_the_nearest(spark):
     assert aq_search.search(df.limit(0), F.col("vec_id") % 100 == 0).count() == 0
     few = aq_search.search(df.where("vec_id in (0, 1, 2)"), F.col("vec_id") % 100 == 0).collect()
     assert len(few) == 2
+    # Lengths without codebooks, repeated queries and ties.
+    short = [(i, [float(a) for a in v], 0, 1, 1, 1) for i, v in ((100, (1, 2)), (100, (5, 5)), (3, (1, 3)), (2, (1, 3)), (5, (9, 9)), (5, (9, 9)), (200, (4, 5)))]
+    mixed = spark.createDataFrame(rows + short, VECTORS)
+    got = aq_search.search(mixed, F.col("vec_id").isin(100, 200) & (F.size("embedding") == 2), k=4, lengths=1, block=3)
+    got = [tuple(r)[:3] for r in got.where("query_id = 100 or query_id = 200").orderBy("query_id", "rank").collect()]
+    assert len(got) == 8 and [x[1] for x in got] == [1, 2, 3, 4] * 2
+    brute = sorted((sum((a - b) ** 2 for a, b in zip(x[1], y[1], strict=True)) ** 0.5, y[0]) for x in short if x[0] == 100 for y in short if y[0] != 100)
+    assert [i for _, _, i in got[:4]] == [i for _, i in brute[:4]]
 
 
 def test_recall_on_isotropic_vectors():
