@@ -399,12 +399,22 @@ def test_embedding_links(spark):
 
 
 def test_small_tiles_give_the_same_links(spark):
-    df = spark.createDataFrame(some_vectors(), VECTORS).where(embeddup.sound() & F.col("label").isNotNull() & (F.size("embedding") == 16))
-    df = df.select(F.monotonically_increasing_id().alias("key"), "label", F.transform("embedding", lambda x: x.cast("double")).alias("v"), F.lit(1).cast("long").alias("copies"))
-    one, two = ({r["a"]: r["n"] for r in embeddup.links(df, tile=t).groupBy("a").agg(F.sum("n").alias("n")).collect()} for t in (1024, 16))
+    rows = [(i, int(label), 16, np.array(v, dtype="<f4").tobytes(), 1) for i, (_, v, label, *_) in enumerate(some_vectors()) if usable(v) and label is not None and len(v) == 16]
+    df = spark.createDataFrame(rows, "key long, label int, d int, v binary, copies long")
+    one, two = ({r["a"]: r["n"] for r in embeddup.links(df, np.dtype("<f4"), block=b, tile=t).groupBy("a").agg(F.sum("n").alias("n")).collect()} for b, t in ((4096, 512), (40, 7)))
     assert one == two and one
 
 
+def test_cosines_at_the_threshold(spark):
+    a, b = [1.0, 0.0], [0.98, 0.199]  # the angle is decided by dot / (|a| |b|)
+    t = 0.98 / (1.0 * float(np.sqrt(0.98**2 + 0.199**2)))
+    df = spark.createDataFrame([(i, v, 1) for i, v in enumerate((a, b, [x * 3 for x in b], [-x for x in a], a))], "vec_id long, embedding array<double>, label int")
+    got = {r["vec_id"]: r["n_links"] for r in embeddup.near_duplicates(df, t).collect()}
+    assert got == {0: 3, 1: 3, 2: 3, 3: 0, 4: 3}
+    got = {r["vec_id"]: r["n_links"] for r in embeddup.near_duplicates(df, float(np.nextafter(t, 2))).collect()}
+    assert got[3] == 0 and got[0] == got[4] <= 2 and got[1] >= 1
+
+
 def test_search_finds_the_nearest(spark):
     rows = some_vectors(1500)
     df = spark.createDataFrame(rows, VECTORS)
