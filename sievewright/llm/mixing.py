@@ -9,8 +9,8 @@ sample without replacement with unequal probabilities: a document's inclusion pr
 of two near the square root of its size (:func:`size_class`), at the level at which the expected words are the rest of
 the target; documents whose p reaches 1 get one more certain copy. All others are ranked by random odds over inclusion
 odds, q = (u / (1 - u)) / (p / (1 - p)), with u a random number fixed by doc_id and seed, and taken in this order while
-the source's remaining words last. A document that doesn't fit is passed over, so a source ends short of its target by
-less than the smallest document that was left out.
+the source's remaining words last. A document that doesn't fit is passed over, as long as the source lacks more than
+``tolerance`` of its target; so it ends short by less than that, or than the smallest document that was left out.
 
 Scale: texts are read once; the short tables in between are written, which keeps plans small. q is mapped to one of
 ``BUCKETS`` buckets of the source; sums by (source, bucket) are pre-aggregated, one bucket a source holds the cut, and
@@ -35,6 +35,8 @@ from sievewright.llm.common import WORD_PATTERN, joined_by_count, materialise
 
 WEIGHTS = (5, 2, 1)
 SHARE, MOST, BUCKETS, SEED = 1.5, 2.0, 4096, 17
+#: A source that lacks no more than this part of its target is done.
+TOLERANCE = 0.001
 
 
 def uniform(key: Column, seed: int = SEED) -> Column:
@@ -97,7 +99,7 @@ def _round(left: DataFrame, gaps: DataFrame, total: int) -> DataFrame:
     return materialise(rows.drop("cut_b", "before", "gap"), "round")
 
 
-def mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, share: float = SHARE, most: float = MOST, seed: int = SEED, keep: tuple[str, ...] = ()) -> DataFrame:
+def mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, share: float = SHARE, most: float = MOST, seed: int = SEED, keep: tuple[str, ...] = (), tolerance: float = TOLERANCE) -> DataFrame:
     """One row a document: uid, doc_id, source, size, source_size, target, p (null: not drawn), copies (how often the mix takes it).
 
     ``uid`` numbers the rows of this call; it tells repeated rows apart. ``keep`` names short columns to carry along.
@@ -121,14 +123,14 @@ def mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, share: float = SHAR
     while True:
         gaps = left.groupBy("rank").agg(F.max("rest").alias("gap"), F.count("*").alias("n"))
         tried = _round(left, gaps, total)
-        done.append(tried.where("taken"))
-        over = tried.groupBy("rank").agg((F.max("rest") - F.coalesce(F.sum(F.when(F.col("taken"), F.col("size"))), F.lit(0))).alias("gap"), F.count("*").alias("n"), F.min(F.when(~F.col("taken"), F.col("size"))).alias("least"))
+        over = tried.groupBy("rank").agg((F.max("rest") - F.coalesce(F.sum(F.when(F.col("taken"), F.col("size"))), F.lit(0))).alias("gap"), F.count("*").alias("n"), F.min(F.when(~F.col("taken"), F.col("size"))).alias("least"), F.max("target").alias("goal"))
         over = materialise(over, "gaps")
-        going = over.where("least <= gap").count() > 0
-        passed = joined_by_count(tried.where("not taken").drop("taken"), over.select("rank", "gap", "n"), "rank", "n", total)
-        done[-1] = done[-1].withColumn("copies", F.col("base") + 1).select(*out)
-        passed = passed.withColumn("rest", F.col("gap")).withColumn("fits", F.col("size") <= F.col("gap")).drop("gap")
-        done.append(passed.where("not fits").withColumn("copies", F.col("base")).select(*out))
-        if not going:
+        wide = F.col("gap") > tolerance * F.col("goal")
+        if over.where("least <= gap").where(wide).isEmpty():
+            done.append(tried.withColumn("copies", F.col("base") + F.col("taken").cast("long")).select(*out))
             return reduce(DataFrame.unionByName, done)
-        left = materialise(passed.where("fits").drop("fits"), "passed")
+        passed = joined_by_count(tried, over.drop("least"), "rank", "n", total)
+        passed = passed.withColumn("rest", F.col("gap")).withColumn("fits", ~F.col("taken") & (F.col("size") <= F.col("gap")) & wide)
+        passed = materialise(passed.drop("gap", "goal"), "passed")
+        done.append(passed.where("not fits").withColumn("copies", F.col("base") + F.col("taken").cast("long")).select(*out))
+        left = passed.where("fits").drop("fits", "taken")

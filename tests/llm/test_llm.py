@@ -162,7 +162,33 @@ def test_mix_hits_targets_of_many_documents(spark):
     rng = random.Random(4)
     rows = docs(spark, [(i, "w " * rng.randrange(1, 60), "en", "abc"[min(2, rng.randrange(6))]) for i in range(3000)])
     sums = mixing.mix(rows).groupBy("source").agg(F.sum(F.col("size") * F.col("copies")).alias("t"), F.first("target").alias("g")).collect()
-    assert all(abs(r["t"] - r["g"]) <= 1 for r in sums)
+    assert all(0 <= r["g"] - r["t"] <= mixing.TOLERANCE * r["g"] + 1 for r in sums)
+
+
+def test_inclusion_is_unequal_and_as_often_as_said(spark):
+    rng = random.Random(12)
+    rows = docs(spark, [(i, "w " * int(2 ** rng.uniform(0, 9)), "en", "ab"[i % 3 == 0]) for i in range(3000)])
+    got = mixing.mix(rows).where("p is not null").collect()
+    assert len({r["p"] for r in got if r["source"] == "a"}) > 2
+    for source in "ab":
+        own = [r for r in got if r["source"] == source]
+        whole = min(r["copies"] for r in own)
+        by_p = defaultdict(list)
+        for r in own:
+            by_p[r["p"]].append(r["copies"] - whole)
+        for p, taken in by_p.items():
+            assert 0 < p < 1 and abs(sum(taken) - p * len(taken)) <= 4 * (p * (1 - p) * len(taken)) ** 0.5 + 1
+    # The order is that of odds over inclusion odds, not that of the random numbers.
+    with_u = mixing.mix(rows).where("p is not null and source = 'a'").select("p", "copies", mixing.uniform(F.col("doc_id")).alias("u")).collect()
+    low = min(r["copies"] for r in with_u)
+    taken, left = ([r["u"] for r in with_u if (r["copies"] > low) == x] for x in (True, False))
+    assert max(taken) > min(left)
+
+
+def test_documents_that_do_not_fit_are_passed_over(spark):
+    rows = docs(spark, [(0, "w " * 1000, "en", "s"), *((i, "w", "en", "s") for i in range(1, 2001))])
+    got = mixing.mix(rows, share=0.4, tolerance=0.0).agg(F.sum(F.col("size") * F.col("copies"))).first()[0]
+    assert got == 1200
 
 
 # Packing
