@@ -4,13 +4,18 @@ Every language has a codeword of bits; one binary classifier a bit, linear over
 Decoding weighs the bits' losses by how well each classifier did on its training rows, chooses the codeword with
 the smallest loss, and flags a document as ambiguous when the runner-up is close.
 
-The classifier is fitted on the driver on a bounded sample: at most ``per_lang`` labelled rows a language, the
-first by a hash of doc_id, and at most ``max_langs`` languages, the most frequent. Prediction covers every row and
-reads whole texts.
+Codewords have as many bits as keep any two of them ``DISTANCE`` apart, so wrong bits can be outvoted however many
+languages there are.
+
+The classifier is fitted on the driver on a bounded sample: at most ``per_lang`` labelled rows a language, the first by a
+hash of doc_id, and fewer if languages are so many that all together would pass ``most_rows`` (but ``LEAST_ROWS`` of each:
+no language is left out). Rows are held as sparse features and fitted in batches of ``BATCH``. Prediction covers every row
+and reads whole texts, however long: a text is its counts of byte n-grams.
 
 Null or letterless text: ``und``, score 0, not ambiguous. Null lang: never used in fitting. Without any labelled row
-with letters everything is ``und``. Repeated rows are predicted alike. Null doc_ids are used like others (their hash
-is a constant). Extra columns pass through.
+with letters everything is ``und``. Equal losses go to the language that is first by code point. Repeated rows are
+predicted alike. Null doc_ids are used like others (their hash is a constant). Extra columns pass through. An empty table
+fits no model and gives an empty result.
 """
 
 from __future__ import annotations
@@ -26,7 +31,7 @@ from pyspark.sql import functions as F
 
 from sievewright.llm.common import byte_texts, short_batches
 
-PER_LANG, MAX_LANGS, BITS = 250, 64, 15
+PER_LANG, MOST_ROWS, LEAST_ROWS, BITS, DISTANCE, BATCH = 250, 8000, 8, 15, 5, 1000
 UNKNOWN = "und"
 _DIMS = 4096 + 8192
 
@@ -63,18 +68,27 @@ def features(text: bytes) -> np.ndarray | None:
     return x / max(float(np.linalg.norm(x)), 1e-9)
 
 
-def codewords(k: int, bits: int) -> np.ndarray:
-    """k rows of +1/-1, far apart: the best of a fixed series of random matrices whose columns split the classes."""
-    rng, best, found = np.random.default_rng(7), -1, np.ones((k, bits))
-    for _ in range(400):
-        m = rng.integers(0, 2, (k, bits)) * 2 - 1
-        for j in range(bits):
-            while k > 1 and abs(m[:, j].sum()) == k:
-                m[:, j] = rng.integers(0, 2, k) * 2 - 1
-        far = min((int((m[a] != m[b]).sum()) for a in range(k) for b in range(a)), default=bits)
-        if far > best:
-            best, found = far, m
-    return found.astype(np.float64)
+def codewords(k: int, bits: int = BITS, distance: int = DISTANCE) -> np.ndarray:
+    """k rows of +1/-1, any two ``distance`` bits apart or more: the best of a fixed series of random matrices.
+
+    Columns split the classes. Bits are added until the distance is reached.
+    """
+    rng, bits = np.random.default_rng(7), max(bits, 2 * (k - 1).bit_length())
+    while True:
+        best, found = -1, np.ones((k, bits))
+        for _ in range(400 if k <= 64 else 8):
+            m = rng.integers(0, 2, (k, bits)) * 2 - 1
+            for j in range(bits):
+                while k > 1 and abs(m[:, j].sum()) == k:
+                    m[:, j] = rng.integers(0, 2, k) * 2 - 1
+            alike = (m @ m.T).astype(np.int32)
+            np.fill_diagonal(alike, -bits)
+            far = int(bits - alike.max()) // 2 if k > 1 else bits
+            if far > best:
+                best, found = far, m
+        if best >= distance:
+            return found.astype(np.float64)
+        bits += 4
 
 
 @dataclass(frozen=True)
@@ -96,31 +110,50 @@ class EcocModel:
         loss = self.losses(x)
         p = np.exp(loss.min(axis=1, keepdims=True) - loss)
         p /= p.sum(axis=1, keepdims=True)
-        best = loss.argmin(axis=1)
+        best = np.round(loss, 9).argmin(axis=1)  # sums that differ by rounding are equal
         rest = np.sort(loss, axis=1)
         near = rest[:, 1] - rest[:, 0] < margin if loss.shape[1] > 1 else np.zeros(len(x), dtype=bool)
         return [(self.langs[b], float(p[i, b]), bool(near[i])) for i, b in enumerate(best)]
 
 
-def _fit_bits(x: np.ndarray, y: np.ndarray, steps: int = 250, rate: float = 4.0, decay: float = 1e-5) -> tuple[np.ndarray, np.ndarray]:
-    """Logistic regression of all bits at once, by gradient descent with momentum. y: rows by bits, +1/-1."""
-    w, b = np.zeros((x.shape[1], y.shape[1]), dtype=np.float32), np.zeros(y.shape[1], dtype=np.float32)
+Sparse = tuple[np.ndarray, np.ndarray]
+
+
+def _dense(rows: list[Sparse]) -> np.ndarray:
+    x = np.zeros((len(rows), _DIMS), dtype=np.float32)
+    for i, (at, value) in enumerate(rows):
+        x[i, at] = value
+    return x
+
+
+def _fit_bits(rows: list[Sparse], y: np.ndarray, steps: int = 250, rate: float = 4.0, decay: float = 1e-5, batch: int = BATCH) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(weights, bias, part of rows right, by bit): logistic regression of all bits at once, by gradient descent with momentum.
+
+    y: rows by bits, +1/-1. Every step takes the next ``batch`` rows in a fixed random order.
+    """
+    w, b = np.zeros((_DIMS, y.shape[1]), dtype=np.float32), np.zeros(y.shape[1], dtype=np.float32)
     vw, vb = np.zeros_like(w), np.zeros_like(b)
     y = y.astype(np.float32)
-    for _ in range(steps):
-        g = -y / (1 + np.exp(np.clip(y * (x @ w + b), -30, 30))) / len(x)
+    order = np.random.default_rng(3).permutation(len(rows))
+    parts = [order[at : at + batch] for at in range(0, len(order), batch)]
+    x = None
+    for step in range(max(steps, 15 * len(parts))):
+        part = parts[step % len(parts)]
+        x = x if x is not None and len(parts) == 1 else _dense([rows[i] for i in part])
+        g = -y[part] / (1 + np.exp(np.clip(y[part] * (x @ w + b), -30, 30))) / len(part)
         vw = 0.9 * vw - rate * (x.T @ g + decay * w)
         vb = 0.9 * vb - rate * g.sum(axis=0)
         w, b = w + vw, b + vb
-    return w, b
+    right = sum(((_dense([rows[i] for i in part]) @ w + b) * y[part] > 0).sum(axis=0) for part in parts)
+    return w, b, right / len(rows)
 
 
-def fit(rows: DataFrame, per_lang: int = PER_LANG, max_langs: int = MAX_LANGS, bits: int = BITS) -> EcocModel | None:
+def fit(rows: DataFrame, per_lang: int = PER_LANG, most_rows: int = MOST_ROWS, bits: int = BITS) -> EcocModel | None:
     """Fit on rows with doc_id, text and lang; which rows may be used is the caller's to filter."""
-    names = rows.where("lang is not null").groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(max_langs).select("lang")
+    usable = rows.where("lang is not null and text is not null").select("doc_id", "lang", "text", F.xxhash64("doc_id").alias("h"))
+    per_lang = min(per_lang, max(LEAST_ROWS, most_rows // max(1, usable.select("lang").distinct().count())))
     first = F.row_number().over(Window.partitionBy("lang").orderBy("h", "doc_id")) <= per_lang
-    usable = rows.where("lang is not null and text is not null").join(names, "lang", "left_semi").select("doc_id", "lang", "text", F.xxhash64("doc_id").alias("h"))
-    # Ids are ranked without their texts; the chosen ones, at most per_lang x max_langs rows, then fetch the texts.
+    # Ids are ranked without their texts; the chosen ones, at most per_lang a language, then fetch the texts.
     ids = usable.select("lang", "doc_id", "h").withColumn("first", first).where("first").select(F.col("lang").alias("l"), F.col("doc_id").alias("d")).distinct()
     chosen = usable.join(F.broadcast(ids), (F.col("lang") == F.col("l")) & F.col("doc_id").eqNullSafe(F.col("d"))).withColumn("first", first).where("first")
 
@@ -128,20 +161,16 @@ def fit(rows: DataFrame, per_lang: int = PER_LANG, max_langs: int = MAX_LANGS, b
         for batch in batches:
             for lang, text in zip(batch.column(0).to_pylist(), byte_texts(batch.column(1)), strict=True):
                 if (x := features(text)) is not None:
-                    at = np.flatnonzero(x).astype("<i4")
-                    yield pa.RecordBatch.from_pydict({"lang": [lang], "at": [at.tobytes()], "x": [x[at].astype("<f4").tobytes()]})
+                    at = np.flatnonzero(x)
+                    yield pa.RecordBatch.from_pydict({"lang": [lang], "at": [at.astype("<u2").tobytes()], "x": [x[at].astype("<f2").tobytes()]})
 
-    got = chosen.select("lang", "text").mapInArrow(run, "lang string, at binary, x binary").collect()
+    got = sorted(tuple(r) for r in chosen.select("lang", "text").mapInArrow(run, "lang string, at binary, x binary").collect())
     if not got:
         return None
-    langs = tuple(sorted({r["lang"] for r in got}))
-    x = np.zeros((len(got), _DIMS), dtype=np.float32)
-    for i, r in enumerate(got):
-        x[i, np.frombuffer(r["at"], "<i4")] = np.frombuffer(r["x"], "<f4")
-    codes = codewords(len(langs), max(bits, 2 * (len(langs) - 1).bit_length()))
-    y = codes[[langs.index(r["lang"]) for r in got]]
-    w, b = _fit_bits(x, y)
-    right = ((x @ w + b) * y > 0).mean(axis=0)
+    langs = tuple(sorted({lang for lang, _, _ in got}))
+    number = {lang: i for i, lang in enumerate(langs)}
+    codes = codewords(len(langs), bits)
+    w, b, right = _fit_bits([(np.frombuffer(at, "<u2"), np.frombuffer(x, "<f2")) for _, at, x in got], codes[[number[lang] for lang, _, _ in got]])
     trust = np.clip(2 * right - 1, 0.05, 1)
     return EcocModel(langs, codes, w, b, trust / trust.sum() * len(trust))
 

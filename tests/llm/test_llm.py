@@ -262,10 +262,47 @@ def test_language_id(spark):
     nothing = langid.fit(df.where("lang is null"))
     assert nothing is None and {r["lang_pred"] for r in langid.identify(df, nothing).collect()} == {"und"}
     assert langid.identify(df.limit(0), model).count() == 0
+    assert langid.fit(df.limit(0)) is None
     codes = langid.codewords(4, 15)
     assert min((codes[a] != codes[b]).sum() for a in range(4) for b in range(a)) >= 7
 
 
+@pytest.mark.parametrize("k", [1, 2, 5, 64, 100, 700])
+def test_codewords_keep_their_distance(k):
+    codes = langid.codewords(k)
+    assert set(np.unique(codes)) <= {-1.0, 1.0} and len(codes) == k
+    if k > 1:
+        assert min(int((codes[a] != codes[:a]).sum(axis=1).min()) for a in range(1, k)) >= langid.DISTANCE
+        assert all(abs(c.sum()) < k for c in codes.T)
+
+
+def test_decoding_by_brute_force():
+    rng = np.random.default_rng(4)
+    codes = langid.codewords(20)
+    bits = codes.shape[1]
+    model = langid.EcocModel(tuple(f"l{i:02}" for i in range(20)), codes, rng.normal(size=(langid._DIMS, bits)), rng.normal(size=bits), rng.random(bits))
+    x = rng.random((30, langid._DIMS)) / 50
+    for row, (lang, score, near) in zip(x, model.predict(x, 0.5), strict=True):
+        f = [float(row @ model.weights[:, j] + model.bias[j]) for j in range(bits)]
+        loss = [sum(model.trust[j] * np.log1p(np.exp(-c[j] * f[j])) for j in range(bits)) for c in codes]
+        order = sorted(range(20), key=lambda i: loss[i])
+        assert lang == f"l{order[0]:02}" and near == (loss[order[1]] - loss[order[0]] < 0.5)
+        assert score == pytest.approx(1 / sum(np.exp(loss[order[0]] - v) for v in loss))
+    flat = langid.EcocModel(model.langs, codes, np.zeros((langid._DIMS, bits)), np.zeros(bits), np.ones(bits))
+    assert flat.predict(x[:1], 0.5)[0][0] == "l00" and flat.predict(x[:1], 0.5)[0][2]
+
+
+def test_a_hundred_languages(spark):
+    rng = random.Random(7)
+    make = {f"x{i:02}": ["".join(rng.choice("abcdefghijklmnopqrstuvwxyzéüñ") for _ in range(2)) for _ in range(12)] for i in range(100)}
+    text = lambda lang: " ".join("".join(rng.choice(make[lang]) for _ in range(rng.randrange(1, 4))) for _ in range(40))
+    df = docs(spark, [(i, text(lang), lang, "s") for i in range(3000) for lang in [f"x{i % 100:02}"]])
+    model = langid.fit(df.where(langid.fold(F.col("doc_id")) != 2), most_rows=1500)
+    assert len(model.langs) == 100
+    held = langid.identify(df.where(langid.fold(F.col("doc_id")) == 2), model).select("lang", "lang_pred").collect()
+    assert sum(r["lang"] == r["lang_pred"] for r in held) / len(held) > 0.95
+
+
 # SimHash
 
 
