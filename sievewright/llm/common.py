@@ -85,8 +85,7 @@ def joined_by_count(rows: DataFrame, table: DataFrame, key: str, n: str, total:
     """``rows`` joined with ``table``, which has one row a key and, in column ``n``, how many of ``total`` rows have it.
 
     Keys with more than a ``FREQUENT``-th of the rows, fewer than ``FREQUENT`` whatever the data, are broadcast, so their
-    rows stay where they are; only the others are shuffled. ``n`` is dropped. Keys that are null match nothing; the
-    table's first other column must not be null.
+    rows stay where they are; only the others are shuffled. ``n`` is dropped. Keys that are null match nothing.
     """
     often = F.col(n) * FREQUENT > F.lit(total)
     few, many = table.where(often).drop(n), table.where(~often).drop(n)
@@ -94,6 +93,6 @@ def joined_by_count(rows: DataFrame, table: DataFrame, key: str, n: str, total:
     near = marked.where("_few").drop("_few")
     far = marked.where("_few is null").select(*rows.columns)
     if how == "inner":
-        return near.unionByName(far.where(F.col(key).isNotNull()).join(many, key, "left").where(F.coalesce(*(F.col(c) for c in many.columns if c != key)).isNotNull()))
+        return near.unionByName(far.join(many, key))
     nothing = [F.lit(None).cast(f.dataType).alias(f.name) for f in many.schema if f.name != key]
     return near.unionByName(far.where(F.col(key).isNotNull()).join(many, key, "left")).unionByName(far.where(F.col(key).isNull()).select(*rows.columns, *nothing))

@@ -1,8 +1,9 @@
 """Connected components of an edge table, by alternating large-star and small-star rounds.
 
-Every round is two aggregations and two joins on node ids; no adjacency list is ever collected, so a hub costs no
-more memory than its edges. The label of a component is its smallest node. Rounds are written to the shared folder,
-which cuts lineage and survives lost executors.
+Every round is two aggregations and two joins on node ids; no adjacency list is ever collected. A hub, a node with more
+than a few thousandths of a percent of all edges, is joined by broadcast, so its edges stay spread over their tasks; there
+are few such nodes by arithmetic (:func:`joined_by_count`). The label of a component is its smallest node. Rounds are
+written to the shared folder, which cuts lineage and survives lost executors.
 """
 
 from __future__ import annotations
@@ -10,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sievewright.llm.common import materialise
+from sievewright.llm.common import joined_by_count, materialise
 
 
 def _mark(edges: DataFrame) -> tuple[int, int]:
@@ -32,10 +33,12 @@ def connected_components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFr
     before = _mark(stars)
     while before[0]:
         both = stars.union(stars.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        least = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
-        large = both.where("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
-        root = large.groupBy("u").agg(F.min("v").alias("m"))
-        small = large.join(root, "u").where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
+        least = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"), F.count("*").alias("n"))
+        large = joined_by_count(both.where("v > u"), least, "u", "n", 2 * before[0]).select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
+        large = materialise(large, "large")
+        root = large.groupBy("u").agg(F.min("v").alias("m"), F.count("*").alias("n"))
+        # A node whose neighbours all have one least neighbour adds nothing to the second join.
+        small = joined_by_count(large, root.where("n > 1"), "u", "n", before[0]).where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
         stars = materialise(small.union(root.select("u", F.col("m").alias("v"))).distinct(), "stars")
         after = _mark(stars)
         if after == before:

@@ -11,8 +11,11 @@ a key are compared; links join them into components.
 Scale: equal fingerprints are one row from the start, so groups of copies cost one aggregation. Keys that only one
 fingerprint has are dropped by a pre-aggregated count. A key that more than ``BUCKET`` fingerprints share is refined:
 its other 42 bits are cut into six parts of seven bits, of which four have no error, and each choice of four is a key
-of its own; such a key leaves 14 bits open and so holds 16,384 fingerprints at most, whatever the data. A bucket emits
-a spanning forest of its links, never its pairs.
+of its own; such a key leaves 14 bits open and so holds 16,384 fingerprints at most, whatever the data. (Refined keys are
+plain pigeonhole keys beside the Golay index, which a crowded key has used up; the links are the same.) A bucket emits
+a spanning forest of its links, never its pairs. Frequent keys and fingerprints are joined by broadcast.
+
+Very long texts are hashed whole, in steps. Ties: a bit set in exactly half of the hashes is 0.
 
 Null and wordless texts have fingerprint 0 and link like others. Null doc_ids get a fingerprint and the component of
 their equals; a component of null ids alone is null. Repeated rows give repeated results. Other columns are ignored.
@@ -31,7 +34,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sievewright.llm.common import byte_texts, materialise, short_batches
+from sievewright.llm.common import byte_texts, joined_by_count, materialise, short_batches
 from sievewright.llm.components import connected_components
 
 SHINGLE, SEED, DISTANCE, BUCKET = 3, 42, 2, 1000
@@ -179,9 +182,9 @@ def links(distinct: DataFrame, distance: int = DISTANCE, bucket: int = BUCKET) -
     """(a, b): links between distinct fingerprints (column fp), enough of them to give the components."""
     if distance > 2:
         raise ValueError("the keys are right for two differing bits at most")
-    keys = distinct.select("fp").mapInArrow(_exploded(lambda fp: join_keys(fp.view(np.uint64)), "fp", "key"), "fp long, key long")
-    shared = keys.groupBy("key").agg(F.count("*").alias("m")).where("m > 1")
-    rows = materialise(keys.join(shared, "key"), "simhash-keys")
+    keys = materialise(distinct.select("fp").mapInArrow(_exploded(lambda fp: join_keys(fp.view(np.uint64)), "fp", "key"), "fp long, key long"), "simhash-all-keys")
+    shared = materialise(keys.groupBy("key").agg(F.count("*").alias("m")).where("m > 1").withColumn("n", F.col("m")), "simhash-shared")
+    rows = materialise(joined_by_count(keys, shared, "key", "n", keys.count()), "simhash-keys")
     crowded = rows.where(F.col("m") > bucket).select("fp", "key").mapInArrow(_exploded(refined_keys, "fp", "key"), "fp long, key long").distinct()
     buckets = rows.where(F.col("m") <= bucket).select("key", "fp").groupBy("key").agg(F.collect_list("fp").alias("fps")).unionByName(crowded.groupBy("key").agg(F.collect_list("fp").alias("fps")).where("size(fps) > 1"))
 
@@ -203,8 +206,9 @@ def links(distinct: DataFrame, distance: int = DISTANCE, bucket: int = BUCKET) -
 def near_duplicates(docs: DataFrame) -> DataFrame:
     """One row a document: doc_id, fp (signed), component_id (the smallest doc_id its links reach)."""
     fps = materialise(fingerprints(docs), "fingerprints")
-    distinct = fps.groupBy("fp").agg(F.min("doc_id").alias("least"))
+    distinct = materialise(fps.groupBy("fp").agg(F.min("doc_id").alias("least"), F.count("*").alias("n")), "distinct")
     label = connected_components(links(distinct))
-    named = distinct.join(label, F.col("fp") == F.col("node"), "left").select("fp", "least", F.coalesce("component", "fp").alias("component"))
+    named = distinct.join(label, F.col("fp") == F.col("node"), "left").select("fp", "least", "n", F.coalesce("component", "fp").alias("component"))
     least = named.groupBy("component").agg(F.min("least").alias("component_id"))
-    return fps.join(named.join(least, "component").select("fp", "component_id"), "fp").select("doc_id", "fp", "component_id")
+    named = materialise(named.join(least, "component").select("fp", "component_id", "n"), "named")
+    return joined_by_count(fps, named, "fp", "n", fps.count()).select("doc_id", "fp", "component_id")

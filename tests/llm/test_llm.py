@@ -388,6 +388,29 @@ def test_simhash_documents(spark):
     assert simhash.near_duplicates(docs(spark, rows).limit(0)).count() == 0
 
 
+def test_components_with_hubs(spark):
+    rng = random.Random(11)
+    hub = [(500, i) for i in range(400)] + [(i, 700) for i in range(300, 690)]  # stars that share a third of all edges each
+    chains = [(1000 + i, 1000 + i + 1) for i in range(0, 200) if i % 10 != 9] + [(rng.randrange(2000, 2400), rng.randrange(2000, 2400)) for _ in range(200)]
+    edges = [(max(e), min(e)) if rng.random() < 0.5 else e for e in hub + chains] * 2 + [(3000, 3000), (None, 5), (5, None)]
+    got = {r["node"]: r["component"] for r in connected_components(spark.createDataFrame(edges, "a long, b long")).collect()}
+    nodes = sorted({x for a, b in edges if a is not None and b is not None and a != b for x in (a, b)})
+    index = {x: i for i, x in enumerate(nodes)}
+    parent = list(range(len(nodes)))
+
+    def find(x):
+        while parent[x] != x:
+            x = parent[x]
+        return x
+
+    for a, b in hub + chains:
+        if a != b:
+            x, y = find(index[a]), find(index[b])
+            parent[max(x, y)] = min(x, y)
+    assert got == {x: nodes[find(index[x])] for x in nodes}
+    assert connected_components(spark.createDataFrame([], "a long, b long")).count() == 0
+
+
 # Phrases
 
 
