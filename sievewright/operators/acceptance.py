@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from sievewright.operators.ordered import ranked
+
 
 def not_in_sources(candidates: DataFrame, sources: DataFrame, key: str) -> DataFrame:
     return candidates.join(sources.select(key).distinct(), key, "left_anti")
@@ -17,10 +19,9 @@ def first_by_key(df: DataFrame, key: str, order: str) -> DataFrame:
     return df.groupBy(key).agg(F.min(order).alias(order), least.alias("_r")).select(key, order, *(F.col(f"_r.{c}").alias(c) for c in others))
 
 
-def first_n(df: DataFrame, n: int, *order: str) -> DataFrame:
-    """The first n rows with their rank. A top-n of every task is merged; only n rows are ever ranked in one place."""
-    top = df.orderBy(*order).limit(n)
-    return top.withColumn("rank", F.row_number().over(Window.orderBy(*order)))
+def first_n(df: DataFrame, n: int, order: str) -> DataFrame:
+    """The first n rows by an integer without ties, with their rank. Ranks come from buckets, so n may be large."""
+    return ranked(df, order, "rank").where(F.col("rank") <= n).withColumn("rank", F.col("rank").cast("int"))
 
 
 def accepted(candidates: DataFrame, sources: DataFrame, quota: int, key: str = "hash", order: str = "sequence") -> DataFrame:

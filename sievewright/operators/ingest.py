@@ -49,11 +49,12 @@ def leaks(rows: DataFrame, *keys: Column | str, split: str = "split") -> DataFra
 def keep_first(rows: DataFrame, key: str, order: str, name: str) -> DataFrame:
     """All rows with kept (the first of its key in scan order) and duplicate_of (the first's name, null if kept).
 
-    The first of each key is a pre-aggregated minimum that is joined back, so no window holds a whole group.
+    The first of each key is a pre-aggregated minimum that is joined back, so no window holds a whole group. Rows without
+    a key are one group like any other. Rows that tie on order go by name; rows that tie on both are all kept.
     """
     firsts = rows.groupBy(F.col(key).alias("_k")).agg(F.min(F.struct(F.col(order).alias("o"), F.col(name).alias("n"))).alias("_f"))
-    met = rows.join(firsts, F.col(key) == F.col("_k"))
-    kept = F.col(order) == F.col("_f.o")
+    met = rows.join(firsts, F.col(key).eqNullSafe(F.col("_k")))
+    kept = F.col(order).eqNullSafe(F.col("_f.o")) & F.col(name).eqNullSafe(F.col("_f.n"))
     return met.select(*rows.columns, kept.alias("kept"), F.when(~kept, F.col("_f.n")).alias("duplicate_of"))
 
 

@@ -13,6 +13,8 @@ CLASSES = (3, 4, 6, 8)
 OPERATION, SAMPLER, PLAN_SCHEMA = "relocation", "accident_group_v1", "2.0"
 POINT_TOLERANCE, REGION_TOLERANCE = 1e-8, 1e-4
 LEAST_SCORE, LEAST_MASK, LEAST_AREA = 0.5, 0.5, 32
+#: Rows of one step of a collection's digest.
+BLOCK = 4096
 
 
 def detected(rows: DataFrame, least_score: float = LEAST_SCORE, least_area: int = LEAST_AREA) -> DataFrame:
@@ -126,14 +128,17 @@ def interleaved(captions: DataFrame, position: str) -> DataFrame:
 def collection_digest(rows: DataFrame, order: list[str], value: str) -> DataFrame:
     """One row: a digest of values in order, over block digests.
 
-    Blocks of the order are hashed apart and their digests hashed in order, so no task holds the whole collection.
-    ``order`` starts with an integer column.
+    Blocks of the order are hashed apart; their digests are hashed in order, in blocks again as long as there are more
+    than a block of them, so no task holds more than a block. ``order`` starts with an integer column; rows that tie on
+    it make their block larger.
     """
-    block = F.floor(F.col(order[0]) / 4096)
-    items = F.transform(F.sort_array(F.collect_list(F.struct(*order, value))), lambda x: x[value])
-    blocks = rows.groupBy(block.alias("block")).agg(F.sha2(F.array_join(items, ",").cast("binary"), 256).alias("d"))
-    ordered = F.transform(F.sort_array(F.collect_list(F.struct("block", "d"))), lambda x: x["d"])
-    return blocks.agg(F.sha2(F.array_join(ordered, ",").cast("binary"), 256).alias("digest"))
+    hashed = lambda fields, last: F.sha2(F.array_join(F.transform(F.sort_array(F.collect_list(F.struct(*fields))), lambda x: x[last]), ",").cast("binary"), 256)
+    blocks = rows.groupBy(F.floor(F.col(order[0]) / BLOCK).alias("block")).agg(hashed([*order, value], value).alias("d"))
+    span = rows.agg(F.max(order[0]) - F.min(order[0])).first()[0] or 0
+    while span > BLOCK * BLOCK:
+        blocks = blocks.groupBy(F.floor(F.col("block") / BLOCK).alias("block")).agg(hashed(["block", "d"], "d").alias("d"))
+        span //= BLOCK
+    return blocks.agg(hashed(["block", "d"], "d").alias("digest"))
 
 
 def resume_errors(saved: dict, now: dict, keys: tuple[str, ...] = ("recipe_sha256", "implementation_sha256", "sources_sha256", "backend")) -> list[str]:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from sievewright.operators.ordered import previous, running_sum
+from sievewright.operators.ordered import previous, running_max, running_sum
 
 #: The closed set of a ledger entry's keys, fixed values.
 KEYS = ("candidate_id", "source_id", "attempt_index", "sequence", "outcome", "error_code", "attempt_elapsed_seconds", "stage_seconds", "timing_complete", "cleanup_state", "accepted_cost_seconds", "accepted_active_watermark")
@@ -31,9 +31,15 @@ def pending(attempts: DataFrame, order: str, spent: str, is_accepted: Column) ->
 
 
 def failure_runs(attempts: DataFrame, order: str, failed: Column) -> DataFrame:
-    """Failed attempts with run (a number that counts the successes before) and nth (position within the run)."""
-    marked = running_sum(attempts, order, F.when(failed, 0).otherwise(1), "run")
-    return marked.where(failed).withColumn("nth", F.row_number().over(Window.partitionBy("run").orderBy(order)))
+    """Failed attempts with run (a number that counts the successes before) and nth (position within the run).
+
+    The place in a run is the number of failures so far less that at the last success, both from buckets of the order: a
+    run may be as long as the ledger.
+    """
+    marked = running_sum(attempts.withColumn("_f", failed), order, F.when(F.col("_f"), 0).otherwise(1), "run")
+    marked = running_sum(marked, order, F.when(F.col("_f"), 1).otherwise(0), "_fails")
+    marked = running_max(marked, order, F.when(~F.col("_f"), F.col("_fails")), "_before")
+    return marked.where("_f").withColumn("nth", (F.col("_fails") - F.coalesce("_before", F.lit(0))).cast("int")).drop("_f", "_fails", "_before")
 
 
 def fatal_at(attempts: DataFrame, order: str, failed: Column, limit: int = FATAL_ERRORS) -> DataFrame:

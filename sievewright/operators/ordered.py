@@ -25,6 +25,20 @@ def running_sum(df: DataFrame, order: str, value: Column, out: str, width: int =
     return rows.join(base, F.col("_b") == F.col("_bb")).withColumn(out, F.col("_base") + F.coalesce(inside, F.lit(0))).drop("_v", "_b", "_bb", "_base")
 
 
+def running_max(df: DataFrame, order: str, value: Column, out: str, width: int = WIDTH) -> DataFrame:
+    """``df`` with the largest ``value`` of all rows up to and including this one, null before the first; order as above."""
+    rows = df.withColumn("_v", value).withColumn("_b", _bucket(order, width))
+    most = rows.groupBy("_b").agg(F.max("_v").alias("_m"))
+    base = most.select(F.col("_b").alias("_bb"), F.max("_m").over(Window.orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)).alias("_base"))
+    inside = F.max("_v").over(Window.partitionBy("_b").orderBy(order).rowsBetween(Window.unboundedPreceding, 0))
+    return rows.join(base, F.col("_b") == F.col("_bb")).withColumn(out, F.greatest("_base", inside)).drop("_v", "_b", "_bb", "_base")
+
+
+def ranked(df: DataFrame, order: str, out: str, width: int = WIDTH) -> DataFrame:
+    """``df`` with the number of rows up to and including this one, from 1; order as above."""
+    return running_sum(df, order, F.lit(1), out, width)
+
+
 def previous(df: DataFrame, order: str, value: str, out: str, width: int = WIDTH) -> DataFrame:
     """``df`` with ``value`` of the row before in the order of ``order`` (an integer, without ties), null for the first."""
     rows = df.withColumn("_b", _bucket(order, width))

@@ -48,10 +48,17 @@ def split_export(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 
 def gallery(rows: DataFrame, *order: str) -> DataFrame:
-    """index (from 1), columns, row and col of every tile in the order given. A gallery shows a bounded run's images."""
-    n = F.count("*").over(Window.partitionBy())
-    index = F.row_number().over(Window.orderBy(*order))
-    tiles = rows.withColumn("index", index).withColumn("columns", F.ceil(F.sqrt(F.when(n <= 16, n.cast("double")).otherwise(n * F.lit(0.65)))))
+    """index (from 1), columns, row and col of every tile in the order given.
+
+    Counts by the first column of the order give each of its values a base; only rows of one value are ranked together.
+    """
+    first, rest = order[0], order[1:] or order
+    counts = rows.groupBy(F.col(first).alias("_k")).agg(F.count("*").alias("_n"))
+    base = F.coalesce(F.sum("_n").over(Window.orderBy("_k").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    counts = counts.select("_k", base.alias("_base"), F.sum("_n").over(Window.partitionBy()).alias("_all"))
+    n = F.col("_all")
+    tiles = rows.join(counts, F.col(first).eqNullSafe(F.col("_k"))).withColumn("index", (F.col("_base") + F.row_number().over(Window.partitionBy(first).orderBy(*rest))).cast("int"))
+    tiles = tiles.withColumn("columns", F.ceil(F.sqrt(F.when(n <= 16, n.cast("double")).otherwise(n * F.lit(0.65))))).drop("_k", "_base", "_all")
     at = F.col("index") - 1
     return tiles.withColumn("row", F.floor(at / F.col("columns"))).withColumn("col", at % F.col("columns"))
 
@@ -74,7 +81,10 @@ def write_small_json(value: object, path: str | Path) -> bool:
     return True
 
 
-def markdown(title: str, rows: DataFrame, most: int = 1000) -> str:
-    """A Markdown table of a short report."""
-    head = [f"# {title}", "", "| " + " | ".join(rows.columns) + " |", "| " + " | ".join("---" for _ in rows.columns) + " |"]
-    return "\n".join([*head, *("| " + " | ".join("" if v is None else str(v) for v in r) + " |" for r in rows.limit(most).collect())]) + "\n"
+def markdown(title: str, rows: DataFrame) -> str:
+    """A Markdown table of a report, row by row; the driver holds one partition's rows at a time."""
+    cell = lambda v: "" if v is None else str(v).replace("\\", "\\\\").replace("|", "\\|").replace("\n", " ")
+    out = [f"# {title}", "", "| " + " | ".join(rows.columns) + " |", "| " + " | ".join("---" for _ in rows.columns) + " |"]
+    for r in rows.toLocalIterator():
+        out.append("| " + " | ".join(map(cell, r)) + " |")
+    return "\n".join(out) + "\n"

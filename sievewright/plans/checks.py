@@ -188,25 +188,15 @@ def completion_json(spark: SparkSession, sf_dir: str) -> DataFrame:
     return load(spark, sf_dir, "events").select("event_id", nested.json_error(text).alias("error"))
 
 
-@query(f"""WITH RECURSIVE {_SPANS}, {_UNION}, n AS (SELECT l_orderkey, y, x0, x1, y * 1000 + x0 AS id FROM u WHERE l_orderkey % 8 = 1),
+@query(f"""WITH RECURSIVE {_SPANS}, {_UNION}, n AS (SELECT l_orderkey, y, x0, x1, y * 1000 + x0 AS id FROM u),
 e AS (SELECT a.l_orderkey, a.id AS a, b.id AS b FROM n a JOIN n b ON a.l_orderkey = b.l_orderkey AND abs(a.y - b.y) = 1 AND a.x0 < b.x1 AND b.x0 < a.x1),
 c AS (SELECT l_orderkey, id, id AS seen FROM n UNION SELECT c.l_orderkey, c.id, e.b FROM c JOIN e ON c.l_orderkey = e.l_orderkey AND c.seen = e.a),
 m AS (SELECT l_orderkey, id, min(seen) AS root FROM c GROUP BY 1, 2) SELECT l_orderkey, count(DISTINCT root) AS n_parts FROM m GROUP BY 1""")
 def mask_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Parts of a mask that hang together side by side, for the orders that leave remainder 1 by 8."""
-    return _parts(_spans(spark, sf_dir).where("l_orderkey % 8 = 1"))
-
-
-@query()
-def mask_parts_all(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Parts of a mask that hang together side by side, for all orders."""
-    return _parts(_spans(spark, sf_dir))
-
-
-def _parts(spans: DataFrame) -> DataFrame:
+    """Parts of a mask that hang together side by side."""
     from sievewright.operators.contacts import components
 
-    runs = sp.union(spans, "l_orderkey").withColumn("run", F.col("l_orderkey") * 1_000_000 + F.col("y") * 1000 + F.col("x0"))
+    runs = sp.union(_spans(spark, sf_dir), "l_orderkey").withColumn("run", F.col("l_orderkey") * 1_000_000 + F.col("y") * 1000 + F.col("x0"))
     edges = sp.touching(runs, ["l_orderkey"], "run", diagonal=False)
     labels = components(runs, edges, "run", "run2", "run")
     return labels.groupBy(F.floor(F.col("run") / 1_000_000).alias("l_orderkey")).agg(F.count_distinct("component").alias("n_parts"))

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sievewright.operators import acceptance, ledger, reporting
-from sievewright.operators.ordered import latest
+from sievewright.operators.ordered import latest, ranked
 from sievewright.plans.catalog import cents, load, query
 
 #: Event types as outcomes, fixed values.
@@ -29,9 +29,9 @@ def outcome_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query("""SELECT c_custkey AS source_id, count(o_orderkey) AS attempts, count(CASE WHEN o_orderstatus = 'F' THEN 1 END) AS accepted
-FROM customer LEFT JOIN orders ON o_custkey = c_custkey AND o_totalprice > 300000 GROUP BY c_custkey""")
+FROM customer LEFT JOIN orders ON o_custkey = c_custkey GROUP BY c_custkey""")
 def per_source_report(spark: SparkSession, sf_dir: str) -> DataFrame:
-    attempts = load(spark, sf_dir, "orders").where("o_totalprice > 300000").select(F.col("o_custkey").alias("source_id"), F.when(F.col("o_orderstatus") == "F", "accepted").otherwise("rejected").alias("outcome"))
+    attempts = load(spark, sf_dir, "orders").select(F.col("o_custkey").alias("source_id"), F.when(F.col("o_orderstatus") == "F", "accepted").otherwise("rejected").alias("outcome"))
     return reporting.per_source(load(spark, sf_dir, "customer").select(F.col("c_custkey").alias("source_id")), attempts)
 
 
@@ -70,12 +70,10 @@ def fatal_cutoff(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.join(F.broadcast(cut), F.col("event_id") <= F.col("fatal_at")).groupBy("fatal_at").agg(F.count("*").alias("attempts_kept"))
 
 
-@query("""WITH s AS (SELECT c_custkey, row_number() OVER (ORDER BY c_custkey) - 1 AS pos FROM customer WHERE c_mktsegment = 'BUILDING'), n AS (SELECT count(*) AS n FROM s)
+@query("""WITH s AS (SELECT c_custkey, row_number() OVER (ORDER BY c_custkey) - 1 AS pos FROM customer), n AS (SELECT count(*) AS n FROM s)
 SELECT o_orderkey, c_custkey AS source_id FROM orders, n JOIN s ON s.pos = (o_orderkey + 5) % n""")
 def round_robin_schedule(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from pyspark.sql import Window
-
-    sources = load(spark, sf_dir, "customer").where("c_mktsegment = 'BUILDING'").select(F.col("c_custkey").alias("source_id"), (F.row_number().over(Window.orderBy("c_custkey")) - 1).alias("pos"))
+    sources = ranked(load(spark, sf_dir, "customer").select(F.col("c_custkey").alias("source_id")), "source_id", "place").select("source_id", (F.col("place") - 1).alias("pos"))
     return acceptance.round_robin(load(spark, sf_dir, "orders").select("o_orderkey"), sources, "o_orderkey", 5).select("o_orderkey", "source_id")
 
 

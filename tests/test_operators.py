@@ -181,3 +181,44 @@ def test_round_robin_and_batches(spark):
     got = acceptance.round_robin(spark.range(5).withColumnRenamed("id", "n"), sources, "n", 2).orderBy("n").collect()
     assert [r["source_id"] for r in got] == ["c", "a", "b", "c", "a"]
     assert [acceptance.batch_size(4, 10, n) for n in (0, 7, 10, 12)] == [4, 3, 0, 0]
+
+
+def test_keep_first_keeps_rows_without_a_key(spark):
+    rows = spark.createDataFrame([("a", 1, "x"), ("a", 2, "y"), (None, 3, "z"), (None, 4, "w"), ("b", 5, "q"), ("b", 5, "p")], "key string, ord long, name string")
+    got = {(r["key"], r["name"]): (r["kept"], r["duplicate_of"]) for r in ingest.keep_first(rows, "key", "ord", "name").collect()}
+    assert got == {("a", "x"): (True, None), ("a", "y"): (False, "x"), (None, "z"): (True, None), (None, "w"): (False, "z"), ("b", "p"): (True, None), ("b", "q"): (False, "p")}
+
+
+def test_running_values_cross_buckets(spark):
+    from sievewright.operators import ledger, ordered
+
+    n = 10_000
+    rows = spark.range(n).withColumn("failed", F.col("id") % 9973 != 5)
+    got = {r["id"]: (r["run"], r["nth"]) for r in ledger.failure_runs(rows, "id", F.col("failed")).collect()}
+    run = nth = 0
+    for i in range(n):
+        if i % 9973 == 5:
+            run, nth = run + 1, 0
+        else:
+            nth += 1
+            assert got[i] == (run, nth)
+    assert [r["r"] for r in ordered.ranked(spark.range(100, 9000, 7), "id", "r").orderBy("id").collect()] == list(range(1, 1273))
+
+
+def test_digest_of_a_sparse_collection(spark):
+    import hashlib
+
+    from sievewright.operators.integrity import BLOCK, collection_digest
+
+    at = [0, 1, BLOCK, BLOCK * BLOCK, BLOCK * BLOCK * 5 + 3]
+    sha = lambda parts: hashlib.sha256(",".join(parts).encode()).hexdigest()
+    level = {}
+    for x in at:
+        level.setdefault(x // BLOCK, []).append(f"v{x}")
+    level = {k: sha(v) for k, v in level.items()}
+    above = {}
+    for k in sorted(level):
+        above.setdefault(k // BLOCK, []).append(level[k])
+    want = sha([sha(v) for _, v in sorted(above.items())])
+    rows = spark.createDataFrame([(x, f"v{x}") for x in at], "id long, v string")
+    assert collection_digest(rows, ["id"], "v").first()["digest"] == want
