@@ -63,20 +63,20 @@ def main(argv: Sequence[str] | None = None) -> int:
     try:
         if args.command == "plan":
             cfg = load(args.config, _overrides(args))
-            from sievewright.operators.ingest import ingest
+            from sievewright.operators.ingest import ingest, manifest_sources
             from sievewright.session import session
             from sievewright.sources import readers
 
             spark = session()
             data = cfg["dataset"]
-            rows = readers.manifest(spark, data["manifest"]) if data.get("manifest") else readers.images(spark, data["input_dir"], data.get("image"))
-            if not data.get("manifest"):
+            if data.get("manifest"):
+                rows = manifest_sources(readers.manifest(spark, data["manifest"]), readers.images(spark, f"file://{data['root']}"))
+            else:
+                rows = readers.images(spark, data["input_dir"], data.get("image"))
                 for name in ("split", "group_id", "preserve_hint"):
                     rows = rows.selectExpr("*", f"cast(null as string) as {name}")
-                kept, dropped = ingest(rows)
-                summary = {"sources": kept.count(), "duplicates": dropped.count()}
-            else:
-                summary = {"rows": rows.count()}
+            kept, dropped = ingest(rows)
+            summary = {"sources": kept.count(), "duplicates": dropped.count()}
         else:
             from pyspark.sql import functions as F
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 import copy
 import json
 import math
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Collection, Sequence
 from pathlib import Path, PurePosixPath
 
 from sievewright.functions.identity import digest
@@ -154,6 +154,23 @@ def problems(cfg: dict) -> list[str]:
     return found
 
 
+def generator_problems(params: dict, upstream: dict, allowed: Collection[str]) -> list[str]:
+    """What is wrong with a generator's parameters: unknown names, numbers that aren't finite and not negative, step counts.
+
+    Names that end with ``_num`` count steps: whole, at least 1 (0 for skipped ones), and fewer skipped than taken.
+    """
+    found = [f"{k}: not supported" for k in sorted(set(params) - set(allowed))]
+    for key, value in params.items():
+        if not _number(0)(value):
+            found.append(f"{key}: not a finite number of at least 0")
+        elif key.endswith("_num") and not _whole(0 if key == "skip_step_num" else 1)(value):
+            found.append(f"{key}: not a step count")
+    steps = {**upstream, **params}
+    if not found and steps["skip_step_num"] >= min(steps["inversion_step_num"], steps["sampling_step_num"]):
+        found.append("skip_step_num: not below inversion and sampling steps")
+    return found
+
+
 def load(path: str | Path, overrides: dict | None = None, defaults: dict | None = None) -> dict:
     """Overrides before the document before defaults; relative paths follow the document's folder."""
     cfg = merged(defaults, read_document(path), overrides)

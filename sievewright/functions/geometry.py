@@ -36,7 +36,7 @@ def padded(lo: Column, hi: Column, size: Column, pad: float) -> tuple[Column, Co
 
 
 def bilinear(mask: np.ndarray, height: int, width: int) -> np.ndarray:
-    """Bilinear resampling with pixel centres aligned at the half."""
+    """Bilinear resampling with pixel centres aligned at the half, in single precision."""
 
     def taps(n: int, m: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         at = np.clip((np.arange(m) + 0.5) * n / m - 0.5, 0, n - 1)
@@ -45,17 +45,23 @@ def bilinear(mask: np.ndarray, height: int, width: int) -> np.ndarray:
 
     y0, y1, fy = taps(mask.shape[0], height)
     x0, x1, fx = taps(mask.shape[1], width)
-    m = mask.astype(np.float64)
-    rows = m[y0] * (1 - fy)[:, None] + m[y1] * fy[:, None]
-    return rows[:, x0] * (1 - fx) + rows[:, x1] * fx
+    m, fx, fy = mask.astype(np.float32), fx.astype(np.float32), fy.astype(np.float32)[:, None]
+    one = np.float32(1)
+    across = m[:, x0] * (one - fx) + m[:, x1] * fx
+    return across[y0] * (one - fy) + across[y1] * fy
 
 
-def grid_geometry(mask: np.ndarray, grid: tuple[int, int], delta: tuple[int, int]) -> dict[str, object]:
-    """Start and end of a shared translation on the feature grid, or the reason why there is none. (x, y) order."""
+def grid_geometry(mask: np.ndarray, grid: tuple[int, int], delta: tuple[int, int], members: tuple[np.ndarray, ...] = ()) -> dict[str, object]:
+    """Start and end of a shared translation on the feature grid, or the reason why there is none. (x, y) order.
+
+    Every member of the group must be seen on the grid.
+    """
     height, width = mask.shape
     region = bilinear(mask, grid[1], grid[0]) > 0.5
     if not region.any():
         return {"error": "vanished"}
+    if not all((bilinear(m, grid[1], grid[0]) > 0.5).any() for m in members):
+        return {"error": "member"}
     ys, xs = np.nonzero(region)
     start = (round(float(xs.mean())), round(float(ys.mean())))
     step = (round(delta[0] * grid[0] / width), round(delta[1] * grid[1] / height))
@@ -68,6 +74,11 @@ def grid_geometry(mask: np.ndarray, grid: tuple[int, int], delta: tuple[int, int
     return {"error": None, "start": start, "delta": step, "end": end}
 
 
+def to_original(at: Column, grid: Column, size: Column) -> Column:
+    """A coordinate on the feature grid as one of the original image."""
+    return at.cast("double") * size / grid
+
+
 def sample_displacement(box: tuple[int, int, int, int], size: tuple[int, int], seed: int, accept=lambda dx, dy: True, tries: int = 64) -> tuple[int, int] | None:
     """A uniform translation that keeps the box (x0, y0, x1, y1; inclusive) inside, the first that is accepted."""
     rng = np.random.default_rng(seed)
@@ -103,13 +114,20 @@ def swept_support(mask: np.ndarray, deltas: list[tuple[int, int]]) -> np.ndarray
 def masked_match(image: np.ndarray, template: np.ndarray, mask: np.ndarray) -> np.ndarray:
     """Masked normalised cross-correlation of a template at every position where it fits."""
     h, w = template.shape
-    windows = np.lib.stride_tricks.sliding_window_view(image.astype(np.float64), (h, w))
+    image = image.astype(np.float64)
     m2 = mask.astype(np.float64) ** 2
     t2 = float((template.astype(np.float64) ** 2 * m2).sum())
-    cross = np.einsum("yxhw,hw->yx", windows, template * m2)
-    energy = np.einsum("yxhw,hw->yx", windows**2, m2)
+    size = tuple(a + b - 1 for a, b in zip(image.shape, (h, w), strict=True))
+
+    def correlated(frame: np.ndarray, kernel: np.ndarray) -> np.ndarray:
+        # By Fourier transform: memory is that of the frame, whatever the template's size.
+        full = np.fft.irfft2(np.fft.rfft2(frame, size) * np.fft.rfft2(kernel[::-1, ::-1], size), size)
+        return full[h - 1 : image.shape[0], w - 1 : image.shape[1]]
+
+    cross, energy = correlated(image, template * m2), np.maximum(correlated(image**2, m2), 0)
     scale = np.sqrt(t2 * energy)
-    return np.divide(cross, scale, out=np.zeros_like(cross), where=scale > 0)
+    least = 1e-6 * max(t2, 1e-300)
+    return np.divide(cross, scale, out=np.zeros_like(cross), where=scale > least)
 
 
 def motion(before: np.ndarray, after: np.ndarray, mask: np.ndarray, wanted: tuple[int, int]) -> dict[str, object]:

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from sievewright.functions.identity import is_safe_id, is_within
+
 #: Fixed domains.
 SPLITS, ELIGIBLE, LEAST_SIDE = ("source", "train", "val", "test"), ("source", "train"), 32
 
@@ -62,6 +64,20 @@ def eligible(rows: DataFrame) -> DataFrame:
     return rows.where(F.col("split").isin(*ELIGIBLE))
 
 
+def unsafe(rows: DataFrame) -> DataFrame:
+    """Rows whose id can't be a file name, or whose image lies outside the dataset."""
+    return rows.where(~F.coalesce(is_safe_id(F.col("source_id")) & is_within(F.col("image_path")), F.lit(False)))
+
+
+def manifest_sources(manifest: DataFrame, images: DataFrame) -> DataFrame:
+    """The rows of a manifest with what its images tell (hashes, sizes); ids, paths and missing images stop the ingest."""
+    require_empty(unsafe(manifest), "unsafe ids or paths")
+    told = images.select("image_path", "file_sha256", "pixel_sha256", "width", "height")
+    rows = manifest.join(told, "image_path", "left")
+    require_empty(rows.where("pixel_sha256 is null").select("source_id", "image_path"), "images are missing")
+    return rows
+
+
 def ingest(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(sources, duplicates): all guards in their order, then the kept rows of eligible splits.
 
@@ -76,4 +92,6 @@ def ingest(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
     marked = keep_first(rows, "pixel_sha256", "ord", "source_id")
     kept = marked.where("kept").drop("kept", "duplicate_of")
     require_empty(blank_hints(kept), "blank hints")
+    if eligible(kept).isEmpty():
+        raise ConstraintError("no image of an eligible split")
     return eligible(kept), marked.where(~F.col("kept")).select("source_id", "duplicate_of")

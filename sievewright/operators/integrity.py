@@ -72,15 +72,22 @@ def _near(a: Column, b: Column, tolerance: float) -> Column:
 def plan_error() -> Column:
     """Why a plan is invalid, by the first check that fails; null if it is valid.
 
-    Expects the plan's columns (schema_version, operation, sampler, sx, sy, tx, ty, dx, dy, area, fraction, grid), the
-    frame's (width, height) and what was computed again from the group's mask (cx, cy, true_area, true_grid).
+    Expects the plan's columns (schema_version, source_id, operation, sampler, anchor, sx, sy, tx, ty, dx, dy, area,
+    fraction, grid, segment_id, mask_path, mask_sha256), its source's (of_source, width, height), the group that the
+    source's selection holds (group_id, group_path, group_sha256, chosen: whether the plan's group equals it), and what was
+    computed again from the group's mask (same_mask: whether the plan's mask equals it; cx, cy, true_area, true_grid).
     """
     finite = lambda c: F.col(c).isNotNull() & ~F.isnan(c) & (F.abs(c) < F.lit(float("inf")))
     inside = lambda x, y: (F.col(x) >= 0) & (F.col(x) < F.col("width")) & (F.col(y) >= 0) & (F.col(y) < F.col("height"))
+    equal = lambda a, b: F.col(a).eqNullSafe(F.col(b))
+    fixed = F.col("schema_version").eqNullSafe(F.lit(PLAN_SCHEMA)) & F.col("operation").eqNullSafe(F.lit(OPERATION)) & F.col("sampler").eqNullSafe(F.lit(SAMPLER))
     return (
-        F.when((F.col("schema_version") != PLAN_SCHEMA) | (F.col("operation") != OPERATION) | (F.col("sampler") != SAMPLER), "schema")
+        F.when(~(fixed & equal("source_id", "of_source") & F.col("anchor").isNull()), "schema")
         .when(~(finite("sx") & finite("sy") & finite("tx") & finite("ty")), "point")
         .when(~(inside("sx", "sy") & inside("tx", "ty")), "outside")
+        .when(~F.coalesce("chosen", F.lit(False)), "selection")
+        .when(~(equal("segment_id", "group_id") & equal("mask_path", "group_path") & equal("mask_sha256", "group_sha256")), "identity")
+        .when(~F.coalesce("same_mask", F.lit(False)), "mask")
         .when(~(_near(F.col("sx"), F.col("cx"), POINT_TOLERANCE) & _near(F.col("sy"), F.col("cy"), POINT_TOLERANCE)), "centroid")
         .when(~(_near(F.col("tx") - F.col("sx"), F.col("dx"), POINT_TOLERANCE) & _near(F.col("ty") - F.col("sy"), F.col("dy"), POINT_TOLERANCE)), "displacement")
         .when(~F.col("grid").eqNullSafe(F.col("true_grid")), "geometry")
@@ -89,6 +96,25 @@ def plan_error() -> Column:
     )
 
 
+#: What a generator calls an operation.
+TASKS = {"relocation": "transformation", "deformation": "deformation", "rotation": "rotation"}
+
+
+def instruction(operation: Column, source: Column, target: Column, anchor: Column, before: Column, after: Column) -> Column:
+    """A plan as the generator is told it; an operation without a task is an error."""
+    tasks = F.create_map(*(F.lit(x) for pair in TASKS.items() for x in pair))
+    task = F.coalesce(F.try_element_at(tasks, operation), F.raise_error(F.concat(F.lit("no task for operation "), F.coalesce(operation, F.lit("null")))).cast("string"))
+    region = F.struct(task.alias("task"), F.array(source, target).alias("centroids"), anchor.alias("anchors"))
+    return F.struct(region.alias("region"), before.alias("background_prompt"), F.concat(F.lit(" "), after).alias("editing_prompt"))
+
+
+def changed_sources(saved: DataFrame, now: DataFrame) -> DataFrame:
+    """(source_id, error): sources of a snapshot that are missing, or whose files or pixels hash otherwise now."""
+    again = now.select("source_id", F.col("file_sha256").alias("_file"), F.col("pixel_sha256").alias("_pixels"))
+    error = F.when(F.col("_pixels").isNull(), "missing").when(F.col("_pixels") != F.col("pixel_sha256"), "pixels").when(F.col("_file") != F.col("file_sha256"), "file")
+    return saved.join(again, "source_id", "left").select("source_id", error.alias("error")).where("error is not null")
+
+
 def geometry_error() -> Column:
     """Why what the generator reports differs from the plan; null if it doesn't.
 

@@ -51,14 +51,26 @@ def member_consistency(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query(f"""WITH {_SPANS}, {_UNION}, m AS (SELECT l_orderkey AS k, CAST(sum(x1 - x0) AS BIGINT) AS area FROM u GROUP BY 1)
-SELECT k AS l_orderkey, CASE WHEN k % 8 = 0 THEN 'schema' WHEN k % 8 = 1 THEN 'point' WHEN k % 8 = 2 THEN 'outside' WHEN k % 8 = 3 THEN 'centroid' WHEN k % 8 = 4 THEN 'displacement'
-  WHEN k % 8 = 5 THEN 'geometry' WHEN k % 8 = 6 THEN 'area' END AS error FROM m""")
+SELECT k AS l_orderkey, CASE WHEN k % 12 IN (0, 8) OR k % 35 = 0 THEN 'schema' WHEN k % 12 = 1 THEN 'point' WHEN k % 12 = 2 THEN 'outside' WHEN k % 13 = 0 THEN 'selection' WHEN k % 12 = 9 THEN 'identity'
+  WHEN EXISTS (SELECT 1 FROM u WHERE u.l_orderkey = k AND u.y = k % 29) THEN 'mask' WHEN k % 12 = 3 THEN 'centroid' WHEN k % 12 = 4 THEN 'displacement' WHEN k % 12 = 5 THEN 'geometry' WHEN k % 12 = 6 THEN 'area' END AS error FROM m""")
 def plan_validation(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Plans of all masks, each eighth broken in another way."""
-    m = sp.measures(sp.union(_spans(spark, sf_dir), "l_orderkey"), "l_orderkey")
-    k = F.col("l_orderkey") % 8
+    """Plans of all masks, broken in many ways; the planned mask lacks one row, which some masks don't have."""
+    group = sp.union(_spans(spark, sf_dir), "l_orderkey")
+    planned = group.where(F.col("y") != F.col("l_orderkey") % 29)
+    unequal = sp.differs(group, planned, "l_orderkey").select("l_orderkey").distinct().withColumn("unequal", F.lit(True))
+    m = sp.measures(group, "l_orderkey").join(unequal, "l_orderkey", "left")
+    key = F.col("l_orderkey")
+    k = key % 12
     plans = m.select(
         "l_orderkey",
+        F.when(k == 8, -1).otherwise(key).alias("source_id"),
+        key.alias("of_source"),
+        F.when(key % 35 == 0, 1.0).alias("anchor"),
+        (key % 13 != 0).alias("chosen"),
+        F.when(k == 9, -1).otherwise(key).alias("segment_id"),
+        key.alias("group_id"),
+        *(F.lit("x").alias(c) for c in ("mask_path", "group_path", "mask_sha256", "group_sha256")),
+        F.col("unequal").isNull().alias("same_mask"),
         F.when(k == 0, "1.1").otherwise("2.0").alias("schema_version"),
         F.lit(integrity.OPERATION).alias("operation"),
         F.lit(integrity.SAMPLER).alias("sampler"),

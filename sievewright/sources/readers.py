@@ -8,9 +8,10 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import BinaryType
 
-from sievewright.functions.identity import folder_source_id, pixel_hash
+from sievewright.functions.identity import folder_source_id
+from sievewright.functions.images import pixel_hashes, told
+from sievewright.operators.spans import from_mask
 
 #: Image suffixes, schema versions of manifests.
 SUFFIXES = ("bmp", "jpeg", "jpg", "png", "tif", "tiff", "webp")
@@ -40,24 +41,84 @@ def image_files(spark: SparkSession, root: str, only: str | None = None) -> Data
 def images(spark: SparkSession, root: str, only: str | None = None) -> DataFrame:
     """Sources of a folder: source_id, image_path, file_sha256, pixel_sha256, width, height, ord (scan order).
 
-    The JVM's image source decodes to BGR without EXIF rotation; channels are swapped for the hash. Images that need
-    rotation must be rotated before.
+    Pixels are hashed as RGB in the orientation that the file tells (EXIF); gray is spread, transparency dropped. Files of
+    several frames stop the read. The JVM decodes pixels and Python reads the few bytes that tell orientation and frames,
+    so files are read twice; what is joined is hashes, never pixels.
     """
     path = f"{root.rstrip('/')}/{only}" if only else root
     decoded = spark.read.format("image").option("recursiveFileLookup", str(not only).lower()).option("dropInvalid", "false").load(path).select("image.*")
-    rgb = _swap()(F.col("data"))
-    rows = decoded.where(F.lower("origin").rlike("\\.(?:" + "|".join(SUFFIXES) + ")$"))
-    rows = rows.withColumn("path", F.col("origin")).select("path", relative_path(root).alias("image_path"), "width", "height", pixel_hash(F.col("width"), F.col("height"), rgb).alias("pixel_sha256"))
-    files = image_files(spark, root, only).select(F.col("relative_path").alias("image_path"), F.sha2("content", 256).alias("file_sha256"))
-    order = F.row_number().over(Window.orderBy("image_path")) - 1
-    return rows.join(files, "image_path").select(folder_source_id(F.col("image_path")).alias("source_id"), "image_path", "file_sha256", "pixel_sha256", "width", "height", order.alias("ord"))
+    rows = decoded.where(F.lower("origin").rlike("\\.(?:" + "|".join(SUFFIXES) + ")$")).withColumn("path", F.col("origin"))
+    rows = rows.select("path", relative_path(root).alias("image_path"), "width", "height", _hashes()("data", "height", "width", "nChannels").alias("hashes"))
+    files = image_files(spark, root, only).select(F.col("relative_path").alias("image_path"), F.sha2("content", 256).alias("file_sha256"), _told()("content").alias("told"))
+    met = rows.join(files, "image_path")
+    single = F.when(F.col("told.frames") == 1, F.col("told.orientation")).otherwise(F.raise_error(F.concat(F.lit("several frames: "), "image_path")).cast("int"))
+    met = met.withColumn("orientation", single)
+    turned = F.col("orientation") >= 5
+    met = met.select("image_path", "file_sha256", F.element_at("hashes", F.col("orientation")).alias("pixel_sha256"), F.when(turned, F.col("height")).otherwise(F.col("width")).alias("width"), F.when(turned, F.col("width")).otherwise(F.col("height")).alias("height"))
+    return in_scan_order(met, "image_path").select(folder_source_id(F.col("image_path")).alias("source_id"), "image_path", "file_sha256", "pixel_sha256", "width", "height", "ord")
+
+
+def in_scan_order(rows: DataFrame, path: str) -> DataFrame:
+    """``rows`` with ord: the place of their path, from 0. Beginnings of paths are counted; only paths that share one are ranked together."""
+    rows = rows.withColumn("_head", F.substring(path, 1, 24))
+    counts = rows.groupBy("_head").agg(F.count("*").alias("_n"))
+    base = F.coalesce(F.sum("_n").over(Window.orderBy("_head").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    counts = counts.select(F.col("_head").alias("_h"), base.alias("_base"))
+    place = F.row_number().over(Window.partitionBy("_head").orderBy(path))
+    return rows.join(counts, F.col("_head") == F.col("_h")).withColumn("ord", (F.col("_base") + place - 1).cast("int")).drop("_head", "_h", "_base")
 
 
 @lru_cache(1)
-def _swap():
-    @F.pandas_udf(BinaryType())
-    def run(frames: pd.Series) -> pd.Series:
-        return frames.map(lambda b: np.frombuffer(b, dtype=np.uint8).reshape(-1, 3)[:, ::-1].tobytes(), na_action="ignore")
+def _hashes():
+    @F.pandas_udf("array<string>")
+    def run(data: pd.Series, height: pd.Series, width: pd.Series, channels: pd.Series) -> pd.Series:
+        return pd.Series([None if d is None or h <= 0 else pixel_hashes(d, h, w, c) for d, h, w, c in zip(data, height, width, channels, strict=True)])
+
+    return run
+
+
+@lru_cache(1)
+def _told():
+    @F.pandas_udf("orientation int, frames int")
+    def run(content: pd.Series) -> pd.DataFrame:
+        return pd.DataFrame([told(c) for c in content], columns=["orientation", "frames"]).astype("int32")
+
+    return run
+
+
+def masks(spark: SparkSession, root: str, expected: DataFrame) -> DataFrame:
+    """(path, error, runs) of the mask files that ``expected`` (path, sha256, width, height) names below ``root``.
+
+    error is the first check that fails: missing, hash, mode (one channel), size, values (0 and 255 only); null if all
+    hold. runs: array of (y, x0, x1), null where there is an error.
+    """
+    decoded = spark.read.format("image").option("recursiveFileLookup", "true").option("dropInvalid", "false").load(root).select("image.*").withColumn("path", F.col("origin"))
+    decoded = decoded.select(relative_path(root).alias("path"), "height", "width", "nChannels", _runs()("data", "height", "width", "nChannels").alias("found"))
+    files = image_files(spark, root).select(F.col("relative_path").alias("path"), F.sha2("content", 256).alias("now"))
+    want = expected.select("path", "sha256", F.col("width").alias("_w"), F.col("height").alias("_h"))
+    rows = want.join(files, "path", "left").join(decoded, "path", "left")
+    error = (
+        F.when(F.col("now").isNull() | F.col("height").isNull(), "missing")
+        .when(F.col("now") != F.col("sha256"), "hash")
+        .when(F.col("nChannels") != 1, "mode")
+        .when((F.col("width") != F.col("_w")) | (F.col("height") != F.col("_h")), "size")
+        .when(~F.col("found.binary"), "values")
+    )
+    return rows.select("path", error.alias("error"), F.when(error.isNull(), F.col("found.runs")).alias("runs"))
+
+
+@lru_cache(1)
+def _runs():
+    @F.pandas_udf("binary boolean, runs array<struct<y:int,x0:int,x1:int>>")
+    def run(data: pd.Series, height: pd.Series, width: pd.Series, channels: pd.Series) -> pd.DataFrame:
+        out = []
+        for d, h, w, c in zip(data, height, width, channels, strict=True):
+            if d is None or c != 1 or h <= 0:
+                out.append((False, []))
+                continue
+            mask = np.frombuffer(d, dtype=np.uint8).reshape(h, w)
+            out.append((bool(np.isin(mask, (0, 255)).all()), [{"y": y, "x0": a, "x1": b} for y, a, b in from_mask(mask > 0)]))
+        return pd.DataFrame(out, columns=["binary", "runs"])
 
     return run
 
