@@ -1,18 +1,22 @@
-"""Near-duplicates by exact Jaccard similarity of word shingles, for the pipeline.
+"""Near-duplicates for the pipeline: SimHash groups and MinHash bands, verified by exact Jaccard similarity.
 
 A text is the set of the XXH64 values of its 5-word shingles (A-Z in lower case, words between white space; a text of
-fewer words is one shingle). Two texts are linked if they share a MinHash band and the Jaccard similarity of their sets,
-computed from the texts, is 0.8 or more; links join them into components. Of 20 bands of 4 minima, a pair at 0.8 shares
-none with a chance of 0.00003, at 0.9 with less than 1e-9; no other pair is left out.
-
-Scale: equal sets are one node from the start. Every member of a band's bucket is first compared with the bucket's hub,
-the node that meets most others over all its bands. Buckets that hubs leave in several components are compared in whole,
-in blocks, by counts of shared hashes; a block emits a spanning forest of its links, never its pairs. That work grows
-with the square of such a bucket; equal texts and buckets that a hub joins cost their size. Only texts that share a band
-with another are moved.
+fewer words is one shingle). Candidates are texts whose SimHash fingerprints, voted by that set, the SimHash operator puts
+in one component by its Golay-code keys (links at two bits or fewer), and texts that share a MinHash band. Two candidates
+are linked if the Jaccard similarity of their sets, computed from the texts, is 0.8 or more; links join them into
+components. SimHash alone would not do: at a similarity of 0.8 to 0.95 fingerprints differ in 6 to 14 bits of 64 (measured
+on the test documents, none in two or fewer). Of 20 bands of 4 minima, a pair at 0.8 shares none with a chance of 0.00003,
+at 0.9 with less than 1e-9; no other pair is left out.
+
+Scale: equal sets are one node from the start. Every member of a bucket is first compared with the bucket's hub, the node
+that meets most others over all its buckets. Buckets that hubs leave in several components are compared in whole, in
+blocks, by counts of shared hashes; a block emits a spanning forest of its links, never its pairs. That work grows with
+the square of such a bucket; equal texts and buckets that a hub joins cost their size. Only texts that share a bucket
+with another are moved. Frequent keys are joined by broadcast.
 
 Null and wordless texts are one node. Null doc_ids link like others and have the component of their equals; a component
-of null ids alone is null. Repeated rows give repeated results. An empty table gives an empty result.
+of null ids alone is null. Very long texts are hashed whole. Ties: a similarity of exactly 0.8 links. Repeated rows give
+repeated results. Other columns are ignored. An empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -26,7 +30,8 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sievewright.llm.common import byte_texts, materialise, short_batches
+from sievewright.llm import simhash
+from sievewright.llm.common import byte_texts, joined_by_count, materialise, short_batches
 from sievewright.llm.components import connected_components
 
 SHINGLE, SEED, BANDS, MINIMA = 5, 42, 20, 4
@@ -78,21 +83,23 @@ def alike(a: np.ndarray, b: np.ndarray) -> bool:
 
 
 def signatures(docs: DataFrame) -> DataFrame:
-    """(doc_id, text_hash, node, keys): node names the set of shingles."""
+    """(doc_id, text_hash, node, keys, fp): node names the set of shingles, fp is its SimHash fingerprint."""
     short_batches(docs.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            nodes, keys = [], []
+            nodes, keys, fps = [], [], []
             for text in byte_texts(batch.column(1)):
                 hashes = shingles(text or b"")
                 nodes.append(xxhash.xxh3_64_intdigest(hashes.tobytes(), SEED) if len(hashes) else 0)
                 keys.append(band_keys(hashes).view(np.int64) if len(hashes) else [])
-            columns = [batch.column(0), batch.column(2), pa.array(np.array(nodes, dtype=np.uint64).view(np.int64)), pa.array(keys, pa.list_(pa.int64()))]
-            yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "text_hash", "node", "keys"])
+                fps.append(simhash.voted([hashes]) if len(hashes) else 0)
+            longs = [pa.array(np.array(x, dtype=np.uint64).view(np.int64)) for x in (nodes, fps)]
+            columns = [batch.column(0), batch.column(2), longs[0], pa.array(keys, pa.list_(pa.int64())), longs[1]]
+            yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "text_hash", "node", "keys", "fp"])
 
     rows = docs.select("doc_id", "text", F.xxhash64("text").alias("text_hash"))
-    return rows.mapInArrow(run, "doc_id long, text_hash long, node long, keys array<long>")
+    return rows.mapInArrow(run, "doc_id long, text_hash long, node long, keys array<long>, fp long")
 
 
 def verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
@@ -115,9 +122,11 @@ def verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
 
 def links(nodes: DataFrame, docs: DataFrame) -> DataFrame:
     """(a, b): links between nodes, enough of them to give the components. ``nodes``: node, first (doc_id, text_hash), keys."""
-    keys = nodes.select("node", F.explode("keys").alias("key"))
-    shared = keys.groupBy("key").agg(F.count("*").alias("m")).where("m > 1")
-    rows = materialise(keys.join(shared, "key"), "jaccard-keys")
+    groups = materialise(simhash.components(nodes.select("fp").distinct()), "jaccard-simhash")
+    grouped = nodes.join(groups.withColumnRenamed("node", "fp"), "fp", "left").select("node", F.xxhash64(F.lit("simhash"), F.coalesce("component", "fp")).alias("key"))
+    keys = materialise(nodes.select("node", F.explode("keys").alias("key")).unionByName(grouped), "jaccard-all-keys")
+    shared = materialise(keys.groupBy("key").agg(F.count("*").alias("m")).where("m > 1").withColumn("n", F.col("m")), "jaccard-shared")
+    rows = materialise(joined_by_count(keys, shared, "key", "n", keys.count()), "jaccard-keys")
     weight = rows.groupBy("node").agg(F.sum("m").alias("w"))
     met = nodes.join(weight, "node").select("node", F.col("first.doc_id").alias("of_id"), F.col("first.text_hash").alias("of_hash"))
     found = docs.select("doc_id", "text", F.xxhash64("text").alias("text_hash")).join(met, F.col("doc_id").eqNullSafe(F.col("of_id")) & (F.col("text_hash") == F.col("of_hash")))
@@ -199,8 +208,9 @@ def compared(left: DataFrame, sets: DataFrame, block: int = BLOCK) -> DataFrame:
 def near_duplicates(docs: DataFrame) -> DataFrame:
     """One row a document: doc_id, component_id (the smallest doc_id its links reach)."""
     rows = materialise(signatures(docs), "jaccard-signatures")
-    nodes = materialise(rows.groupBy("node").agg(F.min("doc_id").alias("least"), F.min(F.struct("doc_id", "text_hash")).alias("first"), F.first("keys").alias("keys")), "jaccard-nodes")
+    nodes = materialise(rows.groupBy("node").agg(F.min("doc_id").alias("least"), F.min(F.struct("doc_id", "text_hash")).alias("first"), F.first("keys").alias("keys"), F.first("fp").alias("fp"), F.count("*").alias("rows")), "jaccard-nodes")
     label = connected_components(links(nodes, docs)).withColumnRenamed("node", "of")
-    named = nodes.select("node", "least").join(label, F.col("node") == F.col("of"), "left").select("node", "least", F.coalesce("component", "node").alias("component"))
+    named = nodes.select("node", "least", "rows").join(label, F.col("node") == F.col("of"), "left").select("node", "least", "rows", F.coalesce("component", "node").alias("component"))
     least = named.groupBy("component").agg(F.min("least").alias("component_id"))
-    return rows.select("doc_id", "node").join(named.join(least, "component").select("node", "component_id"), "node").select("doc_id", "component_id")
+    named = materialise(named.join(least, "component").select("node", "component_id", "rows"), "jaccard-named")
+    return joined_by_count(rows.select("doc_id", "node"), named, "node", "rows", rows.count()).select("doc_id", "component_id")

@@ -24,7 +24,7 @@ An empty table gives an empty result.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from functools import lru_cache
 from itertools import accumulate, combinations
 
@@ -53,13 +53,18 @@ def fingerprint(text: bytes, k: int = SHINGLE, seed: int = SEED) -> int:
         return xxhash.xxh64_intdigest(joined, seed)
     ends = list(accumulate(len(w) + 1 for w in words))
     starts = [0, *ends]
-    n, votes = len(words) - k + 1, np.zeros((8, 256), dtype=np.int64)
-    digest = xxhash.xxh64_intdigest
-    for at in range(0, n, 1 << 16):
-        some = range(at, min(at + (1 << 16), n))
-        h = np.fromiter((digest(joined[starts[i] : ends[i + k - 1] - 1], seed) for i in some), dtype="<u8", count=len(some))
-        cells = h.view(np.uint8).reshape(-1, 8).astype(np.int64) + np.arange(8) * 256
+    n, digest = len(words) - k + 1, xxhash.xxh64_intdigest
+    steps = (range(at, min(at + (1 << 16), n)) for at in range(0, n, 1 << 16))
+    return voted(np.fromiter((digest(joined[starts[i] : ends[i + k - 1] - 1], seed) for i in some), dtype="<u8", count=len(some)) for some in steps)
+
+
+def voted(parts: Iterable[np.ndarray]) -> int:
+    """The fingerprint of hashes that come in parts: a bit is 1 if it is set in over half of them."""
+    n, votes = 0, np.zeros((8, 256), dtype=np.int64)
+    for h in parts:
+        cells = h.astype("<u8").view(np.uint8).reshape(-1, 8).astype(np.int64) + np.arange(8) * 256
         votes += np.bincount(cells.ravel(), minlength=2048).reshape(8, 256)
+        n += len(h)
     ones = (votes @ _BITS).ravel()
     return sum(1 << b for b in np.flatnonzero(2 * ones > n).tolist())
 
@@ -203,11 +208,16 @@ def links(distinct: DataFrame, distance: int = DISTANCE, bucket: int = BUCKET) -
     return buckets.select("fps").mapInArrow(run, "a long, b long").distinct()
 
 
+def components(distinct: DataFrame) -> DataFrame:
+    """(node, component) of fingerprints (column fp) that have a link; others are not listed."""
+    return connected_components(links(distinct))
+
+
 def near_duplicates(docs: DataFrame) -> DataFrame:
     """One row a document: doc_id, fp (signed), component_id (the smallest doc_id its links reach)."""
     fps = materialise(fingerprints(docs), "fingerprints")
     distinct = materialise(fps.groupBy("fp").agg(F.min("doc_id").alias("least"), F.count("*").alias("n")), "distinct")
-    label = connected_components(links(distinct))
+    label = components(distinct)
     named = distinct.join(label, F.col("fp") == F.col("node"), "left").select("fp", "least", "n", F.coalesce("component", "fp").alias("component"))
     least = named.groupBy("component").agg(F.min("least").alias("component_id"))
     named = materialise(named.join(least, "component").select("fp", "component_id", "n"), "named")
