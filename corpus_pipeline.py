@@ -2,11 +2,14 @@
 
 Every stage takes (spark, docs, sf_dir) and returns a DataFrame, which is written as Parquet and reread as the next
 stage's docs. All but the last return the columns of ``documents``; row order and extra columns of the input don't
-matter. An empty table, or one that a stage empties, gives an empty result.
+matter. An empty table, or one that a stage empties, gives an empty result. Very long texts go through whole. A null
+source is a source of its own in mixing and packing; a null lang is never learned from and stays null.
 
 1. language_id: documents without letters, and those whose language stays ambiguous, go. lang is not changed.
-2. near_duplicates: texts whose sets of 5-word shingles have a Jaccard similarity of 0.8 or more are linked; of each
-   component the document with the smallest doc_id stays. Documents with a null doc_id stay, as nothing tells which of
+2. near_duplicates: the SimHash operator groups fingerprints of 5-word shingles; as two bits of 64 find only texts that
+   are nearly equal, MinHash bands add candidates. Texts of one group or band are linked if their sets of 5-word
+   shingles have a Jaccard similarity of 0.8 or more, exactly; of each component the document with the smallest doc_id
+   stays. Documents with a null doc_id stay, as nothing tells which of
    them is first; rows that repeat a doc_id leave one row for each of their texts.
 3. secret_scan: secrets are replaced by a mark, n_chars follows the text. No document goes.
 4. mixing: documents are taken as often as the mix of sources says: not at all, once or twice. Copies are rows that
