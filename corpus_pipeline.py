@@ -8,9 +8,8 @@ source is a source of its own in mixing and packing; a null lang is never learne
 1. language_id: documents without letters, and those whose language stays ambiguous, go. lang is not changed.
 2. near_duplicates: the SimHash operator groups fingerprints of 5-word shingles; as two bits of 64 find only texts that
    are nearly equal, MinHash bands add candidates. Texts of one group or band are linked if their sets of 5-word
-   shingles have a Jaccard similarity of 0.8 or more, exactly; of each component the document with the smallest doc_id
-   stays. Documents with a null doc_id stay, as nothing tells which of
-   them is first; rows that repeat a doc_id leave one row for each of their texts.
+   shingles have a Jaccard similarity of 0.8 or more, exactly; of each component one document stays, the one with the
+   smallest doc_id (null ones last, and of those one).
 3. secret_scan: secrets are replaced by a mark, n_chars follows the text. No document goes.
 4. mixing: documents are taken as often as the mix of sources says: not at all, once or twice. Copies are rows that
    repeat the document.
@@ -19,7 +18,7 @@ source is a source of its own in mixing and packing; a null lang is never learne
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sievewright.llm import jaccard, langid, mixing, packing, secret_scan
@@ -39,12 +38,18 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return rows.where((F.col("lang_pred") != langid.UNKNOWN) & ~unsure).select(*COLUMNS)
 
 
+def numbered(docs: DataFrame, label: str) -> DataFrame:
+    """The documents with ``row``, a number that tells them apart, written once so that it stays theirs."""
+    return materialise(docs.select(*COLUMNS).withColumn("row", F.monotonically_increasing_id()), label)
+
+
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    keep = jaccard.near_duplicates(docs).where("doc_id = component_id").groupBy(F.col("doc_id").alias("keep")).agg(F.count("*").alias("rows"))
-    kept = docs.select(*COLUMNS).join(keep, F.col("doc_id") == F.col("keep"))
-    once = kept.where("rows = 1").select(*COLUMNS)
-    repeated = kept.where("rows > 1").groupBy("doc_id", "text").agg(F.min(F.struct("lang", "source", "n_chars")).alias("r")).select("doc_id", "text", "r.*")
-    return once.unionByName(repeated).unionByName(docs.where("doc_id is null").select(*COLUMNS))
+    rows = numbered(docs, "numbered")
+    found = jaccard.near_duplicates(rows.select(F.col("row").alias("doc_id"), "text")).withColumnRenamed("doc_id", "of")
+    # The first of a component: the smallest doc_id, null ones last.
+    place = F.struct(F.col("doc_id").isNull(), F.col("doc_id"), F.col("row"))
+    first = rows.select("row", "doc_id").join(found, F.col("row") == F.col("of")).groupBy("component_id").agg(F.min(place).alias("first"))
+    return rows.join(first.select(F.col("first.row").alias("of")), F.col("row") == F.col("of")).select(*COLUMNS)
 
 
 def secret_scan_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -53,16 +58,10 @@ def secret_scan_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    rows = docs.select(*COLUMNS, F.xxhash64("text", "lang", "source", "n_chars").alias("row_hash"))
-    taken = mixing.mix(rows, keep=("row_hash",)).groupBy(F.col("doc_id").alias("of_id"), F.col("row_hash").alias("of_hash"))
-    taken = taken.agg(F.sum("copies").alias("copies"), F.count("*").alias("like")).where("copies > 0")
-    met = rows.join(taken, F.col("doc_id").eqNullSafe(F.col("of_id")) & (F.col("row_hash") == F.col("of_hash")))
-    # Rows that repeat in every column share their copies evenly.
-    nth = F.row_number().over(Window.partitionBy("of_id", "of_hash").orderBy("row_hash"))
-    share = F.floor(F.col("copies") / F.col("like")) + (F.col("nth") <= F.col("copies") % F.col("like")).cast("long")
-    alone = met.where("like = 1").select(*COLUMNS, "copies")
-    repeated = met.where("like > 1").withColumn("nth", nth).select(*COLUMNS, share.alias("copies")).where("copies > 0")
-    return alone.unionByName(repeated).withColumn("copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("copies")))).select(*COLUMNS)
+    rows = numbered(docs, "numbered")
+    taken = mixing.mix(rows, keep=("row",)).where("copies > 0").select(F.col("row").alias("of"), "copies")
+    met = rows.join(taken, F.col("row") == F.col("of"))
+    return met.withColumn("copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("copies")))).select(*COLUMNS)
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
