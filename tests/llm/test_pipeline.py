@@ -36,7 +36,7 @@ def test_stages(spark, tmp_path):
             assert docs.columns == columns
     ids = {name: {r["doc_id"] for r in df.collect()} for name, df in kept.items()}
     assert ids["language_id"] == {*range(320), None, 1002}
-    assert not ids["near_duplicates"] & set(range(300, 320)) and ids["near_duplicates"] >= {0, 1, 2, None}
+    assert not ids["near_duplicates"] & {None, *range(300, 320)} and ids["near_duplicates"] >= {0, 1, 2}
     assert ids["secret_scan"] == ids["near_duplicates"]
     marked = kept["secret_scan"].where("doc_id = 1002").first()
     if marked is not None:
@@ -45,6 +45,52 @@ def test_stages(spark, tmp_path):
     assert kept["packing"].count() > 0
 
 
+def test_near_duplicates_by_brute_force(spark):
+    rng = random.Random(3)
+    word = lambda: "".join(rng.choice("abcdefgh") for _ in range(4))
+    texts = []
+    for _ in range(25):
+        base = [word() for _ in range(rng.choice([4, 40, 120]))]
+        for _ in range(rng.randrange(1, 5)):
+            copy = list(base)
+            for _ in range(rng.randrange(3)):
+                copy[rng.randrange(len(copy))] = word()
+            texts.append(" ".join(copy))
+    ids = [rng.choice([None, i, i, i, i % 7]) for i in range(len(texts))] + [5, None, None, 5000, 5000]
+    texts += [texts[0], "only once here", "only once here", None, ""]
+    shingled = []
+    for t in texts:
+        w = (t or "").lower().split()
+        shingled.append({tuple(w[i : i + 5]) for i in range(max(1, len(w) - 4))} if w else set())
+    group = list(range(len(texts)))
+    for i in range(len(texts)):
+        for j in range(i):
+            both = len(shingled[i] & shingled[j])
+            if 5 * both >= 4 * (len(shingled[i]) + len(shingled[j]) - both):
+                old, new = max(group[i], group[j]), min(group[i], group[j])
+                group = [new if g == old else g for g in group]
+    want = sorted(str(min(((ids[i] is None, ids[i] or 0) for i in range(len(ids)) if group[i] == g))) for g in set(group))
+    docs = spark.createDataFrame([(d, t, "en", "s", len(t or "")) for d, t in zip(ids, texts, strict=True)], "doc_id long, text string, lang string, source string, n_chars long")
+    kept = corpus_pipeline.near_duplicates(spark, docs, "").collect()
+    assert sorted(str((r["doc_id"] is None, r["doc_id"] or 0)) for r in kept) == want
+
+
+def test_mixing_takes_what_the_mix_says(spark):
+    from collections import Counter
+
+    from sievewright.llm import mixing
+
+    docs = rows(spark).unionByName(rows(spark).where("doc_id is null or doc_id < 9"))
+    wanted = Counter()
+    for r in mixing.mix(docs.repartition(1).sortWithinPartitions("doc_id")).collect():
+        wanted[r["source"]] += r["copies"] * r["size"]
+    got = Counter()
+    for r in corpus_pipeline.mix_sources(spark, docs, "").collect():
+        got[r["source"]] += len((r["text"] or "").split())
+    for source in wanted:
+        assert abs(got[source] - wanted[source]) <= 60
+
+
 def test_empty_table(spark):
     docs = rows(spark).limit(0)
     for _, stage in corpus_pipeline.STAGES:
