@@ -35,11 +35,20 @@ def scratch_path(spark: SparkSession, label: str) -> str:
         if not (master.startswith("local[") or master == "local"):
             raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
         base = "file:///tmp/checkpoints"
-    return f"{base.rstrip('/')}/sievewright/{label}-{uuid.uuid4().hex}"
+    return f"{base.rstrip('/')}/sievewright/{spark.sparkContext.applicationId}/{label}-{uuid.uuid4().hex}"
+
+
+def drop_scratch(spark: SparkSession) -> None:
+    """Remove all that this application wrote to its scratch folder; results that are read from there end with it."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(scratch_path(spark, "x").rpartition("/")[0])
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
 
 
 def materialise(df: DataFrame, label: str, codec: str = "zstd") -> DataFrame:
-    """Write ``df`` once to the shared folder and read it back: cuts lineage and survives lost executors."""
+    """Write ``df`` once to the shared folder and read it back: cuts lineage and survives lost executors.
+
+    The table stays until :func:`drop_scratch`, as what is made from it may be read at any time.
+    """
     spark = df.sparkSession
     path = scratch_path(spark, label)
     df.write.option("compression", codec).parquet(path)

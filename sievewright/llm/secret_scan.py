@@ -15,7 +15,10 @@ combined (Stouffer) p-value enters a false-discovery control (Benjamini-Hochberg
 tokens of the corpus: p-values are counted in bins of a fixed number, so the threshold of a class comes from a
 pre-aggregated table of at most classes x bins rows, whatever the size of the corpus.
 
-Positions are code points, end exclusive. A row's work is linear in its text for texts without findings; nothing is
+The battery meets tokens of 20 characters or more; shorter ones are left to the patterns, as no test tells them from words.
+
+Positions are code points, end exclusive. Ties: spans that start together go in the order of KINDS. Very long texts are
+scanned whole; finding positions of many matches in one text takes n log n. A row's work is linear in its text for texts without findings; nothing is
 shuffled but the binned counts. Null text is empty and has no spans; ids and other columns play no part and pass
 through (an input column named ``spans`` is replaced). Repeated rows are scanned alike; they count in the p-value
 bins like any others. An empty table gives an empty result.

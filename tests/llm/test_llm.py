@@ -17,7 +17,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from sievewright.llm import aq_search, chat, embeddup, langid, mixing, packing, phrases, secret_scan, simhash, warc
-from sievewright.llm.common import scratch_path
+from sievewright.llm.common import drop_scratch, scratch_path
 from sievewright.llm.components import connected_components
 from sievewright.llm.queries import tokenizer_path
 
@@ -106,6 +106,61 @@ def test_random_tokens_are_found_and_words_are_not(spark):
     assert not any(got[i] for i in got if i >= 100)
 
 
+def brute_p(token):
+    """The battery's formulas, in plain Python."""
+    core = re.sub("=+$", "", token)
+    n = len(core)
+    size, agree = next((s, a) for _, pattern, s, a in secret_scan.ENCODINGS if re.search(pattern, core))
+    chi = size / n * sum(core.count(c) ** 2 for c in set(core)) - n
+    excess = max(0.05, size * agree - 1)
+    z_chi = -(chi - (size - 1) - n * excess) / (2 * (size - 1) + 4 * n * excess) ** 0.5
+    runs = len(re.findall("[a-z]+|[A-Z]+|[0-9]+|[^A-Za-z0-9]+", core))
+    vowels = [float(c.lower() in "aeiou") for c in core]
+    switches = sum(a != b for a, b in zip(vowels, vowels[1:], strict=False))
+    mean = sum(vowels) / n
+    spread = n * mean * (1 - mean)
+    shared = sum((a - mean) * (b - mean) for a, b in zip(vowels, vowels[1:], strict=False))
+    z_serial = (shared / spread - secret_scan.VOWEL_CORRELATION) * n**0.5 if spread > 0.5 else 0.0
+    s, v = secret_scan.SWITCH, secret_scan.VOWEL_SWITCH
+    if runs > 1:
+        z_kinds, norm = (runs - 1 - (n - 1) * s) / ((n - 1) * s * (1 - s)) ** 0.5, (1 + 1.5**2 + 0.5**2) ** 0.5
+    elif core[0].isalpha():
+        z_kinds, norm = ((n - 1) * v - switches) / ((n - 1) * v * (1 - v)) ** 0.5, (1 + 2.0**2) ** 0.5
+    else:
+        z_kinds, norm = 0.0, 1.0
+    z = max(-12.0, min(12.0, (z_chi + 1.5 * z_kinds + 0.5 * z_serial) / norm))
+    return 1 - 1 / (1 + np.exp(-(1.5976 * z + 0.07056 * z**3)))
+
+
+def some_tokens():
+    rng = random.Random(21)
+    sets = ["0123456789", "0123456789abcdef", "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567", "abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/-_"]
+    made = ["".join(rng.choice(s) for _ in range(n)) + "=" * rng.randrange(3) for s in sets for n in (20, 33, 64, 128, 300) for _ in range(4)]
+    return made + ["aaaaaaaaaaaaaaaaaaaaaaaa", "Donaudampfschifffahrtsgesellschaft", "the/quick/brown/fox/jumps", "------------------------"]
+
+
+def test_battery_by_brute_force(spark):
+    tokens = some_tokens()
+    got = spark.createDataFrame([(t,) for t in tokens], "t string").select("t", secret_scan.p_value(F.col("t")).alias("p")).collect()
+    for r in got:
+        assert r["p"] == pytest.approx(brute_p(r["t"]), rel=1e-6, abs=1e-12), r["t"]
+
+
+def test_false_discovery_control_by_brute_force(spark):
+    rng = random.Random(22)
+    tokens = some_tokens() + ["".join(rng.choice(["th", "er", "on", "an", "in", "es"]) for _ in range(rng.randrange(10, 40))) for _ in range(600)]
+    got = secret_scan.thresholds(docs(spark, [(i, f"x {t} y", "en", "s") for i, t in enumerate(tokens)]))
+    by_class = defaultdict(list)
+    for t in tokens:
+        by_class[min(8, int(np.floor(np.log2(len(t)))))].append(min(secret_scan.BINS - 1, int(np.floor(-np.log10(max(brute_p(t), 1e-300)) / secret_scan.BIN_WIDTH))))
+    want = {}
+    for c, bins in by_class.items():  # the widest set of smallest p-values whose expected false share is within the bound
+        good = [b for b in set(bins) if 10 ** (-b * secret_scan.BIN_WIDTH) * len(bins) / sum(x >= b for x in bins) <= secret_scan.FDR]
+        if good:
+            want[c] = min(good)
+    assert got == want and len(want) >= 3
+
+
 def test_redaction(spark):
     rows = docs(spark, [(i, t, "en", "s") for i, t in enumerate(SECRETS)])
     for r in secret_scan.redact(rows).collect():
@@ -618,3 +673,15 @@ def test_pointer_jumping():
         want.add(x)
         x = int(step[np.searchsorted(at, x)])
     assert set(at[warc._reached(at, step)].tolist()) == want
+
+
+def test_scratch_is_removed(spark):
+    path = scratch_path(spark, "test-drop")
+    assert spark.sparkContext.applicationId in path
+    folder = path.rpartition("/")[0].removeprefix("file://")
+    spark.range(3).write.parquet(path)
+    import os
+
+    assert os.path.isdir(folder)
+    drop_scratch(spark)
+    assert not os.path.exists(folder)
