@@ -11,8 +11,12 @@ from pyspark.sql import SparkSession
 
 
 def session(master: str = "local[8]", shuffle_partitions: int = 8, memory: str = "12g") -> SparkSession:
-    """A local session; on a cluster, set the same options there and leave master and memory to it."""
-    return (
+    """A local session; on a cluster, set the same options there and leave master and memory to it.
+
+    Only a local master gets a folder of this machine for checkpoints; elsewhere ``spark.checkpoint.dir`` must name a
+    shared one, and operators that need it say so.
+    """
+    builder = (
         SparkSession.builder.master(master)
         .config("spark.sql.shuffle.partitions", shuffle_partitions)
         .config("spark.sql.adaptive.enabled", "true")
@@ -20,10 +24,11 @@ def session(master: str = "local[8]", shuffle_partitions: int = 8, memory: str =
         .config("spark.driver.memory", memory)
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
-        .config("spark.checkpoint.dir", "file:///tmp/checkpoints")
         .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
-        .getOrCreate()
     )
+    if master == "local" or master.startswith("local["):
+        builder = builder.config("spark.checkpoint.dir", "file:///tmp/checkpoints")
+    return builder.getOrCreate()
 
 
 def ship(spark: SparkSession) -> None:
