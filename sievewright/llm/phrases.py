@@ -47,7 +47,7 @@ from pyspark.sql import functions as F
 
 from sievewright.llm.common import byte_texts, joined_by_count, materialise, short_batches, slices
 
-WINDOW, GRAM, SHARD = 13, 5, 20_000
+WINDOW, GRAM, SHARD = 13, 5, 10_000
 #: Most windows of a segment; most anchors that count as hot; one text in so many is looked at to find them.
 LONGEST, HOT, SAMPLE = 64, 20_000, 64
 #: The end of a run that covers a whole document.
