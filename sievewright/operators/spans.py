@@ -9,7 +9,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 import numpy as np
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
@@ -71,6 +71,25 @@ def dilated(spans: DataFrame, rounds: int, *keys: str) -> DataFrame:
     return union(grown, *keys)
 
 
+def _way(dx: Column, dy: Column, steps: Column) -> Column:
+    """The places along a delta, from none of it to all, in equal steps rounded half to even."""
+    return F.transform(F.sequence(F.lit(0), steps), lambda i: F.struct(F.bround(dx * i / steps).cast("int").alias("dx"), F.bround(dy * i / steps).cast("int").alias("dy")))
+
+
+def swept(spans: DataFrame, deltas: Sequence[tuple[Column, Column]], width, height, max_step: int, rounds: int, *keys: str) -> DataFrame:
+    """What masks sweep over on their way along each delta (dx, dy; columns), in steps of bounded length, grown and clipped.
+
+    The same as moving and growing a boolean array, as growth by a diamond inside a rectangle never goes around it.
+    """
+    ways = []
+    for dx, dy in deltas:
+        steps = F.greatest(F.lit(1), F.ceil(F.greatest(F.abs(dx), F.abs(dy)) / max_step)).cast("int")
+        ways.append(_way(dx, dy, steps))
+    moved = spans.select(*keys, "y", "x0", "x1", F.explode(F.array_distinct(F.concat(*ways))).alias("_m"))
+    moved = translate(moved, F.col("_m.dx"), F.col("_m.dy"), width, height)
+    return translate(dilated(union(moved, *keys), rounds, *keys), F.lit(0), F.lit(0), width, height)
+
+
 def from_mask(mask: np.ndarray) -> list[tuple[int, int, int]]:
     """(y, x0, x1) of a boolean array."""
     edge = np.diff(np.pad(mask.astype(np.int8), ((0, 0), (1, 1))), axis=1)

@@ -185,14 +185,14 @@ def string_leaves(spark: SparkSession, sf_dir: str) -> DataFrame:
     return load(spark, sf_dir, "events").select("event_id", F.explode(nested.string_leaves(record)).alias("value"))
 
 
-@query()
+@query("""SELECT o_orderkey, '{"image":"old/7/' || o_orderkey || '","more":["old/7","runs/70"]}' AS record FROM orders""")
 def nested_relocation(spark: SparkSession, sf_dir: str) -> DataFrame:
     """JSON records whose paths move with their folder."""
     rows = load(spark, sf_dir, "orders").select("o_orderkey", F.to_json(F.struct(F.concat(F.lit("runs/7/"), F.col("o_orderkey").cast("string")).alias("image"), F.array(F.lit("runs/7"), F.lit("runs/70")).alias("more"))).alias("record"))
     return rows.select("o_orderkey", nested.relocated(F.col("record"), "runs/7", "old/7").alias("record"))
 
 
-@query()
+@query("""SELECT event_id, CASE event_id % 4 WHEN 0 THEN 'repeated key' WHEN 1 THEN 'number' WHEN 2 THEN 'syntax' END AS error FROM events""")
 def completion_json(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Why completions aren't strict JSON."""
     k = F.col("event_id") % 4

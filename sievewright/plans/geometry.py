@@ -136,10 +136,21 @@ def bilinear_region(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _by_mask(spark, sf_dir, "l_orderkey long, error string, start_x long, start_y long, end_x long, end_y long", work)
 
 
-@query()
+@query(f"""WITH {_SPANS}, {_UNION}, d AS (SELECT DISTINCT l_orderkey, unnest([0, 1]) AS w FROM s),
+v AS (SELECT l_orderkey, CASE w WHEN 0 THEN l_orderkey % 41 - 20 ELSE l_orderkey % 7 END AS dx, CASE w WHEN 0 THEN l_orderkey % 31 ELSE 0 END AS dy FROM d),
+n AS (SELECT *, greatest(1, CAST(ceil(greatest(abs(dx), abs(dy)) / 8.0) AS BIGINT)) AS n FROM v), i AS (SELECT *, unnest(range(0, n + 1)) AS i FROM n),
+p AS (SELECT DISTINCT l_orderkey, CAST(round_even(dx * i / n::DOUBLE, 0) AS BIGINT) AS dx, CAST(round_even(dy * i / n::DOUBLE, 0) AS BIGINT) AS dy FROM i),
+m AS (SELECT l_orderkey, y + dy AS y, greatest(x0 + dx, 0) AS x0, least(x1 + dx, 120) AS x1 FROM u JOIN p USING (l_orderkey) WHERE greatest(x0 + dx, 0) < least(x1 + dx, 120) AND y + dy BETWEEN 0 AND 79),
+k AS (SELECT DISTINCT * FROM m), r AS (SELECT l_orderkey, y + d AS y, greatest(0, x0 - (8 - abs(d))) AS x0, least(120, x1 + (8 - abs(d))) AS x1 FROM (SELECT *, unnest(range(-8, 9)) AS d FROM k) WHERE y + d BETWEEN 0 AND 79),
+g2 AS (SELECT l_orderkey, y, x0, x1, CASE WHEN x0 > max(x1) OVER (PARTITION BY l_orderkey, y ORDER BY x0, x1 ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) THEN 1 ELSE 0 END AS nw FROM r),
+h2 AS (SELECT *, sum(nw) OVER (PARTITION BY l_orderkey, y ORDER BY x0, x1 ROWS UNBOUNDED PRECEDING) AS isl FROM g2),
+o AS (SELECT l_orderkey, max(x1) - min(x0) AS w FROM h2 GROUP BY l_orderkey, y, isl) SELECT l_orderkey, CAST(sum(w) AS BIGINT) AS area FROM o GROUP BY l_orderkey""")
 def swept_support(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Area that a mask sweeps over along two translations, grown."""
-    return _by_mask(spark, sf_dir, "l_orderkey long, area long", lambda key, mask: (int(geo.swept_support(mask, [(key % 41 - 20, key % 31), (key % 7, 0)]).sum()),))
+    key = F.col("l_orderkey")
+    deltas = [(key % 41 - 20, key % 31), (key % 7, F.lit(0).cast("long"))]
+    runs = sp.swept(sp.union(_spans(spark, sf_dir), "l_orderkey"), deltas, F.lit(WIDTH), F.lit(HEIGHT), geo.MAX_STEP, geo.REPAIR_ROUNDS, "l_orderkey")
+    return runs.groupBy("l_orderkey").agg(F.sum(F.col("x1") - F.col("x0")).alias("area"))
 
 
 @query()

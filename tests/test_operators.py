@@ -222,3 +222,19 @@ def test_digest_of_a_sparse_collection(spark):
     want = sha([sha(v) for _, v in sorted(above.items())])
     rows = spark.createDataFrame([(x, f"v{x}") for x in at], "id long, v string")
     assert collection_digest(rows, ["id"], "v").first()["digest"] == want
+
+
+def test_swept_runs_equal_swept_arrays(spark):
+    rng = np.random.default_rng(8)
+    rows, want = [], {}
+    for key in range(12):
+        mask = rng.random((20, 30)) < 0.05
+        mask[5 + key % 4, 3:9] = True
+        rows += [(key, y, a, b) for y, a, b in sp.from_mask(mask)]
+        want[key] = geo.swept_support(mask, [(key * 3 - 17, 9 - key), (2, 13)])
+    spans = spark.createDataFrame(rows, "k long, y int, x0 int, x1 int")
+    deltas = [(F.col("k") * 3 - 17, 9 - F.col("k")), (F.lit(2), F.lit(13))]
+    got = {}
+    for r in sp.swept(spans, deltas, F.lit(30), F.lit(20), geo.MAX_STEP, geo.REPAIR_ROUNDS, "k").collect():
+        got.setdefault(r["k"], []).append((r["y"], r["x0"], r["x1"]))
+    assert all(np.array_equal(sp.to_mask(got[k], 20, 30), m) for k, m in want.items())
