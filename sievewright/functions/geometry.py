@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 import numpy as np
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 #: Feature grids are multiples of a stride; the scale falls as images grow (mean side over 1000, over 600, else).
 STRIDE, SCALES = 16, ((1000, 4), (600, 3), (0, 2))
-MAX_STEP, REPAIR_ROUNDS, MOTION_SIDE = 8, 8, 512
+MAX_STEP, REPAIR_ROUNDS, MOTION_SIDE, LEAST_PIXELS = 8, 8, 512, 4
 
 
 def feature_grid(width: Column, height: Column) -> tuple[Column, Column]:
@@ -130,18 +132,47 @@ def masked_match(image: np.ndarray, template: np.ndarray, mask: np.ndarray) -> n
     return np.divide(cross, scale, out=np.zeros_like(cross), where=scale > least)
 
 
+def _shrunk(frame: np.ndarray, height: int, width: int) -> np.ndarray:
+    """A gray frame at another size; a triangle that widens as the frame shrinks weighs the pixels."""
+
+    def weights(n: int, m: int) -> np.ndarray:
+        at = (np.arange(m) + 0.5) * n / m - 0.5
+        w = np.maximum(0, 1 - np.abs(at[:, None] - np.arange(n)) / max(1.0, n / m))
+        return w / w.sum(axis=1, keepdims=True)
+
+    return weights(frame.shape[0], height) @ frame.astype(np.float64) @ weights(frame.shape[1], width).T
+
+
+def motions(before: np.ndarray, after: np.ndarray, members: Sequence[np.ndarray], wanted: tuple[int, int], side: int = MOTION_SIDE) -> list[dict[str, object]]:
+    """Where each member's part of ``before`` (gray) is found in ``after``, and how far that is from the wanted translation.
+
+    Frames larger than ``side`` are compared at that size. A member of fewer than four pixels there, or without contrast,
+    can't be measured; one whose scores are all without value has no match. It is a diagnosis: nothing is accepted by it.
+    """
+    h, w = before.shape
+    factor = min(1.0, side / max(h, w))
+    size = max(1, round(h * factor)), max(1, round(w * factor))
+    if factor < 1:
+        before, after = _shrunk(before, *size), _shrunk(after, *size)
+    rows, columns = (((np.arange(m) + 0.5) * n / m).astype(int) for n, m in ((h, size[0]), (w, size[1])))
+    return [_motion(before, after, mask[rows][:, columns], wanted, (size[1] / w, size[0] / h)) for mask in members]
+
+
 def motion(before: np.ndarray, after: np.ndarray, mask: np.ndarray, wanted: tuple[int, int]) -> dict[str, object]:
-    """Where the masked part of ``before`` is found in ``after``, and how far that is from the wanted translation."""
-    step = max(1, -(-max(before.shape) // MOTION_SIDE))
-    before, after, mask = before[::step, ::step], after[::step, ::step], mask[::step, ::step]
-    if not mask.any() or float(before[mask].std() if mask.any() else 0) == 0:
-        return {"status": "unmeasurable", "dx": None, "dy": None, "residual": None, "score": None}
+    """:func:`motions` of one mask."""
+    return motions(before, after, [mask], wanted)[0]
+
+
+def _motion(before: np.ndarray, after: np.ndarray, mask: np.ndarray, wanted: tuple[int, int], scale: tuple[float, float]) -> dict[str, object]:
+    nothing = {"dx": None, "dy": None, "residual": None, "score": None}
     ys, xs = np.nonzero(mask)
+    if len(xs) < LEAST_PIXELS or float(before[mask].std()) <= 1e-6:
+        return {"status": "unmeasurable", **nothing}
     box = np.s_[ys.min() : ys.max() + 1, xs.min() : xs.max() + 1]
     scores = masked_match(after, before[box], mask[box])
-    if not np.isfinite(scores).all():
-        return {"status": "matching_error", "dx": None, "dy": None, "residual": None, "score": None}
-    y, x = np.unravel_index(int(scores.argmax()), scores.shape)
-    dx, dy = (int(x) - int(xs.min())) * step, (int(y) - int(ys.min())) * step
+    if not np.isfinite(scores).any():
+        return {"status": "matching_error", **nothing}
+    y, x = np.unravel_index(int(np.where(np.isfinite(scores), scores, -np.inf).argmax()), scores.shape)
+    dx, dy = (int(x) - int(xs.min())) / scale[0], (int(y) - int(ys.min())) / scale[1]
     residual = float(np.hypot(dx - wanted[0], dy - wanted[1]))
-    return {"status": "appearance_match_only", "dx": dx, "dy": dy, "residual": residual, "score": float(scores.max())}
+    return {"status": "appearance_match_only", "dx": dx, "dy": dy, "residual": residual, "score": float(scores[y, x])}

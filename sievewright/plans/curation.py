@@ -153,7 +153,7 @@ def candidate_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-@query()
+@query("""SELECT event_id, sha256('{"k":' || json_extract_string(props, '$.k') || '}') AS digest FROM events""")
 def canonical_digests(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Canonical digests of the events' JSON; Python, as key order and nulls matter."""
     return load(spark, sf_dir, "events").select("event_id", identity.canonical_digest("props").alias("digest"))

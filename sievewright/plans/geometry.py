@@ -153,7 +153,8 @@ def swept_support(spark: SparkSession, sf_dir: str) -> DataFrame:
     return runs.groupBy("l_orderkey").agg(F.sum(F.col("x1") - F.col("x0")).alias("area"))
 
 
-@query()
+@query("""WITH k AS (SELECT n_nationkey, CAST(n_nationkey AS BIGINT) AS k FROM nation)
+SELECT n_nationkey, CASE WHEN k = 24 THEN 'unmeasurable' ELSE 'appearance_match_only' END AS status, CASE WHEN k <> 24 THEN k % 9 - 4 END AS dx, CASE WHEN k <> 24 THEN k % 7 - 3 END AS dy, CASE WHEN k <> 24 THEN 0.0::DOUBLE END AS residual FROM k""")
 def motion_match(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Textures moved by a known translation and found again; one for each nation."""
 

@@ -238,3 +238,27 @@ def test_swept_runs_equal_swept_arrays(spark):
     for r in sp.swept(spans, deltas, F.lit(30), F.lit(20), geo.MAX_STEP, geo.REPAIR_ROUNDS, "k").collect():
         got.setdefault(r["k"], []).append((r["y"], r["x0"], r["x1"]))
     assert all(np.array_equal(sp.to_mask(got[k], 20, 30), m) for k, m in want.items())
+
+
+def test_motion_of_members_at_a_smaller_size():
+    rng = np.random.default_rng(13)
+    coarse = rng.random((80, 100))
+    before = np.kron(coarse, np.ones((8, 8)))  # 640 by 800, so it is compared at 410 by 512
+    after = np.roll(before, (16, -32), axis=(0, 1))
+    one, two, tiny = (np.zeros(before.shape, dtype=bool) for _ in range(3))
+    one[200:300, 200:280] = True
+    two[400:470, 500:600] = True
+    tiny[5, 5] = True
+    found = geo.motions(before, after, [one, two, tiny], (-32, 16))
+    assert [f["status"] for f in found] == ["appearance_match_only", "appearance_match_only", "unmeasurable"]
+    assert all(f["residual"] < 3 and f["score"] > 0.95 for f in found[:2])
+    flat = np.full(before.shape, 3.0)
+    assert geo.motion(flat, after, one, (0, 0))["status"] == "unmeasurable"
+
+
+def test_a_member_may_not_vanish_on_the_grid():
+    mask, speck = np.zeros((80, 120), dtype=bool), np.zeros((80, 120), dtype=bool)
+    mask[20:50, 30:70] = True
+    speck[20, 30] = True
+    assert geo.grid_geometry(mask, (30, 20), (8, 4), (mask,))["error"] is None
+    assert geo.grid_geometry(mask, (30, 20), (8, 4), (mask, speck))["error"] == "member"
