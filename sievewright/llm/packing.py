@@ -22,7 +22,7 @@ from __future__ import annotations
 
 import zlib
 from collections import deque
-from collections.abc import Iterator
+from collections.abc import Callable, Iterable, Iterator
 from functools import lru_cache
 
 import numpy as np
@@ -34,9 +34,47 @@ from pyspark.sql import functions as F
 
 from sievewright.llm.common import materialise, short_batches, slices
 
-WIDTH, END_ID, BLOCK_TOKENS, LEAST_PIECE = 2048, 1, 4_000_000, 128
-#: Entries of each of an encoder's tables; a full one starts anew.
-_CACHE = 1_200_000
+WIDTH, END_ID, BLOCK_TOKENS, LEAST_PIECE = 2048, 1, 2_000_000, 128
+#: Entries of each half of an encoder's tables.
+_CACHE = 350_000
+
+
+class Recent:
+    """What was asked for lately, in two halves: a full half becomes the old one, and what is found there moves on.
+
+    Frequent keys stay, whatever passes through; memory is bounded by two halves.
+    """
+
+    def __init__(self, size: int = _CACHE) -> None:
+        self.size, self.new, self.old = size, {}, {}
+
+    def add(self, items: Iterable[tuple[bytes, bytes]]) -> None:
+        self.new.update(items)
+        if len(self.new) > self.size:
+            self.new, self.old = {}, self.new
+
+    def many(self, keys: list[bytes], learn: Callable[[list[bytes]], Iterable[tuple[bytes, bytes]]]) -> list[bytes]:
+        """The values of keys; those of unknown ones are learned together."""
+        out = list(map(self.new.get, keys))
+        places = [i for i, x in enumerate(out) if x is None]
+        if places:
+            old, unknown = self.old.get, {}
+            found = {}
+            for i in places:
+                key = keys[i]
+                x = out[i] = old(key)
+                if x is None:
+                    unknown[key] = None
+                else:
+                    found[key] = x
+            if unknown:
+                unknown = dict(learn(list(unknown)))
+                for i in places:
+                    if out[i] is None:
+                        out[i] = unknown[keys[i]]
+                found |= unknown
+            self.add(found.items())
+        return out
 
 
 class WordEncoder:
@@ -58,23 +96,20 @@ class WordEncoder:
         self.kind = np.dtype("<u2") if max(vocab.values()) < 1 << 16 else np.dtype("<u4")
         self.ends = np.zeros(max(vocab.values()) + 1, dtype=bool)
         self.ends[[i for token, i in vocab.items() if token.endswith(end_of_word)]] = True
-        #: Ids of runs of letters (None for chunks that are none) and of everything else.
-        self.letters: dict[bytes, bytes | None] = {}
-        self.others: dict[bytes, bytes] = {}
-        self.chunks: dict[bytes, bytes] = {}
+        #: Ids of runs of letters (none for chunks that aren't) and of everything else.
+        self.letters, self.others = Recent(), Recent()
 
     def _each(self, texts: list[str]) -> list[bytes]:
         return [np.array(x.ids, dtype=self.kind).tobytes() for x in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
-    def _learn(self, new: list[bytes]) -> None:
-        """Runs of letters; chunks that are none are marked."""
-        texts = b"\n".join(new).decode().split("\n")
+    def _learn_letters(self, new: list[bytes]) -> Iterator[tuple[bytes, bytes]]:
+        """Ids of runs of letters; no ids for chunks that are none."""
         some = []
-        for chunk, text in zip(new, texts, strict=True):
+        for chunk, text in zip(new, b"\n".join(new).decode().split("\n"), strict=True):
             if text.isalpha():
                 some.append((chunk, text))
             else:
-                self.letters[chunk] = None
+                yield chunk, b""
         for at in range(0, len(some), 4000):
             part = some[at : at + 4000]
             ids = np.array(self.tokenizer.encode_batch_fast(["\n".join([t for _, t in part])], add_special_tokens=False)[0].ids, dtype=self.kind)
@@ -82,31 +117,22 @@ class WordEncoder:
             if len(stops) == len(part):
                 raw, start = ids.tobytes(), 0
                 for (chunk, _), stop in zip(part, (stops * self.kind.itemsize).tolist(), strict=True):
-                    self.letters[chunk] = raw[start:stop]
+                    yield chunk, raw[start:stop]
                     start = stop
             else:
-                self.letters.update(zip([c for c, _ in part], self._each([t for _, t in part]), strict=True))
+                yield from zip([c for c, _ in part], self._each([t for _, t in part]), strict=True)
+
+    def _learn_others(self, new: list[bytes]) -> Iterator[tuple[bytes, bytes]]:
+        return zip(new, self._each([c.decode() for c in new]), strict=True)
 
     def _pieces(self, chunks: list[bytes]) -> list[bytes]:
         """The ids of each chunk."""
-        for kept in (self.chunks, self.letters, self.others):
-            if len(kept) > _CACHE:
-                kept.clear()
-        out = list(map(self.chunks.get, chunks))
-        missing = [i for i, x in enumerate(out) if x is None]
-        some = [chunks[i] for i in missing]
-        bodies = [c.rstrip(b".,;:!?") for c in some]
-        if new := [b for b in set(bodies) - self.letters.keys() if b]:
-            self._learn(new)
-        letters, others = self.letters, self.others
-        letters[b""] = b""
-        ids = [letters[b] for b in bodies]
-        rest = [c if x is None else c[len(b) :] for c, b, x in zip(some, bodies, ids, strict=True)]
-        new = [c for c in set(rest) - others.keys() if c]
-        others.update(zip(new, self._each([c.decode() for c in new]), strict=True))
-        others[b""] = b""
-        for i, x, r in zip(missing, ids, rest, strict=True):
-            out[i] = self.chunks[chunks[i]] = (x or b"") + others[r] if r else x
+        bodies = [c.rstrip(b".,;:!?") for c in chunks]
+        out = self.letters.many(bodies, self._learn_letters)
+        places = [i for i, (c, b, x) in enumerate(zip(chunks, bodies, out, strict=True)) if len(b) != len(c) or not x]
+        rest = [chunks[i][len(bodies[i]) :] if out[i] else chunks[i] for i in places]
+        for i, x in zip(places, self.others.many(rest, self._learn_others), strict=True):
+            out[i] += x
         return out
 
     def __call__(self, texts: pa.Array) -> list[bytes]:
