@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 WORD_PATTERN = r"[^\x20\x09-\x0D]+"
 
 #: Rows of an Arrow batch; texts can be long, so batches are kept shorter than Spark's default.
-BATCH_ROWS = 2000
+BATCH_ROWS, BATCH_BYTES = 2000, 1 << 24
 
 #: A key with more than one row in so many is frequent.
 FREQUENT = 4096
@@ -56,10 +56,11 @@ def materialise(df: DataFrame, label: str, codec: str = "zstd") -> DataFrame:
 
 
 def short_batches(spark: SparkSession) -> None:
-    """Bound the memory of Python workers: at most BATCH_ROWS rows an Arrow batch, unless already set lower."""
-    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
-    if int(spark.conf.get(key)) > BATCH_ROWS:
-        spark.conf.set(key, str(BATCH_ROWS))
+    """Bound the memory of Python workers: at most BATCH_ROWS rows and BATCH_BYTES an Arrow batch, unless set lower."""
+    for key, most in (("maxRecordsPerBatch", BATCH_ROWS), ("maxBytesPerBatch", BATCH_BYTES)):
+        now = spark.conf.get(f"spark.sql.execution.arrow.{key}").removesuffix("b")
+        if not now.isdigit() or not 0 < int(now) <= most:
+            spark.conf.set(f"spark.sql.execution.arrow.{key}", str(most))
 
 
 def byte_texts(column: pa.Array | pa.ChunkedArray) -> list[bytes | None]:
