@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from sievewright.llm.common import bounded_sample, joined_by_count, materialise, short_batches
-from sievewright.llm.components import connected_components
+from sievewright.llm.components import connected_components, roots
 
 THRESHOLD, BLOCK, TILE, SAMPLE = 0.98, 4096, 512, 4096
 #: Leading coordinates that order rows, and lengths whose axes are fitted.
@@ -130,21 +130,6 @@ def linked(a: Side, b: Side | None, t: float, tile: int) -> tuple[np.ndarray, np
     return np.concatenate(i), np.concatenate(j)
 
 
-def _roots(n: int, i: np.ndarray, j: np.ndarray) -> np.ndarray:
-    """The smallest index that each of n nodes reaches by the links (i, j)."""
-    label = np.arange(n)
-    while len(i):
-        low = np.minimum(label[i], label[j])
-        new = label.copy()
-        np.minimum.at(new, i, low)
-        np.minimum.at(new, j, low)
-        new = new[new]
-        if (new == label).all():
-            break
-        label = new
-    return label
-
-
 def links(vectors: DataFrame, kind: np.dtype, t: float = THRESHOLD, block: int = BLOCK, tile: int = TILE) -> DataFrame:
     """(a, b, n): for pairs of blocks, how many vectors link to a, copies counted, and one vector b that its links lead to.
 
@@ -211,7 +196,7 @@ def links(vectors: DataFrame, kind: np.dtype, t: float = THRESHOLD, block: int =
                 else:
                     i, j = linked(a, None, t, tile)
                 n = np.bincount(i, weight[j], len(key)) + np.bincount(j, weight[i], len(key))
-                root = _roots(len(key), i, j)
+                root = roots(len(key), i, j)
                 met = n > 0
                 yield pa.RecordBatch.from_arrays([pa.array(key[met]), pa.array(key[root[met]]), pa.array(n[met].astype(np.int64))], names=["a", "b", "n"])
 
