@@ -25,8 +25,8 @@ def brute_kept(rows):
         for j in range(i):
             if similarity(rows[i][1], rows[j][1]) >= 0.8:
                 at = [at[j] if x == at[i] else x for x in at]
-    least = {c: min((rows[i][0] for i in range(len(rows)) if at[i] == c and rows[i][0] is not None), default=None) for c in at}
-    return sorted((str(rows[i][0]), rows[i][1] or "") for i in range(len(rows)) if rows[i][0] is None or rows[i][0] == least[at[i]])
+    first = [min((rows[i][0] is None, rows[i][0] or 0, i) for i in range(len(rows)) if at[i] == c)[2] for c in set(at)]
+    return sorted((str(rows[i][0]), rows[i][1] or "") for i in first)
 
 
 def replaced(rng, text, n):
