@@ -43,6 +43,11 @@ def batch_size(lanes: int, quota: int, accepted_count: int) -> int:
     return max(0, min(lanes, quota - accepted_count))
 
 
+def open_slots(lanes: Column, quota: Column, accepted_count: Column, in_flight: Column) -> Column:
+    """How many more candidates may start: free lanes, and never more than could still be accepted."""
+    return F.greatest(F.lit(0), F.least(lanes - in_flight, quota - accepted_count - in_flight))
+
+
 def round_robin(attempts: DataFrame, sources: DataFrame, sequence: str, next_source: int = 0) -> DataFrame:
     """The source of each attempt: sources take turns in their order. ``sources``: pos (0..n-1) and source_id."""
     n = sources.count()

@@ -25,6 +25,11 @@ def per_source(sources: DataFrame, ledger: DataFrame) -> DataFrame:
     return sources.join(sums, "source_id", "left").select("source_id", zero("attempts"), zero("accepted"))
 
 
+def unknown_sources(sources: DataFrame, ledger: DataFrame) -> DataFrame:
+    """(source_id, n): entries of sources that the run doesn't have."""
+    return ledger.join(sources.select("source_id").distinct(), "source_id", "left_anti").groupBy("source_id").agg(F.count("*").alias("n"))
+
+
 def mean_cost(ledger: DataFrame, seconds: str) -> DataFrame:
     """One row: attempts, accepted, mean seconds for each accepted; null when there is none."""
     sums = ledger.agg(F.count("*").alias("attempts"), F.count_if(F.col("outcome") == "accepted").alias("accepted"), F.sum(seconds).alias("seconds"))
@@ -78,6 +83,11 @@ def write_small_json(value: object, path: str | Path) -> bool:
         f.flush()
         os.fsync(f.fileno())
     os.replace(partial, target)
+    folder = os.open(target.parent, os.O_RDONLY)
+    try:
+        os.fsync(folder)  # the new name lasts, too
+    finally:
+        os.close(folder)
     return True
 
 

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sievewright.functions import geometry, texts, vectors
-from sievewright.operators import exports, integrity, selection
+from sievewright.operators import acceptance, exports, ingest, integrity, reporting, scoring, selection
 from sievewright.plans.catalog import load, query
 from sievewright.plans.curation import _PAIRS, CAPTIONS, SOURCES, _pairs
 from sievewright.plans.geometry import _SPANS, _spans
@@ -99,3 +99,44 @@ def generator_instructions(spark: SparkSession, sf_dir: str) -> DataFrame:
     at = F.array(k.cast("double"), F.lit(1.0))
     told = integrity.instruction(operation, at, at, F.lit(None).cast("array<double>"), F.lit("before"), F.col("o_orderstatus"))
     return load(spark, sf_dir, "orders").select("o_orderkey", told.alias("i")).select("o_orderkey", "i.region.task", "i.editing_prompt")
+
+
+@query("""SELECT o_custkey AS source_id, greatest(0, least(4 - count(CASE WHEN o_orderstatus = 'P' THEN 1 END), 6 - count(CASE WHEN o_orderstatus = 'F' THEN 1 END) - count(CASE WHEN o_orderstatus = 'P' THEN 1 END))) AS slots
+FROM orders GROUP BY o_custkey""")
+def reservation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Candidates that may start for each customer's quota of six on four lanes; orders in progress are in flight."""
+    status = F.col("o_orderstatus")
+    counts = load(spark, sf_dir, "orders").groupBy(F.col("o_custkey").alias("source_id")).agg(F.count_if(status == "F").alias("done"), F.count_if(status == "P").alias("flying"))
+    return counts.select("source_id", acceptance.open_slots(F.lit(4).cast("long"), F.lit(6).cast("long"), F.col("done"), F.col("flying")).alias("slots"))
+
+
+@query(f"""WITH {_PAIRS}, d AS (SELECT vec_id, CAST(physical_pass_count AS BIGINT) AS n, physical_pass_count >= 3 AND accident_passed AS passed FROM v)
+SELECT vec_id FROM d WHERE vec_id % 9 = 0 OR vec_id % 11 = 0""")
+def decision_integrity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Stored decisions that scores don't give again: every ninth verdict and every eleventh count was changed."""
+    pairs = _pairs(spark, sf_dir)
+    key = F.col("vec_id")
+    stored = scoring.decisions(pairs, "vec_id")
+    stored = stored.withColumn("passed", F.when(key % 9 == 0, ~F.col("passed")).otherwise(F.col("passed"))).withColumn("physical_pass_count", F.col("physical_pass_count") + (key % 11 == 0).cast("int"))
+    return scoring.tampered(stored, pairs, "vec_id").select("vec_id")
+
+
+@query("""WITH r AS (SELECT CASE WHEN p_partkey % 50 = 1 THEN p_partkey - 1 ELSE p_partkey END AS id, p_size * 3 AS w, p_size * 2 AS h, CASE WHEN p_partkey % 7 = 0 THEN '  ' WHEN p_partkey % 7 = 1 THEN p_name END AS hint,
+  CASE WHEN p_partkey % 31 = 0 THEN 'else' ELSE 'train' END AS split FROM part)
+SELECT id, 'repeated' AS error FROM r GROUP BY id HAVING count(*) > 1 UNION ALL SELECT id, 'small' FROM r WHERE least(w, h) < 32
+UNION ALL SELECT id, 'hint' FROM r WHERE hint IS NOT NULL AND trim(hint) = '' UNION ALL SELECT id, 'split' FROM r WHERE split NOT IN ('source', 'train', 'val', 'test')""")
+def ingest_violations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What stops an ingest: repeated ids, small images, blank hints, unknown splits."""
+    k = F.col("p_partkey")
+    hint = F.when(k % 7 == 0, "  ").when(k % 7 == 1, F.col("p_name"))
+    rows = load(spark, sf_dir, "part").select(F.when(k % 50 == 1, k - 1).otherwise(k).alias("source_id"), (F.col("p_size") * 3).alias("width"), (F.col("p_size") * 2).alias("height"), hint.alias("preserve_hint"), F.when(k % 31 == 0, "else").otherwise("train").alias("split"))
+    found = [(ingest.repeated_ids(rows), "repeated"), (ingest.too_small(rows), "small"), (ingest.blank_hints(rows), "hint"), (ingest.unknown_splits(rows), "split")]
+    parts = [v.select(F.col("source_id").alias("id"), F.lit(name).alias("error")) for v, name in found]
+    return parts[0].unionByName(parts[1]).unionByName(parts[2]).unionByName(parts[3])
+
+
+@query("""SELECT user_id AS source_id, count(*) AS n FROM events WHERE user_id NOT IN (SELECT c_custkey FROM customer WHERE c_custkey % 3 <> 0) GROUP BY user_id""")
+def unknown_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Attempts of users that aren't among the run's sources."""
+    sources = load(spark, sf_dir, "customer").where("c_custkey % 3 <> 0").select(F.col("c_custkey").alias("source_id"))
+    return reporting.unknown_sources(sources, load(spark, sf_dir, "events").select(F.col("user_id").alias("source_id")))
