@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import contextlib
 import uuid
 from collections.abc import Iterable, Iterator
 
@@ -38,10 +39,38 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return f"{base.rstrip('/')}/sievewright/{spark.sparkContext.applicationId}/{label}-{uuid.uuid4().hex}"
 
 
+#: Tables written while :func:`recording`; None when nothing records.
+_recorded: list[str] | None = None
+
+
+@contextlib.contextmanager
+def recording(into: list[str]) -> Iterator[None]:
+    """Note the tables that are written meanwhile, so that they can go when they have served."""
+    global _recorded
+    before, _recorded = _recorded, into
+    try:
+        yield
+    finally:
+        _recorded = before
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
+def drop_unread(tables: list[str], df: DataFrame) -> None:
+    """Remove the given tables, but for those that ``df`` reads."""
+    last = {f.rpartition("/")[0].rpartition("/")[2] for f in df.inputFiles()}
+    for path in list(tables):
+        if path.rpartition("/")[2] not in last:
+            _delete(df.sparkSession, path)
+            tables.remove(path)
+
+
 def drop_scratch(spark: SparkSession) -> None:
     """Remove all that this application wrote to its scratch folder; results that are read from there end with it."""
-    folder = spark._jvm.org.apache.hadoop.fs.Path(scratch_path(spark, "x").rpartition("/")[0])
-    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+    _delete(spark, scratch_path(spark, "x").rpartition("/")[0])
 
 
 def materialise(df: DataFrame, label: str, codec: str = "zstd") -> DataFrame:
@@ -52,6 +81,8 @@ def materialise(df: DataFrame, label: str, codec: str = "zstd") -> DataFrame:
     spark = df.sparkSession
     path = scratch_path(spark, label)
     df.write.option("compression", codec).parquet(path)
+    if _recorded is not None:
+        _recorded.append(path)
     return spark.read.schema(df.schema).parquet(path)
 
 

@@ -9,7 +9,7 @@ on the test documents, none in two or fewer). Of 20 bands of 4 minima, a pair at
 at 0.9 with less than 1e-9; no other pair is left out.
 
 Scale: equal sets are one node from the start. Every member of a bucket is first compared with the bucket's hub, the node
-that meets most others over all its buckets. Buckets that hubs leave in several components are compared in whole, in
+that meets most others over all its buckets. Bands that hubs leave in several components are compared in whole, in
 blocks, by counts of shared hashes; a block emits a spanning forest of its links, never its pairs. That work grows with
 the square of such a bucket; equal texts and buckets that a hub joins cost their size. Only texts that share a bucket
 with another are moved. Frequent keys are joined by broadcast.
@@ -123,8 +123,8 @@ def verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
 def links(nodes: DataFrame, docs: DataFrame) -> DataFrame:
     """(a, b): links between nodes, enough of them to give the components. ``nodes``: node, first (doc_id, text_hash), keys."""
     groups = materialise(simhash.components(nodes.select("fp").distinct()), "jaccard-simhash")
-    grouped = nodes.join(groups.withColumnRenamed("node", "fp"), "fp", "left").select("node", F.xxhash64(F.lit("simhash"), F.coalesce("component", "fp")).alias("key"))
-    keys = materialise(nodes.select("node", F.explode("keys").alias("key")).unionByName(grouped), "jaccard-all-keys")
+    grouped = nodes.join(groups.withColumnRenamed("node", "fp"), "fp", "left").select("node", F.xxhash64(F.lit("simhash"), F.coalesce("component", "fp")).alias("key"), F.lit(False).alias("band"))
+    keys = materialise(nodes.select("node", F.explode("keys").alias("key"), F.lit(True).alias("band")).unionByName(grouped), "jaccard-all-keys")
     shared = materialise(keys.groupBy("key").agg(F.count("*").alias("m")).where("m > 1").withColumn("n", F.col("m")), "jaccard-shared")
     rows = materialise(joined_by_count(keys, shared, "key", "n", keys.count()), "jaccard-keys")
     weight = rows.groupBy("node").agg(F.sum("m").alias("w"))
@@ -137,7 +137,7 @@ def links(nodes: DataFrame, docs: DataFrame) -> DataFrame:
     first = materialise(verified(stars, texts), "jaccard-links")
 
     label = connected_components(first).withColumnRenamed("node", "of")
-    named = rows.join(label, F.col("node") == F.col("of"), "left").select("key", "node", F.coalesce("component", "node").alias("component"))
+    named = rows.where("band").join(label, F.col("node") == F.col("of"), "left").select("key", "node", F.coalesce("component", "node").alias("component"))
     several = named.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi"), F.count("*").alias("members")).where("lo < hi").select("key", "members")
     left = materialise(named.join(several, "key"), "jaccard-left")
     sets = materialise(hashed(texts.join(left.select("node").distinct(), "node")), "jaccard-sets")
