@@ -1,7 +1,7 @@
 """A pipeline from raw documents to packed training sequences.
 
 Every stage takes (spark, docs, sf_dir) and returns a DataFrame, which is written as Parquet and reread as the next
-stage's docs. All but the last return the columns of ``documents``; row order and extra columns of the input don't
+stage's docs; tables that a stage writes for itself are removed when the next one begins. All but the last return the columns of ``documents``; row order and extra columns of the input don't
 matter. An empty table, or one that a stage empties, gives an empty result. Very long texts go through whole. A null
 source is a source of its own in mixing and packing; a null lang is never learned from and stays null.
 
@@ -18,11 +18,14 @@ source is a source of its own in mixing and packing; a null lang is never learne
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from functools import wraps
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sievewright.llm import jaccard, langid, mixing, packing, secret_scan
-from sievewright.llm.common import materialise
+from sievewright.llm.common import drop_unread, materialise, recording
 from sievewright.llm.queries import tokenizer_path
 from sievewright.session import ship
 
@@ -31,6 +34,21 @@ COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 LEAST_SCORE = 0.4
 
 
+#: What the stages have written for themselves; it goes when the next stage begins, whose docs no longer read it.
+_tables: list[str] = []
+
+
+def _stage(run: Callable[[SparkSession, DataFrame, str], DataFrame]) -> Callable[[SparkSession, DataFrame, str], DataFrame]:
+    @wraps(run)
+    def stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        drop_unread(_tables, docs)
+        with recording(_tables):
+            return run(spark, docs, sf_dir)
+
+    return stage
+
+
+@_stage
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     model = langid.fit(docs.where(langid.fold(F.col("doc_id")) != 2).select("doc_id", "text", "lang"))
     rows = langid.identify(docs.select(*COLUMNS), model)
@@ -43,6 +61,7 @@ def numbered(docs: DataFrame, label: str) -> DataFrame:
     return materialise(docs.select(*COLUMNS).withColumn("row", F.monotonically_increasing_id()), label)
 
 
+@_stage
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     rows = numbered(docs, "numbered")
     found = jaccard.near_duplicates(rows.select(F.col("row").alias("doc_id"), "text")).withColumnRenamed("doc_id", "of")
@@ -52,18 +71,21 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     return rows.join(first.select(F.col("first.row").alias("of")), F.col("row") == F.col("of")).select(*COLUMNS)
 
 
+@_stage
 def secret_scan_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     rows = secret_scan.redact(docs.select(*COLUMNS))
     return rows.withColumn("n_chars", F.length("text").cast("long")).select(*COLUMNS)
 
 
+@_stage
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     rows = numbered(docs, "numbered")
     taken = mixing.mix(rows, keep=("row",)).where("copies > 0").select(F.col("row").alias("of"), "copies")
-    met = rows.join(taken, F.col("row") == F.col("of"))
+    met = rows.join(taken.hint("merge"), F.col("row") == F.col("of"))  # no broadcast: taken grows with the documents
     return met.withColumn("copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("copies")))).select(*COLUMNS)
 
 
+@_stage
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return packing.pack(docs, tokenizer_path())
 
