@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import contextlib
 import uuid
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -94,6 +94,17 @@ def short_batches(spark: SparkSession) -> None:
             spark.conf.set(f"spark.sql.execution.arrow.{key}", str(most))
 
 
+#: What clears the tables that operators keep in a Python worker from task to task.
+kept_in_worker: list[Callable[[], None]] = []
+
+
+def tidy() -> None:
+    """In a worker: give back what tasks of another operator have kept, and what Arrow holds for later."""
+    for clear in kept_in_worker:
+        clear()
+    pa.default_memory_pool().release_unused()
+
+
 def byte_texts(column: pa.Array | pa.ChunkedArray) -> list[bytes | None]:
     """A string column as UTF-8 bytes, without decoding."""
     kind = pa.large_binary() if pa.types.is_large_string(column.type) else pa.binary()

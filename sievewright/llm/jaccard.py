@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sievewright.llm import simhash
-from sievewright.llm.common import byte_texts, joined_by_count, materialise, short_batches
+from sievewright.llm.common import byte_texts, joined_by_count, materialise, short_batches, tidy
 from sievewright.llm.components import connected_components
 
 SHINGLE, SEED, BANDS, MINIMA = 5, 42, 20, 4
@@ -87,6 +87,7 @@ def signatures(docs: DataFrame) -> DataFrame:
     short_batches(docs.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        tidy()
         for batch in batches:
             nodes, keys, fps = [], [], []
             for text in byte_texts(batch.column(1)):
@@ -133,7 +134,7 @@ def links(nodes: DataFrame, docs: DataFrame) -> DataFrame:
     texts = materialise(found.select("node", "text").dropDuplicates(["node"]), "jaccard-texts")
 
     hubs = rows.join(weight, "node").groupBy("key").agg(F.max(F.struct("w", "node"))["node"].alias("hub"))
-    stars = rows.join(hubs, "key").where("node <> hub").select(F.col("hub").alias("a"), F.col("node").alias("b")).distinct()
+    stars = joined_by_count(rows, materialise(hubs.join(shared.select("key", "n"), "key"), "jaccard-hubs"), "key", "n", rows.count()).where("node <> hub").select(F.col("hub").alias("a"), F.col("node").alias("b")).distinct()
     first = materialise(verified(stars, texts), "jaccard-links")
 
     label = connected_components(first).withColumnRenamed("node", "of")

@@ -32,7 +32,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from sievewright.llm.common import materialise, short_batches, slices
+from sievewright.llm.common import kept_in_worker, materialise, short_batches, slices
 
 WIDTH, END_ID, BLOCK_TOKENS, LEAST_PIECE = 2048, 1, 2_000_000, 128
 #: Entries of each half of an encoder's tables.
@@ -160,6 +160,9 @@ def encoder(path: str) -> WordEncoder:
     return WordEncoder(path)
 
 
+kept_in_worker.append(encoder.cache_clear)
+
+
 def tokenize(docs: DataFrame, tokenizer_path: str, end_id: int = END_ID) -> DataFrame:
     """doc_id, source, h (a hash that spreads rows, repeated ones too), n (tokens), ids (little-endian, two bytes each if the vocabulary allows)."""
     short_batches(docs.sparkSession)
@@ -175,6 +178,7 @@ def tokenize(docs: DataFrame, tokenizer_path: str, end_id: int = END_ID) -> Data
                 n = pa.array([len(x) // encode.kind.itemsize for x in ids], pa.int64())
                 part = batch.slice(a, b - a)
                 yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), part.column(2), n, pa.array(ids, pa.binary())], schema=schema)
+        pa.default_memory_pool().release_unused()
 
     rows = docs.select("doc_id", "source", F.xxhash64("doc_id", F.monotonically_increasing_id()).alias("h"), "text")
     return rows.mapInArrow(run, "doc_id long, source string, h long, n long, ids binary")

@@ -45,7 +45,7 @@ import zstandard
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from sievewright.llm.common import byte_texts, joined_by_count, materialise, short_batches, slices
+from sievewright.llm.common import byte_texts, joined_by_count, materialise, short_batches, slices, tidy
 
 WINDOW, GRAM, SHARD = 13, 5, 10_000
 #: Most windows of a segment; most anchors that count as hot; one text in so many is looked at to find them.
@@ -95,6 +95,7 @@ def _edges(a: np.ndarray) -> np.ndarray:
 
 def _emit_anchors(window: int, gram: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        tidy()
         for batch in batches:
             hashes, found, held = [], [], 0
             for th, text in zip(batch.column(0).to_pylist(), byte_texts(batch.column(1)), strict=True):

@@ -34,7 +34,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sievewright.llm.common import byte_texts, joined_by_count, materialise, short_batches
+from sievewright.llm.common import byte_texts, joined_by_count, materialise, short_batches, tidy
 from sievewright.llm.components import connected_components
 
 SHINGLE, SEED, DISTANCE, BUCKET = 3, 42, 2, 1000
@@ -74,6 +74,7 @@ def fingerprints(docs: DataFrame) -> DataFrame:
     short_batches(docs.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        tidy()
         for batch in batches:
             fps = np.array([fingerprint(t or b"") for t in byte_texts(batch.column(1))], dtype=np.uint64).view(np.int64)
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(fps)], names=["doc_id", "fp"])
