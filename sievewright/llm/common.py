@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import contextlib
+import re
 import uuid
 from collections.abc import Callable, Iterable, Iterator
 
@@ -123,6 +124,21 @@ def slices(sizes: Iterable[int], most: int = 1 << 21) -> Iterator[tuple[int, int
         yield start, end
 
 
+_SPACE = re.compile(rb"[ \t-\r]")
+
+
+def word_steps(text: bytes, step: int = 1 << 20) -> Iterator[list[bytes]]:
+    """The words of a text between white space, a list for each ``step`` bytes or so: a long text's words aren't held at once."""
+    at = 0
+    while len(text) - at > step:
+        cut = _SPACE.search(text, at + step)
+        if not cut:
+            break
+        yield text[at : cut.start()].split()
+        at = cut.end()
+    yield (text[at:] if at else text).split()
+
+
 def bounded_sample(rows: DataFrame, key: Column, n: int, size: int) -> DataFrame:
     """The ``size`` rows that come first by a hash of ``key``, of n rows; the same rows on every run.
 

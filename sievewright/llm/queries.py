@@ -3,13 +3,15 @@
 from __future__ import annotations
 
 import hashlib
+import zlib
 from collections.abc import Callable, Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sievewright.llm import aq_search, chat, embeddup, langid, mixing, packing, phrases, secret_scan, simhash, warc
+from sievewright.llm import aq_search, chat, embeddup, filter_audit, langid, licenses, mixing, packing, periodic, phrases, secret_scan, simhash, warc
 from sievewright.llm.common import table
 
 #: The conversation that op1 adds: control strings inside texts.
@@ -91,8 +93,34 @@ def op10_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return aq_search.search(table(spark, sf_dir, "embeddings").select("vec_id", "embedding"), F.col("vec_id") % 100 == 0)
 
 
+def op11_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filter_audit.audit(table(spark, sf_dir, "documents").select("doc_id", "source", "text"), table(spark, sf_dir, "labels"))
+
+
+def op12_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = licenses.scan(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    joined = lambda c: F.concat_ws(",", c).alias(c)
+    return rows.select("doc_id", "n_words", F.col("places").alias("n_base"), "first_word", "last_word", joined("base_labels"), joined("labels"), "score")
+
+
+def planted(doc_id: int | None, ids: np.ndarray) -> np.ndarray:
+    """op13's repetitions: the words of about one document in ten, from some word on, repeat a stretch of them."""
+    h, n = zlib.crc32(str(doc_id).encode()), len(ids)
+    if doc_id is None or h % 10 or not n:
+        return ids
+    g = h // 10
+    a = g % n
+    p = 1 + (n - a) // (3 + g % 8)
+    return np.concatenate([ids[:a], ids[a + np.arange(n - a) % p]])
+
+
+def op13_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return periodic.find_runs(table(spark, sf_dir, "documents").select("doc_id", "text"), planted)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_chat, op2_secrets, op3_mixing, op4_packing, op5_langid, op6_simhash, op7_phrases, op8_embeddings, op9_warc, op10_search)}
+    found = (op1_chat, op2_secrets, op3_mixing, op4_packing, op5_langid, op6_simhash, op7_phrases, op8_embeddings, op9_warc, op10_search, op11_filters, op12_licenses, op13_runs)
+    return {f.__name__: f for f in found}
 
 
 _ESCAPED = r"""regexp_replace({}, '([<\[])(\\*)(\|im_start\|>|\|im_end\|>|/?s>|/?INST\]|/?SYS>>)', '\1\\\2\3', 'g')"""
@@ -181,5 +209,46 @@ SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score, v
 FROM d QUALIFY row_number() OVER (PARTITION BY query_id ORDER BY score, vec_id) <= 10"""
 
 
+OP11 = r"""
+WITH d AS (SELECT doc_id, coalesce(source, '') AS part, coalesce(text, '') AS t, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+f AS (SELECT doc_id, part, CAST(len(w) < 200 AS INT) + 2 * CAST(100 * len(list_distinct(w)) < 50 * len(w) AS INT)
+  + 4 * CAST(100 * length(regexp_replace(t, '[^A-Z]', '', 'g')) > 2 * length(t) AS INT) + 8 * CAST(regexp_matches(t, '[#$%&*|]') AS INT)
+  + 16 * CAST(coalesce(doc_id > min(doc_id) OVER (PARTITION BY t), false) AS INT) AS mask FROM d),
+l AS (SELECT doc_id, bool_or(quality = 1) AS good, bool_or(toxic = 1) AS toxic FROM labels GROUP BY doc_id),
+c AS (SELECT part, mask, count(*) AS n, count(*) FILTER (WHERE good) AS good, count(*) FILTER (WHERE toxic) AS toxic FROM f LEFT JOIN l ON f.doc_id = l.doc_id GROUP BY part, mask),
+b AS (SELECT * FROM (VALUES ('A', 1), ('B', 2), ('C', 4), ('D', 8), ('E', 16)) AS b(f, bit)),
+o AS (SELECT p.f || q.f || r.f || s.f || t.f AS filter_order, [p.bit, q.bit, r.bit, s.bit, t.bit] AS bits FROM b p JOIN b q ON p.f <> q.f JOIN b r ON r.f NOT IN (p.f, q.f) JOIN b s ON s.f NOT IN (p.f, q.f, r.f) JOIN b t ON t.f NOT IN (p.f, q.f, r.f, s.f)),
+s AS (SELECT filter_order, CAST(step AS INTEGER) AS step, bits[step] AS bit, CAST(coalesce(list_sum(bits[1 : step - 1]), 0) AS INT) AS earlier FROM (SELECT *, unnest(range(1, 6)) AS step FROM o))
+SELECT part, filter_order, step,
+  CAST(coalesce(sum(n) FILTER (WHERE mask & (earlier | bit) = 0), 0) AS BIGINT) AS kept,
+  CAST(coalesce(sum(n) FILTER (WHERE mask & earlier = 0 AND mask & bit > 0), 0) AS BIGINT) AS removed,
+  CAST(coalesce(sum(n) FILTER (WHERE mask & earlier > 0 AND mask & bit > 0), 0) AS BIGINT) AS redundant,
+  CAST(coalesce(sum(n) FILTER (WHERE mask = bit), 0) AS BIGINT) AS unique_fails,
+  CAST(coalesce(sum(good) FILTER (WHERE mask & earlier = 0 AND mask & bit > 0), 0) AS BIGINT) AS good_lost,
+  CAST(coalesce(sum(toxic) FILTER (WHERE mask & earlier = 0 AND mask & bit > 0), 0) AS BIGINT) AS toxic_lost,
+  CAST(coalesce(sum(n * 120 // greatest(bit_count(mask), 1)) FILTER (WHERE mask & bit > 0), 0) AS BIGINT) AS shapley
+FROM c, s GROUP BY part, filter_order, step"""
+
+_TEMPLATES = ", ".join(f"({i}, '{t.label}', {str(t.phrase).lower()}, '{t.text}')" for i, t in enumerate((*licenses.PHRASES, *licenses.NOTICES)))
+
+OP12 = r"""
+WITH t AS (SELECT id, label, phrase, string_split(x, ' ') AS w, CASE WHEN phrase THEN 2 ELSE 4 END AS k FROM (VALUES {templates}) AS t(id, label, phrase, x)),
+tg AS (SELECT id, label, phrase, k, spot, len(w) AS size, len(w) - k + 1 AS grams, array_to_string(w[spot + 1 : spot + k], ' ') AS gram FROM (SELECT *, unnest(range(0, len(w) - k + 1)) AS spot FROM t)),
+d AS MATERIALIZED (SELECT row_number() OVER () AS uid, doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents),
+g AS (SELECT uid, k, pos, array_to_string(w[pos + 1 : pos + k], ' ') AS gram FROM (SELECT uid, k, w, unnest(range(0, greatest(len(w) - k + 1, 0))) AS pos FROM d, (VALUES (2), (4)) AS n(k))),
+v AS MATERIALIZED (SELECT uid, id, label, phrase, size, grams, spot, pos - spot AS diagonal FROM g JOIN tg USING (k, gram)),
+p AS (SELECT uid, label, diagonal AS start, 1.0::DOUBLE AS similarity, true AS base FROM v WHERE phrase GROUP BY uid, id, label, diagonal, grams HAVING count(*) = grams),
+y AS (SELECT uid, id, label, size, diagonal, list(DISTINCT spot) AS ats, list(DISTINCT spot + diagonal) AS placed FROM v WHERE NOT phrase GROUP BY uid, id, label, size, diagonal),
+m AS (SELECT *, flatten(list(ats) OVER near) AS theirs, flatten(list(placed) OVER near) AS ours FROM y WINDOW near AS (PARTITION BY uid, id ORDER BY diagonal RANGE BETWEEN 3 PRECEDING AND 3 FOLLOWING)),
+c AS (SELECT uid, id, label, size, diagonal, least(len(list_distinct(flatten(list_transform(theirs, lambda a: range(a, a + 4))))), len(list_distinct(flatten(list_transform(ours, lambda a: range(a, a + 4)))))) AS common,
+  list_max(ours) + 4 - list_min(ours) AS long FROM m),
+s AS (SELECT *, common::DOUBLE / (size + long - common) AS similarity FROM c),
+b AS (SELECT *, max((similarity, -diagonal)) OVER (PARTITION BY uid, id ORDER BY diagonal RANGE BETWEEN 3 PRECEDING AND 3 FOLLOWING) AS best FROM s),
+a AS (SELECT * FROM p UNION ALL SELECT uid, label, NULL, similarity, false FROM b WHERE similarity >= 0.8 AND best = (similarity, -diagonal)),
+r AS (SELECT uid, count(*) FILTER (WHERE base) AS n, min(start) AS first_word, max(start) AS last_word, string_agg(DISTINCT label, ',' ORDER BY label) FILTER (WHERE base) AS base_labels, string_agg(DISTINCT label, ',' ORDER BY label) AS labels, max(similarity) AS score FROM a GROUP BY uid)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n, 0) AS n_base, first_word, last_word, coalesce(base_labels, '') AS base_labels, coalesce(labels, '') AS labels, coalesce(score, 0) AS score
+FROM d LEFT JOIN r USING (uid)""".replace("{templates}", _TEMPLATES)
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op1_chat": OP1, "op3_mixing": OP3, "op7_phrases": OP7, "op8_embeddings": OP8, "op9_warc": OP9, "op10_search": OP10}
+    return {"op1_chat": OP1, "op3_mixing": OP3, "op7_phrases": OP7, "op8_embeddings": OP8, "op9_warc": OP9, "op10_search": OP10, "op11_filters": OP11, "op12_licenses": OP12}
