@@ -161,12 +161,17 @@ o AS (SELECT *, extra - coalesce(CAST(sum(CASE WHEN certain THEN words END) OVER
 p AS (SELECT source, class, rest, whole + CAST(certain AS INT) AS base, CASE WHEN NOT certain AND x > 0 AND rest > 0 THEN rest * x / free END AS p FROM o),
 q AS (SELECT c.*, rest, base, (u / (1.0::DOUBLE - u)) / (p / (1.0::DOUBLE - p)) AS q FROM c JOIN p ON c.source IS NOT DISTINCT FROM p.source AND c.class = p.class),
 b AS (SELECT *, row_number() OVER v AS rk, CAST(sum(size) OVER (v ROWS UNBOUNDED PRECEDING) AS BIGINT) AS past FROM q WHERE q IS NOT NULL WINDOW v AS (PARTITION BY source ORDER BY q, doc_id NULLS LAST, size)),
-a AS (SELECT source, max(rest) - coalesce(max(past) FILTER (WHERE past <= rest), 0) AS gap, coalesce(max(rk) FILTER (WHERE past <= rest), 0) AS rk, any_value(target) AS goal FROM b GROUP BY source),
-e AS (SELECT source, gap, rk, goal, rk AS first FROM a
-  UNION ALL SELECT e.source, e.gap - arg_min(b.size, b.rk), min(b.rk), e.goal, -1 FROM e JOIN b ON e.source IS NOT DISTINCT FROM b.source AND b.rk > e.rk AND b.size <= e.gap WHERE e.gap > 0.001::DOUBLE * e.goal GROUP BY e.source, e.gap, e.rk, e.goal),
-y AS (SELECT b.doc_id, b.source FROM b JOIN a ON b.source IS NOT DISTINCT FROM a.source WHERE b.rk <= a.rk
-  UNION ALL SELECT b.doc_id, b.source FROM b JOIN e ON b.source IS NOT DISTINCT FROM e.source AND b.rk = e.rk WHERE e.first = -1)
-SELECT q.doc_id, size, source_size, target, CAST((base + CAST(y.doc_id IS NOT NULL AS INT)) * size AS BIGINT) AS taken FROM q LEFT JOIN y ON q.doc_id = y.doc_id"""
+a AS (SELECT source, max(rest) - coalesce(max(past) FILTER (WHERE past <= rest), 0) AS gap, coalesce(max(rk) FILTER (WHERE past <= rest), 0) AS rk FROM b GROUP BY source),
+z AS (SELECT b.*, length(bin(size)) AS bits, CAST(sum(size) OVER (PARTITION BY b.source, length(bin(size)) ORDER BY size, q, doc_id NULLS LAST ROWS UNBOUNDED PRECEDING) AS BIGINT) AS upto
+  FROM b JOIN a ON b.source IS NOT DISTINCT FROM a.source WHERE b.rk > a.rk AND size <= gap),
+e AS (SELECT source, gap, 64 AS bits FROM a
+  UNION ALL SELECT e.source, e.gap - coalesce(max(z.upto), 0), e.bits - 1 FROM e LEFT JOIN z ON e.source IS NOT DISTINCT FROM z.source AND z.bits = e.bits - 1 AND z.upto <= e.gap WHERE e.bits > 0 GROUP BY e.source, e.gap, e.bits),
+o2 AS (SELECT z.doc_id, z.source, z.rk FROM z JOIN e ON z.source IS NOT DISTINCT FROM e.source AND e.bits = z.bits + 1 AND z.upto <= e.gap),
+y AS (SELECT b.doc_id, b.source, b.rk FROM b JOIN a ON b.source IS NOT DISTINCT FROM a.source WHERE b.rk <= a.rk UNION ALL SELECT * FROM o2),
+x AS (SELECT b.source, arg_min(b.doc_id, (b.size, b.q, b.doc_id)) AS doc_id FROM b JOIN e ON b.source IS NOT DISTINCT FROM e.source AND e.bits = 0 ANTI JOIN y ON b.source IS NOT DISTINCT FROM y.source AND b.rk = y.rk
+  WHERE b.size > e.gap AND b.size - e.gap < e.gap GROUP BY b.source),
+t2 AS (SELECT doc_id FROM y UNION ALL SELECT doc_id FROM x)
+SELECT q.doc_id, size, source_size, target, CAST((base + CAST(t2.doc_id IS NOT NULL AS INT)) * size AS BIGINT) AS taken FROM q LEFT JOIN t2 ON q.doc_id = t2.doc_id"""
 
 OP7 = r"""
 WITH w AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
