@@ -8,18 +8,19 @@ import numpy as np
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-#: Feature grids are multiples of a stride; the scale falls as images grow (mean side over 1000, over 600, else).
+#: Feature grids take whole strides of an image; the scale grows with it (mean side over 1000, over 600, else).
 STRIDE, SCALES = 16, ((1000, 4), (600, 3), (0, 2))
 MAX_STEP, REPAIR_ROUNDS, MOTION_SIDE, LEAST_PIXELS = 8, 8, 512, 4
 
 
 def feature_grid(width: Column, height: Column) -> tuple[Column, Column]:
-    """Grid columns and rows: sides floored to the stride, divided by stride and multiplied by the scale."""
-    mean = (width + height) / 2
+    """Grid columns and rows: sides floored to whole strides, divided by a scale that their mean sets."""
+    full = [F.floor(side / STRIDE) * STRIDE for side in (width, height)]
+    mean = (full[0] + full[1]) / 2
     scale = F.lit(SCALES[-1][1])
     for least, value in reversed(SCALES[:-1]):
         scale = F.when(mean > least, F.lit(value)).otherwise(scale)
-    return F.floor(width / STRIDE) * scale, F.floor(height / STRIDE) * scale
+    return F.floor(full[0] / scale), F.floor(full[1] / scale)
 
 
 def half_even(c: Column) -> Column:
@@ -37,84 +38,32 @@ def padded(lo: Column, hi: Column, size: Column, pad: float) -> tuple[Column, Co
     return F.greatest(F.lit(0), lo - more), F.least(size, hi + more)
 
 
-def bilinear(mask: np.ndarray, height: int, width: int) -> np.ndarray:
-    """Bilinear resampling with pixel centres aligned at the half, in single precision."""
-
-    def taps(n: int, m: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        at = np.clip((np.arange(m) + 0.5) * n / m - 0.5, 0, n - 1)
-        low = np.floor(at).astype(int)
-        return low, np.minimum(low + 1, n - 1), at - low
-
-    y0, y1, fy = taps(mask.shape[0], height)
-    x0, x1, fx = taps(mask.shape[1], width)
-    m, fx, fy = mask.astype(np.float32), fx.astype(np.float32), fy.astype(np.float32)[:, None]
-    one = np.float32(1)
-    across = m[:, x0] * (one - fx) + m[:, x1] * fx
-    return across[y0] * (one - fy) + across[y1] * fy
-
-
-def grid_geometry(mask: np.ndarray, grid: tuple[int, int], delta: tuple[int, int], members: tuple[np.ndarray, ...] = ()) -> dict[str, object]:
-    """Start and end of a shared translation on the feature grid, or the reason why there is none. (x, y) order.
-
-    Every member of the group must be seen on the grid.
-    """
-    height, width = mask.shape
-    region = bilinear(mask, grid[1], grid[0]) > 0.5
-    if not region.any():
-        return {"error": "vanished"}
-    if not all((bilinear(m, grid[1], grid[0]) > 0.5).any() for m in members):
-        return {"error": "member"}
-    ys, xs = np.nonzero(region)
-    start = (round(float(xs.mean())), round(float(ys.mean())))
-    step = (round(delta[0] * grid[0] / width), round(delta[1] * grid[1] / height))
-    if step == (0, 0):
-        return {"error": "zero"}
-    for points, d, size in ((xs, step[0], grid[0]), (ys, step[1], grid[1])):
-        if points.min() + d < 0 or points.max() + d >= size:
-            return {"error": "leaving"}
-    end = (start[0] + step[0], start[1] + step[1])
-    return {"error": None, "start": start, "delta": step, "end": end}
-
-
 def to_original(at: Column, grid: Column, size: Column) -> Column:
     """A coordinate on the feature grid as one of the original image."""
     return at.cast("double") * size / grid
 
 
-def sample_displacement(box: tuple[int, int, int, int], size: tuple[int, int], seed: int, accept=lambda dx, dy: True, tries: int = 64) -> tuple[int, int] | None:
-    """A uniform translation that keeps the box (x0, y0, x1, y1; inclusive) inside, the first that is accepted."""
+#: What :func:`operators.grids.footprints` says of a mask in its frame.
+FOOTPRINT = ("width", "height", "grid_w", "grid_h", "x_min", "x_max", "y_min", "y_max", "cells", "gx_min", "gx_max", "gy_min", "gy_max", "lost")
+
+
+def drawn_displacement(place: dict[str, int | None], seed: int, tries: int = 64) -> tuple[int, int] | None:
+    """The first of some uniform translations inside the frame that the feature grid takes, too; None if none does."""
+    if not place["cells"] or place["lost"]:
+        return None
     rng = np.random.default_rng(seed)
+    sides = (("x", "width", "grid_w"), ("y", "height", "grid_h"))
     for _ in range(tries):
-        dx = int(rng.integers(-box[0], size[0] - box[2]))
-        dy = int(rng.integers(-box[1], size[1] - box[3]))
-        if (dx, dy) != (0, 0) and accept(dx, dy):
-            return dx, dy
+        drawn = [int(rng.integers(-place[f"{a}_min"], place[size] - place[f"{a}_max"])) for a, size, _ in sides]
+        steps = [round(d * place[grid] / place[size]) for d, (_, size, grid) in zip(drawn, sides, strict=True)]
+        inside = all(0 <= place[f"g{a}_min"] + s and place[f"g{a}_max"] + s < place[grid] for s, (a, _, grid) in zip(steps, sides, strict=True))
+        if any(steps) and inside:
+            return drawn[0], drawn[1]
     return None
 
 
-def shifted(mask: np.ndarray, dx: int, dy: int) -> np.ndarray:
-    """Translation with clipping."""
-    out = np.zeros_like(mask)
-    h, w = mask.shape
-    if abs(dx) < w and abs(dy) < h:
-        out[max(0, dy) : min(h, h + dy), max(0, dx) : min(w, w + dx)] = mask[max(0, -dy) : min(h, h - dy), max(0, -dx) : min(w, w - dx)]
-    return out
-
-
-def swept_support(mask: np.ndarray, deltas: list[tuple[int, int]]) -> np.ndarray:
-    """What the mask sweeps over on its way along each delta, in steps of bounded length, grown by a diamond."""
-    out = mask.copy()
-    for dx, dy in deltas:
-        steps = max(1, -(-max(abs(dx), abs(dy)) // MAX_STEP))
-        for i in range(steps + 1):
-            out |= shifted(mask, round(dx * i / steps), round(dy * i / steps))
-    for _ in range(REPAIR_ROUNDS):
-        out = out | shifted(out, 1, 0) | shifted(out, -1, 0) | shifted(out, 0, 1) | shifted(out, 0, -1)
-    return out
-
-
 def masked_match(image: np.ndarray, template: np.ndarray, mask: np.ndarray) -> np.ndarray:
-    """Masked normalised cross-correlation of a template at every position where it fits."""
+    """Masked normalised cross-correlation of a template at every position where it fits; NaN where the image is empty."""
     h, w = template.shape
     image = image.astype(np.float64)
     m2 = mask.astype(np.float64) ** 2
@@ -129,7 +78,7 @@ def masked_match(image: np.ndarray, template: np.ndarray, mask: np.ndarray) -> n
     cross, energy = correlated(image, template * m2), np.maximum(correlated(image**2, m2), 0)
     scale = np.sqrt(t2 * energy)
     least = 1e-6 * max(t2, 1e-300)
-    return np.divide(cross, scale, out=np.zeros_like(cross), where=scale > least)
+    return np.divide(cross, scale, out=np.full_like(cross, np.nan), where=scale > least)
 
 
 def _shrunk(frame: np.ndarray, height: int, width: int) -> np.ndarray:
@@ -147,7 +96,7 @@ def motions(before: np.ndarray, after: np.ndarray, members: Sequence[np.ndarray]
     """Where each member's part of ``before`` (gray) is found in ``after``, and how far that is from the wanted translation.
 
     Frames larger than ``side`` are compared at that size. A member of fewer than four pixels there, or without contrast,
-    can't be measured; one whose scores are all without value has no match. It is a diagnosis: nothing is accepted by it.
+    can't be measured, nor can one whose scores are all without value; a part larger than ``after`` is an error. It is a diagnosis: nothing is accepted by it.
     """
     h, w = before.shape
     factor = min(1.0, side / max(h, w))
@@ -169,9 +118,11 @@ def _motion(before: np.ndarray, after: np.ndarray, mask: np.ndarray, wanted: tup
     if len(xs) < LEAST_PIXELS or float(before[mask].std()) <= 1e-6:
         return {"status": "unmeasurable", **nothing}
     box = np.s_[ys.min() : ys.max() + 1, xs.min() : xs.max() + 1]
+    if any(a < b for a, b in zip(after.shape, mask[box].shape, strict=True)):
+        return {"status": "matching_error", **nothing}
     scores = masked_match(after, before[box], mask[box])
     if not np.isfinite(scores).any():
-        return {"status": "matching_error", **nothing}
+        return {"status": "unmeasurable", **nothing}
     y, x = np.unravel_index(int(np.where(np.isfinite(scores), scores, -np.inf).argmax()), scores.shape)
     dx, dy = (int(x) - int(xs.min())) / scale[0], (int(y) - int(ys.min())) / scale[1]
     residual = float(np.hypot(dx - wanted[0], dy - wanted[1]))

@@ -11,6 +11,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sievewright.functions import geometry as geo
+from sievewright.functions.identity import attempt_seed
+from sievewright.operators import grids
 from sievewright.operators import spans as sp
 from sievewright.plans.catalog import load, query
 
@@ -72,8 +74,8 @@ def translation_fits(spark: SparkSession, sf_dir: str) -> DataFrame:
 _SIZE = "p_size * 40 AS w, CAST(floor(p_retailprice) AS INT) % 1500 + 32 AS h"
 
 
-@query(f"""WITH f AS (SELECT p_partkey, {_SIZE} FROM part), g AS (SELECT *, CASE WHEN (w + h) / 2 > 1000 THEN 4 WHEN (w + h) / 2 > 600 THEN 3 ELSE 2 END AS s FROM f)
-SELECT p_partkey, CAST(w // 16 * s AS BIGINT) AS grid_w, CAST(h // 16 * s AS BIGINT) AS grid_h FROM g""")
+@query(f"""WITH f AS (SELECT p_partkey, w // 16 * 16 AS w, h // 16 * 16 AS h FROM (SELECT p_partkey, {_SIZE} FROM part)), g AS (SELECT *, CASE WHEN (w + h) / 2 > 1000 THEN 4 WHEN (w + h) / 2 > 600 THEN 3 ELSE 2 END AS s FROM f)
+SELECT p_partkey, CAST(w // s AS BIGINT) AS grid_w, CAST(h // s AS BIGINT) AS grid_h FROM g""")
 def feature_grid(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = load(spark, sf_dir, "part").select("p_partkey", (F.col("p_size") * 40).alias("w"), (F.floor(F.col("p_retailprice")).cast("int") % 1500 + 32).alias("h"))
     w, h = geo.feature_grid(F.col("w"), F.col("h"))
@@ -96,44 +98,74 @@ def hash_displacement(spark: SparkSession, sf_dir: str) -> DataFrame:
     return m.select("l_orderkey", draw(1, "x_min", "x_max", WIDTH).alias("dx"), draw(9, "y_min", "y_max", HEIGHT).alias("dy"))
 
 
-def _by_mask(spark: SparkSession, sf_dir: str, schema: str, work) -> DataFrame:
-    """Apply ``work`` (key, boolean array) to every mask; a mask's runs are one row, so batches hold many masks."""
-    rows = sp.union(_spans(spark, sf_dir), "l_orderkey").groupBy("l_orderkey").agg(F.collect_list("y").alias("y"), F.collect_list("x0").alias("x0"), F.collect_list("x1").alias("x1"))
-    names = [c.split()[0] for c in schema.split(", ")]
-
-    def run(batches):
-        for part in batches:
-            masks = (sp.to_mask(list(zip(*runs, strict=True)), HEIGHT, WIDTH) for runs in zip(part["y"], part["x0"], part["x1"], strict=True))
-            out = pd.DataFrame([(key, *work(int(key), mask)) for key, mask in zip(part["l_orderkey"].tolist(), masks, strict=True)], columns=names)
-            yield out.astype({c: "Int64" for c, t in (x.split() for x in schema.split(", ")) if t == "long"})
-
-    return rows.mapInPandas(run, schema)
+#: Frames of six sizes, by order.
+_WIDTHS, _HEIGHTS = (120, 131, 641, 720, 1100, 33), (80, 97, 483, 560, 960, 50)
+
+
+def _frames(spark: SparkSession, sf_dir: str) -> DataFrame:
+    side = lambda sides: F.element_at(F.array(*(F.lit(v) for v in sides)), (F.col("l_orderkey") % len(sides) + 1).cast("int"))
+    return load(spark, sf_dir, "lineitem").select("l_orderkey").distinct().withColumns({"width": side(_WIDTHS), "height": side(_HEIGHTS)})
+
+
+def _placed(rows: DataFrame, frames: DataFrame, *keys: str) -> DataFrame:
+    """Masks moved into their frames, by some words of the key."""
+    met = rows.join(frames, "l_orderkey")
+    dx, dy = (F.col("l_orderkey") % 17 + 3).cast("int"), (F.col("l_orderkey") % 13 + 3).cast("int")
+    return sp.translate(met, dx, dy, F.col("width"), F.col("height")).select(*keys, "y", "x0", "x1")
+
+
+def _footprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each order's mask, grown, on the grid of its frame; its lines, grown less, are the members."""
+    frames, lines = _frames(spark, sf_dir), _spans(spark, sf_dir)
+    mask = _placed(sp.dilated(sp.union(lines, "l_orderkey"), 3, "l_orderkey"), frames, "l_orderkey")
+    members = _placed(sp.dilated(lines, 2, "l_orderkey", "l_linenumber"), frames, "l_orderkey", "l_linenumber")
+    return grids.footprints(mask, frames, "l_orderkey", members, "l_linenumber")
+
+
+_GROWN = """SELECT DISTINCT l_orderkey, {m} AS m, y + d + 3 + l_orderkey % 13 AS y, unnest(range(x0 - ({r} - abs(d)), x1 + ({r} - abs(d)))) + 3 + l_orderkey % 17 AS x FROM (SELECT *, unnest(range(-{r}, {r} + 1)) AS d FROM s)"""
+_TAPS = """SELECT n, c, g, place, CAST(floor(place) AS BIGINT) AS low, least(CAST(floor(place) AS BIGINT) + 1, n - 1) AS high, CAST((place::DOUBLE - floor(place::DOUBLE)) * 16777216 AS BIGINT) AS w FROM (
+  SELECT n, c, g, greatest(0::FLOAT, least((n - 1)::FLOAT, (g::FLOAT + 0.5::FLOAT) * CAST(n::DOUBLE / c AS FLOAT) - 0.5::FLOAT)) AS place FROM (
+    SELECT DISTINCT width AS n, grid_w AS c, unnest(range(0, grid_w)) AS g FROM f UNION SELECT DISTINCT height, grid_h, unnest(range(0, grid_h)) FROM f))"""
+_PLACES = f"""{_SPANS},
+k AS (SELECT DISTINCT l_orderkey FROM lineitem),
+e AS (SELECT l_orderkey, {list(_WIDTHS)}[l_orderkey % 6 + 1] AS width, {list(_HEIGHTS)}[l_orderkey % 6 + 1] AS height FROM k),
+q AS (SELECT *, width // 16 * 16 AS fw, height // 16 * 16 AS fh FROM e),
+f AS (SELECT l_orderkey, width, height, fw // z AS grid_w, fh // z AS grid_h FROM (SELECT *, CASE WHEN fw + fh > 2000 THEN 4 WHEN fw + fh > 1200 THEN 3 ELSE 2 END AS z FROM q)),
+t AS ({_TAPS}), taps AS (SELECT n, c, g, p, sum(w) AS w FROM (SELECT n, c, g, low AS p, 16777216 - w AS w FROM t UNION ALL SELECT n, c, g, high, w FROM t) WHERE w > 0 GROUP BY ALL),
+px AS (SELECT b.*, width, height, grid_w, grid_h FROM ({_GROWN.format(m=-1, r=3)} UNION ALL {_GROWN.format(m="l_linenumber", r=2)}) b JOIN f USING (l_orderkey) WHERE x BETWEEN 0 AND width - 1 AND y BETWEEN 0 AND height - 1),
+v AS (SELECT l_orderkey, m, ty.g AS gy, tx.g AS gx, sum(tx.w * ty.w) AS v FROM px JOIN taps tx ON tx.n = width AND tx.c = grid_w AND tx.p = x JOIN taps ty ON ty.n = height AND ty.c = grid_h AND ty.p = y GROUP BY ALL),
+r AS (SELECT l_orderkey, m, count(*) FILTER (WHERE CAST(v / 281474976710656.0::DOUBLE AS FLOAT) > 0.5) AS cells,
+  sum(gx) FILTER (WHERE CAST(v / 281474976710656.0::DOUBLE AS FLOAT) > 0.5) AS sx, sum(gy) FILTER (WHERE CAST(v / 281474976710656.0::DOUBLE AS FLOAT) > 0.5) AS sy, min(gx) AS ga, max(gx) AS gb, min(gy) AS gc, max(gy) AS gd FROM v GROUP BY l_orderkey, m),
+b AS (SELECT l_orderkey, min(x) AS xa, max(x) AS xb, min(y) AS ya, max(y) AS yb FROM px WHERE m = -1 GROUP BY l_orderkey),
+n AS (SELECT l_orderkey, count(DISTINCT m) AS n FROM px WHERE m >= 0 GROUP BY l_orderkey), o AS (SELECT l_orderkey, count(*) AS n FROM r WHERE m >= 0 AND cells > 0 GROUP BY l_orderkey),
+p AS (SELECT f.*, xa, xb, ya, yb, cells, sx, sy, ga, gb, gc, gd, coalesce(n.n, 0) - coalesce(o.n, 0) AS lost FROM f LEFT JOIN b USING (l_orderkey) LEFT JOIN (SELECT * FROM r WHERE m = -1) USING (l_orderkey) LEFT JOIN n USING (l_orderkey) LEFT JOIN o USING (l_orderkey))"""
+
+
+@query(f"""WITH {_PLACES},
+d AS (SELECT *, l_orderkey % 61 - 30 AS dx, l_orderkey % 29 - 9 AS dy FROM p),
+g AS (SELECT *, CAST(round_even(dx * grid_w / width::DOUBLE, 0) AS BIGINT) AS gx, CAST(round_even(dy * grid_h / height::DOUBLE, 0) AS BIGINT) AS gy FROM d),
+x AS (SELECT *, CASE WHEN coalesce(cells, 0) = 0 THEN 'vanished' WHEN lost > 0 THEN 'member' WHEN gx = 0 AND gy = 0 THEN 'zero'
+  WHEN NOT (xa + dx >= 0 AND xb + dx < width AND ya + dy >= 0 AND yb + dy < height AND ga + gx >= 0 AND gb + gx < grid_w AND gc + gy >= 0 AND gd + gy < grid_h) THEN 'leaving' END AS error FROM g),
+y AS (SELECT *, CASE WHEN error IS NULL THEN CAST(round_even(sx::DOUBLE / cells, 0) AS BIGINT) END AS start_x, CASE WHEN error IS NULL THEN CAST(round_even(sy::DOUBLE / cells, 0) AS BIGINT) END AS start_y FROM x)
+SELECT l_orderkey, CAST(grid_w AS BIGINT) AS grid_w, CAST(grid_h AS BIGINT) AS grid_h, error, start_x, start_y, start_x + gx AS end_x, start_y + gy AS end_y FROM y""")
+def bilinear_region(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Masks on the feature grids of their frames, and a shared translation there."""
+    found = grids.translated(_footprints(spark, sf_dir), F.col("l_orderkey") % 61 - 30, F.col("l_orderkey") % 29 - 9)
+    return found.select("l_orderkey", "grid_w", "grid_h", "error", "start_x", "start_y", "end_x", "end_y")
 
 
 @query()
 def rng_displacement(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Seeded uniform translations; needs numpy's generator. Only the box of a mask is sent to Python."""
+    """Seeded uniform translations, drawn until the grid takes one; needs numpy's generator. A mask is its footprint here."""
+    rows = _footprints(spark, sf_dir).withColumn("seed", attempt_seed(F.col("l_orderkey").cast("string"), F.lit(0), 7, F.lit("p")))
+    columns = ["l_orderkey", "seed", *geo.FOOTPRINT]
 
     def run(batches):
         for part in batches:
-            boxes = zip(*(part[c].tolist() for c in ("l_orderkey", "x_min", "y_min", "x_max", "y_max")), strict=True)
-            out = [(key, *(geo.sample_displacement(tuple(box), (WIDTH, HEIGHT), key) or (None, None))) for key, *box in boxes]
+            out = [(key, *(geo.drawn_displacement(dict(zip(geo.FOOTPRINT, place, strict=True)), seed) or (None, None))) for key, seed, *place in part[columns].astype(object).where(part[columns].notna(), None).itertuples(index=False)]
             yield pd.DataFrame(out, columns=["l_orderkey", "dx", "dy"]).astype("Int64")
 
-    boxes = sp.measures(sp.union(_spans(spark, sf_dir), "l_orderkey"), "l_orderkey").select("l_orderkey", "x_min", "y_min", "x_max", "y_max")
-    return boxes.mapInPandas(run, "l_orderkey long, dx long, dy long")
-
-
-@query()
-def bilinear_region(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Masks on the feature grid and the shared translation there."""
-
-    def work(key: int, mask: np.ndarray) -> tuple:
-        found = geo.grid_geometry(mask, (30, 20), (key % 41 - 20, key % 31))
-        start, end = found.get("start", (None, None)), found.get("end", (None, None))
-        return found["error"], *start, *end
-
-    return _by_mask(spark, sf_dir, "l_orderkey long, error string, start_x long, start_y long, end_x long, end_y long", work)
+    return rows.select(*columns).mapInPandas(run, "l_orderkey long, dx long, dy long")
 
 
 @query(f"""WITH {_SPANS}, {_UNION}, d AS (SELECT DISTINCT l_orderkey, unnest([0, 1]) AS w FROM s),
@@ -153,22 +185,28 @@ def swept_support(spark: SparkSession, sf_dir: str) -> DataFrame:
     return runs.groupBy("l_orderkey").agg(F.sum(F.col("x1") - F.col("x0")).alias("area"))
 
 
-@query("""WITH k AS (SELECT n_nationkey, CAST(n_nationkey AS BIGINT) AS k FROM nation)
-SELECT n_nationkey, CASE WHEN k = 24 THEN 'unmeasurable' ELSE 'appearance_match_only' END AS status, CASE WHEN k <> 24 THEN k % 9 - 4 END AS dx, CASE WHEN k <> 24 THEN k % 7 - 3 END AS dy, CASE WHEN k <> 24 THEN 0.0::DOUBLE END AS residual FROM k""")
+#: A frame of three by three tiles; the middle one holds a vector as a texture of eight by eight pixels.
+TILE = 8
+
+
+@query("""WITH v AS (SELECT vec_id, embedding IS NOT NULL AND len(embedding) = 64 AND list_bool_and(list_transform(embedding, lambda x: x IS NOT NULL AND isfinite(x)))
+  AND list_max(embedding) > list_min(embedding) AS seen FROM embeddings)
+SELECT vec_id, CASE WHEN seen THEN 'appearance_match_only' ELSE 'unmeasurable' END AS status, CASE WHEN seen THEN CAST(vec_id % 9 - 4 AS BIGINT) END AS dx, CASE WHEN seen THEN CAST(vec_id % 7 - 3 AS BIGINT) END AS dy,
+  CASE WHEN seen THEN 0.0::DOUBLE END AS residual FROM v""")
 def motion_match(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Textures moved by a known translation and found again; one for each nation."""
+    """Vectors as textures, moved by a translation that follows from their number, and found again."""
 
     def run(batches):
         for part in batches:
             out = []
-            for key in part["n_nationkey"].tolist():
-                rng = np.random.default_rng(11 + key)
-                before, mask = rng.random((40, 48)), np.zeros((40, 48), dtype=bool)
-                mask[10:22, 12:28] = True
+            for key, vector in zip(part["vec_id"].tolist(), part["embedding"], strict=True):
+                before, mask = np.zeros((3 * TILE, 3 * TILE)), np.zeros((3 * TILE, 3 * TILE), dtype=bool)
+                mask[TILE : 2 * TILE, TILE : 2 * TILE] = True
+                if vector is not None and len(vector) == TILE * TILE and np.isfinite(np.asarray(vector, dtype=float)).all():
+                    before[mask] = np.asarray(vector, dtype=float)
                 dx, dy = key % 9 - 4, key % 7 - 3
-                after = np.roll(before, (dy, dx), axis=(0, 1))
-                found = geo.motion(np.zeros_like(before) if key == 24 else before, after, mask, (dx, dy))
+                found = geo.motion(before, np.roll(before, (dy, dx), axis=(0, 1)), mask, (dx, dy))
                 out.append((key, found["status"], found["dx"], found["dy"], found["residual"]))
-            yield pd.DataFrame(out, columns=["n_nationkey", "status", "dx", "dy", "residual"]).astype({"dx": "Int64", "dy": "Int64"})
+            yield pd.DataFrame(out, columns=["vec_id", "status", "dx", "dy", "residual"]).astype({"dx": "Int64", "dy": "Int64"})
 
-    return load(spark, sf_dir, "nation").select("n_nationkey").mapInPandas(run, "n_nationkey int, status string, dx long, dy long, residual double")
+    return load(spark, sf_dir, "embeddings").select("vec_id", "embedding").mapInPandas(run, "vec_id long, status string, dx long, dy long, residual double")

@@ -7,6 +7,7 @@ import random
 
 import numpy as np
 import pytest
+from arrays import bilinear, grid_geometry, shifted, swept_support
 from pyspark.sql import functions as F
 
 from sievewright.functions import geometry as geo
@@ -93,11 +94,11 @@ def test_span_algebra_equals_arrays(spark):
         assert (r["area"], r["x_min"], r["x_max"], r["y_min"], r["y_max"]) == (len(xs), xs.min(), xs.max(), ys.min(), ys.max())
         assert np.allclose((r["cx"], r["cy"]), (xs.mean(), ys.mean()))
     moved = arrays(sp.translate(union, F.lit(5), F.lit(-3), F.lit(20), F.lit(12)))
-    assert all((moved[k] == geo.shifted(frames[k], 5, -3)).all() for k in frames)
+    assert all((moved[k] == shifted(frames[k], 5, -3)).all() for k in frames)
     grown = arrays(sp.dilated(union, 2, "k").where("y between 0 and 11"))
     for k, m in frames.items():
         for _ in range(2):
-            m = m | geo.shifted(m, 1, 0) | geo.shifted(m, -1, 0) | geo.shifted(m, 0, 1) | geo.shifted(m, 0, -1)
+            m = m | shifted(m, 1, 0) | shifted(m, -1, 0) | shifted(m, 0, 1) | shifted(m, 0, -1)
         assert (grown[k] == m).all()
     for diagonal in (True, False):
         want = set()
@@ -108,7 +109,7 @@ def test_span_algebra_equals_arrays(spark):
                     for dx in (-1, 0, 1):
                         for dy in (-1, 0, 1):
                             if diagonal or not (dx and dy):
-                                near |= geo.shifted(a, dx, dy)
+                                near |= shifted(a, dx, dy)
                     if (near & masks[k, j]).any():
                         want.add((k, i, j))
         assert {(r["k"], r["i"], r["i2"]) for r in sp.touching(rows, ["k"], "i", diagonal).collect()} == want
@@ -125,13 +126,13 @@ def test_components(spark):
 
 
 def test_bilinear_keeps_constants_and_geometry_reports_errors():
-    assert np.allclose(geo.bilinear(np.ones((7, 9)), 4, 5), 1)
+    assert np.allclose(bilinear(np.ones((7, 9)), 4, 5), 1)
     mask = np.zeros((80, 120), dtype=bool)
     mask[20:40, 20:40] = True
-    assert geo.grid_geometry(mask, (30, 20), (1, 1))["error"] == "zero"
-    assert geo.grid_geometry(mask, (30, 20), (100, 0))["error"] == "leaving"
-    assert geo.grid_geometry(np.zeros_like(mask), (30, 20), (8, 8))["error"] == "vanished"
-    assert geo.grid_geometry(mask, (30, 20), (8, 8))["error"] is None
+    assert grid_geometry(mask, (30, 20), (1, 1))["error"] == "zero"
+    assert grid_geometry(mask, (30, 20), (100, 0))["error"] == "leaving"
+    assert grid_geometry(np.zeros_like(mask), (30, 20), (8, 8))["error"] == "vanished"
+    assert grid_geometry(mask, (30, 20), (8, 8))["error"] is None
 
 
 def test_motion_finds_the_shift_and_never_divides_by_zero():
@@ -231,7 +232,7 @@ def test_swept_runs_equal_swept_arrays(spark):
         mask = rng.random((20, 30)) < 0.05
         mask[5 + key % 4, 3:9] = True
         rows += [(key, y, a, b) for y, a, b in sp.from_mask(mask)]
-        want[key] = geo.swept_support(mask, [(key * 3 - 17, 9 - key), (2, 13)])
+        want[key] = swept_support(mask, [(key * 3 - 17, 9 - key), (2, 13)])
     spans = spark.createDataFrame(rows, "k long, y int, x0 int, x1 int")
     deltas = [(F.col("k") * 3 - 17, 9 - F.col("k")), (F.lit(2), F.lit(13))]
     got = {}
@@ -254,11 +255,13 @@ def test_motion_of_members_at_a_smaller_size():
     assert all(f["residual"] < 3 and f["score"] > 0.95 for f in found[:2])
     flat = np.full(before.shape, 3.0)
     assert geo.motion(flat, after, one, (0, 0))["status"] == "unmeasurable"
+    assert geo.motion(before, np.zeros_like(before), one, (0, 0))["status"] == "unmeasurable"  # no score has a value
+    assert geo.motion(coarse, coarse[:4, :4], np.ones_like(coarse, dtype=bool), (0, 0))["status"] == "matching_error"
 
 
 def test_a_member_may_not_vanish_on_the_grid():
     mask, speck = np.zeros((80, 120), dtype=bool), np.zeros((80, 120), dtype=bool)
     mask[20:50, 30:70] = True
     speck[20, 30] = True
-    assert geo.grid_geometry(mask, (30, 20), (8, 4), (mask,))["error"] is None
-    assert geo.grid_geometry(mask, (30, 20), (8, 4), (mask, speck))["error"] == "member"
+    assert grid_geometry(mask, (30, 20), (8, 4), (mask,))["error"] is None
+    assert grid_geometry(mask, (30, 20), (8, 4), (mask, speck))["error"] == "member"
