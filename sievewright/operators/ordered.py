@@ -39,6 +39,16 @@ def ranked(df: DataFrame, order: str, out: str, width: int = WIDTH) -> DataFrame
     return running_sum(df, order, F.lit(1), out, width)
 
 
+def ranked_by(df: DataFrame, key: str, order: str, out: str, width: int = WIDTH) -> DataFrame:
+    """``df`` with the place of each row, from 1, among the rows of its key; order as above. No key's rows meet in one task."""
+    rows = df.withColumn("_b", _bucket(order, width))
+    counts = rows.groupBy(key, "_b").agg(F.count("*").alias("_n"))
+    before = F.coalesce(F.sum("_n").over(Window.partitionBy(key).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    base = counts.select(F.col(key).alias("_k"), F.col("_b").alias("_bb"), before.alias("_base"))
+    inside = F.row_number().over(Window.partitionBy(key, "_b").orderBy(order))
+    return rows.join(base, F.col(key).eqNullSafe(F.col("_k")) & (F.col("_b") == F.col("_bb"))).withColumn(out, F.col("_base") + inside).drop("_b", "_bb", "_k", "_base")
+
+
 def previous(df: DataFrame, order: str, value: str, out: str, width: int = WIDTH) -> DataFrame:
     """``df`` with ``value`` of the row before in the order of ``order`` (an integer, without ties), null for the first."""
     rows = df.withColumn("_b", _bucket(order, width))

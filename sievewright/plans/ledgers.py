@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sievewright.operators import acceptance, ledger, reporting
-from sievewright.operators.ordered import latest, ranked
+from sievewright.operators.ordered import latest, ranked, ranked_by
 from sievewright.plans.catalog import cents, load, query
 
 #: Event types as outcomes, fixed values.
@@ -118,3 +118,17 @@ def stream_quota(spark: SparkSession, sf_dir: str) -> DataFrame:
     from sievewright.streaming.quota import replay
 
     return replay(spark, sf_dir, "events.parquet", quota=100)
+
+
+@query(f"""WITH c AS (SELECT user_id AS s, event_id AS q, {_OUTCOME} AS outcome FROM events),
+g AS (SELECT *, count(*) FILTER (WHERE outcome <> 'error') OVER (PARTITION BY s ORDER BY q ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS run FROM c),
+n AS (SELECT *, count(*) FILTER (WHERE outcome = 'error') OVER (PARTITION BY s, run ORDER BY q ROWS UNBOUNDED PRECEDING) AS fails FROM g),
+e AS (SELECT *, outcome <> 'error' OR fails % 2 = 0 AS ends, CASE WHEN outcome = 'error' THEN 2 ELSE fails % 2 END AS failures FROM n)
+SELECT s AS source_id, CAST(row_number() OVER (PARTITION BY s ORDER BY q) - 1 AS BIGINT) AS attempt_index, q AS sequence, outcome, CAST(failures AS BIGINT) AS failures FROM e WHERE ends""")
+def stream_attempts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Completions streamed in batches that are in no order; each user's attempts come out in order, with their retries."""
+    from sievewright.streaming.attempts import replay_attempts
+
+    rows = _attempts(spark, sf_dir).select("source_id", F.col("event_id").alias("sequence"), "outcome")
+    rows = ranked_by(rows, "source_id", "sequence", "place").select("source_id", (F.col("place") - 1).alias("step"), "sequence", "outcome")
+    return replay_attempts(rows, parts=3)

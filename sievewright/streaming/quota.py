@@ -1,57 +1,58 @@
 """A shared quota over a stream of completions.
 
-Completions of a micro-batch are handled in order of sequence: not accepted, then seen before, then quota reached, then
-commit. The state of the quota (the committed rows) is one row for each accepted artifact, at most the quota, and is
-kept as a table in the checkpoint's folder, with the batch's number: replaying a batch after a failure rewrites the
-same part, so a commit happens once. Deduplication and the first-n cut run as batch plans over the micro-batch, with
-map-side top-n, not as one keyed state.
+Each key's first artifact is keyed state (:class:`attempts.FirstOfKey`), which tells a batch only what fell. The quota keeps
+the ``quota`` first of these in order of sequence: a minimum only falls, so one that has left this list never comes back,
+and the list needs no more than its last version and the batch. So the result depends neither on how completions are cut
+into batches nor on their order. Versions are named by their batch: a batch that is replayed after a failure writes the same
+version again, and only the version before it is read.
 """
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sievewright.operators.acceptance import first_by_key, first_n
+from sievewright.streaming.attempts import firsts, run_to_end, shared_folder
 
-_COMMITTED = "event_id long, user_id long, nth long"
+_LEADERS = "key long, sequence long"
 
 
 class QuotaSink:
-    """foreachBatch function; accepted rows are below ``path``, by batch."""
+    """foreachBatch function; the accepted rows after batch n are in ``path``/batch=n."""
 
-    def __init__(self, spark: SparkSession, path: str, quota: int) -> None:
-        self.spark, self.path, self.quota = spark, path, quota
+    def __init__(self, path: str, quota: int) -> None:
+        self.path, self.quota = path, quota
 
     def __call__(self, batch: DataFrame, number: int) -> None:
         spark = batch.sparkSession
-        base = spark.createDataFrame([], f"{_COMMITTED}, batch long")
+        rows = batch.select("key", "sequence")
         if number:
-            base = spark.read.schema(f"{_COMMITTED}, batch long").parquet(self.path).where(F.col("batch") < number)
-        done = base.count()
-        passed = batch.where("event_type = 'purchase'").select("user_id", "event_id")
-        fresh = first_by_key(passed, "user_id", "event_id").join(base.select("user_id"), "user_id", "left_anti")
-        rows = first_n(fresh, max(0, self.quota - done), "event_id")
-        rows = rows.select("event_id", "user_id", (F.col("rank") + done).cast("long").alias("nth"))
-        rows.coalesce(1).write.mode("overwrite").parquet(f"{self.path}/batch={number}")
+            rows = rows.unionByName(spark.read.schema(_LEADERS).parquet(f"{self.path}/batch={number - 1}"))
+        kept = first_n(first_by_key(rows, "key", "sequence"), self.quota, "sequence")
+        kept.select("key", "sequence").coalesce(1).write.mode("overwrite").parquet(f"{self.path}/batch={number}")
+
+    def accepted(self, spark: SparkSession) -> DataFrame:
+        """(key, sequence) after the last batch."""
+        every = spark.read.schema(_LEADERS).parquet(self.path)
+        last = every.agg(F.max("batch")).first()[0]
+        return every.where(F.col("batch") == F.lit(-1 if last is None else last)).select("key", "sequence")
+
+
+def accept(stream: DataFrame, base: str, quota: int) -> QuotaSink:
+    """Run a stream of (key, sequence) to its end, from where it stopped before, with its state below ``base``."""
+    sink = QuotaSink(f"{base}/accepted", quota)
+    run_to_end(firsts(stream), f"{base}/state", sink)
+    return sink
 
 
 def replay(spark: SparkSession, folder: str, name: str, quota: int) -> DataFrame:
     """Run a table of events through the stream to its end and return what was accepted."""
-    shared = spark.conf.get("spark.checkpoint.dir", None)
-    if not shared:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
-        shared = "file:///tmp/checkpoints"
-    base = f"{shared.rstrip('/')}/sievewright/quota-{uuid.uuid4().hex}"
-    sink = QuotaSink(spark, f"{base}/accepted", quota)
     schema = spark.read.parquet(f"{folder}/{name}").schema
     stream = spark.readStream.schema(schema).parquet(f"{folder}/{name[:-1]}[{name[-1]}]")  # a pattern, as a stream's plain path must be a folder
-    started = stream.writeStream.foreachBatch(sink).option("checkpointLocation", f"{base}/state").trigger(availableNow=True).start()
-    started.awaitTermination()
-    return spark.read.schema(f"{_COMMITTED}, batch long").parquet(f"{base}/accepted").select("event_id", "user_id", "nth")
+    passed = stream.where("event_type = 'purchase'").select(F.col("user_id").alias("key"), F.col("event_id").alias("sequence"))
+    rows = accept(passed, shared_folder(spark, "quota"), quota).accepted(spark)
+    return first_n(rows, quota, "sequence").select(F.col("sequence").alias("event_id"), F.col("key").alias("user_id"), F.col("rank").cast("long").alias("nth"))
 
 
 def windowed_outcomes(events: DataFrame, every: str = "1 hour", late: str = "10 minutes") -> DataFrame:
