@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import contextlib
+import ctypes
 import re
 import uuid
 from collections.abc import Callable, Iterable, Iterator
@@ -100,10 +101,13 @@ kept_in_worker: list[Callable[[], None]] = []
 
 
 def tidy() -> None:
-    """In a worker: give back what tasks of another operator have kept, and what Arrow holds for later."""
+    """In a worker: give back what tasks of another operator have kept, and what Arrow and the C library hold for later."""
     for clear in kept_in_worker:
         clear()
     pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc only
+    if trim:
+        trim(0)
 
 
 def byte_texts(column: pa.Array | pa.ChunkedArray) -> list[bytes | None]:

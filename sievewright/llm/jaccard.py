@@ -37,8 +37,8 @@ from sievewright.llm.components import connected_components
 SHINGLE, SEED, BANDS, MINIMA = 5, 42, 20, 4
 #: Least similarity, as numerator and denominator.
 LEAST = (4, 5)
-#: Members of a bucket that are compared in one task.
-BLOCK = 1000
+#: Members of a bucket that are compared in one task; its tables grow with the square.
+BLOCK = 500
 _RANDOM = np.random.default_rng(SEED)
 _TIMES = _RANDOM.integers(0, 1 << 63, BANDS * MINIMA, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _PLUS = _RANDOM.integers(0, 1 << 63, BANDS * MINIMA, dtype=np.uint64)
@@ -107,6 +107,7 @@ def verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     """The pairs (a, b) whose texts are alike."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        tidy()
         last, sets = None, None
         for batch in batches:
             good = []
@@ -149,6 +150,7 @@ def hashed(texts: DataFrame) -> DataFrame:
     """(node, hashes): the set of each text, as bytes."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        tidy()
         for batch in batches:
             sets = [shingles(text).tobytes() for text in byte_texts(batch.column(1))]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sets, pa.binary())], names=["node", "hashes"])
@@ -194,6 +196,7 @@ def compared(left: DataFrame, sets: DataFrame, block: int = BLOCK) -> DataFrame:
     """
 
     def run(group: pa.Table) -> pa.Table:
+        tidy()
         found = joining(group["node"].to_pylist(), group["component"].to_pylist(), [np.frombuffer(h, dtype=np.uint64) for h in group["hashes"].to_pylist()])
         return pa.table({"a": pa.array([x for x, _ in found], pa.int64()), "b": pa.array([y for _, y in found], pa.int64())})
 
