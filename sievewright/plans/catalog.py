@@ -35,4 +35,4 @@ def cents(column: str):
 
 def load_all() -> None:
     """Import the modules that register queries."""
-    from sievewright.plans import artifacts, checks, curation, geometry, ledgers, upkeep  # noqa: F401
+    from sievewright.plans import artifacts, checks, curation, geometry, ledgers, tables, upkeep  # noqa: F401

@@ -6,14 +6,20 @@ restarted stream goes on where it was and gives the rows that one batch plan ove
 
 from __future__ import annotations
 
+import sys
 import uuid
 from collections.abc import Callable, Iterator
 
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
+# Spark starts a worker of its own beside the driver for stateful processors, which gets no shipped packages: so
+# processors are sent whole, not by name.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 ROCKS = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 #: Failures that an attempt may have and go on.
 RETRIES = 1
