@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from sievewright.operators.joins import frequent, spread
+
 
 def touching_boxes(boxes: DataFrame, frame: str, item: str, cell: float) -> DataFrame:
     """Pairs item < item2 of a frame whose boxes (x0, y0, x1, y1) touch or overlap.
@@ -24,16 +26,19 @@ def components(nodes: DataFrame, edges: DataFrame, a: str, b: str, node: str, ch
     """(node, component): the smallest node that edges reach, by label propagation with shortcuts.
 
     Each round takes the least label of the neighbours and then the label of that label, so the number of rounds grows
-    with the logarithm of the diameter on most graphs. ``checkpoint`` cuts lineage; by default DataFrame.checkpoint,
-    to the folder that spark.checkpoint.dir names.
+    with the logarithm of the diameter on most graphs. A hub's edges, and the nodes of a large component that all have one
+    label, stay spread over their tasks (:func:`joins.spread`); minima are pre-aggregated. ``checkpoint`` cuts lineage; by
+    default DataFrame.checkpoint, to the folder that spark.checkpoint.dir names.
     """
     cut = checkpoint or _checkpoint
     both = cut(edges.select(F.col(a).alias("u"), F.col(b).alias("v")).union(edges.select(F.col(b), F.col(a))).distinct())
     labels = cut(nodes.select(F.col(node).alias("u"), F.col(node).alias("l")))
+    links, n = both.count(), labels.count()
+    hubs = cut(frequent(both, "v", links))
     while True:
-        near = both.join(labels.select(F.col("u").alias("v"), "l"), "v").groupBy("u").agg(F.min("l").alias("m"))
-        low = labels.join(near, "u", "left").select("u", "l", F.least("l", "m").alias("n"))
-        jump = low.join(labels.select(F.col("u").alias("n"), F.col("l").alias("nl")), "n", "left").select("u", "l", F.least("n", "nl").alias("n"))
+        near = spread(both, labels.select(F.col("u").alias("v"), "l"), "v", hubs).groupBy("u").agg(F.min("l").alias("m"))
+        low = cut(labels.join(near, "u", "left").select("u", "l", F.least("l", "m").alias("n")))
+        jump = spread(low, labels.select(F.col("u").alias("n"), F.col("l").alias("nl")), "n", frequent(low, "n", n)).select("u", "l", F.least("n", "nl").alias("n"))
         after = cut(jump)
         if after.where("n <> l").isEmpty():
             return after.select(F.col("u").alias(node), F.col("n").alias("component"))

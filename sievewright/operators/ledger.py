@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from sievewright.operators.ordered import previous, running_max, running_sum
+from sievewright.operators.ordered import scan
 
 #: The closed set of a ledger entry's keys, fixed values.
 KEYS = ("candidate_id", "source_id", "attempt_index", "sequence", "outcome", "error_code", "attempt_elapsed_seconds", "stage_seconds", "timing_complete", "cleanup_state", "accepted_cost_seconds", "accepted_active_watermark")
@@ -18,9 +18,8 @@ def unknown_keys(columns: list[str]) -> list[str]:
 
 def costs(attempts: DataFrame, order: str, spent: str, is_accepted: Column) -> DataFrame:
     """Accepted attempts with watermark (all that was spent so far) and cost (since the accepted one before)."""
-    marked = running_sum(attempts, order, F.col(spent), "watermark")
-    kept = previous(marked.where(is_accepted), order, "watermark", "before")
-    return kept.withColumn("cost", F.col("watermark") - F.coalesce("before", F.lit(0))).drop("before")
+    marked = scan(attempts, order, {"watermark": F.col(spent)}, {"before": ("watermark", is_accepted)})
+    return marked.where(is_accepted).withColumn("cost", F.col("watermark") - F.coalesce("before", F.lit(0))).drop("before")
 
 
 def pending(attempts: DataFrame, order: str, spent: str, is_accepted: Column) -> DataFrame:
@@ -33,13 +32,12 @@ def pending(attempts: DataFrame, order: str, spent: str, is_accepted: Column) ->
 def failure_runs(attempts: DataFrame, order: str, failed: Column) -> DataFrame:
     """Failed attempts with run (a number that counts the successes before) and nth (position within the run).
 
-    The place in a run is the number of failures so far less that at the last success, both from buckets of the order: a
-    run may be as long as the ledger.
+    The place in a run is the number of failures so far less that at the last success, in one scan: a run may be as long
+    as the ledger.
     """
-    marked = running_sum(attempts.withColumn("_f", failed), order, F.when(F.col("_f"), 0).otherwise(1), "run")
-    marked = running_sum(marked, order, F.when(F.col("_f"), 1).otherwise(0), "_fails")
-    marked = running_max(marked, order, F.when(~F.col("_f"), F.col("_fails")), "_before")
-    return marked.where("_f").withColumn("nth", (F.col("_fails") - F.coalesce("_before", F.lit(0))).cast("int")).drop("_f", "_fails", "_before")
+    counts = {"run": F.when(failed, 0).otherwise(1), "_fails": F.when(failed, 1).otherwise(0)}
+    marked = scan(attempts, order, counts, {"_before": ("_fails", ~failed)}).where(failed)
+    return marked.withColumn("nth", (F.col("_fails") - F.coalesce("_before", F.lit(0))).cast("int")).drop("_fails", "_before")
 
 
 def fatal_at(attempts: DataFrame, order: str, failed: Column, limit: int = FATAL_ERRORS) -> DataFrame:

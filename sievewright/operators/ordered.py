@@ -34,6 +34,46 @@ def running_max(df: DataFrame, order: str, value: Column, out: str, width: int =
     return rows.join(base, F.col("_b") == F.col("_bb")).withColumn(out, F.greatest("_base", inside)).drop("_v", "_b", "_bb", "_base")
 
 
+def _scanned(rows: DataFrame, at: str, sums: list[str], marks: dict[str, str], width: int, levels: int) -> DataFrame:
+    """``rows`` with _s_<sum>, its total up to and including this row, and _m_<mark>, its last mark before this row.
+
+    _v_<sum> is what a row adds, _o_<mark> how far into the row its last mark is, null without one.
+    """
+    order = Window.orderBy(at) if not levels else Window.partitionBy("_b").orderBy(at)
+    if levels:
+        rows = rows.withColumn("_b", _bucket(at, width))
+    upto, before = order.rowsBetween(Window.unboundedPreceding, 0), order.rowsBetween(Window.unboundedPreceding, -1)
+    rows = rows.withColumns({f"_s_{n}": F.sum(f"_v_{n}").over(upto) for n in sums})
+    place = {m: F.col(f"_s_{n}") - F.col(f"_v_{n}") + F.col(f"_o_{m}") for m, n in marks.items()}
+    rows = rows.withColumns({f"_m_{m}": F.last(p, ignorenulls=True).over(before) for m, p in place.items()})
+    if not levels:
+        return rows
+    held = [F.sum(f"_v_{n}").alias(f"_v_{n}") for n in sums] + [F.max_by(p, F.when(p.isNotNull(), F.col(at))).alias(f"_o_{m}") for m, p in place.items()]
+    key = f"_at{levels}"
+    table = _scanned(rows.groupBy(F.col("_b").alias(key)).agg(*held), key, sums, marks, width, levels - 1)
+    table = table.select(key, *((F.col(f"_s_{n}") - F.col(f"_v_{n}")).alias(f"_base_{n}") for n in sums), *(F.col(f"_m_{m}").alias(f"_carry_{m}") for m in marks))
+    met = rows.join(table, F.col("_b") == F.col(key))
+    met = met.withColumns({f"_m_{m}": F.coalesce(F.col(f"_base_{n}") + F.col(f"_m_{m}"), F.col(f"_carry_{m}")) for m, n in marks.items()})
+    met = met.withColumns({f"_s_{n}": F.col(f"_base_{n}") + F.col(f"_s_{n}") for n in sums})
+    return met.drop("_b", key, *(f"_base_{n}" for n in sums), *(f"_carry_{m}" for m in marks))
+
+
+def scan(df: DataFrame, order: str, sums: dict[str, Column], marks: dict[str, tuple[str, Column]] | None = None, width: int = WIDTH) -> DataFrame:
+    """``df`` with several running values in one pass over the order (an integer, without ties).
+
+    ``sums``: the sum of a value over all rows up to and including this one. ``marks``: a name and a condition; what the sum
+    of that name was at the last row before this one for which the condition held, null if there was none. Both carry over
+    buckets as one associative pair (total, last mark), and over buckets of buckets, so only one row for ``width`` squared
+    rows meets in one place. Nulls add nothing.
+    """
+    marks = marks or {}
+    rows = df.withColumns({f"_v_{n}": F.coalesce(c, F.lit(0)) for n, c in sums.items()})
+    rows = rows.withColumns({f"_o_{m}": F.when(c, F.col(f"_v_{n}")) for m, (n, c) in marks.items()})
+    done = _scanned(rows, order, list(sums), {m: n for m, (n, _) in marks.items()}, width, 2)
+    named = [F.col(f"_s_{n}").alias(n) for n in sums] + [F.col(f"_m_{m}").alias(m) for m in marks]
+    return done.select(*(F.col(c) for c in df.columns), *named)
+
+
 def ranked(df: DataFrame, order: str, out: str, width: int = WIDTH) -> DataFrame:
     """``df`` with the number of rows up to and including this one, from 1; order as above."""
     return running_sum(df, order, F.lit(1), out, width)

@@ -125,6 +125,34 @@ def test_components(spark):
     assert empty.where("component <> n").isEmpty()
 
 
+def test_components_of_a_star_and_a_path(spark):
+    hub = spark.range(1, 50_001).select(F.lit(60_000).cast("long").alias("a"), F.col("id").alias("b"))
+    path = spark.range(100_000, 100_300).select(F.col("id").alias("a"), (F.col("id") + 1).alias("b"))
+    edges = hub.unionByName(path)
+    nodes = edges.select(F.col("a").alias("n")).union(edges.select("b")).distinct()
+    got = contacts.components(nodes, edges, "a", "b", "n").groupBy("component").agg(F.count("*").alias("n")).collect()
+    assert sorted(map(tuple, got)) == [(1, 50_001), (100_000, 301)]
+
+
+def test_scan_equals_a_loop(spark):
+    rng = random.Random(2)
+    at = sorted(rng.sample(range(-500, 4000), 700))
+    rows = [(x, rng.choice([None, -2, 5, 7]), rng.random() < 0.01 or 1000 < x < 1100) for x in at]
+    df = spark.createDataFrame(rows, "t long, v int, hit boolean").repartition(3)
+    want, total, seen, last, before = [], 0, 0, None, None
+    for x, v, hit in rows:
+        total, seen = total + (v or 0), seen + 1
+        want.append((x, total, seen, last, before))
+        if hit:
+            last = total
+        if v == 5:
+            before = seen
+    for width in (3, 16, 4096):
+        got = ordered.scan(df, "t", {"total": F.col("v"), "seen": F.lit(1)}, {"last": ("total", F.col("hit")), "before": ("seen", F.col("v") == 5)}, width)
+        assert sorted(tuple(r[c] for c in ("t", "total", "seen", "last", "before")) for r in got.collect()) == want
+    assert ordered.scan(df.limit(0), "t", {"total": F.col("v")}).count() == 0
+
+
 def test_bilinear_keeps_constants_and_geometry_reports_errors():
     assert np.allclose(bilinear(np.ones((7, 9)), 4, 5), 1)
     mask = np.zeros((80, 120), dtype=bool)
