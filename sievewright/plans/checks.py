@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sievewright.functions import geometry as geo
-from sievewright.functions import nested
+from sievewright.functions import nested, schemas
 from sievewright.operators import integrity, lifecycle
 from sievewright.operators import spans as sp
 from sievewright.plans.catalog import load, query
@@ -192,6 +192,24 @@ def nested_relocation(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("o_orderkey", nested.relocated(F.col("record"), "runs/7", "old/7").alias("record"))
 
 
+#: What props must be: a number from 10 to 90 and nothing else.
+_PROPS = {"type": "object", "required": ["k"], "additionalProperties": False, "properties": {"k": {"type": "integer", "minimum": 10, "maximum": 90}}}
+
+
+@query("""WITH e AS (SELECT event_id, props, event_type, CAST(props->>'k' AS INT) AS k FROM events)
+SELECT event_id, CASE WHEN NOT json_valid(props) THEN 'syntax' WHEN k IS NULL THEN '$: required k' WHEN len(json_keys(props)) > 1 THEN '$: additionalProperties' WHEN k < 10 THEN '$.k: minimum' WHEN k > 90 THEN '$.k: maximum' END AS props_error,
+  CASE WHEN k % 11 = 0 THEN '$: required reason' WHEN k % 13 = 0 THEN '$: additionalProperties' WHEN event_type NOT IN ('purchase', 'error', 'view') THEN '$.answer: enum' WHEN k % 7 = 0 THEN '$.reason: pattern'
+    WHEN length(event_type) * k > 500 THEN '$.reason: maxLength' END AS answer_error FROM e""")
+def completion_schema(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What is wrong with each event's props, and with an answer made from its type and number, by their schemas."""
+    k = F.get_json_object("props", "$.k").cast("int")
+    answer = F.coalesce(F.create_map(F.lit("purchase"), F.lit("YES"), F.lit("error"), F.lit("NO"), F.lit("view"), F.lit("UNCERTAIN"))[F.col("event_type")], F.col("event_type"))
+    reason = F.when(k % 11 == 0, F.lit(None)).when(k % 7 == 0, " \t ").otherwise(F.repeat(F.col("event_type"), k * 2))
+    text = F.to_json(F.struct(answer.alias("answer"), reason.alias("reason"), F.when(k % 13 == 0, k).alias("more")))
+    errors = {"props_error": schemas.completion_error(F.col("props"), _PROPS), "answer_error": schemas.completion_error(text, schemas.ANSWER)}
+    return load(spark, sf_dir, "events").select("event_id", *(e.alias(n) for n, e in errors.items()))
+
+
 @query("""SELECT event_id, CASE event_id % 4 WHEN 0 THEN 'repeated key' WHEN 1 THEN 'number' WHEN 2 THEN 'syntax' END AS error FROM events""")
 def completion_json(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Why completions aren't strict JSON."""
