@@ -14,7 +14,8 @@ and reads whole texts, however long: a text is its counts of byte n-grams.
 
 Null or letterless text: ``und``, score 0, not ambiguous. Null lang: never used in fitting. Without any labelled row
 with letters everything is ``und``. Equal losses go to the language that is first by code point. Repeated rows are
-predicted alike. Null doc_ids are used like others (their hash is a constant). Extra columns pass through. An empty table
+predicted alike. A null doc_id has no hash: it is predicted like others, and who fits on some folds leaves it out. Extra
+columns pass through. An empty table
 fits no model and gives an empty result.
 """
 

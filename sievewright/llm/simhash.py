@@ -11,7 +11,7 @@ a key are compared; links join them into components.
 Scale: equal fingerprints are one row from the start, so groups of copies cost one aggregation. Keys that only one
 fingerprint has are dropped by a pre-aggregated count. A key that more than ``BUCKET`` fingerprints share is refined:
 its other 42 bits are cut into six parts of seven bits, of which four have no error, and each choice of four is a key
-of its own; such a key leaves 14 bits open and so holds 16,384 fingerprints at most, whatever the data. (Refined keys are
+of its own; such a key leaves 15 bits open and so holds 32,768 fingerprints at most, whatever the data. (Refined keys are
 plain pigeonhole keys beside the Golay index, which a crowded key has used up; the links are the same.) A bucket emits
 a spanning forest of its links, never its pairs. Frequent keys and fingerprints are joined by broadcast.
 
