@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from sievewright.operators.ordered import scan
+from sievewright.operators.ordered import lookback, scan
 
 #: The closed set of a ledger entry's keys, fixed values.
 KEYS = ("candidate_id", "source_id", "attempt_index", "sequence", "outcome", "error_code", "attempt_elapsed_seconds", "stage_seconds", "timing_complete", "cleanup_state", "accepted_cost_seconds", "accepted_active_watermark")
@@ -51,3 +51,28 @@ def active_segments(marks: DataFrame, key: str, order: str, is_start: Column, at
     rows = marks.withColumn("_start", is_start).withColumn("_next", F.lead(at).over(of)).withColumn("_next_start", F.lead("_start").over(of))
     ended = F.col("_next").isNotNull() & ~F.col("_next_start")
     return rows.where("_start").groupBy(key).agg(F.count("*").alias("segments"), F.coalesce(F.sum(F.when(ended, F.col("_next") - F.col(at))), F.lit(0)).alias("active"), F.bool_and(ended).alias("timing_complete"))
+
+
+def active_clock(marks: DataFrame, key: str, at: str, tie: str, bucket: Column) -> DataFrame:
+    """The active time of each key's runs, over pauses, restarts and crashes.
+
+    ``marks``: key, ``at``, ``tie`` (orders equal times), kind (start, checkpoint, end), overhead (of starts; null: none). While
+    a clock runs, from a start to an end, each mark adds the time since the mark before; a start adds its overhead. A start
+    while the clock runs means a crash: what came after the last mark is lost, and timing isn't complete. Result: segments,
+    overhead, active (with overhead), crashes, timing_complete, running (the last start has no end). ``bucket`` cuts the
+    times of a key, so a hot key is split.
+    """
+    state = F.when(F.col("kind") != "checkpoint", F.col("kind"))
+    rows = lookback(marks, key, [at, tie], {"_state": state, "_before": F.col(at)}, bucket)
+    runs = F.coalesce(F.col("_state") == "start", F.lit(False))
+    start = F.col("kind") == "start"
+    spent = F.when(runs & ~start, F.greatest(F.lit(0), F.col(at) - F.col("_before"))).otherwise(F.lit(0))
+    over = F.when(start, F.coalesce("overhead", F.lit(0))).otherwise(F.lit(0))
+    by = rows.groupBy(key).agg(
+        F.count_if(start).alias("segments"),
+        F.sum(over).alias("overhead"),
+        F.sum(spent + over).alias("active"),
+        F.count_if(start & runs).alias("crashes"),
+        F.coalesce(F.max_by(state, F.when(state.isNotNull(), F.struct(at, tie))) == "start", F.lit(False)).alias("running"),
+    )
+    return by.withColumn("timing_complete", F.col("crashes") == 0)

@@ -6,6 +6,8 @@ running value, and windows run within buckets only.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -89,6 +91,21 @@ def ranked_by(df: DataFrame, key: str, order: str, out: str, width: int = WIDTH)
     return rows.join(base, F.col(key).eqNullSafe(F.col("_k")) & (F.col("_b") == F.col("_bb"))).withColumn(out, F.col("_base") + inside).drop("_b", "_bb", "_k", "_base")
 
 
+def lookback(df: DataFrame, key: str, order: Sequence[str], values: dict[str, Column], bucket: Column) -> DataFrame:
+    """``df`` with, for each of ``values``, the last one that isn't null among the earlier rows of the key.
+
+    ``bucket`` rises with ``order`` and cuts a key's rows, so those of a hot key don't meet in one task.
+    """
+    rows = df.withColumns({f"_v_{n}": c for n, c in values.items()}).withColumn("_b", bucket)
+    before = lambda *keys: Window.partitionBy(*keys).rowsBetween(Window.unboundedPreceding, -1)
+    own = {f"_l_{n}": F.last(f"_v_{n}", ignorenulls=True).over(before(key, "_b").orderBy(*order)) for n in values}
+    lasts = rows.groupBy(key, "_b").agg(*(F.max_by(f"_v_{n}", F.when(F.col(f"_v_{n}").isNotNull(), F.struct(*order))).alias(f"_c_{n}") for n in values))
+    carried = [F.last(f"_c_{n}", ignorenulls=True).over(before(key).orderBy("_b")).alias(f"_c_{n}") for n in values]
+    table = lasts.select(F.col(key).alias("_k"), F.col("_b").alias("_bb"), *carried)
+    met = rows.withColumns(own).join(table, F.col(key).eqNullSafe(F.col("_k")) & (F.col("_b") == F.col("_bb")))
+    return met.select(*(F.col(c) for c in df.columns), *(F.coalesce(f"_l_{n}", f"_c_{n}").alias(n) for n in values))
+
+
 def previous(df: DataFrame, order: str, value: str, out: str, width: int = WIDTH) -> DataFrame:
     """``df`` with ``value`` of the row before in the order of ``order`` (an integer, without ties), null for the first."""
     rows = df.withColumn("_b", _bucket(order, width))

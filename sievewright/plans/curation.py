@@ -69,9 +69,11 @@ def accepted_quota(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query("""SELECT i AS code, bit_count(i & 15) AS physical_pass_count, i & 16 > 0 AS accident_passed, bit_count(i & 15) >= 3 AND i & 16 > 0 AS passed
-FROM (SELECT CAST(range AS BIGINT) AS i FROM range(32))""")
+FROM (SELECT DISTINCT o_orderkey % 32 AS i FROM orders)""")
 def policy_truth_table(spark: SparkSession, sf_dir: str) -> DataFrame:
-    bits = spark.range(32).withColumnRenamed("id", "code").withColumn("id", F.explode(F.sequence(F.lit(1), F.lit(5))))
+    """The policy's decision for every combination of passed pairs that the orders' numbers show."""
+    codes = load(spark, sf_dir, "orders").select((F.col("o_orderkey") % 32).alias("code")).distinct()
+    bits = codes.withColumn("id", F.explode(F.sequence(F.lit(1), F.lit(5))))
     pairs = bits.withColumn("passed", F.expr("shiftright(code, id - 1) & 1") == 1)
     return scoring.decisions(pairs, "code")
 

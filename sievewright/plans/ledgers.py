@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sievewright.operators import acceptance, ledger, reporting
+from sievewright.operators import acceptance, ledger, lifecycle, reporting
 from sievewright.operators.ordered import latest, ranked, ranked_by
 from sievewright.plans.catalog import cents, load, query
 
@@ -79,7 +79,10 @@ def round_robin_schedule(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("SELECT o_custkey AS source_id, max(o_orderkey) + 1 AS next_sequence, count(*) AS next_attempt FROM orders GROUP BY o_custkey")
 def source_cursor(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return load(spark, sf_dir, "orders").groupBy(F.col("o_custkey").alias("source_id")).agg((F.max("o_orderkey") + 1).alias("next_sequence"), F.count("*").alias("next_attempt"))
+    """Where each customer goes on, over finished orders and those in progress."""
+    rows = load(spark, sf_dir, "orders").select(F.col("o_custkey").alias("source_id"), F.col("o_orderkey").alias("sequence"), "o_orderstatus")
+    rows = ranked_by(rows, "source_id", "sequence", "place").withColumn("attempt_index", F.col("place") - 1)
+    return lifecycle.cursor(rows.where("o_orderstatus <> 'P'"), rows.where("o_orderstatus = 'P'"))
 
 
 @query("""SELECT l_orderkey, CAST(sum(CASE WHEN l_returnflag = 'A' THEN l_quantity END) AS BIGINT) AS "A", CAST(sum(CASE WHEN l_returnflag = 'N' THEN l_quantity END) AS BIGINT) AS "N",
@@ -104,6 +107,21 @@ def active_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ledger.active_segments(marks, "user_id", "order", F.col("starts"), "at")
 
 
+@query(f"""WITH m AS (SELECT user_id, event_id, epoch_us(ts) AS us, CASE event_type WHEN 'signup' THEN 'start' WHEN 'purchase' THEN 'end' ELSE 'checkpoint' END AS kind, {_SPENT} * 10000 AS overhead FROM events WHERE event_type <> 'error'),
+n AS (SELECT *, lag(us) OVER w AS pus, last_value(CASE WHEN kind <> 'checkpoint' THEN kind END IGNORE NULLS) OVER (PARTITION BY user_id ORDER BY us, event_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS st FROM m WINDOW w AS (PARTITION BY user_id ORDER BY us, event_id)),
+r AS (SELECT *, coalesce(st = 'start', false) AS runs FROM n)
+SELECT user_id, count(*) FILTER (WHERE kind = 'start') AS segments, CAST(coalesce(sum(overhead) FILTER (WHERE kind = 'start'), 0) AS BIGINT) AS overhead,
+  CAST(coalesce(sum(overhead) FILTER (WHERE kind = 'start'), 0) + coalesce(sum(us - pus) FILTER (WHERE runs AND kind <> 'start'), 0) AS BIGINT) AS active,
+  count(*) FILTER (WHERE kind = 'start' AND runs) AS crashes, coalesce(arg_max(kind, (us, event_id)) FILTER (WHERE kind <> 'checkpoint') = 'start', false) AS running,
+  count(*) FILTER (WHERE kind = 'start' AND runs) = 0 AS timing_complete FROM r GROUP BY user_id""")
+def restart_clock(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Active time of each user, from starts, checkpoints and ends, with overhead of starts and marks of crashes."""
+    at = F.unix_micros(F.col("ts").cast("timestamp"))
+    kind = F.when(F.col("event_type") == "signup", "start").when(F.col("event_type") == "purchase", "end").otherwise("checkpoint")
+    marks = load(spark, sf_dir, "events").where("event_type <> 'error'").select("user_id", "event_id", at.alias("at"), kind.alias("kind"), (cents("value") * 10000).alias("overhead"))
+    return ledger.active_clock(marks, "user_id", "at", "event_id", F.floor(F.col("at") / 3_600_000_000))
+
+
 @query("""SELECT count(DISTINCT k) AS attempts FROM (SELECT o_orderkey AS k FROM orders UNION ALL SELECT l_orderkey FROM lineitem WHERE l_returnflag = 'R')""")
 def distinct_attempts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ledger and pending entries together, each attempt once."""

@@ -134,6 +134,19 @@ def test_components_of_a_star_and_a_path(spark):
     assert sorted(map(tuple, got)) == [(1, 50_001), (100_000, 301)]
 
 
+def clocked(spark, marks, bucket=7):
+    rows = spark.createDataFrame([("r", t, i, k, o) for i, (t, k, o) in enumerate(marks)], "run string, at long, tie long, kind string, overhead long")
+    return ledger.active_clock(rows, "run", "at", "tie", F.floor(F.col("at") / bucket)).first()
+
+
+def test_clock_over_pauses_restarts_and_crashes(spark):
+    got = clocked(spark, [(0, "start", 10), (40, "end", None), (3640, "start", 5), (3690, "checkpoint", None), (3697, "end", None)])
+    assert (got["active"], got["overhead"], got["segments"], got["crashes"], got["timing_complete"], got["running"]) == (112, 15, 2, 0, True, False)
+    crash = clocked(spark, [(0, "start", None), (5, "checkpoint", None), (35, "start", None), (36, "end", None), (90, "checkpoint", None)])
+    assert (crash["active"], crash["crashes"], crash["timing_complete"], crash["running"]) == (6, 1, False, False)
+    assert clocked(spark, [(0, "checkpoint", None), (9, "end", None), (9, "start", 1)])["running"]
+
+
 def test_scan_equals_a_loop(spark):
     rng = random.Random(2)
     at = sorted(rng.sample(range(-500, 4000), 700))
