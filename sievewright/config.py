@@ -99,10 +99,19 @@ RULES: dict[str, Callable[[object], bool]] = {
     "execution.max_consecutive_technical_failures": _whole(1),
     "execution.worker_timeout_seconds": _number(0, open_low=True),
     "execution.retry_oom": _is(False),
+    "execution.mode": _is("gpu_pairs_parallel"),
+    "execution.candidate_concurrency": _is("auto"),
     "sampler.version": _is(SAMPLER),
     "sampler.operations": _is(["relocation"]),
     "sampler.geometry_attempts": _whole(1, 512),
+    "accident_selection.method": _is("clip_contact_context_v1"),
     "accident_selection.context_padding": _number(0, 1),
+    "verifier.backend": _is("clip_local"),
+    "verifier.local_files_only": _is(True),
+    "verifier.preprocessing": _is("letterbox_bicubic_gray_v1"),
+    "verifier.model_revision": lambda v: isinstance(v, str) and len(v) == 40,
+    "segmentation.backend": _is("torchvision_maskrcnn_resnet50_fpn"),
+    "segmentation.weights_id": _is("COCO_V1"),
     "segmentation.class_ids": _is(list(CLASSES)),
     "segmentation.score_threshold": _number(0, 1, open_low=True),
     "segmentation.mask_threshold": _number(0, 1, open_low=True),
@@ -136,6 +145,7 @@ def problems(cfg: dict) -> list[str]:
     """Everything that is wrong with the settings."""
     found = [f"{path}: {'missing' if (v := _at(cfg, path)) is _ABSENT else f'not allowed: {v!r}'}" for path, good in RULES.items() if _at(cfg, path) is _ABSENT or not good(_at(cfg, path))]
     found += [f"{path}: not supported" for path in FORBIDDEN if _at(cfg, path) is not _ABSENT]
+    found += [f"execution.{k}: workers choose no interpreter of their own" for k in cfg.get("execution", {}) if k.endswith("_python")]
     data, run = cfg.get("dataset", {}), cfg.get("run", {})
     if bool(data.get("input_dir")) == bool(data.get("manifest")):
         found.append("dataset: either input_dir or manifest is needed")
@@ -171,6 +181,21 @@ def generator_problems(params: dict, upstream: dict, allowed: Collection[str]) -
     return found
 
 
+def selection_problems(asset: dict, method: str, stored_sha256: str) -> list[str]:
+    """What is wrong with the captions that groups are selected by: version, rule, both kinds of view, texts, digest."""
+    found = []
+    if asset.get("version") != method:
+        found.append("version: not that of the method")
+    if asset.get("rule") != "both_views_involved_greater_than_uninvolved":
+        found.append("rule: not supported")
+    criteria = asset.get("criteria", {})
+    if set(criteria) != {"single", "contact_group"} or not all(_text(c.get(side)) for c in criteria.values() for side in ("uninvolved", "involved")):
+        found.append("criteria: two captions are needed for each kind of view")
+    if digest(asset) != stored_sha256:
+        found.append("digest: the captions have changed")
+    return found
+
+
 def load(path: str | Path, overrides: dict | None = None, defaults: dict | None = None) -> dict:
     """Overrides before the document before defaults; relative paths follow the document's folder."""
     cfg = merged(defaults, read_document(path), overrides)

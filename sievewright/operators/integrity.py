@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sievewright.functions.identity import canonical_json
+from sievewright.functions.identity import canonical_digest, canonical_json
 from sievewright.operators import spans
 
 #: Vehicle classes, operation and sampler of plans, tolerances.
@@ -36,6 +36,22 @@ def segment_errors(segments: DataFrame, masks: DataFrame) -> DataFrame:
     return repeated.unionByName(unknown).unionByName(empty)
 
 
+def selection_errors(groups: DataFrame, selections: DataFrame) -> DataFrame:
+    """(source_id, error): a group must still be what its selection says.
+
+    ``groups``: source_id, member_ids (array), selection_sha256; ``selections``: source_id, record (JSON text with a list of
+    decisions, each with segment_id and selected). missing: no selection; digest: the record's canonical digest isn't the
+    stored one; members: the selected segments, in their order, aren't the group's members.
+    """
+    decisions = F.from_json("record", "decisions array<struct<segment_id: string, selected: boolean>>")["decisions"]
+    chosen = F.transform(F.filter(decisions, lambda d: d["selected"]), lambda d: d["segment_id"])
+    told = selections.select(F.col("source_id").alias("_s"), canonical_digest("record").alias("_digest"), chosen.alias("_chosen"))
+    met = groups.join(told, F.col("source_id") == F.col("_s"), "left")
+    checks = {"missing": F.col("_s").isNull(), "digest": ~F.col("selection_sha256").eqNullSafe(F.col("_digest")), "members": ~F.col("member_ids").eqNullSafe(F.col("_chosen"))}
+    found = F.array_compact(F.array(*(F.when(wrong, name) for name, wrong in checks.items() if name != "missing")))
+    return met.select("source_id", F.explode(F.when(checks["missing"], F.array(F.lit("missing"))).otherwise(found)).alias("error"))
+
+
 def group_errors(groups: DataFrame, members: DataFrame, masks: DataFrame, stored: DataFrame) -> DataFrame:
     """(source_id, error): the stored mask of a group must be the union of all its members' masks, and so its area.
 

@@ -28,6 +28,22 @@ def segment_validation(spark: SparkSession, sf_dir: str) -> DataFrame:
     return integrity.segment_errors(rows, rows.where("l_quantity > 5"))
 
 
+@query("""WITH m AS (SELECT l_orderkey AS k, count(DISTINCT l_linenumber) FILTER (WHERE l_returnflag = 'R') AS n FROM (SELECT l_orderkey, l_linenumber, max(l_returnflag) AS l_returnflag FROM lineitem GROUP BY 1, 2) GROUP BY 1)
+SELECT k AS source_id, 'missing' AS error FROM m WHERE k % 11 = 0
+UNION ALL SELECT k, 'digest' FROM m WHERE k % 11 <> 0 AND k % 5 = 0 UNION ALL SELECT k, 'members' FROM m WHERE k % 11 <> 0 AND k % 7 = 0 AND n > 1""")
+def selection_validation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Groups of returned lines against selection records: some records are lost or changed since, some members out of order."""
+    lines = load(spark, sf_dir, "lineitem").groupBy("l_orderkey", "l_linenumber").agg(F.max("l_returnflag").alias("flag"))
+    decision = F.struct(F.col("l_linenumber").alias("place"), F.concat(F.lit("seg_"), F.col("l_linenumber").cast("string")).alias("segment_id"), (F.col("flag") == "R").alias("selected"))
+    rows = lines.groupBy(F.col("l_orderkey").alias("source_id")).agg(F.sort_array(F.collect_list(decision)).alias("d"))
+    plain = F.transform("d", lambda d: F.struct(d["segment_id"].alias("segment_id"), d["selected"].alias("selected")))
+    changed = F.to_json(F.struct(plain.alias("decisions"), F.when(F.col("source_id") % 5 == 0, 1).alias("revision")))
+    ids = F.transform(F.filter("d", lambda d: d["selected"]), lambda d: d["segment_id"])
+    ids = F.when(F.col("source_id") % 7 == 0, F.reverse(ids)).otherwise(ids)
+    groups = rows.select("source_id", ids.alias("member_ids"), F.sha2(F.to_json(F.struct(plain.alias("decisions"))).cast("binary"), 256).alias("selection_sha256"))
+    return integrity.selection_errors(groups, rows.where("source_id % 11 <> 0").select("source_id", changed.alias("record")))
+
+
 @query(f"""WITH {_SPANS}, {_UNION}, a AS (SELECT l_orderkey, CAST(sum(x1 - x0) AS BIGINT) AS area FROM u GROUP BY l_orderkey)
 SELECT l_orderkey AS source_id, 'area' AS error FROM a WHERE l_orderkey % 10 = 0 UNION ALL SELECT DISTINCT l_orderkey, 'mask' FROM u WHERE l_orderkey % 7 = 0 AND y = 0""")
 def group_validation(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -147,6 +147,14 @@ def test_clock_over_pauses_restarts_and_crashes(spark):
     assert clocked(spark, [(0, "checkpoint", None), (9, "end", None), (9, "start", 1)])["running"]
 
 
+def test_scorer_scores_only_what_is_new(spark):
+    scorer = scoring.Scorer(lambda part: part.assign(score=part["x"] * 2.0)[["k", "score"]], "k long, score double", "k")
+    rows = spark.createDataFrame([(1, 1), (2, 5), (3, 7)], "k long, x int")
+    assert sorted(map(tuple, scorer(rows).collect())) == [(1, 2.0), (2, 10.0), (3, 14.0)]
+    cached = spark.createDataFrame([(2, -1.0)], "k long, score double")
+    assert sorted(map(tuple, scorer(rows, cached).collect())) == [(1, 2.0), (2, -1.0), (3, 14.0)]
+
+
 def test_scan_equals_a_loop(spark):
     rng = random.Random(2)
     at = sorted(rng.sample(range(-500, 4000), 700))

@@ -19,10 +19,11 @@ GOOD = {
     "schema_version": "2.0",
     "run": {"seed": 42, "output_root": "/o", "target_count": None, "quota_scope": "total", "strategy": "random_until_quota", "limit_policy": "until_target_or_user_stop", "max_attempts": None, "max_wall_time_seconds": None, "source_schedule": "round_robin", "chain_augmentation": False},
     "dataset": {"root": "/i", "input_dir": "/i", "image": None, "manifest": None, "task": "image_only", "eligible_splits": ["source"], "enforce_group_disjoint": True, "enforce_cross_split_hash_disjoint": True},
-    "execution": {"max_technical_retries": 1, "max_consecutive_technical_failures": 3, "worker_timeout_seconds": 10, "retry_oom": False, "selected_gpu_ids": "4,5"},
+    "execution": {"max_technical_retries": 1, "max_consecutive_technical_failures": 3, "worker_timeout_seconds": 10, "retry_oom": False, "selected_gpu_ids": "4,5", "mode": "gpu_pairs_parallel", "candidate_concurrency": "auto"},
     "sampler": {"version": "accident_group_v1", "operations": ["relocation"], "geometry_attempts": 64},
-    "accident_selection": {"context_padding": 0.25},
-    "segmentation": {"class_ids": [3, 4, 6, 8], "score_threshold": 0.5, "mask_threshold": 0.5, "min_area_pixels": 32},
+    "accident_selection": {"method": "clip_contact_context_v1", "context_padding": 0.25},
+    "verifier": {"backend": "clip_local", "local_files_only": True, "preprocessing": "letterbox_bicubic_gray_v1", "model_revision": "0" * 40},
+    "segmentation": {"backend": "torchvision_maskrcnn_resnet50_fpn", "weights_id": "COCO_V1", "class_ids": [3, 4, 6, 8], "score_threshold": 0.5, "mask_threshold": 0.5, "min_area_pixels": 32},
     "generation": {"source_prompt": "a scene", "augmentation_prompt": None},
     "storage": {"atomic_writes": True, "retain_rejected_details": False, "cleanup_existing": True},
     "export": {"reject_fake_backend": True, "deduplicate_exact_pixels": True, "deduplicate_against_source": True},
@@ -39,7 +40,8 @@ def changed(path, value):
 
 def test_settings():
     assert config.problems(GOOD) == []
-    bad = [("run.seed", -1), ("run.seed", True), ("run.max_attempts", 5), ("run.target_count", 0), ("run.output_root", "/i/out"), ("dataset.eligible_splits", ["val"]), ("dataset.eligible_splits", []), ("dataset.image", "../x"), ("dataset.manifest", "m"), ("dataset.input_dir", None), ("execution.max_technical_retries", 2), ("execution.worker_timeout_seconds", float("nan")), ("execution.selected_gpu_ids", "1"), ("sampler.geometry_attempts", 0), ("sampler.expansion_pixels", 3), ("segmentation.score_threshold", 0), ("generation.augmentation_prompt", " "), ("storage.retain_rejected_details", True)]
+    bad = [("verifier.local_files_only", False), ("verifier.model_revision", "main"), ("segmentation.weights_id", "V2"), ("execution.mode", "serial"), ("execution.worker_python", "/x"), ("accident_selection.method", "other")]
+    bad += [("run.seed", -1), ("run.seed", True), ("run.max_attempts", 5), ("run.target_count", 0), ("run.output_root", "/i/out"), ("dataset.eligible_splits", ["val"]), ("dataset.eligible_splits", []), ("dataset.image", "../x"), ("dataset.manifest", "m"), ("dataset.input_dir", None), ("execution.max_technical_retries", 2), ("execution.worker_timeout_seconds", float("nan")), ("execution.selected_gpu_ids", "1"), ("sampler.geometry_attempts", 0), ("sampler.expansion_pixels", 3), ("segmentation.score_threshold", 0), ("generation.augmentation_prompt", " "), ("storage.retain_rejected_details", True)]
     for path, value in bad:
         assert config.problems(changed(path, value)), path
     assert config.recipe_digest(changed("execution.selected_gpu_ids", "0,1")) == config.recipe_digest(GOOD) != config.recipe_digest(changed("run.seed", 1))
@@ -49,6 +51,15 @@ def test_settings():
             config.lanes(wrong)
 
 
+def test_selection_captions():
+    asset = {"version": "m", "rule": "both_views_involved_greater_than_uninvolved", "criteria": {k: {"uninvolved": "a", "involved": "b"} for k in ("single", "contact_group")}}
+    sha = config.digest(asset)
+    assert config.selection_problems(asset, "m", sha) == []
+    assert [p.split(":")[0] for p in config.selection_problems({**asset, "rule": "any"}, "n", sha)] == ["version", "rule", "digest"]
+    blank = {**asset, "criteria": {**asset["criteria"], "single": {"uninvolved": " ", "involved": "b"}}}
+    assert [p.split(":")[0] for p in config.selection_problems(blank, "m", config.digest(blank))] == ["criteria"]
+
+
 def test_precedence(tmp_path):
     path = tmp_path / "c.json"
     path.write_text(json.dumps(GOOD))
