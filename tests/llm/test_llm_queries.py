@@ -13,7 +13,7 @@ import pytest
 from sievewright.llm import queries
 
 SF = "/root/testdata/sf0.001"
-TABLES = "documents embeddings pages conversations".split()
+TABLES = "documents embeddings pages conversations labels".split()
 pytestmark = pytest.mark.skipif(not Path(SF).exists(), reason="no test data")
 
 
