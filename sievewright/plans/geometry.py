@@ -19,7 +19,7 @@ from sievewright.plans.catalog import load, query
 WIDTH, HEIGHT, ROWS = 120, 80, 8
 
 _SPANS = """s AS (SELECT l_orderkey, l_linenumber, CAST(l_quantity AS INT) % 8 AS y, CAST(l_partkey % 90 AS INT) AS x0, CAST(l_partkey % 90 + 1 + l_suppkey % 30 AS INT) AS x1 FROM lineitem)"""
-_UNION = """g AS (SELECT l_orderkey, y, x0, x1, CASE WHEN x0 > max(x1) OVER (PARTITION BY l_orderkey, y ORDER BY x0, x1 ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) THEN 1 ELSE 0 END AS nw FROM s),
+_UNION = """g AS (SELECT l_orderkey, y, x0, x1, CASE WHEN x0 > max(x1) OVER (PARTITION BY l_orderkey, y ORDER BY x0, x1 ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) THEN 1 ELSE 0 END AS nw FROM (SELECT DISTINCT l_orderkey, y, x0, x1 FROM s)),
 h AS (SELECT *, sum(nw) OVER (PARTITION BY l_orderkey, y ORDER BY x0, x1 ROWS UNBOUNDED PRECEDING) AS isl FROM g),
 u AS (SELECT l_orderkey, y, min(x0) AS x0, max(x1) AS x1 FROM h GROUP BY l_orderkey, y, isl)"""
 
@@ -57,7 +57,7 @@ def mask_touching(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query(f"""WITH {_SPANS}, {_UNION}, k AS (SELECT l_orderkey, unnest(range(-3, 4)) AS d, y, x0, x1 FROM u),
-m AS (SELECT l_orderkey, CAST(y + d AS INT) AS y, CAST(x0 - (3 - abs(d)) AS INT) AS x0, CAST(x1 + (3 - abs(d)) AS INT) AS x1 FROM k),
+m AS (SELECT DISTINCT l_orderkey, CAST(y + d AS INT) AS y, CAST(x0 - (3 - abs(d)) AS INT) AS x0, CAST(x1 + (3 - abs(d)) AS INT) AS x1 FROM k),
 g2 AS (SELECT l_orderkey, y, x0, x1, CASE WHEN x0 > max(x1) OVER (PARTITION BY l_orderkey, y ORDER BY x0, x1 ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) THEN 1 ELSE 0 END AS nw FROM m),
 h2 AS (SELECT *, sum(nw) OVER (PARTITION BY l_orderkey, y ORDER BY x0, x1 ROWS UNBOUNDED PRECEDING) AS isl FROM g2)
 SELECT l_orderkey, y, min(x0) AS x0, max(x1) AS x1 FROM h2 GROUP BY l_orderkey, y, isl""")
@@ -173,7 +173,7 @@ v AS (SELECT l_orderkey, CASE w WHEN 0 THEN l_orderkey % 41 - 20 ELSE l_orderkey
 n AS (SELECT *, greatest(1, CAST(ceil(greatest(abs(dx), abs(dy)) / 8.0) AS BIGINT)) AS n FROM v), i AS (SELECT *, unnest(range(0, n + 1)) AS i FROM n),
 p AS (SELECT DISTINCT l_orderkey, CAST(round_even(dx * i / n::DOUBLE, 0) AS BIGINT) AS dx, CAST(round_even(dy * i / n::DOUBLE, 0) AS BIGINT) AS dy FROM i),
 m AS (SELECT l_orderkey, y + dy AS y, greatest(x0 + dx, 0) AS x0, least(x1 + dx, 120) AS x1 FROM u JOIN p USING (l_orderkey) WHERE greatest(x0 + dx, 0) < least(x1 + dx, 120) AND y + dy BETWEEN 0 AND 79),
-k AS (SELECT DISTINCT * FROM m), r AS (SELECT l_orderkey, y + d AS y, greatest(0, x0 - (8 - abs(d))) AS x0, least(120, x1 + (8 - abs(d))) AS x1 FROM (SELECT *, unnest(range(-8, 9)) AS d FROM k) WHERE y + d BETWEEN 0 AND 79),
+k AS (SELECT DISTINCT * FROM m), r AS (SELECT DISTINCT l_orderkey, y + d AS y, greatest(0, x0 - (8 - abs(d))) AS x0, least(120, x1 + (8 - abs(d))) AS x1 FROM (SELECT *, unnest(range(-8, 9)) AS d FROM k) WHERE y + d BETWEEN 0 AND 79),
 g2 AS (SELECT l_orderkey, y, x0, x1, CASE WHEN x0 > max(x1) OVER (PARTITION BY l_orderkey, y ORDER BY x0, x1 ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) THEN 1 ELSE 0 END AS nw FROM r),
 h2 AS (SELECT *, sum(nw) OVER (PARTITION BY l_orderkey, y ORDER BY x0, x1 ROWS UNBOUNDED PRECEDING) AS isl FROM g2),
 o AS (SELECT l_orderkey, max(x1) - min(x0) AS w FROM h2 GROUP BY l_orderkey, y, isl) SELECT l_orderkey, CAST(sum(w) AS BIGINT) AS area FROM o GROUP BY l_orderkey""")
