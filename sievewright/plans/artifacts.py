@@ -73,7 +73,7 @@ def snapshot_check(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("""SELECT vec_id, list_transform(embedding, lambda x: round(x::DOUBLE / sqrt(list_sum(list_transform(embedding, lambda y: y::DOUBLE * y::DOUBLE))), 6)) AS unit FROM embeddings""")
 def unit_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = load(spark, sf_dir, "embeddings")
-    return rows.select("vec_id", F.transform(vectors.unit(F.col("embedding")), lambda x: F.round(x, 6)).alias("unit"))
+    return rows.select("vec_id", F.transform(vectors.unit(F.col("embedding")), lambda x: vectors.rounded(x, 6)).alias("unit"))
 
 
 @query("""SELECT p_partkey, printf('#%03d', p_size) || '  ' || p_name AS label, CASE WHEN length(p_name) > 12 THEN substr(p_name, 1, 11) || '…' ELSE p_name END AS short,
