@@ -17,12 +17,7 @@ def groups(masks: DataFrame, frame: str, segment: str) -> DataFrame:
 
     ``masks``: runs (frame, segment, y, x0, x1). A group is named by its smallest segment.
     """
-    node = F.struct(frame, segment)
-    nodes = masks.select(node.alias("node")).distinct()
-    edges = spans.touching(masks, [frame], segment).select(F.struct(frame, segment).alias("a"), F.struct(F.col(frame), F.col(f"{segment}2").alias(segment)).alias("b"))
-    labels = contacts.components(nodes, edges, "a", "b", "node").select(F.col(f"node.{frame}").alias(frame), F.col(f"node.{segment}").alias(segment), F.col(f"component.{segment}").alias("group"))
-    members = labels.groupBy(frame, "group").agg(F.count("*").alias("members"))
-    return labels.join(members, [frame, "group"]).select(frame, segment, "group", "members")
+    return spans.together(masks, frame, segment)
 
 
 def associations(grouped: DataFrame, scores: DataFrame, frame: str) -> DataFrame:
@@ -36,14 +31,16 @@ def associations(grouped: DataFrame, scores: DataFrame, frame: str) -> DataFrame
     at = F.when(F.col("members") == 1, 1).otherwise(3)
     rows = rows.withColumn("_error", score_error(F.col("scores"), CAPTIONS, SELECTOR_BOUND))
     rows = rows.withColumn("uninvolved", F.when(F.col("_error").isNull(), F.element_at("scores", at))).withColumn("involved", F.when(F.col("_error").isNull(), F.element_at("scores", at + 1)))
-    judged = contacts.both_views(rows, frame, "group", "members").join(rows.groupBy(F.col(frame).alias("_f"), F.col("group").alias("_g")).agg(F.max("_error").alias("error")), (F.col(frame) == F.col("_f")) & (F.col("group") == F.col("_g")))
+    judged = contacts.both_views(rows, frame, "group", "members", error=F.max("_error"))
     good = F.col("error").isNull()
     pair = F.when(F.col("members") == 1, "single").otherwise("contact_group")
     return judged.select(frame, "group", "members", pair.alias("caption_pair"), "views", F.when(good, F.col("least_margin")).alias("least_margin"), (good & F.coalesce("selected", F.lit(False))).alias("selected"), "error")
 
 
-def decisions(masks: DataFrame, scores: DataFrame, frame: str, segment: str) -> DataFrame:
-    """(frame, segment, group, caption_pair, selected, error) of every segment."""
-    grouped = groups(masks, frame, segment)
-    judged = associations(grouped, scores, frame).select(frame, "group", "caption_pair", "selected", "error")
+def decisions(masks: DataFrame, scores: DataFrame, frame: str, segment: str, tasks: int | None = None) -> DataFrame:
+    """(frame, segment, group, caption_pair, selected, error) of every segment. ``tasks``: to how many groups are dealt
+    (:func:`joins.tasks`)."""
+    dealt = lambda rows: rows.repartition(tasks, frame, "group") if tasks else rows
+    grouped = dealt(groups(masks, frame, segment))
+    judged = associations(grouped, dealt(scores), frame).select(frame, "group", "caption_pair", "selected", "error")
     return grouped.join(judged, [frame, "group"]).select(frame, segment, "group", "caption_pair", "selected", "error")

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from sievewright.functions import geometry, texts, vectors
 from sievewright.operators import acceptance, exports, ingest, integrity, reporting, scoring, selection
+from sievewright.operators.joins import tasks
 from sievewright.plans.catalog import load, query
 from sievewright.plans.curation import _PAIRS, CAPTIONS, SOURCES, _pairs
 from sievewright.plans.geometry import _SPANS, _spans
@@ -54,9 +55,9 @@ def vehicle_selection(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Segments of an order's frame, grouped where they touch, and selected by two views of each group."""
     masks = _spans(spark, sf_dir)
     grouped = selection.groups(masks, "l_orderkey", "l_linenumber")
-    views = grouped.select("l_orderkey", "group").distinct().withColumn("view", F.explode(F.array(F.lit(0), F.lit(1))))
+    views = grouped.where(F.col("l_linenumber") == F.col("group")).select("l_orderkey", "group").withColumn("view", F.explode(F.array(F.lit(0), F.lit(1))))
     scores = F.transform(F.sequence(F.lit(0), F.lit(3)), lambda i: ((F.col("group") * 7 + F.col("view") * 3 + i * 5 + F.col("l_orderkey")) % 21 - 10) / F.lit(10.0))
-    return selection.decisions(masks, views.withColumn("scores", scores), "l_orderkey", "l_linenumber").drop("error")
+    return selection.decisions(masks, views.withColumn("scores", scores), "l_orderkey", "l_linenumber", tasks(load(spark, sf_dir, "lineitem"))).drop("error")
 
 
 @query("""SELECT doc_id AS source_id, CASE WHEN doc_id % 11 = 0 THEN 'missing' WHEN doc_id % 7 = 0 THEN 'pixels' ELSE 'file' END AS error FROM documents WHERE doc_id % 11 = 0 OR doc_id % 7 = 0 OR n_chars % 5 = 0""")

@@ -5,14 +5,17 @@ from __future__ import annotations
 import json
 import math
 import textwrap
+from collections import Counter
 from datetime import UTC, datetime
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 from sievewright.config import generator_problems
 from sievewright.functions import texts, vectors
 from sievewright.operators import exports, selection
+from sievewright.operators import spans as sp
 from sievewright.operators.ingest import ConstraintError
 from sievewright.operators.lifecycle import writer_lock
 from sievewright.sources import runs
@@ -106,3 +109,40 @@ def test_generator_parameters():
     assert generator_problems({"scale": 1.5, "skip_step_num": 0}, steps, names) == []
     for params in ({"other": 1}, {"scale": -1}, {"scale": math.inf}, {"scale": True}, {"scale": "1"}, {"inversion_step_num": 0}, {"inversion_step_num": 2.0}, {"skip_step_num": 8}):
         assert len(generator_problems(params, steps, names)) == 1, params
+
+
+def test_rounding_keeps_the_sign_of_zero_and_multiplies_first(spark):
+    from sievewright.functions.vectors import rounded
+
+    values = [-1e-7, -0.0, 1e-7, 0.0, -0.4999995, 0.1234565, 1.0000005, -2.5e-6, 0.0000025]
+    rows = spark.createDataFrame([(v,) for v in values], "x double").select(rounded(F.col("x"), 6)).collect()
+    want = [math.copysign(math.floor(abs(v) * 1e6 + 0.5) / 1e6, v) for v in values]
+    assert [str(r[0]) for r in rows] == [str(w) for w in want]
+
+
+def test_many_masks_in_few_tasks_hang_together_as_one_by_one(spark):
+    rng = np.random.default_rng(2)
+    rows = [(f, s, int(rng.integers(0, 6)), x, x + int(rng.integers(1, 9))) for f in range(60) for s in range(9) for x in [int(rng.integers(-5, 40))]]
+    for diagonal in (True, False):
+        reach, want = 0 if diagonal else 1, {}
+        for frame in range(60):
+            runs = [r for r in rows if r[0] == frame]
+            label = {r[1]: r[1] for r in runs}
+            for _ in runs:
+                for p in runs:
+                    for q in runs:
+                        k = reach if p[2] != q[2] else 0
+                        if abs(p[2] - q[2]) <= 1 and p[3] + k <= q[4] and q[3] + k <= p[4]:
+                            label[p[1]] = label[q[1]] = min(label[p[1]], label[q[1]])
+            sizes = Counter(label.values())
+            want |= {(frame, s): (g, sizes[g]) for s, g in label.items()}
+        got = sp.together(spark.createDataFrame(rows, "f int, s int, y int, x0 int, x1 int").coalesce(1), "f", "s", diagonal)
+        assert {(r["f"], r["s"]): (r["group"], r["members"]) for r in got.collect()} == want
+
+
+def test_a_task_gets_no_more_rows_as_tables_grow(spark):
+    from sievewright.operators.joins import TASK_ROWS, dealt
+
+    rows = dealt(spark.range(20 * TASK_ROWS), "id")
+    most = max(r["count"] for r in rows.groupBy(F.spark_partition_id()).count().collect())
+    assert most < 1.1 * TASK_ROWS
