@@ -6,17 +6,18 @@ changes. These changes, times the weight of the pixel row, are summed by cell, a
 the resampled mask, as runs of equal value. Weights are single-precision fractions, whole multiples of 2^-24, so values
 are whole numbers of 2^-48 and all sums are exact.
 
-Scale: a run leaves at most eight changes for each of the few grid rows that it meets, however wide it is; sums are
-pre-aggregated, and a window holds one grid row of one mask.
+Scale: a run leaves at most eight changes for each of the few grid rows that it meets, however wide it is. A mask's changes
+are made and summed in the task that holds the mask (:mod:`functions.rasters`) and are never rows of a table.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from sievewright.functions import rasters
 from sievewright.functions.geometry import feature_grid, fits, half_even
-from sievewright.operators.spans import measures
+from sievewright.operators.spans import measures, packed, per_mask
 
 #: The unit of a weight and of a value.
 UNIT = 1 << 24
@@ -25,27 +26,7 @@ ONE = UNIT * UNIT
 HALF = ONE // 2 + UNIT // 2
 
 
-def _taps(cell: Column, pixels: Column, cells: Column) -> tuple[Column, Column, Column]:
-    """The two pixels of a cell and the weight of the second, in single precision."""
-    half = F.lit(0.5).cast("float")
-    at = (cell.cast("float") + half) * (pixels.cast("double") / cells).cast("float") - half
-    at = F.greatest(F.lit(0).cast("float"), F.least(at, (pixels - 1).cast("float")))
-    low = F.floor(at)
-    return low, F.least(low + 1, pixels - 1), ((at.cast("double") - low) * UNIT).cast("long")
-
-
-def covered(cell: Column, start: Column, end: Column, pixels: Column, cells: Column) -> Column:
-    """How much of a cell the pixels [start, end) cover, of UNIT; nothing outside of the grid."""
-    low, high, weight = _taps(cell, pixels, cells)
-    inside = lambda p: (p >= start) & (p < end)
-    value = F.when(inside(low), F.lit(UNIT) - weight).otherwise(F.lit(0)) + F.when(inside(high), weight).otherwise(F.lit(0))
-    return F.when((cell >= 0) & (cell < cells), value).otherwise(F.lit(0)).cast("long")
-
-
-def _near(pixel: Column, pixels: Column, cells: Column) -> Column:
-    """The cells that a pixel can belong to, and one more: a list."""
-    at = F.floor((pixel + F.lit(0.5)) * cells / pixels - F.lit(0.5))
-    return F.sequence(at - 1, at + 2)
+SIZES = ("width", "height", "grid_w", "grid_h")
 
 
 def resampled(spans: DataFrame, *keys: str) -> DataFrame:
@@ -53,16 +34,13 @@ def resampled(spans: DataFrame, *keys: str) -> DataFrame:
 
     ``spans`` also has width, height, grid_w and grid_h; the grid is no finer than the pixels.
     """
-    rows = spans.where("grid_w > 0 and grid_h > 0").withColumn("gy", F.explode(_near(F.col("y"), F.col("height"), F.col("grid_h"))))
-    rows = rows.withColumn("_wy", covered(F.col("gy"), F.col("y"), F.col("y") + 1, F.col("height"), F.col("grid_h"))).where("_wy > 0")
-    ends = F.array_distinct(F.concat(_near(F.col("x0"), F.col("width"), F.col("grid_w")), _near(F.col("x1"), F.col("width"), F.col("grid_w"))))
-    rows = rows.withColumn("g0", F.explode(ends)).where("g0 between 0 and grid_w")
-    value = lambda g: covered(g, F.col("x0"), F.col("x1"), F.col("width"), F.col("grid_w"))
-    rows = rows.withColumn("_d", (value(F.col("g0")) - value(F.col("g0") - 1)) * F.col("_wy")).where("_d <> 0")
-    changes = rows.groupBy(*keys, "gy", "g0").agg(F.sum("_d").alias("_d"))
-    along = Window.partitionBy(*keys, "gy").orderBy("g0")
-    runs = changes.withColumn("value", F.sum("_d").over(along.rowsBetween(Window.unboundedPreceding, 0))).withColumn("g1", F.lead("g0").over(along))
-    return runs.where("value > 0").select(*keys, "gy", "g0", "g1", "value")
+
+    def run(part, mask, y, x0, x1):
+        sizes = (part.column(part.schema.get_field_index(s)).to_numpy() for s in SIZES)
+        return rasters.resampled(mask, y, x0, x1, *sizes, UNIT)
+
+    masks = packed(spans.where("grid_w > 0 and grid_h > 0"), *keys, *(F.col(s).cast("long").alias(s) for s in SIZES))
+    return per_mask(masks, keys, ("gy", "g0", "g1", "value"), run, 8)
 
 
 def grid_measures(runs: DataFrame, *keys: str) -> DataFrame:
