@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -33,8 +35,13 @@ _KNOWN = {"type", "enum", "const", "minimum", "maximum", "minLength", "maxLength
 _NAMES = {"object": "OBJECT", "array": "ARRAY", "string": "STRING", "boolean": "BOOLEAN", "null": "VOID"}
 
 
-def _is(value: Column, kind: str) -> Column:
-    told = F.schema_of_variant(value)
+def _let(value: Column, then: Callable[[Column], Column]) -> Column:
+    """``then`` of a value that is evaluated once, however often ``then`` names it."""
+    return F.get(F.transform(F.array(value), then), F.lit(0))
+
+
+def _is(value: Column, told: Column, kind: str) -> Column:
+    """Whether a VARIANT is of a kind; ``told`` is its schema."""
     if kind in _NAMES:
         return told.startswith(_NAMES[kind])
     number = told.rlike("^(BIGINT|DECIMAL|DOUBLE|FLOAT)")
@@ -46,15 +53,15 @@ def _is(value: Column, kind: str) -> Column:
     raise ValueError(f"unknown type: {kind}")
 
 
-def _equals(value: Column, constant: object) -> Column:
+def _equals(value: Column, told: Column, constant: object) -> Column:
     if isinstance(constant, bool):
-        return _is(value, "boolean") & (F.try_variant_get(value, "$", "boolean") == F.lit(constant))
+        return _is(value, told, "boolean") & (F.try_variant_get(value, "$", "boolean") == F.lit(constant))
     if isinstance(constant, str):
-        return _is(value, "string") & (F.try_variant_get(value, "$", "string") == F.lit(constant))
+        return _is(value, told, "string") & (F.try_variant_get(value, "$", "string") == F.lit(constant))
     if isinstance(constant, int | float):
-        return _is(value, "number") & (F.try_variant_get(value, "$", "double") == F.lit(float(constant)))
+        return _is(value, told, "number") & (F.try_variant_get(value, "$", "double") == F.lit(float(constant)))
     if constant is None:
-        return _is(value, "null")
+        return _is(value, told, "null")
     raise ValueError("only plain values can be compared")
 
 
@@ -63,6 +70,10 @@ def problem(value: Column, schema: dict, path: str = "$") -> Column:
 
     Keywords bind only values of their type, as the draft says. Keywords that this doesn't know are refused.
     """
+    return _let(value, lambda v: _let(F.schema_of_variant(v), lambda told: _problem(v, told, schema, path)))
+
+
+def _problem(value: Column, told: Column, schema: dict, path: str) -> Column:
     unknown = set(schema) - _KNOWN - _NOTES
     if unknown:
         raise ValueError(f"unknown keywords: {sorted(unknown)}")
@@ -75,17 +86,17 @@ def problem(value: Column, schema: dict, path: str = "$") -> Column:
         kinds = [schema["type"]] if isinstance(schema["type"], str) else schema["type"]
         right = F.lit(False)
         for kind in kinds:
-            right = right | _is(value, kind)
+            right = right | _is(value, told, kind)
         wrong("type", ~right)
     for keyword, constants in (("enum", schema.get("enum")), ("const", [schema["const"]] if "const" in schema else None)):
         if constants is not None:
             same = F.lit(False)
             for constant in constants:
-                same = same | _equals(value, constant)
+                same = same | _equals(value, told, constant)
             wrong(keyword, ~same)
-    number = F.when(_is(value, "number"), F.try_variant_get(value, "$", "double"))
-    text = F.when(_is(value, "string"), F.try_variant_get(value, "$", "string"))
-    items = F.when(_is(value, "array"), F.try_variant_get(value, "$", "array<variant>"))
+    number = F.when(_is(value, told, "number"), F.try_variant_get(value, "$", "double"))
+    text = F.when(_is(value, told, "string"), F.try_variant_get(value, "$", "string"))
+    items = F.when(_is(value, told, "array"), F.try_variant_get(value, "$", "array<variant>"))
     limits = {"minimum": lambda n: number < n, "maximum": lambda n: number > n, "minLength": lambda n: F.length(text) < n, "maxLength": lambda n: F.length(text) > n, "minItems": lambda n: F.size(items) < n, "maxItems": lambda n: F.size(items) > n}
     for keyword, breaks in limits.items():
         if keyword in schema:
@@ -94,20 +105,19 @@ def problem(value: Column, schema: dict, path: str = "$") -> Column:
     if "pattern" in schema:
         wrong("pattern", ~text.rlike(f"(?U){schema['pattern']}"))
     if "items" in schema:
-        told = F.filter(F.transform(items, lambda x: problem(x, schema["items"], f"{path}[]")), lambda p: p.isNotNull())
-        found.append(F.get(told, F.lit(0)))
+        found_in = F.filter(F.transform(items, lambda x: problem(x, schema["items"], f"{path}[]")), lambda p: p.isNotNull())
+        found.append(F.get(found_in, F.lit(0)))
     named = schema.get("properties", {})
-    get = lambda name: F.when(_is(value, "object"), F.try_variant_get(value, f"$['{name}']", "variant"))
+    get = lambda name: F.when(_is(value, told, "object"), F.try_variant_get(value, f"$['{name}']", "variant"))
     for name in schema.get("required", []):
-        wrong(f"required {name}", _is(value, "object") & get(name).isNull())
+        wrong(f"required {name}", _is(value, told, "object") & get(name).isNull())
     if schema.get("additionalProperties") is False:
-        keys = F.map_keys(F.when(_is(value, "object"), F.try_variant_get(value, "$", "map<string,variant>")))
+        keys = F.map_keys(F.when(_is(value, told, "object"), F.try_variant_get(value, "$", "map<string,variant>")))
         wrong("additionalProperties", F.exists(keys, lambda k: ~k.isin(list(named)) if named else F.lit(True)))
     elif not isinstance(schema.get("additionalProperties", True), bool):
         raise ValueError("additionalProperties must be true or false")
-    for name, inner in named.items():
-        one = get(name)
-        found.append(F.when(one.isNotNull(), problem(one, inner, f"{path}.{name}")))
+    checked = lambda name, inner: _let(get(name), lambda one: F.when(one.isNotNull(), problem(one, inner, f"{path}.{name}")))
+    found += [checked(name, inner) for name, inner in named.items()]
     return F.coalesce(*found) if found else F.lit(None).cast("string")
 
 

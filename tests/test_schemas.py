@@ -52,3 +52,8 @@ def test_numbers_and_constants(spark):
 def test_unknown_keywords_are_refused():
     with pytest.raises(ValueError, match="oneOf"):
         schemas.problem(F.col("v"), {"oneOf": []})
+
+
+def test_a_text_is_parsed_once_whatever_the_schema(spark):
+    plan = spark.createDataFrame([("{}",)], "t string").select(schemas.problem(F.try_parse_json("t"), schemas.ANSWER))._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.lower().replace("_", "").count("parsejson") == 1
