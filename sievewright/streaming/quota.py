@@ -30,7 +30,8 @@ class QuotaSink:
         if number:
             rows = rows.unionByName(spark.read.schema(_LEADERS).parquet(f"{self.path}/batch={number - 1}"))
         kept = first_n(first_by_key(rows, "key", "sequence"), self.quota, "sequence")
-        kept.select("key", "sequence").coalesce(1).write.mode("overwrite").parquet(f"{self.path}/batch={number}")
+        # One file, written by a task of its own: coalesce() would have that task rank all keys.
+        kept.select("key", "sequence").repartition(1).write.mode("overwrite").parquet(f"{self.path}/batch={number}")
 
     def accepted(self, spark: SparkSession) -> DataFrame:
         """(key, sequence) after the last batch."""

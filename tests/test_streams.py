@@ -92,3 +92,13 @@ def test_quota_survives_random_batches_and_a_crash(spark, tmp_path):
     for key, sequence in rows:
         first.setdefault(key, sequence)
     assert sorted((r["sequence"], r["key"]) for r in sink.accepted(spark).collect()) == sorted((s, k) for k, s in first.items())[:12]
+
+
+def test_one_task_writes_the_quota_but_does_not_rank_all_keys(spark, tmp_path, monkeypatch):
+    from sievewright.streaming.quota import QuotaSink
+
+    batch = spark.range(1000).selectExpr("id AS key", "1000 - id AS sequence")
+    monkeypatch.setattr(type(batch), "coalesce", lambda *a: pytest.fail("ranked in one task"))
+    sink = QuotaSink(str(tmp_path), 10)
+    sink(batch, 0)
+    assert sorted(r["sequence"] for r in sink.accepted(spark).collect()) == list(range(1, 11))
