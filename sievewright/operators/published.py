@@ -133,7 +133,9 @@ class Published:
             there = {f"{delta}/{n}" for n in self.files.names(delta)} | {delta}
             part = self._folders([h for h in held if h in there], StructType([*self.schema.fields, *StructType.fromDDL("_gone boolean").fields]))
             rows = rows.unionByName(part.select(*names, "_gone", F.lit(nth).alias("_nth")))
-        return latest(rows, self.key, "_nth").where("not _gone").select(*names)
+        # As many tasks as buckets at least, so that a larger table's tasks stay as they are.
+        tasks = max(self.buckets, int(self.spark.conf.get("spark.sql.shuffle.partitions")))
+        return latest(rows.repartition(tasks, self.key), self.key, "_nth").where("not _gone").select(*names)
 
     def refresh(self, rows: DataFrame, token: str, only: Sequence[int] | None = None, after: After = _nothing) -> int:
         """Make the table hold ``rows`` and no others; buckets whose rows are as they were keep their folders.

@@ -5,11 +5,15 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from sievewright.operators.joins import dealt, tasks
 from sievewright.operators.published import Published, migrate
 from sievewright.plans.catalog import cents, load, query
 from sievewright.streaming.attempts import run_to_end, shared_folder
 from sievewright.streaming.refresh import RefreshSink
 
+#: Rows of a bucket, which a task writes.
+BUCKET_ROWS = 250_000
+
 _LEDGER = "event_id long, source_id long, outcome string, spent long"
 
 
@@ -37,8 +41,10 @@ def incremental_report(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("""SELECT l_orderkey * 8 + l_linenumber AS id, max(l_quantity) AS quantity FROM lineitem GROUP BY ALL HAVING max(l_returnflag) <> 'R'""")
 def compacted_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Order lines written, those that were returned taken back, and the table compacted."""
-    table = Published(spark, shared_folder(spark, "ledger"), "id", "id long, quantity double", buckets=8)
-    lines = load(spark, sf_dir, "lineitem").select((F.col("l_orderkey") * 8 + F.col("l_linenumber")).alias("id"), F.col("l_quantity").alias("quantity"), "l_returnflag")
+    source = load(spark, sf_dir, "lineitem")
+    table = Published(spark, shared_folder(spark, "ledger"), "id", "id long, quantity double", buckets=max(8, tasks(source, BUCKET_ROWS)))
+    lines = source.select((F.col("l_orderkey") * 8 + F.col("l_linenumber")).alias("id"), F.col("l_quantity").alias("quantity"), "l_returnflag")
+    lines = dealt(lines, "id", each=BUCKET_ROWS)
     lines = lines.groupBy("id").agg(F.max("quantity").alias("quantity"), F.max("l_returnflag").alias("flag"))
     table.upsert(lines, "lines")
     table.upsert(lines.where("flag = 'R'"), "returns", F.lit(True))

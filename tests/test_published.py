@@ -125,3 +125,12 @@ def test_a_view_kept_up_by_batches_equals_a_rebuild(spark, tmp_path):
         assert rows_of(view.read()) == rows_of(want)
         hit = {str(r[0]) for r in rows.select(view.bucket(F.col("source_id"))).collect()}
         assert all(view.manifest()["buckets"].get(b) == e for b, e in before.items() if b not in hit)
+
+
+def test_a_ledger_has_more_buckets_as_it_grows(spark, tmp_path, monkeypatch):
+    from sievewright.plans import tables
+
+    monkeypatch.setattr(tables, "BUCKET_ROWS", 200)
+    spark.range(5000).selectExpr("id div 4 AS l_orderkey", "id % 4 AS l_linenumber", "double(id) AS l_quantity", "if(id % 3 = 0, 'R', 'N') AS l_returnflag").write.parquet(str(tmp_path / "lineitem.parquet"))
+    out = tables.compacted_ledger(spark, str(tmp_path))
+    assert out.count() == 5000 - 1667 and len({f.rpartition("/")[0] for f in out.inputFiles()}) == 25
