@@ -183,8 +183,7 @@ def contact_edges(spark: SparkSession, sf_dir: str) -> DataFrame:
 c AS (SELECT vec_id AS node, vec_id AS seen FROM embeddings UNION SELECT c.node, s.b FROM c JOIN s ON c.seen = s.a)
 SELECT node AS vec_id, min(seen) AS component FROM c GROUP BY node""")
 def contact_components(spark: SparkSession, sf_dir: str) -> DataFrame:
-    boxes = _boxes(spark, sf_dir)
-    return contacts.components(boxes, contacts.touching_boxes(boxes, "label", "vec_id", SIDE * 2), "vec_id", "vec_id2", "vec_id")
+    return contacts.box_components(_boxes(spark, sf_dir), "label", "vec_id", SIDE * 3 / 4)
 
 
 @query("""WITH s AS (SELECT vec_id, unnest(range(2)) AS view, embedding FROM embeddings),

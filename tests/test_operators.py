@@ -314,3 +314,28 @@ def test_a_member_may_not_vanish_on_the_grid():
     speck[20, 30] = True
     assert grid_geometry(mask, (30, 20), (8, 4), (mask,))["error"] is None
     assert grid_geometry(mask, (30, 20), (8, 4), (mask, speck))["error"] == "member"
+
+
+def test_components_of_boxes_equal_those_of_their_pairs(spark):
+    rng = np.random.default_rng(4)
+    at = [(i, i % 3, *(float(v) for v in rng.choice([rng.random(2) * 60, np.floor(rng.random(2) * 12) * 5]))) for i in range(240)]
+    at += [(900, None, 1.0, 1.0), (901, None, 1.0, 1.0), (902, 0, None, 1.0)]
+    rows = [(i, f, x, y, None if x is None else x + float(rng.integers(4, 9)), y + float(rng.integers(4, 7))) for i, f, x, y in at]
+    boxes = spark.createDataFrame(rows, "i long, f int, x0 double, y0 double, x1 double, y1 double")
+    pairs = contacts.touching_boxes(boxes, "f", "i", 5.0)
+    listed = [(r["i"], r["i2"]) for r in pairs.collect()]
+    good = [r for r in rows if r[1] is not None and r[2] is not None]
+    want = {(p[0], q[0]) for p in good for q in good if p[0] < q[0] and p[1] == q[1] and p[2] <= q[4] and q[2] <= p[4] and p[3] <= q[5] and q[3] <= p[5]}
+    assert len(listed) == len(set(listed)) and set(listed) == want
+    label = {r[0]: r[0] for r in rows}
+    while any(label[a] != label[b] for a, b in want):
+        for a, b in want:
+            label[a] = label[b] = min(label[a], label[b])
+    assert {r["i"]: r["component"] for r in contacts.box_components(boxes, "f", "i", 4.0).collect()} == label
+    assert len(set(label.values())) > 10
+
+
+def test_no_pair_of_boxes_is_told_twice_or_shuffled_after_it_is_found(spark):
+    boxes = spark.createDataFrame([(1, 1, 0.0, 0.0, 9.0, 9.0), (1, 2, 1.0, 1.0, 9.0, 9.0)], "f int, i int, x0 double, y0 double, x1 double, y1 double")
+    pairs = contacts.touching_boxes(boxes, "f", "i", 2.0)
+    assert pairs.count() == 1 and "Aggregate" not in pairs._jdf.queryExecution().optimizedPlan().toString()
