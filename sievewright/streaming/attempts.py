@@ -6,6 +6,7 @@ restarted stream goes on where it was and gives the rows that one batch plan ove
 
 from __future__ import annotations
 
+import json
 import sys
 import uuid
 from collections.abc import Callable, Iterator
@@ -23,6 +24,8 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 ROCKS = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 #: Failures that an attempt may have and go on.
 RETRIES = 1
+#: Steps whose waiting completions are kept together.
+STRETCH = 512
 FINISHED = "source_id long, attempt_index long, sequence long, outcome string, failures long"
 FIRST = "key long, sequence long"
 
@@ -42,7 +45,8 @@ class Attempts(StatefulProcessor):
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
         self.at = handle.getValueState("at", "step long, attempt long, failures long, held long")
-        self.held = handle.getMapState("held", "step long", "sequence long, outcome string")
+        # Completions that wait, as JSON by stretches of steps: a call to the store for each would take most of the time.
+        self.held = handle.getMapState("held", "stretch long", "waiting string")
 
     def _state(self) -> list[int]:
         return list(self.at.get()) if self.at.exists() else [0, 0, 0, 0]
@@ -57,24 +61,42 @@ class Attempts(StatefulProcessor):
         state[1], state[2] = state[1] + 1, 0
         return [row]
 
+    def _waiting(self, stretch: int) -> dict[int, tuple]:
+        if not self.held.containsKey((stretch,)):
+            return {}
+        return {step: (sequence, outcome) for step, sequence, outcome in json.loads(self.held.getValue((stretch,))[0])}
+
     def _advance(self, key: int, state: list[int], came: dict[int, tuple]) -> list[tuple]:
         """Finish what is next in order, of what came and what is held; hold the rest."""
-        out = []
+        out, read, changed = [], {}, set()
+
+        def waiting(step: int) -> dict[int, tuple]:
+            stretch = step // STRETCH
+            if stretch not in read:
+                read[stretch] = self._waiting(stretch)
+            return read[stretch]
+
         while state[0] in came or state[3]:
-            step = (state[0],)
-            if step[0] in came:
-                found = came.pop(step[0])
-            elif self.held.containsKey(step):
-                found = self.held.getValue(step)
-                self.held.removeKey(step)
+            step = state[0]
+            if step in came:
+                found = came.pop(step)
+            elif step in waiting(step):
+                found = waiting(step).pop(step)
+                changed.add(step // STRETCH)
                 state[3] -= 1
             else:
                 break
             out += self._finish(key, state, *found)
         for step, found in came.items():
-            if not self.held.containsKey((step,)):
-                self.held.updateValue((step,), found)
+            if step not in waiting(step):
+                waiting(step)[step] = found
+                changed.add(step // STRETCH)
                 state[3] += 1
+        for stretch in changed:
+            if read[stretch]:
+                self.held.updateValue((stretch,), (json.dumps([(step, *found) for step, found in read[stretch].items()]),))
+            else:
+                self.held.removeKey((stretch,))
         return out
 
     def _settle(self, state: list[int], timers, rows: list[tuple]) -> Iterator[pd.DataFrame]:
@@ -97,7 +119,8 @@ class Attempts(StatefulProcessor):
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
         state, out = self._state(), []
-        first = min((step[0] for step in self.held.keys()), default=state[0])
+        stretch = min((k[0] for k in self.held.keys()), default=None)
+        first = state[0] if stretch is None else min(self._waiting(stretch))
         while state[0] < first:
             out += self._finish(key[0], state, None, "interrupted")
         yield from self._settle(state, timerValues, out + self._advance(key[0], state, {}))

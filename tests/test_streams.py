@@ -102,3 +102,21 @@ def test_one_task_writes_the_quota_but_does_not_rank_all_keys(spark, tmp_path, m
     sink = QuotaSink(str(tmp_path), 10)
     sink(batch, 0)
     assert sorted(r["sequence"] for r in sink.accepted(spark).collect()) == list(range(1, 11))
+
+
+def test_waiting_completions_cost_few_calls_of_the_store():
+    from sievewright.streaming.attempts import Attempts
+
+    held, calls = {}, []
+    store = type("Store", (), {
+        "containsKey": lambda self, k: calls.append(k) or k in held,
+        "getValue": lambda self, k: calls.append(k) or held[k],
+        "updateValue": lambda self, k, v: calls.append(k) or held.__setitem__(k, v),
+        "removeKey": lambda self, k: calls.append(k) or held.pop(k),
+    })
+    one = Attempts()
+    one.held, state = store(), [0, 0, 0, 0]
+    assert one._advance(1, state, {s: (10 * s, "accepted") for s in range(1, 2001)}) == [] and state[3] == 2000
+    got = one._advance(1, state, {0: (0, "accepted")})
+    assert [r[1:3] for r in got] == [(s, 10 * s) for s in range(2001)] and not held and state[3] == 0
+    assert len(calls) < 40
